@@ -79,6 +79,14 @@ def own_columns(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[(F.col(f"`{n}`") if n in have else F.lit(None).cast("string")).alias(n) for n in names])
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name += "_"
+    return name
+
+
 def as_key(col: Column) -> Column:
     """A document's id, null as the largest number, so that nulls come last and joins keep them."""
     return F.coalesce(col.cast("long"), F.lit(LAST_ID))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, as_key, from_key, maybe_broadcast, own_columns
+from .common import Scratch, as_key, free_name, from_key, maybe_broadcast, own_columns
 
 CHUNK = 1 << 16
 #: Texts of more bytes are hashed by chunks that different tasks hold.
@@ -172,14 +172,15 @@ def exact_dedup(docs: DataFrame, moduli: tuple[int, ...] = MODULI, huge: int = H
 def deduplicated(docs: DataFrame) -> DataFrame:
     """The rows of docs that exact_dedup keeps, with all their columns; of rows that repeat an id and a text, one stays."""
     scratch = Scratch(docs.sparkSession, "deduplicated")
-    found = exact_dedup(docs).select(as_key(F.col("doc_id")).alias("_key"), F.col("text_sha256").alias("_sha"), "kept")
-    found = scratch.cut(found.groupBy("_key", "_sha").agg(F.bool_and("kept").alias("kept"), F.count(F.lit(1)).alias("n")).where("n > 1 OR NOT kept"))
-    sha = F.sha2(F.regexp_replace(F.coalesce(docs["text"], F.lit("")), r"[\x20\x09-\x0D]+", " "), 256)
-    rows = docs.withColumns({"_key": as_key(docs["doc_id"]), "_sha": sha})
+    key, sha = free_name(docs, "_key"), free_name(docs, "_sha")
+    found = exact_dedup(docs).select(as_key(F.col("doc_id")).alias(key), F.col("text_sha256").alias(sha), F.col("kept").alias("stays"))
+    found = scratch.cut(found.groupBy(key, sha).agg(F.bool_and("stays").alias("stays"), F.count(F.lit(1)).alias("n")).where("n > 1 OR NOT stays"))
+    digest = F.sha2(F.regexp_replace(F.coalesce(docs["text"], F.lit("")), r"[\x20\x09-\x0D]+", " "), 256)
+    rows = docs.withColumns({key: as_key(docs["doc_id"]), sha: digest})
     n = found.count()
-    out = rows.join(maybe_broadcast(found.drop("n", "kept"), n), ["_key", "_sha"], "left_anti")
-    again = found.where("kept")
+    out = rows.join(maybe_broadcast(found.select(key, sha), n), [key, sha], "left_anti")
+    again = found.where("stays")
     if not again.isEmpty():
-        again = rows.join(maybe_broadcast(again.drop("n", "kept"), n), ["_key", "_sha"], "left_semi")
-        out = out.unionByName(again.dropDuplicates(["_key", "_sha"]))
+        again = rows.join(maybe_broadcast(again.select(key, sha), n), [key, sha], "left_semi")
+        out = out.unionByName(again.dropDuplicates([key, sha]))
     return out.select(*docs.columns)

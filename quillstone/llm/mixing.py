@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import Scratch, maybe_broadcast, own_columns, ranked
+from .common import Scratch, free_name, maybe_broadcast, own_columns, ranked
 
 EPOCHS = 3
 WEIGHTS = (1, 2, 3)
@@ -74,8 +74,10 @@ def mix(docs: DataFrame, epochs: int = EPOCHS, weights: tuple[int, ...] = WEIGHT
 
 
 def mixed_documents(docs: DataFrame, epochs: int = EPOCHS, weights: tuple[int, ...] = WEIGHTS, seed: int = SEED) -> DataFrame:
-    """The rows of docs, each as often as the mix takes it. Rows that repeat an id are taken as often as their id's first row."""
+    """The rows of docs, each as often as the mix takes it. Rows that repeat an id are taken as often as the one of them taken most."""
     scratch = Scratch(docs.sparkSession, "mixed")
-    taken = scratch.cut(mix(docs, epochs, weights, seed).groupBy("doc_id").agg(F.max("repeats").cast("int").alias("_times")).where("_times > 0"))
-    rows = docs.join(taken.withColumnRenamed("doc_id", "_id"), docs["doc_id"].cast("long").eqNullSafe(F.col("_id")))
-    return rows.withColumn("_again", F.explode(F.sequence(F.lit(1), "_times"))).select(*docs.columns)
+    key, times, again = (free_name(docs, x) for x in ("_id", "_times", "_again"))
+    taken = mix(docs, epochs, weights, seed).groupBy(F.col("doc_id").alias(key)).agg(F.max("repeats").cast("int").alias(times))
+    taken = scratch.cut(taken.where(F.col(times) > 0))
+    rows = docs.join(taken, docs["doc_id"].cast("long").eqNullSafe(F.col(key)))
+    return rows.withColumn(again, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*docs.columns)

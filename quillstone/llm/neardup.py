@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import Scratch, maybe_broadcast, own_columns
+from .common import Scratch, free_name, maybe_broadcast, own_columns
 from .words import U, Words, mix, shingles, slices
 
 BUCKETS, MANTISSA = 256, 10
@@ -246,7 +246,7 @@ def _of_short(rows: DataFrame, roots: DataFrame, percent: int, scratch: Scratch)
     by_rarity = Window.partitionBy("doc_id").orderBy(F.coalesce("f", F.lit(1)), "key")
     prefix = single.join(often, "key", "left").withColumn("place", F.row_number().over(by_rarity))
     prefix = prefix.where((F.col("f") > 1) & (F.col("place") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1))
-    crowd = scratch.cut(_of_several(_rooted(prefix, roots, "n")))
+    crowd = scratch.cut(_without_subsets(scratch.cut(_of_several(_rooted(prefix, roots, "n")))))
     blocks = crowd.groupBy("key").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks"))
     crowd = crowd.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     crowd = crowd.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -282,6 +282,17 @@ def _of_short(rows: DataFrame, roots: DataFrame, percent: int, scratch: Scratch)
     return met.where("a <> b").distinct()
 
 
+def _without_subsets(crowd: DataFrame) -> DataFrame:
+    """crowd without keys all of whose documents hold one and the same larger key, which compares them anyway.
+
+    A passage's rarest shingle is in all texts that begin their prefix with the passage; its other shingles are in some of those.
+    """
+    n = crowd.groupBy("key").agg(F.count(F.lit(1)).alias("f"))
+    largest = crowd.join(n, "key").groupBy("doc_id").agg(F.max(F.struct("f", "key")).alias("m")).select("doc_id", F.col("m.key").alias("largest"))
+    by_key = crowd.join(largest, "doc_id").groupBy("key").agg(F.min("largest").alias("lo"), F.max("largest").alias("hi"))
+    return crowd.join(by_key.where("lo <> hi OR lo = key").select("key"), "key", "left_semi")
+
+
 def _of_several(crowd: DataFrame, past_centre: str | None = None) -> DataFrame:
     """The rows (key, doc_id, root) of keys that hold more than one root, first document aside if so asked."""
     if past_centre:
@@ -308,5 +319,6 @@ def _verify(pairs: DataFrame, rows: DataFrame, alone: DataFrame, percent: int, s
 def without_near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """The rows of docs that near_duplicates keeps, with all their columns."""
     scratch = Scratch(docs.sparkSession, "without-near")
-    gone = scratch.cut(near_duplicates(docs, percent).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct())
-    return docs.join(maybe_broadcast(gone, gone.count()), docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
+    name = free_name(docs, "_gone")
+    gone = scratch.cut(near_duplicates(docs, percent).where("NOT kept").select(F.col("doc_id").alias(name)).distinct())
+    return docs.join(maybe_broadcast(gone, gone.count()), docs["doc_id"].cast("long") == gone[name], "left_anti")
