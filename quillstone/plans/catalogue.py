@@ -183,7 +183,7 @@ def iso_date_formats(spark, d):
     return _t(spark, d, "orders").select("o_orderkey", T.iso_date(x).alias("day"))
 
 
-@query("""SELECT s_suppkey, CASE WHEN t = '' THEN '' WHEN upper(t) = 'DORA' THEN 'DORA' || lpad(n, greatest(3, length(n)), '0') ELSE upper(t) || n END AS joint_id FROM (SELECT s_suppkey,
+@query("""SELECT s_suppkey, CASE WHEN t = '' THEN '' WHEN upper(t) = 'DORA' THEN 'DORA' || lpad(n, CAST(greatest(3, length(n)) AS INTEGER), '0') ELSE upper(t) || n END AS joint_id FROM (SELECT s_suppkey,
  regexp_extract(x, '([A-Za-z]{3,10})[\\s_-]*0*(\\d{1,4})', 1) AS t, CAST(CAST(nullif(regexp_extract(x, '([A-Za-z]{3,10})[\\s_-]*0*(\\d{1,4})', 2), '') AS INTEGER) AS VARCHAR) AS n FROM (SELECT s_suppkey,
  CASE s_suppkey % 4 WHEN 0 THEN 'Dora ' || CAST(s_suppkey AS VARCHAR) || ' - 3195' WHEN 1 THEN '3308 - DORA0' || CAST(s_suppkey AS VARCHAR) WHEN 2 THEN 'xyz_' || CAST(s_suppkey AS VARCHAR) ELSE CAST(s_suppkey AS VARCHAR) END AS x FROM supplier))""")
 def joint_id_format(spark, d):
@@ -195,7 +195,7 @@ def joint_id_format(spark, d):
 
 @query("SELECT event_id, strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day FROM events")
 def epoch_ms_to_date(spark, d):
-    return _t(spark, d, "events").select("event_id", T.epoch_ms_date(F.unix_millis("ts")).alias("day"))
+    return _t(spark, d, "events").select("event_id", T.epoch_ms_date(F.unix_millis(F.col("ts").cast("timestamp"))).alias("day"))
 
 
 @query("""SELECT o_orderkey, replace(strftime(o_orderdate, '%d/%m/%Y'), '/', '%2F') AS facet, 'qa_legal_act%5B%5D=' || CAST(o_orderkey AS VARCHAR) || '&qa_legal_act%5B%5D=' || CAST(o_custkey AS VARCHAR) AS acts FROM orders""")
@@ -440,21 +440,21 @@ def state_digest(spark, d):
 
 
 def _dsr(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Line items as a compressed result: an order is one result, its lines the rows, their keys say what repeats and what is null."""
+    """Line items as a compressed result: an order is one result, its lines the rows in the order of their keys, which also say what repeats and what is null."""
     li = _t(spark, d, "lineitem")
     r = F.when(F.col("l_linenumber") == 1, F.lit(0)).otherwise(F.col("l_partkey") % 8).cast("long")
     n = (F.col("l_suppkey") % 8).cast("long")
     free = lambda c: F.expr(f"((r | n) & {1 << c}) = 0")
-    rows = li.select(F.col("l_orderkey").alias("result"), F.col("l_linenumber").alias("i"), r.alias("r"), n.alias("n"), F.col("l_quantity").cast("int").cast("string").alias("a"), (F.col("l_partkey") % 3).cast("string").alias("b"), F.col("l_shipdate").cast("date").cast("string").alias("e"))
+    rows = li.select(F.col("l_orderkey").alias("result"), ((F.col("l_linenumber") * 1_000_000 + F.col("l_partkey")) * 1_000 + F.col("l_suppkey")).alias("i"), r.alias("r"), n.alias("n"), F.col("l_quantity").cast("int").cast("string").alias("a"), (F.col("l_partkey") % 3).cast("string").alias("b"), F.col("l_shipdate").cast("date").cast("string").alias("e"))
     cells = F.filter(F.array(*[F.when(free(k), F.col(c)) for k, c in enumerate("abe")]), lambda x: x.isNotNull())
     desc = spark.createDataFrame([(0, "qty", None), (1, "flag", "D0"), (2, "ship", None)], "col int, name string, dict string")
     words = spark.createDataFrame([("D0", 0, "zero"), ("D0", 1, "one"), ("D0", 2, "two")], "dict string, idx int, value string")
     return rows.select("result", "i", "r", "n", cells.alias("c")), desc, words
 
 
-@query("""WITH l AS (SELECT l_orderkey AS result, l_linenumber AS i, CASE WHEN l_linenumber = 1 THEN 0 ELSE l_partkey % 8 END AS r, l_suppkey % 8 AS n, CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS a, CASE l_partkey % 3 WHEN 0 THEN 'zero' WHEN 1 THEN 'one' ELSE 'two' END AS b,
+@query("""WITH l AS (SELECT l_orderkey AS result, (l_linenumber * 1000000 + l_partkey) * 1000 + l_suppkey AS i, CASE WHEN l_linenumber = 1 THEN 0 ELSE l_partkey % 8 END AS r, l_suppkey % 8 AS n, CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS a, CASE l_partkey % 3 WHEN 0 THEN 'zero' WHEN 1 THEN 'one' ELSE 'two' END AS b,
  strftime(l_shipdate, '%Y-%m-%d') AS e FROM lineitem), x AS (SELECT result, i, unnest([0, 1, 2]) AS col, unnest(['qty', 'flag', 'ship']) AS name, unnest([a, b, e]) AS v, r, n FROM l),
- y AS (SELECT *, CASE WHEN (n >> col) & 1 = 0 THEN v END AS own, sum(CASE WHEN (r >> col) & 1 = 1 THEN 0 ELSE 1 END) OVER (PARTITION BY result, col ORDER BY i) AS run FROM x)
+ y AS (SELECT *, CASE WHEN (r >> col) & 1 = 0 AND (n >> col) & 1 = 0 THEN v END AS own, sum(CASE WHEN (r >> col) & 1 = 1 THEN 0 ELSE 1 END) OVER (PARTITION BY result, col ORDER BY i) AS run FROM x)
  SELECT result, i, col, name, first_value(own) OVER (PARTITION BY result, col, run ORDER BY i) AS value FROM y""")
 def dsr_decode(spark, d):
     return register.decode_cells(*_dsr(spark, d)).select("result", "i", "col", "name", "value")

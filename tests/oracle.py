@@ -42,7 +42,8 @@ def compare(spark, con, d, name, query, sql):
     if got[0] != want[0]:
         return f"{name}: columns {got[0]} != {want[0]}"
     if got[1] != want[1]:
-        a, b = [r for r in got[1] if r not in set(want[1])][:2], [r for r in want[1] if r not in set(got[1])][:2]
+        here, there = set(got[1]), set(want[1])
+        a, b = [r for r in got[1] if r not in there][:2], [r for r in want[1] if r not in here][:2]
         return f"{name}: {len(got[1])} rows, {len(want[1])} wanted; only here {str(a)[:500]}; only there {str(b)[:500]}"
     return ""
 
@@ -55,7 +56,7 @@ if __name__ == "__main__":
     from quillstone.session import session
 
     d = sys.argv[1]
-    spark = session("local[4]", 8, **{"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
+    spark = session("local[2]", 4, **{"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(d)
     for name, sql in entry.oracle_sql().items():
