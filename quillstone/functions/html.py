@@ -13,6 +13,7 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 # Elements without an end, elements whose text isn't shown, and elements that end an open one of their kind.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -270,12 +271,12 @@ def parse_pages(pages: DataFrame) -> DataFrame:
     return pages.select("authority", "url", "html").mapInPandas(run, RECORD)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def html_to_text(html: pd.Series) -> pd.Series:
     return html.map(lambda x: to_text(parse(x)))
 
 
-@F.udtf(returnType="pos int, tag string, text string")
+@F.udtf(returnType=StructType([StructField("pos", IntegerType()), StructField("tag", StringType()), StructField("text", StringType())]))
 class HtmlBlocks:
     """html_blocks(html): the paragraphs of a page by position."""
 

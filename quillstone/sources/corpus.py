@@ -15,7 +15,7 @@ NOTE = "> **Disclaimer.**"
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:
     """file, family (its folder), text: one row per Markdown file below path."""
-    raw = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.md").text(path)
+    raw = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.md")
     parts = F.split(F.col("_metadata.file_path"), "/")
     return raw.select(F.element_at(parts, -1).alias("file"), F.element_at(parts, -2).alias("family"), F.col("value").alias("text"))
 

@@ -7,7 +7,6 @@ from quillstone.operators import index, merge, runs, select, tombstone
 from quillstone.plans import search as S
 from quillstone.sources import corpus, register
 
-EMPTY = F.create_map().cast("map<string,string>")
 
 
 # --- HTML -----------------------------------------------------------------------------------------------------------------------------
@@ -23,7 +22,7 @@ def test_to_text(html, want):
 
 LIST = """<dl class="metadata"><dt>Question ID</dt><dd>2024_1</dd><dt>Legal act</dt><dd>Directive 2013/36/EU</dd><dt>Name of institution / submitter</dt><dd>Secret</dd><dt>Date of submission</dt><dd>20/05/2024</dd>
 <dt>Paragraph</dt><dd>3</dd><dt>Lonely</dt><dt>Question</dt><dd><ul><li><p>one</p></li></ul><p>two</p></dd><dt>Final answer</dt><dd><p>Yes.</p></dd></dl>"""
-HEADED = """<article><p>Question ID: <b>DORA 137 - 3195</b></p><p>Regulation reference: <b>(EU) 2022/2554</b></p><p>Date of publication: <b>06 Dec 2024</b></p><h2>Question</h2><p>What?</p><h2>Background of the question</h2><p>Why.</p><div><h2>EIOPA answer</h2><p>Because.</p></div></article>"""
+HEADED = """<article><p>Question ID: <b>DORA 137 - 3195</b></p><p>Regulation reference: <b>(EU) 2022/2554</b></p><p>Date of publication: <b>06 Dec 2024</b></p><div><h2>Question</h2><p>What?</p></div><h2>Background of the question</h2><p>Why.</p><h2>EIOPA answer</h2><p>Because.</p></article><p>x</p>"""
 FIELDED = """<div class="field--name-field-qa-subject-matter"><div class="field__label">S</div><div class="field__item">Topic</div></div><div class="field--name-field-qa-level1"><div class="field__item">Regulation (EU) 2022/2554</div></div>
 <div class="additionalinfo"><div>Status: Answer published</div><div>Submission date: 01/02/2024</div></div><details><summary>Q</summary><p>Ask?</p></details><details><p>One.</p></details><details><p>Two.</p></details>"""
 
