@@ -101,7 +101,7 @@ def order_hash(*cols: Column | str, seed: int = 0) -> Column:
     return F.xxhash64(F.lit(seed), *cols).bitwiseAND(F.lit(0x7FFFFFFF))
 
 
-def ranked(df: DataFrame, group: str, keys: list[str], seed: int = 0, weight: str | None = None, rows_per_bucket: int = 50_000) -> DataFrame:
+def ranked(df: DataFrame, group: str, keys: list[str], seed: int = 0, weight: str | None = None, rows_per_bucket: int = 5_000) -> DataFrame:
     """Adds rank (from 0, gapless within group) and, given weight, before (weights of lower ranks in the group).
 
     df should be a written table, as it is read several times. Rows stand in a seeded order of their keys. Groups of more than
