@@ -97,14 +97,15 @@ class Tree:
             todo += [(int(k), rows[own == i]) for i, k in enumerate(kids)]
         return out
 
-    def visit(self, q: np.ndarray, most: int) -> list[int]:
-        """The first leaves that best-bin-first traversal reaches."""
-        queue, out = [(0.0, 0)], []
-        while queue and len(out) < most:
+    def visit(self, q: np.ndarray, most: int, rows: np.ndarray | None = None, enough: int = 0) -> list[int]:
+        """The first leaves that best-bin-first traversal reaches: so many, and on until they hold enough rows (rows: by leaf)."""
+        queue, out, held = [(0.0, 0)], [], 0
+        while queue and (len(out) < most or held < enough):
             _, node = heapq.heappop(queue)
             kids = self.children[node]
             if not kids:
                 out.append(self.leaf[node])
+                held += 0 if rows is None else int(rows[self.leaf[node]])
                 continue
             d = ((self.centres[kids] - q) ** 2).sum(axis=1)
             for k, x in zip(kids, d.tolist(), strict=True):
@@ -185,15 +186,20 @@ def search(vectors: DataFrame, is_query: str, k: int = 10, id_column: str = "vec
             if len(b):
                 yield b.assign(leaf=shared.value.place(_stack(b["vector"])))
 
+    kind = rows.schema["vector"].dataType.simpleString()
+    placed = scratch.cut(rows.mapInPandas(place, f"vec_id long, vector {kind}, leaf long"))
+    counts = scratch.cut(placed.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")))  # a row per leaf
+    blocks = F.broadcast(counts.select("leaf", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks")))
+    held = np.zeros(tree.leaves, np.int64)
+    for r in counts.collect():
+        held[r["leaf"]] = r["n"]
+    enough = k + placed.groupBy("vec_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]  # k besides the query's own
+
     def route(batches):  # noqa: ANN001, ANN202
         for b in batches:
-            leaves = [shared.value.visit(np.asarray(v, np.float64), visits) for v in b["vector"]]
+            leaves = [shared.value.visit(np.asarray(v, np.float64), visits, held, enough) for v in b["vector"]]
             yield b.assign(leaves=leaves)
 
-    kind = rows.schema["vector"].dataType.simpleString()
-    placed = scratch.cut(rows.mapInPandas(place, f"vec_id long, vector {kind}, leaf long"))
-    blocks = placed.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks"))  # a row per leaf
-    blocks = F.broadcast(scratch.cut(blocks))
     mine = placed.join(blocks, "leaf").select("leaf", F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), "blocks").cast("int").alias("block"), "vec_id", "vector")
     asked = rows.where(is_query).dropDuplicates(["vec_id"]).mapInPandas(route, f"vec_id long, vector {kind}, leaves array<long>")
     asked = asked.select("vec_id", "vector", F.explode("leaves").alias("leaf")).join(blocks, "leaf")

@@ -28,7 +28,7 @@ BITS = 18
 PREFIXES = (4, 5, 6)
 MAX_ROWS = 6000
 THRESHOLD = 0.3
-EPOCHS, RATE, DECAY, START = 150, 0.08, 0.05, -7.0
+EPOCHS, RATE, DECAY, START = 150, 0.08, 0.005, -7.0
 #: Least log-likelihood ratio (twice) of a feature's link with the label.
 EVIDENCE = 12.0
 _STOP = np.zeros(256, bool)
