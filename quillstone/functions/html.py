@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
+from .text import JOINT_CITED, JOINT_FORMATS, SECTION_TITLES
+
 # Elements without an end, elements whose text isn't shown, and elements that end an open one of their kind.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 SILENT = frozenset(("script", "style", "template"))
@@ -31,6 +33,7 @@ LIST_LABELS = {
 BOLD_LABELS = {"question id": "qa_id", "regulation reference": "legal_act_raw", "article": "article", "topic": "topic", "status": "status"}
 #: Labels that name a person or a firm are dropped.
 PRIVATE = ("submitter", "name of institution", "country of incorporation")
+_TITLE = re.compile(rf"^(?:{'|'.join(SECTION_TITLES)})\b[\s:]*", re.I)
 
 RECORD = (
     "authority string, qa_id string, joint_id string, legal_act_raw string, article string, topic string, status string, dates map<string,string>, "
@@ -208,13 +211,12 @@ def from_headings(root: Element, url: str) -> dict:
         if not body:
             body = to_text(h.parent)
             body = body[len(title) :].strip() if body.startswith(title) else body
-        body = re.sub(r"^(?:eiopa\s+answer|answer|background of the question|background|question)\b[\s:]*", "", body, flags=re.I)
+        body = _TITLE.sub("", body)
         r[part] = r[part] or body
     r["qa_id"] = r["qa_id"] or _tail(url).removesuffix("_en")
-    m = re.search(r"([A-Za-z]{3,10})[\s_-]*0*(\d{1,4})", r["qa_id"])
+    m = re.search(JOINT_CITED, r["qa_id"])
     if m:
-        token = m[1].upper()
-        r["joint_id"] = f"{token}{int(m[2]):03d}" if token == "DORA" else f"{token}{int(m[2])}"
+        r["joint_id"] = JOINT_FORMATS.get(m[1].upper(), "%s%d") % (m[1].upper(), int(m[2]))
     return r
 
 

@@ -20,6 +20,8 @@ DATE_FORMATS = ("d/M/yyyy", "d MMM yyyy", "d MMMM yyyy", "yyyy-M-d", "d.M.yyyy")
 JOINT_FORMATS = {"DORA": "%s%03d"}
 # Titles that lead a section's text.
 SECTION_TITLES = ("eiopa answer", "answer", "background of the question", "background", "question")
+# A token and a number that make a joint id.
+JOINT_CITED = r"([A-Za-z]{3,10})[\s_-]*0*(\d{1,4})"
 # An article that isn't one.
 NO_ARTICLE = ("n/a", "na", "none", "-")
 
@@ -87,8 +89,7 @@ def format_joint_id(token: Column, number: Column, formats: dict[str, str] = JOI
 
 def joint_id_of(native_id: Column, formats: dict[str, str] = JOINT_FORMATS) -> Column:
     """From an id such as 'ABC 12 - 345'; one of digits only has none."""
-    pattern = r"([A-Za-z]{3,10})[\s_-]*0*(\d{1,4})"
-    token, number = F.regexp_extract(nz(native_id), pattern, 1), F.regexp_extract(nz(native_id), pattern, 2)
+    token, number = (F.regexp_extract(nz(native_id), JOINT_CITED, g) for g in (1, 2))
     return F.when(token == "", "").otherwise(format_joint_id(token, number.try_cast("int"), formats))
 
 
