@@ -84,7 +84,7 @@ _search("search_or", 'worthless or "le la" OR pathetic!', f"{_word('worthless')}
 _search("search_regex", "/th[aeiou]n (and|of)/ ing", f"regexp_matches(hay, 'th[aeiou]n (and|of)') AND {_word('ing')}")
 _search("search_stopwords_only", "the of and", "TRUE")
 _search("search_bad_regex_literal", "/(of/ or /on the/", "contains(hay, '(of') OR regexp_matches(hay, 'on the')")
-_search("search_facets_topk", "ent", f"{_word('ent')} AND legal_act IN ('src1', 'src10', 'src3') AND authority = 'en' AND date >= '2021-01-01'", acts=["src1", "src10", "src3"], authority="en", date_from="2021-01-01")
+_search("search_facets_topk", "ent", f"{_word('ent')} AND legal_act IN ('src1', 'src10', 'src3') AND authority = 'en' AND date >= '2020-03-01'", acts=["src1", "src10", "src3"], authority="en", date_from="2020-03-01")
 _search("search_pruned_families", "er", f"{_word('er')} AND legal_act IN ('src2', 'src7')", families=S.needed_families(["src2", "src7"], [f"src{i}" for i in range(20)]), acts=["src2", "src7"])
 
 
@@ -445,14 +445,14 @@ def _dsr(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     r = F.when(F.col("l_linenumber") == 1, F.lit(0)).otherwise(F.col("l_partkey") % 8).cast("long")
     n = (F.col("l_suppkey") % 8).cast("long")
     free = lambda c: F.expr(f"((r | n) & {1 << c}) = 0")
-    rows = li.select(F.col("l_orderkey").alias("result"), ((F.col("l_linenumber") * 1_000_000 + F.col("l_partkey")) * 1_000 + F.col("l_suppkey")).alias("i"), r.alias("r"), n.alias("n"), F.col("l_quantity").cast("int").cast("string").alias("a"), (F.col("l_partkey") % 3).cast("string").alias("b"), F.col("l_shipdate").cast("date").cast("string").alias("e"))
+    rows = li.select(F.col("l_orderkey").alias("result"), (F.expr("((l_linenumber * 1000000 + l_partkey) * 1000 + l_suppkey) * 100 + cast(l_quantity as int)") * 100_000 + F.unix_date(F.col("l_shipdate").cast("date"))).alias("i"), r.alias("r"), n.alias("n"), F.col("l_quantity").cast("int").cast("string").alias("a"), (F.col("l_partkey") % 3).cast("string").alias("b"), F.col("l_shipdate").cast("date").cast("string").alias("e"))
     cells = F.filter(F.array(*[F.when(free(k), F.col(c)) for k, c in enumerate("abe")]), lambda x: x.isNotNull())
     desc = spark.createDataFrame([(0, "qty", None), (1, "flag", "D0"), (2, "ship", None)], "col int, name string, dict string")
     words = spark.createDataFrame([("D0", 0, "zero"), ("D0", 1, "one"), ("D0", 2, "two")], "dict string, idx int, value string")
     return rows.select("result", "i", "r", "n", cells.alias("c")), desc, words
 
 
-@query("""WITH l AS (SELECT l_orderkey AS result, (l_linenumber * 1000000 + l_partkey) * 1000 + l_suppkey AS i, CASE WHEN l_linenumber = 1 THEN 0 ELSE l_partkey % 8 END AS r, l_suppkey % 8 AS n, CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS a, CASE l_partkey % 3 WHEN 0 THEN 'zero' WHEN 1 THEN 'one' ELSE 'two' END AS b,
+@query("""WITH l AS (SELECT l_orderkey AS result, (((l_linenumber * 1000000 + l_partkey) * 1000 + l_suppkey) * 100 + CAST(l_quantity AS INTEGER)) * 100000 + date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE)) AS i, CASE WHEN l_linenumber = 1 THEN 0 ELSE l_partkey % 8 END AS r, l_suppkey % 8 AS n, CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS a, CASE l_partkey % 3 WHEN 0 THEN 'zero' WHEN 1 THEN 'one' ELSE 'two' END AS b,
  strftime(l_shipdate, '%Y-%m-%d') AS e FROM lineitem), x AS (SELECT result, i, unnest([0, 1, 2]) AS col, unnest(['qty', 'flag', 'ship']) AS name, unnest([a, b, e]) AS v, r, n FROM l),
  y AS (SELECT *, CASE WHEN (r >> col) & 1 = 0 AND (n >> col) & 1 = 0 THEN v END AS own, sum(CASE WHEN (r >> col) & 1 = 1 THEN 0 ELSE 1 END) OVER (PARTITION BY result, col ORDER BY i) AS run FROM x)
  SELECT result, i, col, name, first_value(own) OVER (PARTITION BY result, col, run ORDER BY i) AS value FROM y""")
