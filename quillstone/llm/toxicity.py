@@ -4,7 +4,7 @@ A sentence's score is the logistic function of the summed weights of its words a
 forms share weights). A document's score is the noisy-or of its sentences: one minus the product of their chances to be harmless. Only
 document labels train it; the sentences that carry the score then stand out, and ``sentences`` returns them with their bytes.
 
-The model is fitted on the driver on at most ``max_rows`` labelled documents, drawn by a hash of doc_id; every document is scored whole.
+The model is fitted by one task on at most ``max_rows`` labelled documents, drawn by a hash of doc_id; every document is scored whole.
 Nulls: a null or empty text has no sentence and the score 0. Labels that are null, or whose doc_id is, aren't used; of several labels for a doc_id
 the largest counts. Rows that repeat a doc_id are scored each. Without labels of either kind every score is that of the starting weights.
 An empty table gives an empty result. Only doc_id and text are read of documents.
@@ -75,22 +75,21 @@ def sentence_logits(f: np.ndarray, sentence: np.ndarray, model: Model) -> np.nda
 def fit(texts: list[str], toxic: np.ndarray, epochs: int = EPOCHS) -> Model:
     """Features that toxic documents hold more often than chance allows, weighted by gradient ascent on the noisy-or's log-likelihood."""
     model, n = Model(np.zeros(1 << BITS), START), len(texts)
-    parts, owners, pairs, total = [], [], [], 0
+    y = np.asarray(toxic, bool)
+    parts, owners, total = [], [], 0
+    a, b = np.zeros(1 << BITS), np.zeros(1 << BITS)  # documents of either kind that hold a feature
     for lo, _, data, at in slices(pa.array(texts, pa.large_string())):
         f, s, w = features(data, at)
         first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]])) if len(s) else np.zeros(0, np.int64)
         parts.append((f.astype(np.int32), (s + total).astype(np.int32)))
-        pairs.append(np.unique((f * n + (w.row + lo)[:, None])[f >= 0]))
+        pair = np.unique((f * n + (w.row + lo)[:, None])[f >= 0])
+        for count, kind in ((a, True), (b, False)):
+            count += np.bincount(pair[y[pair % n] == kind] // n, minlength=1 << BITS)
         owners.append(w.row[first] + lo)
         total += len(first)
-    y = np.asarray(toxic, bool)
     if not total or not y.any() or y.all():
         return model
     owner = np.concatenate(owners)
-    # documents of either kind that hold a feature
-    pair = np.concatenate(pairs)
-    feature, doc = pair // n, pair % n
-    a, b = (np.bincount(feature[y[doc] == k], minlength=1 << BITS).astype(float) for k in (True, False))
     na, nb = y.sum(), n - y.sum()
     expected = (a + b) * na / n
     lr = 2 * (a * np.log(np.maximum(a, 1e-9) / np.maximum(expected, 1e-9)) + b * np.log(np.maximum(b, 1e-9) / np.maximum((a + b) * nb / n, 1e-9)))
@@ -134,9 +133,23 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, seed: in
         share = int(max_rows / n * (1 << 31))
         label = label.where(F.xxhash64(F.lit(seed), "doc_id").bitwiseAND(F.lit(0x7FFFFFFF)) < share)
     rows = own_columns(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    got = rows.join(F.broadcast(label), "doc_id").select("doc_id", "text", "toxic").toArrow()  # label: about max_rows rows
-    got = got.sort_by([("doc_id", "ascending"), ("text", "ascending")])
-    return fit([t or "" for t in got.column("text").to_pylist()], got.column("toxic").to_numpy() > 0)
+    some = rows.join(F.broadcast(label), "doc_id").select("doc_id", "text", "toxic")  # label: about max_rows rows
+
+    def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = pa.Table.from_batches(batches, schema=some_schema).sort_by([("doc_id", "ascending"), ("text", "ascending")])
+        model = fit([t or "" for t in got.column("text").to_pylist()], got.column("toxic").to_numpy() > 0)
+        used = np.flatnonzero(model.weights)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(used, -1)), pa.array(np.append(model.weights[used], model.bias))], ["feature", "weight"])
+
+    some_schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("toxic", pa.int32())])
+    # fitted by one task: the sample is bounded, and the driver's memory stays free
+    got = some.repartition(1).mapInArrow(fitted, "feature long, weight double").toArrow()
+    feature, weight = got.column("feature").to_numpy(), got.column("weight").to_numpy()
+    model = Model(np.zeros(1 << BITS), START)
+    model.weights[feature[feature >= 0]] = weight[feature >= 0]
+    if (feature < 0).any():
+        model.bias = float(weight[feature < 0][0])
+    return model
 
 
 def scores(docs: DataFrame, model: Model) -> DataFrame:
