@@ -12,6 +12,8 @@ from pyspark.sql.window import Window
 
 #: Rows that a broadcast may have; beyond it a shuffled join does the same.
 BROADCAST_ROWS = 500_000
+#: Texts that Python is handed at a time while a table is written.
+BATCH_ROWS = 2000
 #: Groups that ranked() treats as hot at most, so that their table may be broadcast.
 HOT_GROUPS = 4096
 LAST_ID = 2**63 - 1
@@ -56,7 +58,13 @@ class Scratch:
         """df, written once and read again."""
         self.n += 1
         path = f"{self.at}/{self.n}"
-        df.write.parquet(path)
+        key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+        rows = self.spark.conf.get(key)
+        self.spark.conf.set(key, str(min(int(rows), BATCH_ROWS) if int(rows) > 0 else BATCH_ROWS))
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.set(key, rows)
         out = self.spark.read.schema(df.schema).parquet(path)
         out.scratch_path = path
         return out

@@ -18,7 +18,7 @@ import pyarrow as pa
 from .words import _LOWER, _SPACE, U, _powers, mix, slices
 
 #: A cache of pieces that each worker keeps: slots, and ids after which it starts anew.
-SLOTS, KEPT_IDS = 20, 1 << 23
+SLOTS, KEPT_IDS = 19, 1 << 21
 #: Longer pieces go to the library.
 LONGEST = 40
 NONE = np.int32(2**31 - 1)

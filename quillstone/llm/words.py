@@ -13,7 +13,7 @@ import pyarrow as pa
 
 U = np.uint64
 #: Bytes of text worked on at a time; a longer text makes a slice of its own.
-SLICE = 1 << 20
+SLICE = 1 << 19
 _BASE = 0x9E3779B97F4A7C15
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -26,7 +26,7 @@ _inverse = np.ones(1, U)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     global _power, _inverse
     if len(_power) < n:
-        n = max(n, 1 << 21)
+        n = max(n, SLICE + 1024)
         with np.errstate(over="ignore"):
             up, down = np.full(n, _BASE, U), np.full(n, pow(_BASE, -1, 1 << 64), U)
             up[0] = down[0] = 1
