@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from quillstone.llm import exact, mixing, neardup, packing, toxicity
 from quillstone.llm.common import Scratch
 
+#: Near copies share this much of their five-word shingles, or more; op5 alone takes 85.
+NEAR_PERCENT = 80
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -26,7 +28,7 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:  #
 
 
 def unlike(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:  # noqa: ARG001
-    return neardup.without_near_duplicates(docs)
+    return neardup.without_near_duplicates(docs, NEAR_PERCENT)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:  # noqa: ARG001

@@ -2,8 +2,8 @@
 
 1. Each text's set of 5-word shingles is hashed. Bucket ``h >> 56`` keeps its least hash, as the count of leading zeros of the rest
    and ten bits after the first one: 256 registers of two bytes. Texts of equal sets become one class before anything is compared.
-2. Bands of six registers are keys. Two sets of Jaccard similarity 0.85 share none of 42 bands once in 400 million cases; sets that have
-   fewer shingles than buckets share more, as empty registers agree.
+2. Bands of registers are keys, as wide as the threshold allows: at 0.85 42 bands of six, at 0.8 51 bands of five. Two sets that just reach
+   it share no band once in 400 million (600 million) cases; sets that have fewer shingles than buckets share more, as empty registers agree.
 3. A band's documents are each paired with the band's first one (a star, never all pairs). Registers give a collision-corrected estimate, which
    drops pairs far below the threshold; the others are confirmed on the full sets of both.
 4. Links are joined to components. A band is done if what its centre hasn't met lies in one component. Documents with enough bands that are
@@ -28,8 +28,8 @@ from .common import Scratch, free_name, maybe_broadcast, own_columns
 from .words import U, Words, mix, shingles, slices
 
 BUCKETS, MANTISSA = 256, 10
-ROWS_PER_BAND = 6
-BANDS = BUCKETS // ROWS_PER_BAND
+#: Two sets at the threshold share no band at most this often.
+MISSED = 1e-8
 #: A text is done when so many of its bands are: a partner at the threshold misses all of them once in 80,000 cases.
 ENOUGH_BANDS = 24
 #: Shingles of the documents of one block, where blocks are compared.
@@ -60,14 +60,22 @@ def registers(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def bands(reg: np.ndarray) -> np.ndarray:
-    """(sets x 42) keys; 0 for a band whose registers are all empty. The last four registers only serve the estimate."""
-    used = np.ascontiguousarray(reg[:, : BANDS * ROWS_PER_BAND])
-    parts = used.view(np.uint32).reshape(len(reg), BANDS, ROWS_PER_BAND // 2).astype(U)
-    key = np.arange(1, BANDS + 1, dtype=U)[None, :] * U(0x9E3779B97F4A7C15)
+def rows_per_band(percent: int) -> int:
+    """Registers of a band: as many as leave a pair at the threshold without a shared band at most MISSED often."""
+    return max((r for r in range(1, 17) if (1 - (percent / 100) ** r) ** (BUCKETS // r) <= MISSED), default=1)
+
+
+def bands(reg: np.ndarray, rows: int) -> np.ndarray:
+    """(sets x bands) keys of so many registers each; 0 for a band whose registers are all empty. Registers left over only serve the estimate."""
+    n = BUCKETS // rows
+    parts = reg[:, : n * rows].reshape(len(reg), n, rows)
+    key = np.arange(1, n + 1, dtype=U)[None, :] * U(0x9E3779B97F4A7C15)
     with np.errstate(over="ignore"):
-        for i in range(parts.shape[2]):
-            key = mix(key ^ parts[:, :, i])
+        for lo in range(0, rows, 4):
+            four = np.zeros((len(reg), n), U)
+            for i in range(lo, min(lo + 4, rows)):
+                four = four << U(16) | parts[:, :, i].astype(U)
+            key = mix(key ^ four)
     return np.where(parts.any(axis=2), key | U(1), U(0))
 
 
@@ -88,8 +96,9 @@ def _binary(rows: list[bytes]) -> pa.Array:
     return pa.array(rows, pa.binary())
 
 
-def sketches(docs: DataFrame) -> DataFrame:
+def sketches(docs: DataFrame, percent: int) -> DataFrame:
     """Per row: doc_id, n_shingles, set_id (16 bytes, equal for equal sets; null where empty), registers, keys of bands."""
+    rows = rows_per_band(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -97,7 +106,7 @@ def sketches(docs: DataFrame) -> DataFrame:
             for lo, hi, data, at in slices(b.column("text")):
                 sets = list(shingles(Words(data, at), WORDS))
                 reg = registers(sets)
-                keys = bands(reg)
+                keys = bands(reg, rows)
                 with np.errstate(over="ignore"):
                     set_id = [np.array([len(s), *((mix(s ^ U(k)).sum(dtype=U)) for k in (1, 2))], U).tobytes() if len(s) else None for s in sets]
                 flat = [k[k > 0].view(np.int64) for k in keys]
@@ -183,7 +192,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     spark = docs.sparkSession
     scratch = Scratch(spark, "neardup")
     rows = own_columns(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sketch = scratch.cut(sketches(rows))
+    sketch = scratch.cut(sketches(rows, percent))
     # classes of equal sets: only their first document goes on
     classes = scratch.cut(sketch.where("set_id IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")))
     firsts = classes.where("n > 1").select("set_id", "first")

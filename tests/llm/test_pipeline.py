@@ -1,6 +1,8 @@
+import random
+
 import corpus_pipeline
 
-from .test_dedup import brute_components, normal
+from .test_dedup import brute_components, made, normal
 
 
 def test_stages_against_brute_force(spark, sf):
@@ -31,3 +33,19 @@ def test_stages_against_brute_force(spark, sf):
 
 def test_run(spark, sf):
     assert corpus_pipeline.run(spark, sf).count() > 0
+
+
+def test_near_stage_links_from_080(spark, sf):
+    r = random.Random(4)
+    word = lambda: "".join(r.choices("abcdefgh", k=r.randint(2, 5)))
+    rows = made(5, 100)
+    for _ in range(60):  # pairs of long texts at about 0.82, and a few words around it
+        w = [word() for _ in range(r.randint(300, 600))]
+        v = list(w)
+        for at in range(0, len(v), 50):
+            v[min(at + r.randrange(40), len(v) - 1)] = word()
+        rows += [(len(rows), " ".join(w)), (len(rows) + 1, " ".join(v))]
+    want, strict = (brute_components(rows, percent) for percent in (80, 85))
+    assert sum(i != want[i][1] for i in want) >= 50 + sum(i != strict[i][1] for i in strict)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {x["doc_id"] for x in corpus_pipeline.unlike(spark, docs, sf).collect()} == {i for i, (_, root) in want.items() if root == i}
