@@ -6,9 +6,9 @@
    it share no band once in 400 million (600 million) cases; sets that have fewer shingles than buckets share more, as empty registers agree.
 3. A band's documents are each paired with the band's first one (a star, never all pairs). Registers give a collision-corrected estimate, which
    drops pairs far below the threshold; the others are confirmed on the full sets of both.
-4. Links are joined to components. A band is done if what its centre hasn't met lies in one component. Documents with enough bands that are
-   done have met their partners there. The others (texts that are mostly a passage many share) go through an exact join on their rarest
-   shingles, in blocks, so no link is lost to the star.
+4. Links are joined to components. A band is done if what its centre hasn't met lies in one component. A document with more bands
+   done than a partner at the threshold can differ in has met its partners there. All others with a band that isn't done (texts that hold a
+   passage many share) go through an exact join on their rarest shingles, in blocks, so no link is lost to the star.
 
 Nulls: a null or blank text has no shingles and is linked with nothing. A row without doc_id is linked with nothing, has no component
 and is kept. Rows that repeat a doc_id are one document. An empty table gives an empty result.
@@ -30,8 +30,9 @@ from .words import U, Words, mix, shingles, slices
 BUCKETS, MANTISSA = 256, 10
 #: Two sets at the threshold share no band at most this often.
 MISSED = 1e-8
-#: A text is done when so many of its bands are: a partner at the threshold misses all of them once in 80,000 cases.
-ENOUGH_BANDS = 24
+#: Done bands that settle a text of any size: more than there are. Bands of a common passage stay open and those of a text's own shingles
+#: are done, where a partner may well differ in every one; so only the exact bound settles a text.
+ENOUGH_BANDS = BUCKETS + 1
 #: Shingles of the documents of one block, where blocks are compared.
 BLOCK_SHINGLES = 250_000
 #: Pairs whose estimate lies this many standard errors below the threshold are not looked at again.
@@ -217,7 +218,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     open_ = rest.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_open"))
     number = open_.join(alone.select("doc_id", F.size("keys").alias("n_bands"), "n_shingles"), "doc_id")
     done = F.col("n_bands") - F.col("n_open")
-    # by enough bands that are done; or by more of them than a partner can differ from (each shingle that differs changes one)
+    # settled by more bands that are done than a partner can differ in (each shingle that differs changes one)
     short = scratch.cut(number.where((done < ENOUGH_BANDS) & (done * percent <= F.col("n_shingles") * (100 - percent))).select("doc_id").distinct())
     n_short = short.count()
     if n_short:

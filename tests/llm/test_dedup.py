@@ -164,3 +164,20 @@ def test_components_of_a_path(spark):
     links = spark.range(200).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b")).where("id % 50 <> 49")
     got = {r["node"]: r["root"] for r in neardup.components(links, Scratch(spark, "t")).collect()}
     assert all(got[i] == i // 50 * 50 for i in range(200))
+
+
+def around_a_passage(seed, share=0.91, n=1000):
+    """Twelve texts of n words that are mostly one passage, and two more that share some of the rest as well: just above 0.85."""
+    r = random.Random(seed)
+    own = lambda k: ["".join(r.choices("abcdefgh", k=8)) for _ in range(k)]
+    passage = own(int(n * share))
+    rest = n - len(passage)
+    both = own(int(0.925 * n) - len(passage))
+    texts = [passage + own(rest) for _ in range(12)] + [passage + both + own(rest - len(both)) for _ in range(2)]
+    return [(i, " ".join(w)) for i, w in enumerate(texts)]
+
+
+def test_near_links_of_long_texts_around_a_passage(spark):
+    # texts whose own shingles fill 24 bands and more, none of which the partner shares
+    rows = [(100 * k + i, t) for k, (seed, share) in enumerate([(672, 0.88), (67, 0.91), (104, 0.91), (261, 0.91)]) for i, t in around_a_passage(seed, share)]
+    check_near(spark.createDataFrame(rows, "doc_id long, text string"))
