@@ -5,8 +5,10 @@ gets more than ``epochs`` times its own words. What a cap cuts off goes to the o
 cap. The end of those rounds is a water level: sources in the order cap / weight are capped as long as the level that the rest would
 have lies at or above theirs; so one pass over the sorted sources finds it.
 
-A source's target is whole repetitions of all its documents plus a fraction, for which documents in a seeded order are taken as long as they
-fit, and then those that come nearest to what is missing. Documents without words are taken in whole repetitions only.
+A source's target is whole repetitions of all its documents plus a fraction, for which documents in a seeded order are taken up to the first
+that doesn't fit. Of the others, those of at most half of what is missing are put in order and taken in the same way, until none is left: each
+time at least half of what was missing is filled, or all of them are taken. The document that comes nearest to the rest is the last. So a
+source is off its target by no more than its smallest document that isn't taken. Documents without words are taken in whole repetitions only.
 
 Nulls: a null text has size 0; documents of the null source make a source of their own, last in order. Rows that repeat an id are separate rows.
 An empty table gives an empty result. Only doc_id, text and source are read, so other columns can't clash.
@@ -23,8 +25,6 @@ from .common import Scratch, free_name, maybe_broadcast, own_columns, ranked
 EPOCHS = 3
 WEIGHTS = (1, 2, 3)
 SEED = 17
-#: Documents added at most, one after another, to come nearer to a source's target.
-FILLS = 2
 
 
 def targets(sizes: DataFrame, epochs: int = EPOCHS, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
@@ -60,15 +60,26 @@ def mix(docs: DataFrame, epochs: int = EPOCHS, weights: tuple[int, ...] = WEIGHT
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     out = out.withColumn("whole", whole).withColumn("part", F.col("target") - F.col("whole") * F.col("source_size"))
     out = out.withColumn("more", (F.col("before") + F.col("size") <= F.col("part")) & (F.col("size") > 0)).drop("before")
-    for _ in range(FILLS):
-        # the document that comes nearest to what is still missing, one per source
-        out = scratch.cut(out)
+    out = scratch.cut(out)
+
+    def missing() -> DataFrame:
+        """Documents with words that aren't taken, and how many words their source is short of."""
         short = out.groupBy("source").agg((F.max("part") - F.sum(F.when(F.col("more"), F.col("size")).otherwise(0))).alias("short")).withColumnRenamed("source", "_s")
-        free = out.where("NOT more AND size > 0").join(maybe_broadcast(short, n_sources), F.col("source").eqNullSafe(F.col("_s")))
-        near = free.where("abs(short - size) < short").groupBy("source").agg(F.min(F.struct(F.abs(F.col("short") - F.col("size")), F.col("rank"))).alias("best"))
-        near = near.select(F.col("source").alias("_s"), F.col("best.rank").alias("_r"))
-        out = out.join(maybe_broadcast(near, n_sources), F.col("source").eqNullSafe(F.col("_s")) & (F.col("rank") == F.col("_r")), "left")
-        out = out.withColumn("more", F.col("more") | F.col("_r").isNotNull()).drop("_s", "_r")
+        free = out.where("NOT more AND size > 0")
+        return free.join(maybe_broadcast(short, n_sources), F.col("source").eqNullSafe(F.col("_s"))).select("source", "doc_id", "size", F.col("rank").alias("place"), "short")
+
+    def with_more(picks: DataFrame, n: int) -> DataFrame:
+        picks = picks.select(F.col("source").alias("_s"), F.col("place").alias("_r"))
+        joined = out.join(maybe_broadcast(picks, n), F.col("source").eqNullSafe(F.col("_s")) & (F.col("rank") == F.col("_r")), "left")
+        return joined.withColumn("more", F.col("more") | F.col("_r").isNotNull()).drop("_s", "_r")
+
+    while not (small := scratch.cut(missing().where("2 * size <= short"))).isEmpty():
+        picks = scratch.cut(ranked(small, "source", ["doc_id", "size"], seed=seed, weight="size").where("before + size <= short").select("source", "place"))
+        filled = scratch.cut(with_more(picks, picks.count()))
+        scratch.drop(out, small, picks)
+        out = filled
+    near = missing().where("abs(short - size) < short").groupBy("source").agg(F.min(F.struct(F.abs(F.col("short") - F.col("size")), F.col("place"))).alias("best"))
+    out = with_more(near.select("source", F.col("best.place").alias("place")), n_sources)
     out = out.withColumn("repeats", (F.col("whole") + F.when(F.col("more"), 1).otherwise(0)).cast("long"))
     return out.select("doc_id", "source", "size", "source_size", "target", "repeats", (F.col("repeats") * F.col("size")).alias("taken"))
 

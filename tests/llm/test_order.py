@@ -101,6 +101,27 @@ def test_mix_of_a_table(spark, sf):
     assert again.count() == sum(r["repeats"] for r in got) and again.columns == docs.columns
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_mix_fills_past_a_giant_document(spark, seed):
+    import random
+
+    r = random.Random(seed)
+    rows, n = [], {"a": 120, "b": 300, "c": 400}
+    for source, k in n.items():
+        sizes = [r.randint(1, 60) for _ in range(k)]
+        sizes += [sum(sizes) * share // 100 for share in (45, 20, 15)]  # giants that don't fit what is left
+        rows += [(len(rows) + i, "w " * x, source) for i, x in enumerate(sizes)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for mixed_by in (seed, seed + 10):
+        by = {}
+        for x in mixing.mix(docs, weights=(1, 6, 9), seed=mixed_by).collect():
+            by.setdefault(x["source"], []).append(x)
+        for of in by.values():
+            least = min(x["repeats"] for x in of)
+            free = min(x["size"] for x in of if x["repeats"] == least)
+            assert abs(sum(x["taken"] for x in of) - of[0]["target"]) <= free
+
+
 def test_mix_odd(odd_docs, no_docs):
     got = mixing.mix(odd_docs).collect()
     assert len(got) == odd_docs.count() and all(r["taken"] <= 3 * r["size"] for r in got)
