@@ -200,8 +200,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     n_firsts = firsts.count()
     member = sketch.where("set_id IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "set_id", "n_shingles", "registers", "keys")
     copies = scratch.cut(member.select("doc_id", "set_id").join(maybe_broadcast(firsts, n_firsts), "set_id").where("doc_id <> first").select(F.col("doc_id").alias("a"), F.col("first").alias("b")).distinct())
-    n_copies = copies.count()
-    alone = member.join(maybe_broadcast(copies.select(F.col("a").alias("doc_id")).distinct(), n_copies), "doc_id", "left_anti")
+    # a document stands for each of its sets of which it is the first; it may have other texts that are copies
+    alone = member.join(maybe_broadcast(firsts, n_firsts), "set_id", "left").where(F.coalesce("first", "doc_id") == F.col("doc_id")).drop("first")
     keyed = alone.select("doc_id", F.explode("keys").alias("key"))
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
     shared = scratch.cut(shared)

@@ -181,3 +181,13 @@ def test_near_links_of_long_texts_around_a_passage(spark):
     # texts whose own shingles fill 24 bands and more, none of which the partner shares
     rows = [(100 * k + i, t) for k, (seed, share) in enumerate([(672, 0.88), (67, 0.91), (104, 0.91), (261, 0.91)]) for i, t in around_a_passage(seed, share)]
     check_near(spark.createDataFrame(rows, "doc_id long, text string"))
+
+
+def test_near_repeated_ids_with_differing_texts(spark):
+    r = random.Random(9)
+    a, b = (["".join(r.choices("abcdefgh", k=6)) for _ in range(200)] for _ in range(2))
+    near = [*b[:-1], "other"]
+    # 5 has a copy of 1's text, and one of its own that is like 7's
+    rows = [(1, " ".join(a)), (5, " ".join(a)), (5, " ".join(b)), (7, " ".join(near)), (8, "x y z")]
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((x["doc_id"], x["component_id"]) for x in got) == [(1, 1), (5, 1), (5, 1), (7, 1), (8, 8)]
