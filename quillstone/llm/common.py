@@ -3,27 +3,36 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-#: Rows that a broadcast may have; beyond it a shuffled join does the same.
-BROADCAST_ROWS = 500_000
-#: Texts that Python is handed at a time while a table is written.
-BATCH_ROWS = 2000
+#: Rows that a broadcast may have, and bytes (16 a number, 32 anything else); beyond them a shuffled join does the same.
+BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 1 << 24
+#: Texts that Python is handed at a time while a table is written, and their bytes (one text at least).
+BATCH_ROWS, BATCH_BYTES = 2000, "8m"
 #: Groups that ranked() treats as hot at most, so that their table may be broadcast.
 HOT_GROUPS = 4096
 LAST_ID = 2**63 - 1
+_RECORDS, _BYTES = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _made: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; one of our own only where none is set."""
+    """The folder in spark.checkpoint.dir; one of our own only where none is set and all runs in one process."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not at:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         at = "file://" + tempfile.mkdtemp(prefix="quillstone-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
@@ -47,10 +56,13 @@ atexit.register(_at_end)
 
 
 class Scratch:
-    """Tables written to the shared folder: they cut lineage and outlive any executor."""
+    """Tables written to the shared folder: they cut lineage and outlive any executor.
+
+    While one is written, the shuffles behind it are removed as soon as it is done, and Python gets small batches.
+    """
 
     def __init__(self, spark: SparkSession, name: str):
-        self.spark, self.n = spark, 0
+        self.spark, self.n, self.paths = spark, 0, []
         self.at = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
         _made.append((spark, self.at))
 
@@ -58,33 +70,72 @@ class Scratch:
         """df, written once and read again."""
         self.n += 1
         path = f"{self.at}/{self.n}"
-        key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-        rows = self.spark.conf.get(key)
-        self.spark.conf.set(key, str(min(int(rows), BATCH_ROWS) if int(rows) > 0 else BATCH_ROWS))
+        rows = self.spark.conf.get(_RECORDS)
+        wanted = {_RECORDS: str(min(int(rows), BATCH_ROWS) if int(rows) > 0 else BATCH_ROWS), _BYTES: BATCH_BYTES, _CLEANUP: "true"}
+        before = {k: self.spark.conf.get(k, None) for k in wanted}
+        for k, v in wanted.items():
+            self.spark.conf.set(k, v)
         try:
             df.write.parquet(path)
         finally:
-            self.spark.conf.set(key, rows)
+            for k, v in before.items():
+                if v is None:
+                    self.spark.conf.unset(k)
+                else:
+                    self.spark.conf.set(k, v)
         out = self.spark.read.schema(df.schema).parquet(path)
         out.scratch_path = path
+        self.paths.append(path)
         return out
 
     def drop(self, *dfs: DataFrame | None) -> None:
         """Remove tables that nothing reads any more."""
-        for df in dfs:
-            if df is not None and getattr(df, "scratch_path", None):
-                _remove(self.spark, df.scratch_path)
+        for path in {getattr(df, "scratch_path", None) for df in dfs if df is not None} - {None}:
+            _remove(self.spark, path)
+            if path in self.paths:
+                self.paths.remove(path)
+
+    def drop_all_but(self, *dfs: DataFrame | None) -> None:
+        """Remove all tables that were cut here but those given, which a result still reads."""
+        kept = {getattr(df, "scratch_path", None) for df in dfs if df is not None}
+        for path in [p for p in self.paths if p not in kept]:
+            _remove(self.spark, path)
+            self.paths.remove(path)
+
+
+def lean(run):  # noqa: ANN001, ANN201
+    """run, after which its worker gives what it freed back to the system; for tasks that hold much at once."""
+
+    def inner(*args):  # noqa: ANN002, ANN202
+        try:
+            yield from run(*args)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # not a GNU C library
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return inner
 
 
 def maybe_broadcast(df: DataFrame, rows: int) -> DataFrame:
-    """Broadcast a narrow table of a counted size; larger ones are left to a shuffled join."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df.hint("merge")
+    """Broadcast a table of a counted size and narrow columns; larger ones are left to a shuffled join."""
+    width = sum(16 if isinstance(f.dataType, T.NumericType) else 32 for f in df.schema)
+    return F.broadcast(df) if rows <= BROADCAST_ROWS and rows * width <= BROADCAST_BYTES else df.hint("merge")
+
+
+def named(df: DataFrame, name: str) -> Column:
+    """A column by its plain name, dots and all; null if df has none of that name."""
+    return F.col("`" + name.replace("`", "``") + "`") if name in df.columns else F.lit(None).cast("string")
 
 
 def own_columns(df: DataFrame, *names: str) -> DataFrame:
     """Only the named columns, so that further ones of any name can't clash; missing ones are null."""
-    have = set(df.columns)
-    return df.select(*[(F.col(f"`{n}`") if n in have else F.lit(None).cast("string")).alias(n) for n in names])
+    return df.select(*[named(df, n).alias(n) for n in names])
+
+
+def only(df: DataFrame, names: list[str]) -> DataFrame:
+    """These columns of df, whatever characters their names hold."""
+    return df.select(*[named(df, n) for n in names])
 
 
 def free_name(df: DataFrame, name: str) -> str:
@@ -134,3 +185,18 @@ def ranked(df: DataFrame, group: str, keys: list[str], seed: int = 0, weight: st
         lower = within.rowsBetween(Window.unboundedPreceding, -1)
         out = out.withColumn("before", F.coalesce("_w0", F.lit(0)) + F.coalesce(F.sum(weight).over(lower), F.lit(0)))
     return out.drop("_h", "_runs", "_run", "_g", "_r", "_n0", "_w0")
+
+
+def running(df: DataFrame, group: str, place: str, weight: str, places: int, rows_per_bucket: int = 5_000) -> DataFrame:
+    """Adds before: the weights of lower places in the group. Places are numbers below ``places`` that don't repeat in a group, gaps allowed.
+
+    df should be a written table. A group is summed in runs of places, so none lands in one task whole.
+    """
+    width = max(rows_per_bucket, -(-places // HOT_GROUPS))
+    df = df.withColumn("_run", F.floor(F.col(place) / width).cast("long"))
+    runs = df.groupBy(F.col(group).alias("_g"), F.col("_run").alias("_r")).agg(F.sum(weight).alias("_w"))
+    lower = Window.partitionBy("_g").orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.select("_g", "_r", F.sum("_w").over(lower).alias("_w0")).where("_w0 IS NOT NULL")
+    df = df.join(runs, df[group].eqNullSafe(F.col("_g")) & (F.col("_run") == F.col("_r")), "left")
+    within = Window.partitionBy(group, "_run").orderBy(place).rowsBetween(Window.unboundedPreceding, -1)
+    return df.withColumn("before", F.coalesce("_w0", F.lit(0)) + F.coalesce(F.sum(weight).over(within), F.lit(0))).drop("_run", "_g", "_r", "_w0")

@@ -5,6 +5,8 @@ A text's fingerprint is its UTF-8 bytes, with each run of white space as one spa
 and combined after. Rows of equal fingerprint and length are candidates only: each is compared with the group's first row,
 chunk by chunk, and rows that differ form a group of their own, until none differs.
 
+A huge text is normalised and cut in one pass of the task that reads it; its chunks then go to other tasks.
+
 Nulls: a null text is an empty one. A null doc_id comes after all others, and keep_id is null only where all ids of a group are.
 Rows that repeat a doc_id and text are one document: all of them get the same decision. An empty table gives an empty result.
 """
@@ -19,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, as_key, free_name, from_key, maybe_broadcast, own_columns
+from .common import Scratch, free_name, maybe_broadcast, named, only, own_columns
 
 CHUNK = 1 << 16
 #: Texts of more bytes are hashed by chunks that different tasks hold.
@@ -60,91 +62,114 @@ def _texts(column: pa.Array) -> Iterator[bytes]:
         yield x.as_buffer().to_pybytes() if x.is_valid else b""
 
 
+#: A document's id: whether it is missing, and its number. Missing ones come last.
+KEY = ["none", "key"]
+GROUP = ["fp1", "fp2", "n_bytes"]
+_KEY_TYPE = "none boolean, key long"
+
+
+def _rows(docs: DataFrame) -> DataFrame:
+    rows = own_columns(docs, "doc_id", "text")
+    return rows.select(F.isnull("doc_id").alias("none"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("key"), F.col("text").cast("string").alias("text"))
+
+
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [()] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+
+def _cut(batches: Iterator[pa.RecordBatch], schema: pa.Schema, chunk: int, head) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
+    """Rows (what head says of the key, the row and the normalised text; pos, chunk) of all texts, some megabytes at a time."""
+    rows, size = [], 0
+    for b in batches:
+        others = [c.to_pylist() for c, name in zip(b.columns, b.schema.names, strict=True) if name != "text"]
+        for at, raw in zip(zip(*others, strict=True), _texts(b.column("text")), strict=True):
+            text = normalised(raw)
+            first = head(at, text)
+            for i in range(0, max(1, len(text)), chunk):
+                rows.append((*first, i // chunk, text[i : i + chunk]))
+                size += min(chunk, len(text)) + 64
+                if size > 1 << 23:
+                    yield _batch(rows, schema)
+                    rows, size = [], 0
+    if rows:
+        yield _batch(rows, schema)
+
+
 def fingerprints(docs: DataFrame, moduli: tuple[int, ...] = MODULI, huge: int = HUGE, chunk: int = CHUNK) -> DataFrame:
-    """Per row: key, fp1, fp2, n_bytes, sha (hex of SHA-256), all of the normalised text."""
+    """Per row: none, key, fp1, fp2, n_bytes, sha (hex of SHA-256), all of the normalised text."""
+    key = [("none", pa.bool_()), ("key", pa.int64())]
+    prints = [(c, pa.int64()) for c in GROUP]
 
     def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([*key, *prints, ("sha", pa.string())])
         for b in batches:
-            rows = []
-            for raw in _texts(b.column("text")):
-                t = normalised(raw)
-                rows.append((*fingerprint(t, moduli, chunk), len(t), hashlib.sha256(t).hexdigest()))
-            cols = list(zip(*rows, strict=True)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([b.column("key").cast(pa.int64()), *(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.string())], ["key", "fp1", "fp2", "n_bytes", "sha"])
+            texts = [normalised(t) for t in _texts(b.column("text"))]
+            rows = [(none, k, *fingerprint(t, moduli, chunk), len(t), hashlib.sha256(t).hexdigest()) for none, k, t in zip(b.column("none").to_pylist(), b.column("key").to_pylist(), texts, strict=True)]
+            yield _batch(rows, schema)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([*key, ("row", pa.int64()), ("sha", pa.string()), ("pos", pa.int32()), ("chunk", pa.binary())])
+        return _cut(batches, schema, chunk, lambda at, text: (*at, hashlib.sha256(text).hexdigest()))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([*key, ("row", pa.int64()), ("sha", pa.string()), ("pos", pa.int32()), ("h1", pa.int64()), ("h2", pa.int64()), ("n", pa.int64())])
         for b in batches:
-            rows = [(*chunk_hash(t, moduli), len(t)) for t in _texts(b.column("chunk"))]
-            cols = list(zip(*rows, strict=True)) or [()] * 3
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("key", "row", "pos", "sha")), *(pa.array(c, pa.int64()) for c in cols)], ["key", "row", "pos", "sha", "h1", "h2", "n"])
+            found = [(*chunk_hash(t, moduli), len(t)) for t in _texts(b.column("chunk"))]
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], *(pa.array([x[i] for x in found], pa.int64()) for i in range(3))], schema=schema)
 
     def folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([*key, *prints, ("sha", pa.string())])
         for b in batches:
             rows = []
-            for parts in b.column("parts").to_pylist():
+            for none, k, sha, parts in zip(*(b.column(c).to_pylist() for c in ("none", "key", "sha", "parts")), strict=True):
                 fp, n = (0, 0), 0
                 for p in parts:
                     fp, n = combine(fp, (p["h1"], p["h2"]), p["n"], moduli), n + p["n"]
-                rows.append((*fp, n))
-            cols = list(zip(*rows, strict=True)) or [()] * 3
-            yield pa.RecordBatch.from_arrays([b.column("key"), *(pa.array(c, pa.int64()) for c in cols), b.column("sha")], ["key", "fp1", "fp2", "n_bytes", "sha"])
+                rows.append((none, k, *fp, n, sha))
+            yield _batch(rows, schema)
 
-    schema = "key long, fp1 long, fp2 long, n_bytes long, sha string"
-    rows = own_columns(docs, "doc_id", "text").select(as_key(F.col("doc_id")).alias("key"), F.col("text").cast("string").alias("text"))
+    out = f"{_KEY_TYPE}, fp1 long, fp2 long, n_bytes long, sha string"
+    rows = _rows(docs)
     is_huge = F.coalesce(F.octet_length("text"), F.lit(0)) > huge
-    big = rows.where(is_huge).select("key", F.monotonically_increasing_id().alias("row"), F.regexp_replace("text", r"[\x20\x09-\x0D]+", " ").alias("text"))
-    big = big.select("key", "row", F.sha2("text", 256).alias("sha"), F.posexplode(F.expr(f"transform(sequence(0, greatest(0, int((length(text) - 1) / {chunk}))), i -> substring(text, i * {chunk} + 1, {chunk}))")).alias("pos", "chunk"))
-    big = big.repartition(F.col("row"), F.col("pos")).mapInArrow(hashed, "key long, row long, pos int, sha string, h1 long, h2 long, n long")
-    big = big.groupBy("row", "key", "sha").agg(F.array_sort(F.collect_list(F.struct("pos", "h1", "h2", "n"))).alias("parts")).select("key", "sha", "parts")
-    return rows.where(~is_huge).mapInArrow(small, schema).unionByName(big.mapInArrow(folded, schema))
+    big = rows.where(is_huge).select(*KEY, F.monotonically_increasing_id().alias("row"), "text").mapInArrow(cut, f"{_KEY_TYPE}, row long, sha string, pos int, chunk binary")
+    big = big.repartition(F.col("row"), F.col("pos")).mapInArrow(hashed, f"{_KEY_TYPE}, row long, sha string, pos int, h1 long, h2 long, n long")
+    big = big.groupBy("row", *KEY, "sha").agg(F.array_sort(F.collect_list(F.struct("pos", "h1", "h2", "n"))).alias("parts")).select(*KEY, "sha", "parts")
+    return rows.where(~is_huge).mapInArrow(small, out).unionByName(big.mapInArrow(folded, out))
 
 
-def _chunks(docs: DataFrame, moduli: tuple[int, ...], chunk: int) -> DataFrame:
+def _chunks(rows: DataFrame, moduli: tuple[int, ...], chunk: int) -> DataFrame:
+    schema = pa.schema([("none", pa.bool_()), ("key", pa.int64()), *[(c, pa.int64()) for c in GROUP], ("pos", pa.int32()), ("chunk", pa.binary())])
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["key", "fp1", "fp2", "n_bytes", "pos", "chunk"]
-        types = [pa.int64()] * 4 + [pa.int32(), pa.binary()]
-        for b in batches:
-            rows, size = [], 0
-            for key, raw in zip(b.column("key").to_pylist(), _texts(b.column("text")), strict=True):
-                t = normalised(raw)
-                head = (key, *fingerprint(t, moduli, CHUNK), len(t))
-                for i in range(0, max(1, len(t)), chunk):
-                    rows.append((*head, i // chunk, t[i : i + chunk]))
-                    size += chunk
-                    if size > 1 << 24:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), types, strict=True)], names)
-                        rows, size = [], 0
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), types, strict=True)], names)
-
-    return docs.mapInArrow(cut, "key long, fp1 long, fp2 long, n_bytes long, pos int, chunk binary")
+        return _cut(batches, schema, chunk, lambda at, text: (*at, *fingerprint(text, moduli, CHUNK), len(text)))
+
+    return rows.mapInArrow(cut, f"{_KEY_TYPE}, fp1 long, fp2 long, n_bytes long, pos int, chunk binary")
 
 
 def exact_dedup(docs: DataFrame, moduli: tuple[int, ...] = MODULI, huge: int = HUGE, chunk: int = CHUNK) -> DataFrame:
     """One row per row of docs: doc_id, keep_id, group_size, kept, text_sha256 (see the module's text)."""
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "exact")
-    group = ["fp1", "fp2", "n_bytes"]
+    scratch = Scratch(docs.sparkSession, "exact")
     prints = scratch.cut(fingerprints(docs, moduli, huge, chunk))
-    rows = own_columns(docs, "doc_id", "text").select(as_key(F.col("doc_id")).alias("key"), F.col("text").cast("string").alias("text"))
-    member, left, done = ["key", *group], prints.select("key", *group), []
+    rows, me = _rows(docs), F.struct(*KEY)
+    member, left, done = [*KEY, *GROUP], prints.select(*KEY, *GROUP), []
     while True:
         # the first row of each group, and its size: tables of groups, never lists of rows
-        groups = scratch.cut(left.groupBy(*group).agg(F.min("key").alias("keep"), F.count(F.lit(1)).alias("size")).where("size > 1"))
+        groups = scratch.cut(left.groupBy(*GROUP).agg(F.min(me).alias("keep"), F.count(F.lit(1)).alias("size")).where("size > 1"))
         n_groups = groups.count()
         if not n_groups:
             break
-        pairs = scratch.cut(left.join(maybe_broadcast(groups, n_groups), group))
+        pairs = scratch.cut(left.join(maybe_broadcast(groups, n_groups), GROUP))
         n_pairs = pairs.count()
-        ids = pairs.select("key").distinct()
-        texts = _chunks(rows.join(maybe_broadcast(ids, n_pairs), "key", "left_semi"), moduli, chunk)
+        ids = pairs.select(*KEY).distinct()
+        texts = _chunks(rows.join(maybe_broadcast(ids, n_pairs), KEY, "left_semi"), moduli, chunk)
         mine = maybe_broadcast(pairs.dropDuplicates(member), n_pairs)
         split = F.ceil(F.col("size") / GROUP_ROWS).cast("int")
         texts = texts.join(mine, member).withColumn("salt", F.pmod(F.xxhash64("key"), split).cast("int"))
-        first = texts.where("key = keep").dropDuplicates([*group, "pos"])
-        first = first.select(*group, "pos", F.col("chunk").alias("kept_chunk"), F.explode(F.sequence(F.lit(0), split - 1)).alias("salt"))
-        meet = [*group, "pos", "salt"]
-        same = texts.where("key <> keep").join(first, meet).select(*member, (F.col("chunk") == F.col("kept_chunk")).alias("same"))
+        is_first = F.col("keep") == me
+        first = texts.where(is_first).dropDuplicates([*GROUP, "pos"])
+        first = first.select(*GROUP, "pos", F.col("chunk").alias("kept_chunk"), F.explode(F.sequence(F.lit(0), split - 1)).alias("salt"))
+        same = texts.where(~is_first).join(first, [*GROUP, "pos", "salt"]).select(*member, (F.col("chunk") == F.col("kept_chunk")).alias("same"))
         differ = scratch.cut(same.where("NOT same").select(*member).distinct())
         n_differ = differ.count()
         if not n_differ:
@@ -160,27 +185,35 @@ def exact_dedup(docs: DataFrame, moduli: tuple[int, ...] = MODULI, huge: int = H
             found = found.unionByName(x)
         if len(done) > 1:  # groups have lost rows
             found = found.drop("size")
-            sizes = found.groupBy(*group, "keep").agg(F.count(F.lit(1)).alias("size"))
-            found = found.join(sizes, [*group, "keep"])
+            sizes = found.groupBy(*GROUP, "keep").agg(F.count(F.lit(1)).alias("size"))
+            found = found.join(sizes, [*GROUP, "keep"])
         out = out.join(found.select(*member, "keep", "size").dropDuplicates(member), member, "left")
     else:
-        out = out.withColumns({"keep": F.col("key"), "size": F.lit(1).cast("long")})
-    keep = F.coalesce("keep", "key")
-    return out.select(from_key(F.col("key")).alias("doc_id"), from_key(keep).alias("keep_id"), F.coalesce("size", F.lit(1)).cast("long").alias("group_size"), (keep == F.col("key")).alias("kept"), "text_sha256")
+        out = out.withColumns({"keep": me, "size": F.lit(1).cast("long")})
+    keep = F.coalesce("keep", me)
+    id_of = lambda k: F.when(~k["none"], k["key"])
+    out = out.select(id_of(me).alias("doc_id"), id_of(keep).alias("keep_id"), F.coalesce("size", F.lit(1)).cast("long").alias("group_size"), (keep == me).alias("kept"), "text_sha256")
+    out = scratch.cut(out)
+    scratch.drop_all_but(out)
+    return out
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """The rows of docs that exact_dedup keeps, with all their columns; of rows that repeat an id and a text, one stays."""
     scratch = Scratch(docs.sparkSession, "deduplicated")
-    key, sha = free_name(docs, "_key"), free_name(docs, "_sha")
-    found = exact_dedup(docs).select(as_key(F.col("doc_id")).alias(key), F.col("text_sha256").alias(sha), F.col("kept").alias("stays"))
-    found = scratch.cut(found.groupBy(key, sha).agg(F.bool_and("stays").alias("stays"), F.count(F.lit(1)).alias("n")).where("n > 1 OR NOT stays"))
-    digest = F.sha2(F.regexp_replace(F.coalesce(docs["text"], F.lit("")), r"[\x20\x09-\x0D]+", " "), 256)
-    rows = docs.withColumns({key: as_key(docs["doc_id"]), sha: digest})
-    n = found.count()
-    out = rows.join(maybe_broadcast(found.select(key, sha), n), [key, sha], "left_anti")
-    again = found.where("stays")
+    none, key, sha = free_name(docs, "_none"), free_name(docs, "_key"), free_name(docs, "_sha")
+    names = [none, key, sha]
+    found = exact_dedup(docs)
+    copies = found.groupBy(F.isnull("doc_id").alias(none), F.coalesce("doc_id", F.lit(0)).alias(key), F.col("text_sha256").alias(sha)).agg(F.bool_and("kept").alias("stays"), F.count(F.lit(1)).alias("n"))
+    copies = scratch.cut(copies.where("n > 1 OR NOT stays").select(*names, "stays"))
+    scratch.drop(found)
+    digest = F.sha2(F.regexp_replace(F.coalesce(named(docs, "text").cast("string"), F.lit("")), r"[\x20\x09-\x0D]+", " "), 256)
+    doc_id = named(docs, "doc_id").cast("long")
+    rows = docs.withColumns({none: F.isnull(doc_id), key: F.coalesce(doc_id, F.lit(0)), sha: digest})
+    n = copies.count()
+    out = rows.join(maybe_broadcast(copies.select(*names), n), names, "left_anti")
+    again = copies.where("stays")
     if not again.isEmpty():
-        again = rows.join(maybe_broadcast(again.select(key, sha), n), [key, sha], "left_semi")
-        out = out.unionByName(again.dropDuplicates([key, sha]))
-    return out.select(*docs.columns)
+        again = rows.join(maybe_broadcast(again.select(*names), n), names, "left_semi")
+        out = out.unionByName(again.dropDuplicates(names))
+    return only(out, docs.columns)

@@ -1,7 +1,7 @@
 """The registered queries of this subpackage: each applies one operator to its whole table and returns its full result.
 
-None of them can be put into SQL that the other engine runs (it has no CRC-32, no seeded 64-bit hash and no way to train a model),
-so tests/llm holds each against a brute-force version.
+op5 and op9 have SQL. The others can't be put into SQL that the other engine runs (it has no CRC-32, no seeded 64-bit hash and no way to train a
+model), so tests/llm holds each against a brute-force version.
 """
 
 from __future__ import annotations
@@ -68,4 +68,31 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_training_order, op2_hilbert_shards, op3_kmeans_tree, op4_toxicity, op5_hyperminhash, op6_water_filling, op7_shortest_pack, op8_log_bilinear, op9_fingerprints, op10_main_text)
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_hyperminhash": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ), sets AS (
+            SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')))
+                                WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s
+            FROM words
+        ), single AS (
+            SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets
+        ), links AS (
+            SELECT a.doc_id AS a, b.doc_id AS b FROM single a JOIN single b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+            GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+        ), reach AS (
+            SELECT doc_id, doc_id AS other FROM sets
+            UNION
+            SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other
+        )
+        SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, min(r.other) AS component_id, s.doc_id = min(r.other) AS kept
+        FROM sets s JOIN reach r USING (doc_id) GROUP BY s.doc_id, len(s.s)
+    """,
+    "op9_fingerprints": r"""
+        WITH texts AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
+        groups AS (SELECT t, min(doc_id) AS keep_id, count(*) AS group_size FROM texts GROUP BY t)
+        SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM texts JOIN groups USING (t)
+    """,
+}

@@ -55,14 +55,14 @@ def check_exact(docs, **kw):
     want = {}
     rows = [(r["doc_id"], normal(r["text"])) for r in docs.select("doc_id", "text").collect()]
     for i, t in rows:
-        want.setdefault(t, []).append(2**63 - 1 if i is None else i)
+        want.setdefault(t, []).append((i is None, i or 0))
     got = exact.exact_dedup(docs, **kw).collect()
     assert len(got) == len(rows)
     by_sha = {hashlib.sha256(t.encode()).hexdigest(): v for t, v in want.items()}
     for r in got:
         v = by_sha[r["text_sha256"]]
-        keep = min(v)
-        assert (r["keep_id"], r["group_size"]) == (None if keep == 2**63 - 1 else keep, len(v))
+        none, keep = min(v)
+        assert (r["keep_id"], r["group_size"]) == (None if none else keep, len(v))
         assert r["kept"] == (r["doc_id"] == r["keep_id"])
 
 
@@ -75,6 +75,25 @@ def test_exact_odd(odd_docs, kw):
     check_exact(odd_docs, **kw)
 
 
+def test_exact_of_the_largest_id(spark):
+    rows = [(2**63 - 1, "a b"), (None, "a  b"), (None, "c"), (2**63 - 1, "d"), (0, "c e"), (None, "c e")]
+    check_exact(spark.createDataFrame(rows, "doc_id long, text string"))
+
+
+def test_huge_texts_are_cut_in_linear_time(spark):
+    import time
+
+    took = []
+    for mb in (8, 32):
+        docs = spark.range(3).selectExpr("id AS doc_id", f"concat(if(id = 2, 'x', ''), repeat('lorem  ipsum dolor ', {mb << 20} div 19)) AS text")
+        t = time.time()
+        got = {r["doc_id"]: r for r in exact.exact_dedup(docs).collect()}
+        took.append(time.time() - t)
+        assert [got[i]["keep_id"] for i in range(3)] == [0, 0, 2]
+        assert got[0]["text_sha256"] == hashlib.sha256(b"lorem ipsum dolor " * ((mb << 20) // 19)).hexdigest()
+    assert took[1] < 8 * took[0] + 5
+
+
 def test_exact_survives_fingerprint_collisions(spark):
     rows = [(i, f"text number {i % 40:02d}") for i in range(100)]
     check_exact(spark.createDataFrame(rows, "doc_id long, text string"), moduli=(3, 5), chunk=4)
@@ -142,7 +161,8 @@ def test_near_finds_every_link(spark, seed):
 
 def test_near_blocks_are_compared_with_each_other(spark, monkeypatch):
     monkeypatch.setattr(neardup, "BLOCK_SHINGLES", 500)
-    monkeypatch.setattr(neardup, "ENOUGH_BANDS", 10_000)  # all open documents go through the exact join
+    monkeypatch.setattr(neardup, "BLOCK_DOCS", 7)
+    monkeypatch.setattr(neardup, "spare_bands", lambda percent: -1)  # chance settles none
     check_near(spark.createDataFrame(made(3, 300), "doc_id long, text string"))
 
 
