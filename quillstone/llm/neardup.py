@@ -6,9 +6,13 @@
    it share no band once in 400 million (600 million) cases; sets that have fewer shingles than buckets share more, as empty registers agree.
 3. A band's documents are each paired with the band's first one (a star, never all pairs). Registers give a collision-corrected estimate, which
    drops pairs far below the threshold; the others are confirmed on the full sets of both.
-4. Links are joined to components. A band is done if what its centre hasn't met lies in one component. A document with more bands
-   done than a partner at the threshold can differ in has met its partners there. All others with a band that isn't done (texts that hold a
-   passage many share) go through an exact join on their rarest shingles, in blocks, so no link is lost to the star.
+4. Links are joined to components. A band is open for its documents past the centre if those lie in several components. Open bands are all
+   in which the star can have missed a partner, and a partner at the threshold shares more than ``spare_bands`` bands but once in a million
+   cases; so a document with no more open bands than that is settled. So is one with more bands that are done than a partner can differ in. All others (texts
+   that are mostly a passage many share) go through an exact join on their rarest shingles, in blocks.
+
+A link is lost if two texts share no band (``MISSED``), if both are settled and share open bands only (``UNSEEN``), or if an estimate is off
+by ``SLACK`` standard errors: less than once in half a million links, whatever the corpus looks like, as all three hang on hash values alone.
 
 Nulls: a null or blank text has no shingles and is linked with nothing. A row without doc_id is linked with nothing, has no component
 and is kept. Rows that repeat a doc_id are one document. An empty table gives an empty result.
@@ -17,6 +21,7 @@ and is kept. Rows that repeat a doc_id are one document. An empty table gives an
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -28,16 +33,16 @@ from .common import Scratch, free_name, maybe_broadcast, own_columns
 from .words import U, Words, mix, shingles, slices
 
 BUCKETS, MANTISSA = 256, 10
-#: Two sets at the threshold share no band at most this often.
-MISSED = 1e-8
-#: Done bands that settle a text of any size: more than there are. Bands of a common passage stay open and those of a text's own shingles
-#: are done, where a partner may well differ in every one; so only the exact bound settles a text.
-ENOUGH_BANDS = BUCKETS + 1
-#: Shingles of the documents of one block, where blocks are compared.
-BLOCK_SHINGLES = 250_000
+#: Two sets at the threshold share no band at most this often, and no more bands than spare_bands() at most that often.
+MISSED, UNSEEN = 1e-8, 1e-6
+#: Sets of fewer shingles are settled by the exact bound only: their bands hold too few buckets for the chance above.
+SPARE_SHINGLES = 64
+#: Shingles and documents of one block, where blocks are compared.
+BLOCK_SHINGLES, BLOCK_DOCS = 250_000, 2000
 #: Pairs whose estimate lies this many standard errors below the threshold are not looked at again.
 SLACK = 5.0
 WORDS = 5
+_BLOCKS = 1 << 24
 
 
 def registers(sets: list[np.ndarray]) -> np.ndarray:
@@ -66,6 +71,16 @@ def rows_per_band(percent: int) -> int:
     return max((r for r in range(1, 17) if (1 - (percent / 100) ** r) ** (BUCKETS // r) <= MISSED), default=1)
 
 
+def spare_bands(percent: int) -> int:
+    """How many open bands settle a document all the same: a partner at the threshold shares no more than these at most UNSEEN often; -1: not even none do."""
+    rows = rows_per_band(percent)
+    n, p = BUCKETS // rows, (percent / 100) ** rows
+    tail, k = 0.0, 0
+    while k <= n and (tail := tail + comb(n, k) * p**k * (1 - p) ** (n - k)) <= UNSEEN:
+        k += 1
+    return k - 1
+
+
 def bands(reg: np.ndarray, rows: int) -> np.ndarray:
     """(sets x bands) keys of so many registers each; 0 for a band whose registers are all empty. Registers left over only serve the estimate."""
     n = BUCKETS // rows
@@ -97,9 +112,8 @@ def _binary(rows: list[bytes]) -> pa.Array:
     return pa.array(rows, pa.binary())
 
 
-def sketches(docs: DataFrame, percent: int) -> DataFrame:
-    """Per row: doc_id, n_shingles, set_id (16 bytes, equal for equal sets; null where empty), registers, keys of bands."""
-    rows = rows_per_band(percent)
+def sketches(docs: DataFrame) -> DataFrame:
+    """Per row: doc_id, n_shingles, set_id (16 bytes, equal for equal sets; null where empty), registers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -107,18 +121,33 @@ def sketches(docs: DataFrame, percent: int) -> DataFrame:
             for lo, hi, data, at in slices(b.column("text")):
                 sets = list(shingles(Words(data, at), WORDS))
                 reg = registers(sets)
-                keys = bands(reg, rows)
                 with np.errstate(over="ignore"):
                     set_id = [np.array([len(s), *((mix(s ^ U(k)).sum(dtype=U)) for k in (1, 2))], U).tobytes() if len(s) else None for s in sets]
-                flat = [k[k > 0].view(np.int64) for k in keys]
-                offsets = np.concatenate([[0], np.cumsum([len(k) for k in flat])]).astype(np.int32)
-                values = pa.array(np.concatenate(flat) if flat else np.zeros(0, np.int64), pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(lo, hi - lo), pa.array([len(s) for s in sets], pa.int64()), pa.array(set_id, pa.binary()), _binary([r.tobytes() if len(s) else b"" for r, s in zip(reg, sets, strict=True)]), pa.ListArray.from_arrays(pa.array(offsets), values)],
-                    ["doc_id", "n_shingles", "set_id", "registers", "keys"],
+                    [ids.slice(lo, hi - lo), pa.array([len(s) for s in sets], pa.int64()), pa.array(set_id, pa.binary()), _binary([r.tobytes() if len(s) else b"" for r, s in zip(reg, sets, strict=True)])],
+                    ["doc_id", "n_shingles", "set_id", "registers"],
                 )
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, set_id binary, registers binary, keys array<long>")
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, set_id binary, registers binary")
+
+
+def _registers(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(len(column), BUCKETS)
+
+
+def keyed(sketch: DataFrame, percent: int) -> DataFrame:
+    """(key, doc_id, n_shingles, n_bands) of every band of the sketches; n_bands: how many the set has."""
+    rows = rows_per_band(percent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if len(b):
+                keys = bands(_registers(b.column("registers")), rows)
+                row, _ = np.nonzero(keys)
+                n = pa.array((keys > 0).sum(axis=1)[row].astype(np.int32))
+                yield pa.RecordBatch.from_arrays([pa.array(keys[keys > 0].view(np.int64)), *(b.column(c).take(pa.array(row)) for c in ("doc_id", "n_shingles")), n], ["key", "doc_id", "n_shingles", "n_bands"])
+
+    return sketch.select("doc_id", "n_shingles", "registers").mapInArrow(run, "key long, doc_id long, n_shingles long, n_bands int")
 
 
 def _sets(docs: DataFrame) -> DataFrame:
@@ -138,10 +167,9 @@ def _likely(pairs: DataFrame, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
-            n = len(x)
-            if not n:
+            if not len(x):
                 continue
-            ra, rb = (np.frombuffer(b"".join(x.column(c).to_pylist()), np.uint16).reshape(n, BUCKETS) for c in ("ra", "rb"))
+            ra, rb = _registers(x.column("ra")), _registers(x.column("rb"))
             na, nb = (x.column(c).to_numpy(zero_copy_only=False) for c in ("na", "nb"))
             j, error = estimate(ra, rb, na, nb)
             ok = (j + SLACK * error >= percent / 100) & (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb))
@@ -188,84 +216,149 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     return roots
 
 
+def _alike(na: str, nb: str, percent: int) -> F.Column:
+    """Whether sets of these sizes can reach the threshold."""
+    return F.least(na, nb) * 100 >= F.greatest(na, nb) * percent
+
+
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id, kept. Linked: 100 * intersection >= percent * union."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "neardup")
     rows = own_columns(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sketch = scratch.cut(sketches(rows, percent))
+    sketch = scratch.cut(sketches(rows))
     # classes of equal sets: only their first document goes on
-    classes = scratch.cut(sketch.where("set_id IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")))
-    firsts = classes.where("n > 1").select("set_id", "first")
+    member = sketch.where("set_id IS NOT NULL AND doc_id IS NOT NULL")
+    firsts = scratch.cut(member.groupBy("set_id").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("set_id", "first"))
     n_firsts = firsts.count()
-    member = sketch.where("set_id IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "set_id", "n_shingles", "registers", "keys")
     copies = scratch.cut(member.select("doc_id", "set_id").join(maybe_broadcast(firsts, n_firsts), "set_id").where("doc_id <> first").select(F.col("doc_id").alias("a"), F.col("first").alias("b")).distinct())
     # a document stands for each of its sets of which it is the first; it may have other texts that are copies
-    alone = member.join(maybe_broadcast(firsts, n_firsts), "set_id", "left").where(F.coalesce("first", "doc_id") == F.col("doc_id")).drop("first")
-    keyed = alone.select("doc_id", F.explode("keys").alias("key"))
-    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
-    shared = scratch.cut(shared)
-    n_shared = shared.where("n > 2").count()
-    # (key, doc) of bands with more than two documents; of two, the pair is at hand
-    crowd = scratch.cut(keyed.join(maybe_broadcast(shared.where("n > 2").select("key"), n_shared), "key").distinct())
-    stars = crowd.join(maybe_broadcast(shared.where("n > 2").select("key", F.col("lo").alias("b")), n_shared), "key").where("doc_id <> b").select(F.col("doc_id").alias("a"), "b")
-    pairs = shared.where("n = 2").select(F.col("hi").alias("a"), F.col("lo").alias("b")).unionByName(stars).distinct()
-    good = scratch.cut(_verify(pairs, rows, alone, percent, scratch))
+    alone = member.join(maybe_broadcast(firsts, n_firsts), "set_id", "left").where(F.coalesce("first", "doc_id") == F.col("doc_id")).select("doc_id", "n_shingles", "registers")
+    key = keyed(alone, percent)
+    shared = scratch.cut(key.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi"))
+    # (key, doc) of bands with more than two documents, and their centre; of two, the pair is at hand
+    centres = shared.where("n > 2").select("key", F.col("lo").alias("b"))
+    crowd = scratch.cut(key.join(maybe_broadcast(centres, centres.count()), "key"))
+    pairs = shared.where("n = 2").select(F.col("hi").alias("a"), F.col("lo").alias("b")).unionByName(crowd.where("doc_id <> b").select(F.col("doc_id").alias("a"), "b"))
+    sizes = alone.select("doc_id", "n_shingles")
+    n_alone = sizes.count()
+    a, b = (maybe_broadcast(sizes.toDF(x, f"n{x}"), n_alone) for x in ("a", "b"))
+    pairs = scratch.cut(pairs.distinct().join(a, "a").join(b, "b").where(_alike("na", "nb", percent)).select("a", "b").distinct())
+    scratch.drop(shared)
+    good = _verify(pairs, rows, alone, percent, scratch)
+    scratch.drop(pairs)
     links = scratch.cut(copies.unionByName(good))
+    scratch.drop(copies, good)
     roots = components(links, scratch)
     # what a band's centre has met is done; a band whose other documents lie in one component is done as well
-    rest = _of_several(_rooted(crowd, roots), "doc_id > centre")
-    open_ = rest.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_open"))
-    number = open_.join(alone.select("doc_id", F.size("keys").alias("n_bands"), "n_shingles"), "doc_id")
-    done = F.col("n_bands") - F.col("n_open")
-    # settled by more bands that are done than a partner can differ in (each shingle that differs changes one)
-    short = scratch.cut(number.where((done < ENOUGH_BANDS) & (done * percent <= F.col("n_shingles") * (100 - percent))).select("doc_id").distinct())
+    past = scratch.cut(_of_several(_rooted(crowd.where("doc_id <> b"), roots)))
+    n = F.max("n_shingles")
+    open_ = past.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_open"), n.alias("n"), F.min("n_shingles").alias("least"), F.min("n_bands").alias("n_bands"))
+    by_chance = (F.col("n_open") <= spare_bands(percent)) & (F.col("least") >= SPARE_SHINGLES)
+    by_bound = (F.col("n_bands") - F.col("n_open")) * percent > F.col("n") * (100 - percent)  # each shingle that differs changes one band
+    short = scratch.cut(open_.where(~by_chance & ~by_bound).select("doc_id"))
+    scratch.drop(crowd, past)
     n_short = short.count()
     if n_short:
-        more = scratch.cut(_of_short(rows.join(maybe_broadcast(short, n_short), "doc_id", "left_semi"), roots, percent, scratch))
+        of_short = lambda df: df.join(maybe_broadcast(short, n_short), "doc_id", "left_semi")
+        more = scratch.cut(_of_short(of_short(rows), of_short(alone), roots, percent, scratch))
         if not more.isEmpty():
             roots = components(links.unionByName(more), scratch)
     out = sketch.select("doc_id", "n_shingles").join(roots.select(F.col("node").alias("doc_id"), "root"), "doc_id", "left")
     component = F.coalesce("root", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    out = scratch.cut(out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept")))
+    scratch.drop_all_but(out)
+    return out
 
 
-def _rooted(crowd: DataFrame, roots: DataFrame, *more: str) -> DataFrame:
+def _rooted(crowd: DataFrame, roots: DataFrame) -> DataFrame:
+    """crowd with the root of each document's component, itself if it has no link."""
     out = crowd.join(roots.select(F.col("node").alias("doc_id"), "root"), "doc_id", "left")
-    return out.select("key", "doc_id", F.coalesce("root", "doc_id").alias("root"), *more)
+    return out.withColumn("root", F.coalesce("root", "doc_id"))
+
+
+def _of_several(crowd: DataFrame) -> DataFrame:
+    """The rows of keys that hold more than one root."""
+    several = crowd.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key")
+    return crowd.join(several, "key", "left_semi")
+
+
+def _occurrences(docs: DataFrame) -> DataFrame:
+    """(doc_id, n, key) of every shingle of the texts' sets; n: how many the set has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids = b.column("doc_id").to_numpy()
+            for lo, hi, data, at in slices(b.column("text")):
+                sets = list(shingles(Words(data, at), WORDS))
+                n = np.array([len(s) for s in sets], np.int64)
+                key = np.concatenate(sets).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids[lo:hi], n)), pa.array(np.repeat(n, n)), pa.array(key)], ["doc_id", "n", "key"])
+
+    return docs.mapInArrow(run, "doc_id long, n long, key long")
 
 
-def _of_short(rows: DataFrame, roots: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
-    """All links between the given documents that join two components, found without bands.
+def _rarest(rows: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """(key, doc_id, n): of each set's n shingles, rarest first, those among the first n - ceil(n * percent / 100) + 1 that others have too.
 
-    Of a set's n shingles in order of their frequency, rarest first, two sets at the threshold share one of the first
-    n - ceil(n * percent / 100) + 1. Documents that share such a shingle are compared where they lie in several components: in blocks of
-    about BLOCK_SHINGLES, each pair of blocks a task of its own, by products of the blocks' incidence matrices.
+    Two sets at the threshold share one of these. Shingles that one document alone has go no further than their count.
     """
-    sets = scratch.cut(_sets(rows).distinct())
+    every = _occurrences(rows)
+    often = scratch.cut(every.groupBy("key").agg(F.count(F.lit(1)).alias("f")).where("f > 1"))
+    common = every.join(maybe_broadcast(often, often.count()), "key")
+    by_rarity = Window.partitionBy("doc_id", "n").orderBy("f", "key")
+    common = common.withColumns({"place": F.row_number().over(by_rarity), "held": F.count(F.lit(1)).over(Window.partitionBy("doc_id", "n"))})
+    # the others come first, and take n - held places
+    common = common.where(F.col("place") + F.col("n") - F.col("held") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)
+    out = scratch.cut(common.select("key", "doc_id", "n"))
+    scratch.drop(often)
+    return out
 
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            flat = [np.frombuffer(x.as_buffer(), np.int64) for x in b.column("shingles")]
-            n = np.array([len(x) for x in flat], np.int64)
-            ids = np.repeat(b.column("doc_id").to_numpy(), n)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(np.repeat(n, n), pa.int64()), pa.array(np.concatenate(flat) if flat else np.zeros(0, np.int64), pa.int64())], ["doc_id", "n", "key"])
-
-    single = scratch.cut(sets.mapInArrow(each, "doc_id long, n long, key long"))
-    often = single.groupBy("key").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
-    by_rarity = Window.partitionBy("doc_id").orderBy(F.coalesce("f", F.lit(1)), "key")
-    prefix = single.join(often, "key", "left").withColumn("place", F.row_number().over(by_rarity))
-    prefix = prefix.where((F.col("f") > 1) & (F.col("place") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1))
-    crowd = scratch.cut(_without_subsets(scratch.cut(_of_several(_rooted(prefix, roots, "n")))))
-    blocks = crowd.groupBy("key").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks"))
-    crowd = crowd.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    crowd = crowd.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    crowd = crowd.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc_id", "root")
+
+def _of_short(rows: DataFrame, sketch: DataFrame, roots: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """All links between the given documents that join two components, found without bands. sketch: their registers.
+
+    Documents that share a shingle of their rarest and lie in several components meet in blocks of about BLOCK_SHINGLES and at most some BLOCK_DOCS,
+    by sizes, so that only blocks of sizes that can be alike meet; each pair of blocks is a task of its own. There the registers tell
+    which documents may have a partner at all (documents, never pairs); only those meet again with their whole sets, by products of the blocks' incidence matrices.
+    """
+    rarest = _rarest(rows, percent, scratch)
+    several = scratch.cut(_of_several(_rooted(rarest, roots)))
+    scratch.drop(rarest)
+    crowd = scratch.cut(_without_subsets(several))
+    scratch.drop(several)
+    # sets at the threshold lie in one size class or in two that adjoin
+    crowd = crowd.withColumn("size", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent)) + 1e-9))
+    blocks = crowd.groupBy("key", "size").agg(F.ceil(F.greatest(F.sum("n") / BLOCK_SHINGLES, F.count(F.lit(1)) / BLOCK_DOCS)).alias("blocks"))
+    crowd = crowd.join(blocks, ["key", "size"]).withColumn("block", F.col("size") * _BLOCKS + F.pmod(F.xxhash64("doc_id"), F.col("blocks")))
+    near = blocks.select("key", "size", F.col("blocks").alias("n_near"), F.explode(F.array(F.col("size") - 1, F.col("size"), F.col("size") + 1)).alias("of"))
+    near = near.select("key", F.col("of").alias("size"), F.expr(f"transform(sequence(0, n_near - 1), x -> size * {_BLOCKS} + x)").alias("others"))
+    crowd = crowd.join(near, ["key", "size"]).withColumn("other", F.explode("others"))
+    crowd = scratch.cut(crowd.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc_id", "n", "root"))
+    sides = lambda x: (np.flatnonzero(x["block"].to_numpy() == x[k].iat[0]) for k in ("i", "j"))
+
+    def promising(x):  # noqa: ANN001, ANN202  a pandas frame of one pair of blocks
+        reg = np.frombuffer(b"".join(x["registers"]), np.uint16).reshape(len(x), BUCKETS)
+        n, root = x["n"].to_numpy(), x["root"].to_numpy()
+        left, right = sides(x)
+        good = np.zeros(len(x), bool)
+        for a in left:
+            b = right[(root[right] != root[a]) & (100 * np.minimum(n[right], n[a]) >= percent * np.maximum(n[right], n[a]))]
+            j, error = estimate(reg[a][None], reg[b], n[a], n[b])
+            b = b[j + SLACK * error >= percent / 100]
+            good[b] = True
+            good[a] |= len(b) > 0
+        return x.loc[good, ["key", "i", "j", "block", "doc_id", "root"]]
+
+    kept = crowd.join(sketch.select("doc_id", F.col("n_shingles").alias("n"), "registers"), ["doc_id", "n"]).groupBy("key", "i", "j").applyInPandas(promising, "key long, i long, j long, block long, doc_id long, root long")
+    kept = scratch.cut(kept)
+    scratch.drop(crowd)
+    ids = kept.select("doc_id").distinct()
+    sets = scratch.cut(_sets(rows.join(maybe_broadcast(ids, ids.count()), "doc_id", "left_semi")).distinct())
 
     def compare(x):  # noqa: ANN001, ANN202  a pandas frame of one pair of blocks
         import pandas as pd
 
-        i, j = x["i"].iat[0], x["j"].iat[0]
         found = [np.frombuffer(s, U) for s in x["shingles"]]
         n = np.array([len(s) for s in found])
         _, column, times = np.unique(np.concatenate(found), return_inverse=True, return_counts=True)
@@ -273,22 +366,23 @@ def _of_short(rows: DataFrame, roots: DataFrame, percent: int, scratch: Scratch)
         column, row = column[times[column] > 1], row[times[column] > 1]
         order = np.argsort(column, kind="stable")
         column, row = np.unique(column[order], return_inverse=True)[1], row[order]
-        left, right = (np.flatnonzero(x["block"].to_numpy() == k) for k in (i, j))
+        left, right = sides(x)
         both = np.zeros((len(left), len(right)), np.float32)
         top = int(column[-1]) + 1 if len(column) else 0
-        for at in range(0, top, 4096):
-            lo, hi = np.searchsorted(column, [at, at + 4096])
-            m = np.zeros((len(found), 4096), np.float32)
+        wide = max(64, min(4096, (1 << 21) // len(found)))
+        for at in range(0, top, wide):
+            lo, hi = np.searchsorted(column, [at, at + wide])
+            m = np.zeros((len(found), wide), np.float32)
             m[row[lo:hi], column[lo:hi] - at] = 1
             both += m[left] @ m[right].T
-        both = both.astype(np.int64)
         root, ids = x["root"].to_numpy(), x["doc_id"].to_numpy()
-        ok = (100 * both >= percent * (n[left][:, None] + n[right][None, :] - both)) & (root[left][:, None] != root[right][None, :])
-        a, b = np.nonzero(ok)
-        a, b = ids[left[a]], ids[right[b]]
+        # counts below 2**24 are exact in single precision, and so is the sum of two sizes less them in double precision
+        a, b = np.nonzero((100.0 + percent) * both >= percent * (n[left][:, None] + n[right][None, :]).astype(np.float64))
+        apart = root[left][a] != root[right][b]
+        a, b = ids[left[a[apart]]], ids[right[b[apart]]]
         return pd.DataFrame({"a": np.maximum(a, b), "b": np.minimum(a, b)})
 
-    met = crowd.join(sets, "doc_id").groupBy("key", "i", "j").applyInPandas(compare, "a long, b long")
+    met = kept.join(sets, "doc_id").groupBy("key", "i", "j").applyInPandas(compare, "a long, b long")
     return met.where("a <> b").distinct()
 
 
@@ -303,32 +397,26 @@ def _without_subsets(crowd: DataFrame) -> DataFrame:
     return crowd.join(by_key.where("lo <> hi OR lo = key").select("key"), "key", "left_semi")
 
 
-def _of_several(crowd: DataFrame, past_centre: str | None = None) -> DataFrame:
-    """The rows (key, doc_id, root) of keys that hold more than one root, first document aside if so asked."""
-    if past_centre:
-        crowd = crowd.join(crowd.groupBy("key").agg(F.min("doc_id").alias("centre")), "key").where(past_centre).drop("centre")
-    several = crowd.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key")
-    return crowd.join(several, "key", "left_semi")
-
-
 def _verify(pairs: DataFrame, rows: DataFrame, alone: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
-    pairs = scratch.cut(pairs)
+    """The pairs (a, b) that are links: by estimate first, then by their whole sets."""
     side = alone.select("doc_id", F.col("n_shingles").alias("n"), F.col("registers").alias("r"))
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    n = pairs.count()
-    side = side.join(maybe_broadcast(ids, 2 * n), "doc_id", "left_semi")
+    side = side.join(maybe_broadcast(ids, 2 * pairs.count()), "doc_id", "left_semi")
     met = pairs.join(side.toDF("a", "na", "ra"), "a").join(side.toDF("b", "nb", "rb"), "b")
     likely = scratch.cut(_likely(met, percent).distinct())
-    n = likely.count()
     ids = likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = scratch.cut(_sets(rows.join(maybe_broadcast(ids, 2 * n), "doc_id", "left_semi")).distinct())
+    sets = scratch.cut(_sets(rows.join(maybe_broadcast(ids, 2 * likely.count()), "doc_id", "left_semi")).distinct())
     met = likely.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
-    return _confirmed(met, percent).distinct()
+    good = scratch.cut(_confirmed(met, percent).distinct())
+    scratch.drop(likely, sets)
+    return good
 
 
 def without_near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """The rows of docs that near_duplicates keeps, with all their columns."""
     scratch = Scratch(docs.sparkSession, "without-near")
     name = free_name(docs, "_gone")
-    gone = scratch.cut(near_duplicates(docs, percent).where("NOT kept").select(F.col("doc_id").alias(name)).distinct())
+    found = near_duplicates(docs, percent)
+    gone = scratch.cut(found.where("NOT kept").select(F.col("doc_id").alias(name)).distinct())
+    scratch.drop(found)
     return docs.join(maybe_broadcast(gone, gone.count()), docs["doc_id"].cast("long") == gone[name], "left_anti")

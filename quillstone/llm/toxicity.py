@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import own_columns
+from .common import lean, own_columns
 from .words import U, Words, slices
 
 #: Weights are looked up by this many bits of a feature's number.
@@ -143,7 +143,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, seed: in
 
     some_schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("toxic", pa.int32())])
     # fitted by one task: the sample is bounded, and the driver's memory stays free
-    got = some.repartition(1).mapInArrow(fitted, "feature long, weight double").toArrow()
+    got = some.repartition(1).mapInArrow(lean(fitted), "feature long, weight double").toArrow()
     feature, weight = got.column("feature").to_numpy(), got.column("weight").to_numpy()
     model = Model(np.zeros(1 << BITS), START)
     model.weights[feature[feature >= 0]] = weight[feature >= 0]
@@ -152,6 +152,14 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, seed: in
     return model
 
 
+def _scored(data: np.ndarray, at: np.ndarray, m: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, Words]:
+    """Scores of a slice's texts, those of their sentences, the first word of each sentence, and the words."""
+    f, s, w = features(data, at)
+    p = 1 / (1 + np.exp(-np.clip(sentence_logits(f, s, m), -30, 30)))
+    first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]])) if len(s) else np.zeros(0, np.int64)
+    return -np.expm1(np.bincount(w.row[first], np.log1p(-np.minimum(p, 1 - 1e-12)), len(at) - 1)), p, first, w
+
+
 def scores(docs: DataFrame, model: Model) -> DataFrame:
     """Per row: doc_id, score, sentence (the worst one's number, null without one), sentence_start, sentence_end (its bytes), sentence_score."""
     shared = docs.sparkSession.sparkContext.broadcast((model.weights.astype(np.float32), model.bias))
@@ -161,13 +169,9 @@ def scores(docs: DataFrame, model: Model) -> DataFrame:
         names = ["doc_id", "score", "sentence_start", "sentence_end", "sentence_score"]
         for b in batches:
             for lo, hi, data, at in slices(b.column("text")):
-                f, s, w = features(data, at)
                 n = hi - lo
-                p = 1 / (1 + np.exp(-np.clip(sentence_logits(f, s, m), -30, 30)))
-                first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]])) if len(s) else np.zeros(0, np.int64)
-                last = np.append(first[1:], len(s)) - 1
-                owner = w.row[first]
-                score = -np.expm1(np.bincount(owner, np.log1p(-np.minimum(p, 1 - 1e-12)), n))
+                score, p, first, w = _scored(data, at, m)
+                last, owner = np.append(first[1:], len(w.row)) - 1, w.row[first]
                 order = np.lexsort((first, -p, owner))
                 worst = order[np.concatenate([[True], owner[order][1:] != owner[order][:-1]])] if len(order) else order
                 start, end, top = np.full(n, -1), np.full(n, -1), np.zeros(n)
@@ -192,10 +196,6 @@ def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
         m = Model(shared.value[0].astype(np.float64), shared.value[1])
         for b in batches:
             for lo, hi, data, begins in slices(b.column(at)):
-                f, s, w = features(data, begins)
-                p = 1 / (1 + np.exp(-np.clip(sentence_logits(f, s, m), -30, 30)))
-                first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]])) if len(s) else np.zeros(0, np.int64)
-                score = -np.expm1(np.bincount(w.row[first], np.log1p(-np.minimum(p, 1 - 1e-12)), hi - lo))
-                yield b.slice(lo, hi - lo).filter(pa.array(score < threshold))
+                yield b.slice(lo, hi - lo).filter(pa.array(_scored(data, begins, m)[0] < threshold))
 
     return docs.mapInArrow(run, docs.schema)
