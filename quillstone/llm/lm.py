@@ -1,17 +1,19 @@
 """Language-model scores: an add-one unigram base, and a log-bilinear model trained with noise-contrastive estimation.
 
 Tokens are lower-cased words and one end per text. Counts of all training tokens are gathered by 64-bit word numbers into one table
-(a row per distinct token). The neural model predicts one of ``CLASSES`` classes from the classes of the last ``CONTEXT`` tokens: the most frequent
-tokens are classes of their own, all others share the rest by their first two bytes. A context's vector is the sum of its classes' vectors, each
-scaled by position; its products with all output vectors, and biases, give normalised log-probabilities of the classes; a word has within its class the
-probability (c + 1) / (N of the class + V of the class + 1). The log-probabilities of a text's tokens add up to its score.
-
-Training: a start on a bounded sample on the driver, then one pass over every training text: each task goes on from the start on its own texts, and the results are
-averaged by tokens. Counts of the most frequent tokens (``HEAD``) are broadcast; a text's other tokens meet the count table in a
-shuffled join, so nothing that is broadcast grows with the vocabulary.
-
-Nulls: a null text is empty and has the end alone. A null doc_id isn't held out. Rows that repeat a doc_id are scored (and learned) each. With no
-training text all counts are 0. An empty table gives an empty result. Only doc_id and text are read.
+(a row per distinct token). The neural model predicts classes of tokens, in number ``4 * sqrt(V)``, so they grow with the vocabulary: the most frequent words
+have half of the classes to themselves, all others share the rest by how they begin. A context's vector is the sum of the vectors of the last
+``CONTEXT`` tokens' classes, each scaled by position. Classes lie in groups of the square root of their number: the products of the context's vector with all
+groups' vectors, and then with those of the token's group, give normalised log-probabilities of the group and of the class in it; a word has
+within its class the probability (c + 1) / (N of the class + V of the class + 1). The log-probabilities of a text's tokens add up to its score.
+
+Training learns from every training text: texts become class numbers and are dealt by a hash of id and text to parts and to rounds. In a round each part goes on
+from the common model over its texts in the order of that hash, and the parts' models are averaged in whole numbers; so how the input is split
+changes nothing. Parts grow in number and in length with the corpus. Counts of the most frequent tokens (``HEAD``) are broadcast; a text's
+other tokens meet the count table in a shuffled join, so nothing that is broadcast grows with the vocabulary but the model, with its square root.
+
+Nulls: a null text is empty and has the end alone. A null doc_id isn't held out. Rows that repeat a doc_id are scored (and counted) each; of rows that
+repeat id and text the model may learn once. With no training text all counts are 0. An empty table gives an empty result. Only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,134 +31,201 @@ from .common import Scratch, own_columns
 from .words import U, Words, mix, slices
 
 HEAD = 1 << 17
-OWN, SHARED, CONTEXT, SIZE = 128, 64, 3, 16
-CLASSES = OWN + SHARED
-NOISE, BATCH, RATE = 32, 2048, 0.1
-#: Texts of the driver's start, and its passes over them.
-START_ROWS, START_PASSES = 1500, 4
+CONTEXT, SIZE, LEAST_CLASSES = 3, 16, 64
+#: Noise groups of a batch and noise classes of each group; tokens of a batch; the step, and what each weight's sum of squares starts with.
+NOISE, BATCH, RATE, BEGUN = (16, 6), 2048, 0.1, 1.0
+#: Beginnings of words that shared classes tell apart before they look at a third byte.
+BEGINNINGS = 1024
+#: Training tokens of the first part, and that a model sees at least, in at most PASSES passes; shares of the texts by round, in 64ths.
+PART_TOKENS, PASSES, ROUNDS = 1 << 22, 4, (4, 12, 16, 32)
 END = int(mix(np.array([0xE0D], U))[0])
+END_CLASS = 0
+#: Weights are averaged as whole numbers of this part of one.
+_UNIT = 2.0**-36
 
 
 def tokens(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Numbers of all tokens of a slice, their shared class, and where each text's begin; each text ends with END."""
+    """Numbers of all tokens of a slice, what shared class they go by (31 bits of how they begin), and where each text's begin; each text ends with END."""
     w = Words(data, at)
     rows = len(w.count)
     first = w.first + np.arange(rows + 1)
-    out, share = np.full(first[-1], U(END)), np.zeros(first[-1], np.int64)
+    out, form = np.full(first[-1], U(END)), np.zeros(first[-1], np.int64)
     where = np.arange(len(w.hash)) + w.row
     out[where] = w.hash
-    share[where] = (w.upto(np.minimum(w.start + 2, w.end)) % U(SHARED)).astype(np.int64)
-    return out, share, first
+    if len(w.hash):
+        two, three = (w.upto(np.minimum(w.start + k, w.end)) for k in (2, 3))
+        form[where] = ((two >> U(48)) << U(15) | three >> U(49)).astype(np.int64)
+    return out, form, first
+
+
+def shape(distinct: int) -> tuple[int, int, int]:
+    """(groups, classes of a group, words with a class of their own) for a vocabulary."""
+    side = max(int(np.ceil(np.sqrt(max(LEAST_CLASSES, 4 * np.sqrt(distinct))))), 2)
+    return side, side, min(side * side // 2 - 1, HEAD - 1)
+
+
+def _sums(index: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values of index, and the sums of their rows of values."""
+    order = np.argsort(index, kind="stable")
+    sorted_ = index[order]
+    first = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
+    return sorted_[first], np.add.reduceat(values[order], first, axis=0)
 
 
 @dataclass
 class Model:
-    """Vectors of classes as context and as output, biases, and the scale of each position."""
+    """Vectors of classes as context, the scale of each position, and vectors and biases of groups and classes as output."""
 
     context: np.ndarray
+    scale: np.ndarray
+    group: np.ndarray
+    group_bias: np.ndarray
     output: np.ndarray
     bias: np.ndarray
-    scale: np.ndarray
 
     @classmethod
-    def new(cls, counts: np.ndarray, seed: int = 0) -> Model:
-        rng = np.random.default_rng(seed)
-        p = (counts + 1) / (counts + 1).sum()
-        return cls(rng.normal(0, 0.1, (CLASSES, SIZE)), rng.normal(0, 0.1, (CLASSES, SIZE)), np.log(p), np.ones((CONTEXT, SIZE)))
+    def new(cls, counts: np.ndarray, groups: int, seed: int = 0) -> Model:
+        """counts: by class. Biases start as the classes' own frequencies."""
+        rng, n = np.random.default_rng(seed), len(counts)
+        p_group, p_class = frequencies(counts, groups)
+        vectors = lambda k: rng.normal(0, 0.1, (k, SIZE)).astype(np.float32)
+        return cls(vectors(n), np.ones((CONTEXT, SIZE), np.float32), vectors(groups), np.log(p_group).astype(np.float32), vectors(n), np.log(p_class).astype(np.float32))
+
+    @property
+    def parts(self) -> list[np.ndarray]:
+        return [self.context, self.scale, self.group, self.group_bias, self.output, self.bias]
 
     def flat(self) -> np.ndarray:
-        return np.concatenate([x.ravel() for x in (self.context, self.output, self.bias, self.scale)])
+        return np.concatenate([x.ravel() for x in self.parts])
 
     @classmethod
-    def of(cls, flat: np.ndarray) -> Model:
-        a, b, c = CLASSES * SIZE, 2 * CLASSES * SIZE, 2 * CLASSES * SIZE + CLASSES
-        return cls(flat[:a].reshape(CLASSES, SIZE), flat[a:b].reshape(CLASSES, SIZE), flat[b:c], flat[c:].reshape(CONTEXT, SIZE))
-
-
-def contexts(classes: np.ndarray, first: np.ndarray, end_class: int) -> np.ndarray:
-    """(tokens x CONTEXT) classes before each token, the nearest first; before a text stand ends."""
-    n = len(classes)
-    place = np.arange(n) - np.repeat(first[:-1], np.diff(first))
-    return np.stack([np.where(place >= k, classes[np.maximum(np.arange(n) - k, 0)], end_class) for k in range(1, CONTEXT + 1)], axis=1)
-
-
-def learn(model: Model, classes: np.ndarray, context: np.ndarray, counts: np.ndarray, state: list[np.ndarray], rng: np.random.Generator, rate: float = RATE) -> None:
-    """One pass of noise-contrastive estimation, noise drawn from the classes' counts; Adagrad, whose sums stand in state."""
-    p = (counts + 1) / (counts + 1).sum()
-    log_noise = np.log(NOISE * p)
-    order = rng.permutation(len(classes))
-    sigmoid = lambda x: 1 / (1 + np.exp(-np.clip(x, -30, 30)))
-    for lo in range(0, len(order), BATCH):
-        some = order[lo : lo + BATCH]
-        t, c = classes[some], context[some]
-        vectors = model.context[c]  # batch x CONTEXT x SIZE
-        q = (vectors * model.scale[None]).sum(axis=1)
-        noise = rng.choice(CLASSES, NOISE, p=p)
-        good = 1 - sigmoid((q * model.output[t]).sum(axis=1) + model.bias[t] - log_noise[t])
-        bad = -sigmoid(q @ model.output[noise].T + model.bias[noise] - log_noise[noise])
-        grad_q = good[:, None] * model.output[t] + bad @ model.output[noise]
-        out, bias = np.zeros_like(model.output), np.bincount(t, good, CLASSES) + np.bincount(noise, bad.sum(axis=0), CLASSES)
-        pull = good[:, None] * q
-        for d in range(SIZE):
-            out[:, d] = np.bincount(t, pull[:, d], CLASSES)
-        np.add.at(out, noise, bad.T @ q)
-        scale = np.einsum("bd,bkd->kd", grad_q, vectors)
-        into = np.zeros_like(model.context)
-        for k in range(CONTEXT):
-            push = grad_q * model.scale[k]
-            for d in range(SIZE):
-                into[:, d] += np.bincount(c[:, k], push[:, d], CLASSES)
-        for x, g, s in zip((model.context, model.output, model.bias, model.scale), (into, out, bias, scale), state, strict=True):
-            g /= len(some)
-            s += g**2
-            x += rate * g / np.sqrt(s)
-
-
-def new_state(model: Model) -> list[np.ndarray]:
-    return [np.full_like(x, 1e-6) for x in (model.context, model.output, model.bias, model.scale)]
-
-
-def log_probabilities(model: Model, classes: np.ndarray, context: np.ndarray) -> np.ndarray:
-    """Natural logarithms of the normalised probabilities of each token's class."""
-    out = np.empty(len(classes))
-    w, b = model.output.T.astype(np.float32), model.bias.astype(np.float32)
-    table = [(model.context * s).astype(np.float32) for s in model.scale]
-    for lo in range(0, len(classes), 8192):
-        c = context[lo : lo + 8192]
-        q = sum(table[k][c[:, k]] for k in range(CONTEXT))
-        s = q @ w
-        s += b
+    def of(cls, flat: np.ndarray, groups: int, classes: int) -> Model:
+        shapes = [(classes, SIZE), (CONTEXT, SIZE), (groups, SIZE), (groups,), (classes, SIZE), (classes,)]
+        ends = np.cumsum([0, *(int(np.prod(x)) for x in shapes)])
+        return cls(*(flat[a:b].reshape(x).copy() for a, b, x in zip(ends[:-1], ends[1:], shapes, strict=True)))
+
+
+def frequencies(counts: np.ndarray, groups: int) -> tuple[np.ndarray, np.ndarray]:
+    """The groups' frequencies, and each class's in its group; a class that nothing holds counts as one token."""
+    c = (counts + 1.0).reshape(groups, -1)
+    return c.sum(axis=1) / c.sum(), (c / c.sum(axis=1, keepdims=True)).ravel()
+
+
+def contexts(classes: np.ndarray, first: np.ndarray, lo: int, hi: int) -> np.ndarray:
+    """(tokens lo to hi - 1 x CONTEXT) classes before each token, the nearest first; before a text stand ends."""
+    at = np.arange(lo, hi)
+    start = first[np.searchsorted(first, at, "right") - 1]
+    return np.stack([np.where(at - k >= start, classes[np.maximum(at - k, 0)], END_CLASS) for k in range(1, CONTEXT + 1)], axis=1)
+
+
+class Learner:
+    """Noise-contrastive estimation over batches of tokens, first of a token's group, then of its class among the group's; Adagrad."""
+
+    def __init__(self, model: Model, squares: Model, counts: np.ndarray, seed: list[int]):
+        self.model, self.squares, self.rng = model, squares, np.random.default_rng(seed)
+        groups = len(model.group)
+        self.p_group, self.p_class = frequencies(counts, groups)
+        self.upto = np.cumsum(self.p_class.reshape(groups, -1), axis=1)
+        self.log_group, self.log_class = np.log(NOISE[0] * self.p_group).astype(np.float32), np.log(NOISE[1] * self.p_class).astype(np.float32)
+
+    def step(self, name: str, index: np.ndarray | slice, g: np.ndarray) -> None:
+        x, s = getattr(self.model, name), getattr(self.squares, name)
+        s[index] += g**2
+        x[index] += np.float32(RATE) * g / np.sqrt(s[index])
+
+    def learn(self, t: np.ndarray, c: np.ndarray) -> None:
+        """One batch: classes and their contexts."""
+        m, side = self.model, self.upto.shape[1]
+        sigmoid = lambda x: 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+        vectors = m.context[c]  # batch x CONTEXT x SIZE
+        q = (vectors * m.scale[None]).sum(axis=1)
+        g = t // side
+        # groups: the same noise for the whole batch
+        noise = self.rng.choice(len(m.group), NOISE[0], p=self.p_group)
+        good = 1 - sigmoid((q * m.group[g]).sum(axis=1) + m.group_bias[g] - self.log_group[g])
+        bad = -sigmoid(q @ m.group[noise].T + m.group_bias[noise] - self.log_group[noise])
+        grad_q = good[:, None] * m.group[g] + bad @ m.group[noise]
+        into, bias = np.zeros_like(m.group), np.zeros_like(m.group_bias)
+        which, sums = _sums(g, np.concatenate([good[:, None] * q, good[:, None]], axis=1))
+        into[which], bias[which] = sums[:, :-1], sums[:, -1]
+        np.add.at(into, noise, bad.T @ q)
+        np.add.at(bias, noise, bad.sum(axis=0))
+        # classes: each group has noise of its own
+        place = (self.upto[:, None, :-1] < self.rng.random((len(m.group), NOISE[1], 1))).sum(axis=2)
+        others = place + np.arange(len(m.group))[:, None] * side
+        n = others[g]
+        good = 1 - sigmoid((q * m.output[t]).sum(axis=1) + m.bias[t] - self.log_class[t])
+        near = m.output[n]
+        bad = -sigmoid(np.einsum("bd,bkd->bk", q, near) + m.bias[n] - self.log_class[n])
+        grad_q += good[:, None] * m.output[t] + np.einsum("bk,bkd->bd", bad, near)
+        pulled = np.concatenate([good[:, None] * q, good[:, None]], axis=1)
+        which, pushed = _sums(g, np.concatenate([bad[:, :, None] * q[:, None, :], bad[:, :, None]], axis=2))
+        rows, sums = _sums(np.concatenate([t, others[which].ravel()]), np.concatenate([pulled, pushed.reshape(-1, SIZE + 1)]))
+        self.step("output", rows, sums[:, :-1])
+        self.step("bias", rows, sums[:, -1])
+        self.step("group", slice(None), into)
+        self.step("group_bias", slice(None), bias)
+        rows, sums = _sums(c.ravel(), (grad_q[:, None, :] * m.scale[None]).reshape(-1, SIZE))
+        self.step("scale", slice(None), np.einsum("bd,bkd->kd", grad_q, vectors))
+        self.step("context", rows, sums)
+
+
+def log_probabilities(model: Model, classes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Natural logarithms of the normalised probabilities of each token's class; first: where texts begin, and the last ends."""
+    out, side = np.empty(len(classes)), len(model.output) // len(model.group)
+    context_, scale, group, group_bias, output, bias = (x.astype(np.float64) for x in model.parts)
+    tables = [context_ * s for s in scale]
+
+    def normalised(s: np.ndarray, own: np.ndarray) -> np.ndarray:
         top = s.max(axis=1)
-        own = s[np.arange(len(c)), classes[lo : lo + 8192]]
+        mine = s[np.arange(len(s)), own] - top
         s -= top[:, None]
         np.exp(s, out=s)
-        out[lo : lo + 8192] = own - top - np.log(s.sum(axis=1))
+        return mine - np.log(s.sum(axis=1))
+
+    for lo in range(0, len(classes), 1 << 15):
+        t = classes[lo : lo + (1 << 15)]
+        c = contexts(classes, first, lo, lo + len(t))
+        q = sum(tables[k][c[:, k]] for k in range(CONTEXT))
+        g = t // side
+        p = normalised(q @ group.T + group_bias, g)
+        order = np.argsort(g, kind="stable")
+        for rows in np.split(order, np.flatnonzero(np.diff(g[order])) + 1):
+            if len(rows):
+                a = int(g[rows[0]]) * side
+                p[rows] += normalised(q[rows] @ output[a : a + side].T + bias[a : a + side], t[rows] - a)
+        out[lo : lo + len(t)] = p
     return out
 
 
 class Head:
     """Counts and classes of the most frequent tokens, looked up by number."""
 
-    def __init__(self, number: np.ndarray, count: np.ndarray):
-        """By falling count; the first OWN - 1 and the end have classes of their own."""
+    def __init__(self, number: np.ndarray, count: np.ndarray, own: int, classes: int):
+        """By falling count; the end has class 0, the first so many words those that follow, all others share the rest by their form."""
         order = np.argsort(number)
         self.number, self.count = number[order], count[order]
-        own = np.full(len(number), -1, np.int64)
-        ends = number == U(END)
-        own[np.flatnonzero(~ends)[: OWN - 1]] = np.arange(min(OWN - 1, int((~ends).sum())))
-        own[ends] = OWN - 1
-        self.own = own[order]
-
-    def find(self, number: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        of = np.full(len(number), -1, np.int64)
+        words = np.flatnonzero(number != U(END))[:own]
+        of[words] = 1 + np.arange(len(words))
+        of[number == U(END)] = END_CLASS
+        self.own, self.first_shared, self.shared = of[order], 1 + own, classes - 1 - own
+        self.finer = max(1, self.shared // BEGINNINGS)
+
+    def by_form(self, form: np.ndarray) -> np.ndarray:
+        """Shared classes: by a word's first two bytes, and where there are classes enough, by the third as well."""
+        return self.first_shared + (form >> 15) % (self.shared // self.finer) * self.finer + (form & 0x7FFF) % self.finer
+
+    def find(self, number: np.ndarray, form: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Count (-1 if not in the head), class, and whether the class is its own."""
-        if not len(self.number):
-            classes = np.where(number == U(END), OWN - 1, OWN + share)
-            return np.full(len(number), -1, np.int64), classes, number == U(END)
-        at = np.minimum(np.searchsorted(self.number, number), len(self.number) - 1)
-        here = self.number[at] == number
-        own = np.where(here, self.own[at], -1)
-        own = np.where(number == U(END), OWN - 1, own)
-        return np.where(here, self.count[at], -1), np.where(own >= 0, own, OWN + share), own >= 0
+        is_end = number == U(END)
+        count, own = np.full(len(number), -1, np.int64), np.full(len(number), -1, np.int64)
+        if len(self.number):
+            at = np.minimum(np.searchsorted(self.number, number), len(self.number) - 1)
+            here = self.number[at] == number
+            count[here], own[here] = self.count[at[here]], self.own[at[here]]
+        own[is_end] = END_CLASS
+        return count, np.where(own >= 0, own, self.by_form(form)), own >= 0
 
 
 def held_out(doc_id: str = "doc_id") -> F.Column:
@@ -163,87 +233,166 @@ def held_out(doc_id: str = "doc_id") -> F.Column:
 
 
 def token_counts(docs: DataFrame) -> DataFrame:
-    """number, share (its class among the shared ones) and c of every distinct token of docs."""
+    """number, form (what shared class it goes by) and c of every distinct token of docs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for _, _, data, at in slices(b.column("text")):
-                n, share, _ = tokens(data, at)
+                n, form, _ = tokens(data, at)
                 n, first, c = np.unique(n, return_index=True, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(n.view(np.int64)), pa.array(share[first].astype(np.int32)), pa.array(c)], ["number", "share", "c"])
+                yield pa.RecordBatch.from_arrays([pa.array(n.view(np.int64)), pa.array(form[first].astype(np.int32)), pa.array(c)], ["number", "form", "c"])
+
+    found = docs.select("text").mapInArrow(run, "number long, form int, c long")
+    return found.groupBy("number", "form").agg(F.sum("c").alias("c"))
+
 
-    found = docs.select("text").mapInArrow(run, "number long, share int, c long")
-    return found.groupBy("number", "share").agg(F.sum("c").alias("c"))
+def _prepared(texts: pa.Array, head: Head):  # noqa: ANN202
+    for lo, hi, data, at in slices(texts):
+        n, form, first = tokens(data, at)
+        yield lo, hi, n, first, *head.find(n, form)
+
+
+@dataclass
+class Fitted:
+    """What scoring needs: the model, tokens and distinct words by class, and the counts of all training tokens (a table)."""
+
+    model: Model
+    head: Head
+    n_class: np.ndarray
+    v_class: np.ndarray
+    total: int
+    distinct: int
+    counts: DataFrame
+
+
+def _deal(training: DataFrame, head: Head, classes: int, parts: int, seed: int, kept: Broadcast) -> DataFrame:
+    """Per text: part, round, h (its place in the part) and its tokens' classes."""
+    kind = np.uint16 if classes <= 1 << 16 else np.uint32
+    upto = np.cumsum(ROUNDS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            h = b.column("h").to_numpy().view(U)
+            part, turn = (h % U(parts)).astype(np.int32), np.searchsorted(upto, (mix(h) >> U(58)).astype(np.int64), "right").astype(np.int32)
+            for lo, hi, _, first, _, found, _ in _prepared(b.column("text"), kept.value):
+                flat = found.astype(kind)
+                ids = [flat[first[i] : first[i + 1]].tobytes() for i in range(hi - lo)]
+                _, one = np.unique(h[lo:hi], return_index=True)  # of copies in a slice, one goes on
+                one = np.sort(one)
+                yield pa.RecordBatch.from_arrays([*(pa.array(x[lo:hi][one]) for x in (part, turn, h.view(np.int64))), pa.array([ids[i] for i in one], pa.binary())], ["part", "turn", "h", "ids"])
+
+    rows = training.select(F.xxhash64(F.lit(seed), F.isnull("doc_id"), "doc_id", "text").alias("h"), "text")
+    return rows.mapInArrow(run, "part int, turn int, h long, ids binary")
+
+
+def _round(dealt: DataFrame, begun: Broadcast, groups: int, classes: int, seed: list[int]) -> DataFrame:
+    """The parts' models after a round: i, x (in whole units) and n (how many parts)."""
+    kind = np.uint16 if classes <= 1 << 16 else np.uint32
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, last, held, n, learner, sums, models = None, None, [], 0, None, None, 0
+
+        def work(least: int) -> None:
+            """Learn from what is held, as long as that is so many tokens."""
+            nonlocal held, n
+            if n < max(least, 1):
+                return
+            flat, first = np.concatenate(held), np.concatenate([[0], np.cumsum([len(x) for x in held])])
+            for lo in range(0, n, BATCH):
+                hi = min(lo + BATCH, n)
+                learner.learn(flat[lo:hi].astype(np.int64), contexts(flat, first, lo, hi))
+            held, n = [], 0
+
+        def close() -> None:
+            nonlocal sums, models
+            if learner is not None:
+                work(0)
+                x = np.rint(np.concatenate([learner.model.flat(), learner.squares.flat()]).astype(np.float64) / _UNIT).astype(np.int64)
+                sums, models = x if sums is None else sums + x, models + 1
+
+        for b in batches:
+            for p, h, ids in zip(b.column("part").to_pylist(), b.column("h").to_pylist(), b.column("ids"), strict=True):
+                if p != part:
+                    close()
+                    part, last = p, None
+                    flat, squares, counts = begun.value
+                    learner = Learner(Model.of(flat, groups, classes), Model.of(squares, groups, classes), counts, [*seed, p])
+                if h != last:
+                    last = h
+                    held.append(np.frombuffer(ids.as_buffer(), kind))
+                    n += len(held[-1])
+                    work(BATCH)
+        close()
+        if sums is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(sums))), pa.array(sums), pa.array(np.full(len(sums), models))], ["i", "x", "n"])
+
+    rows = dealt.select("part", "h", "ids").repartition("part").sortWithinPartitions("part", "h")
+    return rows.mapInArrow(run, "i long, x long, n long").groupBy("i").agg(F.sum("x").alias("x"), F.sum("n").alias("n"))
+
+
+def fit(training: DataFrame, scratch: Scratch, seed: int = 0) -> Fitted:
+    """Counts and the model of all texts of training (doc_id, text)."""
+    spark = training.sparkSession
+    counts = scratch.cut(token_counts(training))
+    total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
+    groups, side, own = shape(distinct)
+    classes = groups * side
+    top = counts.orderBy(F.desc("c"), "number").limit(HEAD).select("number", "c", "form").toArrow()  # HEAD rows
+    number, count, form = top.column("number").to_numpy().view(U), top.column("c").to_numpy(), top.column("form").to_numpy()
+    head = Head(number, count, own, classes)
+    n_class, v_class = np.zeros(classes), np.zeros(classes)
+    k = F.expr(f"shiftright(form, 15) % {head.shared // head.finer} * {head.finer} + (form & 32767) % {head.finer}")
+    for r in counts.groupBy(k.alias("k")).agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).collect():  # a row per shared class
+        n_class[head.first_shared + r["k"]], v_class[head.first_shared + r["k"]] = r["n"], r["v"]
+    form = form.astype(np.int64)
+    _, of, is_own = head.find(number, form)
+    shared = head.by_form(form[is_own])
+    np.subtract.at(n_class, shared, count[is_own])
+    np.subtract.at(v_class, shared, 1)
+    n_class[of[is_own]], v_class[of[is_own]] = count[is_own], 1
+    model = Model.new(n_class, groups, seed)
+    if total:
+        squares = Model.of(np.full(len(model.flat()), BEGUN, np.float32), groups, classes)
+        kept = spark.sparkContext.broadcast(head)
+        parts = max(1, round((total / PART_TOKENS) ** 0.75))
+        dealt = scratch.cut(_deal(training, head, classes, parts, seed, kept))
+        size = len(model.flat())
+        passes = min(PASSES, -(-PART_TOKENS // total))
+        for step in range(passes * len(ROUNDS)):
+            begun = spark.sparkContext.broadcast((model.flat(), squares.flat(), n_class))
+            got = _round(dealt.where(F.col("turn") == step % len(ROUNDS)), begun, groups, classes, [seed, step]).toArrow().sort_by("i")  # a row per parameter
+            if len(got):  # a turn may have no text
+                mean = (got.column("x").to_numpy() / got.column("n").to_numpy() * _UNIT).astype(np.float32)
+                model, squares = Model.of(mean[:size], groups, classes), Model.of(mean[size:], groups, classes)
+            begun.unpersist()
+        scratch.drop(dealt)
+    return Fitted(model, head, n_class, v_class, total, distinct, counts)
 
 
 def score(docs: DataFrame, seed: int = 0) -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "lm")
+    scratch = Scratch(docs.sparkSession, "lm")
     rows = own_columns(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.withColumn("held_out", held_out())
-    training = rows.where("NOT held_out")
-    counts = scratch.cut(token_counts(training))
-    total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    top = counts.orderBy(F.desc("c"), "number").limit(HEAD).select("number", "c").toArrow()  # HEAD rows
-    head = Head(top.column("number").to_numpy().view(U), top.column("c").to_numpy())
-    by_share = {r["share"]: (r["n"], r["v"]) for r in counts.groupBy("share").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).collect()}  # SHARED rows
-    n_class, v_class = np.zeros(CLASSES), np.zeros(CLASSES)
-    for k, (n, v) in by_share.items():
-        n_class[OWN + k], v_class[OWN + k] = n, v
-    own = head.own >= 0
-    n_class[head.own[own]], v_class[head.own[own]] = head.count[own], 1
-    shares = {int(r["number"]): r["share"] for r in counts.where(F.col("number").isin([int(x) for x in head.number[own].view(np.int64)])).select("number", "share").collect()}  # OWN rows
-    for number, c in zip(head.number[own].view(np.int64), head.count[own], strict=True):
-        n_class[OWN + shares[int(number)]] -= c
-        v_class[OWN + shares[int(number)]] -= 1
-
-    def prepared(b: pa.RecordBatch, head: Head):  # noqa: ANN202
-        for lo, hi, data, at in slices(b.column("text")):
-            n, share, first = tokens(data, at)
-            count, classes, is_own = head.find(n, share)
-            yield lo, hi, n, first, count, classes, is_own, contexts(classes, first, OWN - 1)
-
-    model = Model.new(n_class, seed)
-    n_rows = training.count()
-    if n_rows:
-        some = training if n_rows <= START_ROWS else training.where(F.xxhash64(F.lit(seed), "doc_id").bitwiseAND(F.lit(0x7FFFFFFF)) < int(START_ROWS / n_rows * (1 << 31)))
-        some = some.select("doc_id", "text").limit(2 * START_ROWS).toArrow().sort_by([("doc_id", "ascending"), ("text", "ascending")]).combine_chunks().to_batches()
-        rng, state = np.random.default_rng(seed), new_state(model)
-        for _ in range(START_PASSES):
-            for b in some:
-                for _, _, _, _, _, classes, _, context in prepared(b, head):
-                    learn(model, classes, context, n_class, state, rng)
-    begun = spark.sparkContext.broadcast((head, model.flat(), n_class))
-
-    def improve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head, flat, counts = begun.value
-        model, seen, rng = Model.of(flat.copy()), 0, np.random.default_rng(seed)
-        state = [s + 0.05 for s in new_state(model)]  # small steps: the start is near
-        for b in batches:
-            for _, _, _, _, _, classes, _, context in prepared(b, head):
-                learn(model, classes, context, counts, state, rng, RATE / 4)
-                seen += len(classes)
-        if seen:
-            out = model.flat()
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(out))), pa.array(out * seen), pa.array(np.full(len(out), seen))], ["i", "x", "n"])
-
-    if n_rows:
-        means = training.select("text").mapInArrow(improve, "i long, x double, n long").groupBy("i").agg((F.sum("x") / F.sum("n")).alias("x"))
-        means = means.toArrow().sort_by("i")  # a row per parameter
-        model = Model.of(means.column("x").to_numpy().copy())
-    shared = spark.sparkContext.broadcast((head, model.flat(), n_class, v_class, float(total + distinct + 1)))
+    return scored(rows, fit(rows.where("NOT held_out"), scratch, seed), scratch)
+
+
+def scored(rows: DataFrame, fitted: Fitted, scratch: Scratch) -> DataFrame:
+    """rows: doc_id, text, held_out."""
+    model, counts, total = fitted.model, fitted.counts, fitted.total
+    groups, classes = len(model.group), len(model.output)
+    shared = rows.sparkSession.sparkContext.broadcast((fitted.head, model.flat(), fitted.n_class, fitted.v_class, float(total + fitted.distinct + 1)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head, flat, n_class, v_class, mass = shared.value
-        model, log10_mass = Model.of(flat), np.log10(mass)
+        model, log10_mass = Model.of(flat, groups, classes), np.log10(mass)
         within = np.log10(n_class + v_class + 1)
         for b in batches:
-            for lo, hi, n, first, count, classes, is_own, context in prepared(b, head):
-                p = log_probabilities(model, classes, context) / np.log(10)
+            for lo, hi, n, first, count, of, is_own in _prepared(b.column("text"), head):
+                p = log_probabilities(model, of, first) / np.log(10)
                 known = count >= 0
                 logs = np.log10(np.maximum(count, 0) + 1.0)
-                p += np.where(is_own, 0.0, np.where(known, logs, 0.0) - within[classes])
+                p += np.where(is_own, 0.0, np.where(known, logs, 0.0) - within[of])
                 # the counts of other tokens come later, as log10(c + 1) for each of the two sums
                 base = np.where(known, logs, 0.0) - log10_mass
                 starts = first[:-1]
