@@ -1,8 +1,9 @@
 """Main text of web pages from flat text blocks, classified by a decision tree.
 
 A page is read once, tag by tag, into blocks of text between block-level tags. Each has its words and link density, those of the blocks before and
-after it, and whether the elements around it make it part of an article or of the page's furniture. A small decision tree, grown from a table
-of labelled blocks below, tells which blocks are the article; they are joined in page order, whole.
+after it, its tag, whether it stands in an article, in an element that is furniture by its tag or role, and how much the names (classes and ids) of the elements around
+it speak for furniture. Names of an element that holds the page's article or title and half of its words say nothing: it wraps the page.
+A decision tree, grown from the labelled pages below, weighs these and tells which blocks are the main text; they are joined in page order, whole.
 
 Nulls: a null or empty page gives an empty text. Broken markup (unclosed or stray tags, comments, scripts) is read as far as it goes. Rows that
 repeat a page_id are each extracted. An empty table gives an empty result. Only the named columns are read.
@@ -24,38 +25,82 @@ from .common import own_columns
 
 # HTML elements by what they do to a text.
 BLOCK = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split())
-HIDDEN = "script|style|noscript|template|head|title|textarea|select|svg|iframe|object|button|math|canvas|audio|video"
+HIDDEN = "script|style|noscript|template|head|title|textarea|select|svg|iframe|object|button|annotation|annotation-xml|canvas|audio|video"
 FURNITURE = frozenset("nav footer aside form menu dialog fieldset".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CONTAINER = BLOCK - frozenset("p h1 h2 h3 h4 h5 h6 li dd dt hr td th tr tbody thead tfoot option".split())
-SIGNS = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert\w*|adbox|banner|sponsor\w*|promo\w*|sidebar|side|widget|cookies?|consent|gdpr|notice|notices|alert|popup|modal|overlay|comments?|commentlist|respond|disqus|"
-    r"reply|replies|footer|foot|masthead|topbar|header|navbar|nav|navigation|menu|breadcrumbs?|toolbar|share|sharing|social|related|recommend\w*|newsletter|subscribe|subscription|signup|login|search|"
-    r"pagination|pager|tags|meta|skip|copyright|legal|disclaimer)(?:$|[\s_-])",
-    re.I,
+KIND = {"p": 2, "pre": 2, "blockquote": 2, **{f"h{i}": 3 for i in range(1, 7)}, "li": 1, "dd": 1, "dt": 1, "td": 1, "th": 1}
+# Words in names of elements that mostly hold furniture, and words that do so now and then.
+STRONG = re.compile(
+    r"ads?|advert\w*|adbox|banner|sponsor\w*|promo\w*|sidebar|widgets?|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|comments?|commentlist|respond|disqus|replies|footer|masthead|topbar|navbar|nav|navigation|menu|"
+    r"breadcrumbs?|toolbar|share|sharing|social|related|recommend\w*|newsletter|subscribe|subscription|signup|login|pagination|pager"
 )
+WEAK = re.compile(r"header|foot|side|legal|disclaimer|copyright|meta|tags?|skip|search|reply|info|byline")
 ROLES = re.compile(r"^(?:navigation|banner|contentinfo|complementary|search|form|dialog|alert|menu)$", re.I)
+_PARTS = re.compile(r"[-_\s]+|(?<=[a-z])(?=[A-Z])")
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][\w:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[!?][^>]*>", re.S)
 _LOOSE = re.compile(r"<(/?)([a-zA-Z][\w:-]*)([^>]*)>", re.S)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
 _HIDDEN_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in HIDDEN.split("|")}
 
-#: Labelled blocks. words, link density, words and link density of the block before, of the block after, furniture, article: content.
-EXAMPLES = (
-    # paragraphs of an article element, long and short, and its headings
-    (80, 0.0, 12, 0.0, 60, 0.0, 0, 1, 1), (25, 0.0, 80, 0.0, 40, 0.0, 0, 1, 1), (5, 0.0, 90, 0.0, 70, 0.0, 0, 1, 1), (1, 0.0, 40, 0.0, 30, 0.0, 0, 1, 1),
-    (8, 0.0, 10, 0.0, 9, 0.0, 0, 1, 1), (9, 0.0, 1, 1.0, 9, 0.0, 0, 1, 1), (12, 0.3, 50, 0.0, 60, 0.0, 0, 1, 1), (3, 0.0, 1, 1.0, 2, 0.0, 0, 1, 1),
-    (40, 0.1, 3, 0.0, 8, 0.2, 0, 1, 1), (2, 0.0, 5, 0.0, 0, 0.0, 0, 1, 1), (6, 0.5, 30, 0.0, 20, 0.0, 0, 1, 1), (4, 1.0, 60, 0.0, 45, 0.0, 0, 1, 1),
-    # furniture by the elements around: menus, adverts, footers, comments, forms, wherever they stand
-    (1, 1.0, 1, 1.0, 1, 1.0, 1, 0, 0), (2, 1.0, 0, 0.0, 2, 1.0, 1, 0, 0), (12, 0.0, 1, 1.0, 8, 0.0, 1, 0, 0), (30, 0.0, 40, 0.0, 2, 1.0, 1, 0, 0),
-    (9, 0.2, 50, 0.0, 0, 0.0, 1, 0, 0), (60, 0.0, 20, 0.0, 50, 0.0, 1, 0, 0), (15, 0.0, 60, 0.0, 70, 0.0, 1, 1, 0), (45, 0.0, 12, 0.0, 30, 0.0, 1, 1, 0),
-    (3, 0.0, 80, 0.0, 90, 0.0, 1, 1, 0), (90, 0.1, 3, 0.0, 6, 0.0, 1, 0, 0), (6, 1.0, 30, 0.0, 30, 0.0, 1, 1, 0), (1, 0.0, 9, 0.0, 1, 0.0, 1, 0, 0),
-    # pages without an article element: long texts with few links, and short ones between such
-    (60, 0.0, 50, 0.0, 40, 0.0, 0, 0, 1), (35, 0.05, 8, 0.0, 60, 0.0, 0, 0, 1), (22, 0.0, 30, 0.0, 2, 1.0, 0, 0, 1), (8, 0.0, 2, 1.0, 60, 0.0, 0, 0, 1),
-    (10, 0.0, 45, 0.0, 50, 0.0, 0, 0, 1), (5, 0.0, 30, 0.0, 28, 0.0, 0, 0, 1), (100, 0.2, 3, 1.0, 3, 1.0, 0, 0, 1), (18, 0.0, 4, 0.0, 20, 0.1, 0, 0, 1),
-    (2, 1.0, 2, 1.0, 3, 1.0, 0, 0, 0), (1, 1.0, 0, 0.0, 60, 0.0, 0, 0, 0), (12, 0.9, 3, 1.0, 40, 0.0, 0, 0, 0), (25, 0.8, 30, 0.0, 12, 0.9, 0, 0, 0),
-    (3, 0.0, 2, 1.0, 1, 1.0, 0, 0, 0), (4, 0.0, 3, 0.0, 0, 0.0, 0, 0, 0), (6, 0.0, 1, 1.0, 2, 1.0, 0, 0, 0), (2, 0.0, 3, 1.0, 4, 0.0, 0, 0, 0),
+#: Labelled pages: {+n} stands for n words of main text, {-n} for n words of anything else.
+PAGES = (
+    # an article element between menu, advert and footer
+    "<body><nav><ul><li><a>{-1}</a></li><li><a>{-2}</a></li><li><a>{-1}</a></li></ul></nav><div class=ad>{-9}</div><article><h1>{+7}</h1><p>{+60}</p><p>{+8}</p><p>{+1}</p><p>{+35}</p></article><footer>{-12}</footer></body>",
+    "<body><div class=ad>{-30}</div><article><h1>{+3}</h1><p>{+5}</p></article><footer>{-6} <a>{-2}</a></footer></body>",
+    # furniture inside an article
+    "<body><header><div class=logo><a>{-2}</a></div><nav><a>{-1}</a><a>{-1}</a></nav></header><main><article><header class=entry-header><h1>{+9}</h1><p class=byline>{+6}</p></header><p>{+45}</p><aside><p>{-25}</p></aside>"
+    "<div class=ad-slot><p>{-14}</p></div><p>{+70}</p><ul><li>{+9}</li><li>{+4}</li><li>{+12}</li></ul><div class='share-buttons'><a>{-1}</a><a>{-1}</a></div><div class=related-posts><h3>{-2}</h3><a>{-8}</a></div>"
+    "<form><p>{-5}</p></form><footer><a>{-1}</a><a>{-1}</a></footer></article></main><div id=comments><h2>{-2}</h2><p>{-40}</p><p>{-22}</p><p>{-7}</p></div><footer><p>{-15}</p></footer></body>",
+    # names that say little, inside an article
+    "<body><nav>{-2}</nav><article><div class=post-header><h1>{+8}</h1></div><div class=side-note><p>{+30}</p></div><div class=legal-text><p>{+55}</p><p>{+6}</p></div><div class=info><p>{+20}</p></div><p>{+18} <a>{+3}</a></p>"
+    "<div class=search-results><p>{+28}</p></div><div class=meta>{+4}</div><p class=copyright>{+11}</p></article><div class=legal>{-14}</div></body>",
+    # an element around the whole page with a name of furniture
+    "<body class=has-sidebar><div class=tags-page><div class=header><a>{-3}</a></div><h1>{+6}</h1><p>{+50}</p><p>{+9}</p><p>{+33}</p><div class=footer>{-9}</div></div></body>",
+    "<body><form><div class=menu><a>{-1}</a><a>{-1}</a><a>{-2}</a></div><h1>{+5}</h1><p>{+65}</p><p>{+40}</p><div class=footer><p>{-20}</p></div></form></body>",
+    "<body><div class=widget-area><article class='post sponsored-free'><h1>{+6}</h1><p>{+80}</p><p>{+3}</p></article></div><div class=sidebar><h3>{-2}</h3><p>{-30}</p><li><a>{-4}</a></li></div></body>",
+    # no article element
+    "<body><div><a>{-1}</a> <a>{-1}</a> <a>{-2}</a></div><p>{+6}</p><p>{+60}</p><p>{+45}</p><div class=footer>{-8}</div></body>",
+    "<body><div id=top><a>{-2}</a></div><ul><li><a>{-1}</a></li><li><a>{-1}</a></li><li><a>{-2}</a></li></ul><h1>{+5}</h1><p>{+4}</p><p>{+52}</p><h2>{+3}</h2><p>{+9}</p><p>{+31}</p><ul><li>{+6}</li><li>{+10}</li></ul><div>{-4} <a>{-5}</a></div></body>",
+    "<body><table><tr><td><a>{-1}</a></td><td><a>{-2}</a></td></tr></table><div>{+75}</div><div>{+40} <a>{+4}</a></div><div>{+90}</div><div><a>{-3}</a> <a>{-2}</a></div></body>",
+    "<body><div class=cookie-notice><p>{-35}</p></div><h1>{+8}</h1><p>{+28}</p><blockquote>{+15}</blockquote><pre>{+12}</pre><p>{+64}</p><div class=newsletter-signup><p>{-18}</p></div><section id=comments><p>{-33}</p><p>{-50}</p></section></body>",
+    "<body><div>{-2}</div><div><a>{-1}</a></div><h1>{+4}</h1><p>{+7}</p><p>{+12}</p><p>{+5}</p><div><a>{-6}</a></div><div><a>{-5}</a></div><div>{-3}</div></body>",
+    "<body><p>{+3}</p><p>{+50}</p></body>",
+    "<body><p>{+70}</p></body>",
+    "<p>{+12}</p><p>{+45}</p><p>{+20}</p>",
+    "<body>{+120}</body>",
+    "<body><h1>{+4}</h1><p>{+25}</p><p>{+2}</p></body>",
+    "<body><div>{+60}</div><div>{+80}</div></body>",
+    "<body><div>{-3}</div><div><a>{-2}</a></div><p>{+30}</p><p>{+4}</p></body>",
+    "<body><p>{+40}</p><p>{+6}</p><div><a>{-1}</a> <a>{-1}</a></div></body>",
+    "<body><div><p>{+9}</p><p>{+33}</p></div><div>{-5}</div></body>",
+    "<body><div>{-4}</div><h1>{+6}</h1><p>{+19}</p><p><a>{-4}</a></p><div>{-6}</div></body>",
+    "<body><ul><li><a>{-2}</a></li><li><a>{-1}</a></li></ul><h2>{+5}</h2><p>{+14}</p><p>{+36}</p><ul><li><a>{-4}</a></li><li><a>{-6}</a></li></ul></body>",
+    "<body><article><p>{+6}</p></article></body>",
+    "<body><article>{+22}</article><div>{-3}</div></body>",
+    "<body><nav><a>{-1}</a></nav><article><p>{+4} <a>{+9}</a></p><p>{+2}</p></article></body>",
+    # text in plain elements, and furniture in paragraphs: the blocks before and after tell
+    "<body><div><a>{-2}</a></div><div>{-2}</div><div><a>{-1}</a></div><div>{+40}</div><div>{+7}</div><div>{+55}</div><div>{+5}</div><div>{+30}</div><div><a>{-3}</a></div><div>{-2}</div></body>",
+    "<body><div>{+33}</div><div>{+3}</div><div>{+46}</div><div>{+9}</div><div>{+28}</div><div><a>{-2}</a></div><div>{-4}</div><div><a>{-1}</a></div></body>",
+    "<body><p><a>{-2}</a></p><p>{-3}</p><p><a>{-3}</a></p><p>{-2}</p><p><a>{-1}</a></p><p>{+44}</p><p>{+6}</p><p>{+38}</p><p><a>{-2}</a></p><p>{-5}</p><p><a>{-4}</a></p></body>",
+    "<body><ul><li><a>{-1}</a></li><li>{-2}</li><li><a>{-2}</a></li><li>{-1}</li><li><a>{-1}</a></li></ul><div>{+52}</div><ul><li>{+5}</li><li>{+8}</li><li>{+4}</li></ul><div>{+37}</div></body>",
+    "<body><table><tr><td><a>{-2}</a></td><td>{-1}</td><td><a>{-1}</a></td></tr><tr><td>{+62}</td></tr><tr><td>{+8}</td></tr><tr><td>{+47}</td></tr></table><p><a>{-2}</a></p><p>{-4}</p></body>",
+    # an article of many short blocks and links
+    "<body><nav><a>{-1}</a></nav><article><h1>{+4}</h1><p>{+2}</p><p>{+50}</p><p><a>{+3}</a></p><p>{+1}</p><p><a>{+4}</a></p><p>{+30}</p><div>{+2}</div><div>{+12}</div><div><a>{+5}</a></div><div>{+1}</div><div>{+40}</div><p>{+3}</p></article><div><a>{-2}</a></div></body>",
+    "<body><article><div><a>{+2}</a></div><div>{+3}</div><div><a>{+1}</a></div><p>{+1}</p><p><a>{+2}</a></p><p>{+6}</p><ul><li><a>{+2}</a></li><li>{+1}</li><li><a>{+1}</a></li><li>{+22}</li></ul><div>{+25}</div><div><a>{+7}</a></div></article><div>{-2}</div></body>",
+    "<body><div><a>{-3}</a></div><main><div>{+2}</div><div>{+1}</div><p>{+5}</p><p>{+1}</p><p>{+3}</p><div>{+9}</div><div><a>{+2}</a></div><p>{+15}</p><p><a>{+6}</a></p></main><div><a>{-1}</a></div><div>{-3}</div></body>",
+    "<body><article><div>{+5}</div><p>{+40}</p></article></body>",
+    "<body><article>{+4}<p>{+30}</p><div>{+6}</div></article><div>{-5}</div></body>",
+    "<body><main><ul><li>{+3}</li><li>{+9}</li></ul></main></body>",
+    "<body><div>{-4}</div><p>{+21}</p></body>",
+    # comments in elements of their own, longer than the text
+    "<body><main><h1>{+6}</h1><p>{+30}</p><p>{+26}</p></main><div class=comments-area><article class=comment><p>{-60}</p></article><article class=comment><p>{-45}</p></article><article class=comment-body><p>{-8}</p></article></div></body>",
+    "<body><article><h1>{+4}</h1><p>{+20}</p><section class=commentlist><div class=comment>{-38}</div><div class=comment><p>{-16}</p></div></section></article><div class=sidebar-left><p>{-24}</p><a>{-2}</a></div></body>",
+    # columns, tables and lists of links that are the text
+    "<body><nav><a>{-1}</a><a>{-1}</a></nav><article><h1>{+5}</h1><div class=columns><div class=col><p>{+24}</p><p>{+30}</p></div><div class=col><p>{+3}</p><p>{+27}</p></div></div><table><tr><th>{+1}</th><th>{+2}</th></tr><tr><td>{+3}</td><td>{+1}</td></tr></table>"
+    "<ul><li><a>{+6}</a></li><li><a>{+3}</a> {+5}</li></ul><figure><figcaption>{+11}</figcaption></figure><dl><dt>{+1}</dt><dd>{+13}</dd></dl></article></body>",
+    "<body><div role=banner>{-4}</div><div role=main><h1>{+3}</h1><p>{+38}</p><p>{+10}</p></div><div role=complementary><p>{-28}</p></div><div hidden><p>{-15}</p></div><div role=contentinfo>{-7}</div></body>",
 )
 
 
@@ -74,7 +119,7 @@ class Node:
         return node.value
 
 
-def grow(table: np.ndarray, depth: int = 6) -> Node:
+def grow(table: np.ndarray, depth: int = 10) -> Node:
     """A tree by Gini impurity; the last column is the class. Ties go to the earlier feature and cut."""
     y = table[:, -1] > 0
     node = Node(value=bool(2 * y.sum() >= len(y)))
@@ -83,7 +128,7 @@ def grow(table: np.ndarray, depth: int = 6) -> Node:
     best = 1e-9
     impurity = lambda k, n: k * (n - k) / n if n else 0.0
     whole = impurity(y.sum(), len(y))
-    for f in (6, 7, *range(6)):
+    for f in FIRST:
         values = np.unique(table[:, f])
         for cut in (values[1:] + values[:-1]) / 2:
             low = table[:, f] <= cut
@@ -96,47 +141,80 @@ def grow(table: np.ndarray, depth: int = 6) -> Node:
     return node
 
 
+def labelled(pages: tuple[str, ...] = PAGES) -> np.ndarray:
+    """Features of all blocks of the labelled pages, and whether they are main text."""
+    rows = []
+    for page in pages:
+        page = re.sub(r"\{([+-])(\d+)\}", lambda m: m[1] + " ".join(["word"] * int(m[2])), page)
+        found = blocks(page)
+        rows += [(*x, found[i].text.startswith("+")) for i, x in enumerate(features(found))]
+    return np.array(rows, float)
+
+
 def trained() -> Node:
-    return grow(np.array(EXAMPLES, float))
+    return grow(labelled())
+
+
+def _name_says(value: str) -> int:
+    """How much a class or an id speaks for furniture: 4 if a word of it begins with a strong part, 2 if one holds one, 1 for a weak part, 0 if none."""
+    says = 0
+    for word in value.split():
+        parts = [p.lower() for p in _PARTS.split(word) if p]
+        strong = [bool(STRONG.fullmatch(p)) for p in parts]
+        says = max(says, 4 if strong and strong[0] else 2 if any(strong) else 1 if any(WEAK.fullmatch(p) for p in parts) else 0)
+    return says
 
 
-def _is_furniture(name: str, attributes: str, in_article: bool) -> bool:
+def _says(name: str, attributes: str, in_article: bool) -> tuple[int, bool]:
+    """(8 for an element that is furniture by itself, else what its names say; whether it may wrap the page for all that)."""
     if name in FURNITURE or (name == "header" and not in_article):
-        return True
-    if not attributes or name in ("html", "body"):
-        return False
-    for key, value in _ATTRIBUTE.findall(attributes):
-        key, value = key.lower(), value.strip("\"'")
-        if key in ("class", "id") and name not in ("article", "main") and SIGNS.search(value):
-            return True
-        if key == "role" and ROLES.match(value.strip()):
-            return True
-        if key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and re.search(r"display\s*:\s*none", value, re.I)):
-            return True
-    return False
-
-
-def blocks(page: str) -> list[tuple[str, int, float, bool, bool]]:
-    """(text, words, link density, furniture, article) of a page's blocks."""
-    out: list[tuple[str, int, float, bool, bool]] = []
-    stack: list[tuple[str, bool, bool]] = []  # open containers: name, furniture, article
-    furniture = article = False
+        return 8, name == "form"
+    says = 0
+    if attributes and name != "html":
+        for key, value in _ATTRIBUTE.findall(attributes):
+            key, value = key.lower(), value.strip("\"'").strip()
+            if (key == "role" and ROLES.match(value)) or key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and re.search(r"display\s*:\s*none", value, re.I)):
+                return 8, False
+            if key in ("class", "id") and name != "body":
+                says = max(says, _name_says(value))
+    return says, True
+
+
+@dataclass
+class Block:
+    """A block of text; around: the numbers of the elements around it that speak for furniture."""
+
+    text: str
+    words: int
+    density: float
+    kind: int
+    article: bool
+    around: tuple[int, ...]
+    says: int = 0
+
+
+def blocks(page: str) -> list[Block]:
+    out: list[Block] = []
+    stack: list[tuple[str, tuple[int, ...], bool]] = []  # open containers: name, speaking elements, article
+    speaking: list[int] = []  # what each speaking element says
+    may_wrap: list[bool] = []
+    holds: list[bool] = []  # whether the article or the title is in it
+    around: tuple[int, ...] = ()
+    article, own, kind, in_link = False, (), 0, 0
     parts: list[str] = []
     links: list[str] = []
-    in_link = 0
-    own = False  # the block's own element is furniture
 
     def close() -> None:
-        nonlocal own
+        nonlocal own, kind
         if parts:
             text = " ".join(unescape("".join(parts)).split())
             if text:
                 n = text.count(" ") + 1
                 linked = len(unescape(" ".join(links)).split()) if links else 0
-                out.append((text, n, min(1.0, linked / n), furniture or own, article))
+                out.append(Block(text, n, min(1.0, linked / n), kind, article, (*around, *own)))
             parts.clear()
             links.clear()
-        own = False
+        own, kind = (), 0
 
     def say(text: str) -> None:
         if text:
@@ -167,46 +245,68 @@ def blocks(page: str) -> list[tuple[str, int, float, bool, bool]]:
                     for i in range(len(stack) - 1, -1, -1):
                         if stack[i][0] == name:
                             del stack[i:]
-                            furniture, article = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+                            around, article = (stack[-1][1], stack[-1][2]) if stack else ((), False)
                             in_link = 0
                             break
             continue
         if name in _HIDDEN_END:
             if name in ("head", "svg") and m[3].endswith("/"):
                 continue
-            if name == "head":
-                # its elements hide themselves; a head that isn't closed must not hide the page
-                end = _HIDDEN_END[name].search(page, at)
-                at = end.end() if end else at
-                continue
             end = _HIDDEN_END[name].search(page, at)
-            at = end.end() if end else size
-            parts.append(" ")
+            # a head's elements hide themselves; one that isn't closed must not hide the page
+            at = end.end() if end else at if name == "head" else size
+            if name != "head":
+                parts.append(" ")
         elif name == "br":
             say(" ")
         elif name == "a":
             in_link = 1
         elif name in BLOCK:
             close()
-            sign = _is_furniture(name, m[3], article)
+            says, wrap = _says(name, m[3], article)
+            mine: tuple[int, ...] = ()
+            if says:
+                mine = (len(speaking),)
+                speaking.append(says)
+                may_wrap.append(wrap)
+                holds.append(False)
+            if name in ("article", "main", "h1") and not (name == "article" and says >= 4):
+                for i in around:
+                    holds[i] = True
+                if name != "h1":
+                    for i in mine:
+                        holds[i] = True
             if name in CONTAINER and name not in VOID:
-                furniture, article = furniture or sign, article or name in ("article", "main")
-                stack.append((name, furniture, article))
+                around, article = (*around, *mine), article or name in ("article", "main") or bool(re.search(r"\brole\s*=\s*[\"']?main\b", m[3], re.I))
+                stack.append((name, around, article))
+                kind = KIND.get(name, 0)
             else:
-                own = sign
+                own, kind = mine, KIND.get(name, 0)
     close()
+    words = [0] * len(speaking)
+    for b in out:
+        for i in b.around:
+            words[i] += b.words
+    total = sum(b.words for b in out)
+    quiet = [may_wrap[i] and holds[i] and 2 * words[i] >= total for i in range(len(speaking))]
+    for b in out:
+        b.says = max((speaking[i] for i in b.around if not quiet[i]), default=0)
     return out
 
 
+#: Features in the order in which a split of equal gain is chosen: what the elements around say, article, tag, then words and links.
+FIRST = (6, 7, 8, 1, 0, 3, 5, 2, 4)
+
+
+def features(found: list[Block]) -> list[tuple[float, ...]]:
+    """Per block: words and link density, those of the block before and after, what the elements around say, article, tag."""
+    ends = [(0, 0.0), *((b.words, b.density) for b in found), (0, 0.0)]
+    return [(b.words, b.density, *ends[i], *ends[i + 2], b.says, b.article, b.kind) for i, b in enumerate(found)]
+
+
 def main_text(page: str | None, tree: Node) -> str:
     found = blocks(page or "")
-    kept = []
-    for i, (text, n, density, furniture, article) in enumerate(found):
-        before = found[i - 1] if i else ("", 0, 0.0)
-        after = found[i + 1] if i + 1 < len(found) else ("", 0, 0.0)
-        if tree((n, density, before[1], before[2], after[1], after[2], furniture, article)):
-            kept.append(text)
-    return "\n".join(kept)
+    return "\n".join(b.text for b, x in zip(found, features(found), strict=True) if tree(x))
 
 
 def extract(pages: DataFrame, id_column: str = "page_id", html_column: str = "html", *more: str) -> DataFrame:

@@ -82,18 +82,73 @@ def test_lm_odd(spark, odd_docs, no_docs, monkeypatch):
 
 
 def test_lm_classes_are_normalised_and_learned():
-    rng = np.random.default_rng(0)
-    first = np.array([0, 3000])
-    classes = (np.arange(3000) % 5).astype(np.int64)  # each class tells the next
-    context = lm.contexts(classes, first, lm.OWN - 1)
-    counts = np.bincount(classes, minlength=lm.CLASSES).astype(float)
-    model = lm.Model.new(counts)
-    state = lm.new_state(model)
+    groups, side, _ = lm.shape(10)
+    classes = groups * side
+    flat = (np.arange(3000) % 5 * 9).astype(np.int64)  # each class tells the next; all in groups of their own or not
+    first, counts = np.array([0, 3000]), np.bincount(np.arange(3000) % 5 * 9, minlength=classes).astype(float)
+    model = lm.Model.new(counts, groups)
+    learner = lm.Learner(model, lm.Model.of(np.full(len(model.flat()), lm.BEGUN, np.float32), groups, classes), counts, [0])
+    context = lm.contexts(flat, first, 0, 3000)
     for _ in range(60):
-        lm.learn(model, classes, context, counts, state, rng)
-    every = np.stack([lm.log_probabilities(model, np.full(8, k), context[10:18]) for k in range(lm.CLASSES)])
-    assert np.exp(every).sum(axis=0) == pytest.approx(1, abs=1e-4)
-    assert lm.log_probabilities(model, classes, context).mean() > np.log(0.5) > np.log(0.2)
+        for lo in range(0, 3000, 500):
+            learner.learn(flat[lo : lo + 500], context[lo : lo + 500])
+    some = flat[10:18]
+    every = np.stack([lm.log_probabilities(model, np.append(some, k), np.array([0, 9]))[-1] for k in range(classes)])
+    assert np.exp(every).sum() == pytest.approx(1, abs=1e-9)
+    assert lm.log_probabilities(model, flat, first).mean() > np.log(0.5) > np.log(0.2)
+
+
+def test_lm_scores_by_a_plain_loop(spark, sf):
+    from quillstone.llm.common import Scratch
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet").where("doc_id < 60").select("doc_id", "text")
+    rows = docs.withColumn("held_out", lm.held_out())
+    scratch = Scratch(spark, "t")
+    fitted = lm.fit(rows.where("NOT held_out"), scratch)
+    got = {r["doc_id"]: r for r in lm.scored(rows, fitted, scratch).collect()}
+    train = collections.Counter()
+    texts = [(r["doc_id"], r["text"], r["held_out"]) for r in rows.collect()]
+    for _, t, held in texts:
+        if not held:
+            train.update(tokens_of(t))
+    top = sorted((w for w in train if w is not None), key=lambda w: -train[w])
+    m, groups = fitted.model, len(fitted.model.group)
+    side = len(m.output) // groups
+
+    def class_of(w):
+        """As the model's own table says it; all else here is done again."""
+        if w is None:
+            return lm.END_CLASS, True
+        n, form, _ = lm.tokens(np.frombuffer(w, np.uint8), np.array([0, len(w)]))
+        _, c, own = fitted.head.find(n[:1], form[:1])
+        return int(c[0]), bool(own[0])
+
+    known = {w: class_of(w) for w in {x for _, t, _ in texts for x in tokens_of(t)}}
+    n_class, v_class = collections.Counter(), collections.Counter()
+    for w, c in train.items():
+        n_class[known[w][0]] += c
+        v_class[known[w][0]] += 1
+    least_own = min((train[w] for w in top if known[w][1]), default=0)
+    assert all(train[w] <= least_own for w in top if not known[w][1])
+    for i, t, _ in texts[::7]:
+        total, before = 0.0, [lm.END_CLASS] * lm.CONTEXT
+        for w in tokens_of(t):
+            c, own = known[w]
+            q = sum(m.context[before[k]].astype(float) * m.scale[k] for k in range(lm.CONTEXT))
+            s = [float(q @ m.group[g] + m.group_bias[g]) for g in range(groups)]
+            u = [float(q @ m.output[x] + m.bias[x]) for x in range(c // side * side, (c // side + 1) * side)]
+            total += s[c // side] - np.log(np.exp(s).sum()) + u[c % side] - np.log(np.exp(u).sum())
+            if not own:
+                total += np.log((train[w] + 1) / (n_class[c] + v_class[c] + 1))
+            before = [c, *before[:-1]]
+        assert got[i]["score"] == pytest.approx(total / np.log(10), rel=1e-6)
+
+
+def test_lm_does_not_depend_on_how_the_input_lies(spark, sf, odd_docs):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").where("doc_id < 100").select("doc_id", "text").unionByName(odd_docs.select("doc_id", "text"))
+    one, other = (sorted(((r["doc_id"] or -1, r["n_tokens"], r["base_score"], r["score"]) for r in lm.score(d).collect())) for d in (docs.coalesce(1), docs.repartition(5)))
+    for a, b in zip(one, other, strict=True):
+        assert a[:2] == b[:2] and a[2:] == pytest.approx(b[2:], rel=1e-9)
 
 
 def test_ann_recall_and_ties(spark, sf):
@@ -123,9 +178,52 @@ def test_ann_odd(spark, monkeypatch):
 def test_tree_widens_until_recall_is_reached():
     x = np.random.default_rng(1).normal(size=(1500, 16))
     tree = ann.Tree.fit(x)
-    few, many = ann.calibrate(tree, x, 10, 0.5), ann.calibrate(tree, x, 10, 0.95)
+    near = ann.exact_search(x[:300], np.arange(300), np.arange(20))
+    leaf = tree.place(x)[near["vec_id"].to_numpy()]
+    few, many = (ann.calibrate(tree, x[:20], near["query_id"].to_numpy(), leaf, r) for r in (0.5, 0.95))
     assert 1 <= few < many <= tree.leaves
     assert sorted(tree.visit(x[0], tree.leaves)) == list(range(tree.leaves))
+    assert all(tree.visit(v, 1) == [k] for v, k in zip(x[:20], tree.place(x[:20]), strict=True) if len(tree.children[0]) and all(not tree.children[c] for c in tree.children[0]))
+
+
+def clustered(n, seed=2, offset=0.0, spread=1.0):
+    rng = np.random.default_rng(seed)
+    return offset + spread * (rng.normal(size=(n // 50, 12)) * 8)[rng.integers(n // 50, size=n)] + spread * rng.normal(size=(n, 12))
+
+
+def frame(spark, x):
+    return spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>")
+
+
+@pytest.mark.parametrize(("offset", "spread"), [(1e5, 1e-3), (1e8, 1.0), (0.0, 1e-12)])
+def test_ann_distances_at_any_offset(spark, offset, spread):
+    x = clustered(1500, 3, offset, spread)
+    got = ann.search(frame(spark, x), "vec_id % 50 = 0").toPandas()
+    want = ann.exact_search(x, np.arange(len(x)), np.arange(0, len(x), 50))
+    both = got.merge(want, on=["query_id", "vec_id"])
+    assert len(got) == len(want) and len(both) / len(want) >= 0.9
+    assert np.allclose(both["score_x"], both["score_y"], rtol=1e-12, atol=0)
+
+
+def test_ann_leaves_grow_with_the_table(spark, monkeypatch):
+    monkeypatch.setattr(ann, "LEAF_ROWS", 24)
+    shares, grown = [], ann.Tree.grown
+
+    def spy(tree, trees):
+        spy.n += len(trees)
+        return grown(tree, trees)
+
+    spy.n = 0
+    monkeypatch.setattr(ann.Tree, "grown", spy)
+    real = ann.calibrate
+    for n in (1500, 12_000):
+        x = clustered(n, 4)
+        monkeypatch.setattr(ann, "calibrate", lambda tree, *a: shares.append((real(tree, *a), tree.leaves)) or shares[-1][0])
+        got = ann.search(frame(spark, x), "vec_id % 400 = 0", sample_rows=1000).toPandas()
+        want = ann.exact_search(x, np.arange(n), np.arange(0, n, 400))
+        assert len(got) == len(want) and len(got.merge(want, on=["query_id", "vec_id"])) / len(want) >= 0.9
+    assert spy.n > 0 and shares[1][1] > 2 * shares[0][1]
+    assert shares[1][0] / shares[1][1] < shares[0][0] / shares[0][1]  # a smaller share of the table
 
 
 PAGE = (
@@ -144,6 +242,47 @@ def test_main_text_of_a_page():
         html.main_text(odd, tree)
 
 
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ('<article><div class="entry-header"><h1>My Title</h1></div><p>Some text here that goes on.</p></article>', "My Title\nSome text here that goes on."),
+        ('<article><h1>T</h1><div class="side-by-side"><p>One column of text.</p></div><div class="legal"><p>The law says so and so.</p></div></article>', "T\nOne column of text.\nThe law says so and so."),
+        ("<article><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be so.</p></article>", "Let x=2 be so."),
+        ("<body><p>Short first.</p><p>" + "long text here " * 20 + "</p></body>", "Short first.\n" + ("long text here " * 20).strip()),
+        ('<body><div class="tags-page"><h1>Tags</h1><p>' + "all about tags " * 15 + "</p></div></body>", "Tags\n" + ("all about tags " * 15).strip()),
+    ],
+)
+def test_names_alone_drop_nothing(page, want):
+    assert html.main_text(page, html.trained()) == want
+
+
+#: Pages of other shapes than those that the tree is grown from.
+HELD_OUT = (
+    "<body><div class=site-header><a>{-2}</a><ul class=nav-list><li><a>{-1}</a></li><li><a>{-1}</a></li></ul></div><div id=content><article id=post-7><div class=entry-header><h1>{+7}</h1><span>{+3}</span></div><div class=entry-content><p>{+48}</p><h2>{+4}</h2>"
+    "<p>{+22}</p><div class=ad-container>{-8}</div><p>{+5}</p><p>{+66}</p></div></article><div id=respond><form><p>{-6}</p></form></div></div><div class=widget-area><h3>{-3}</h3><ul><li><a>{-5}</a></li></ul></div><footer>{-10}</footer></body>",
+    "<body><header role=banner><h2>{-3}</h2></header><nav><ol><li><a>{-2}</a></li><li><a>{-3}</a></li></ol></nav><main><h1>{+5}</h1><div class=grid><section><h2>{+2}</h2><p>{+40}</p></section><section class=side-column><h2>{+3}</h2><p>{+36}</p></section></div></main><aside><p>{-44}</p></aside></body>",
+    "<body><div class=navbar><a>{-1}</a><a>{-1}</a><a>{-1}</a></div><h1>{+6}</h1><p>{+11}</p><p>{+58}</p><p>{+70}</p><ol><li>{+8}</li><li>{+14}</li></ol><div class=social-links><a>{-1}</a></div><div class=footer-text>{-16}</div></body>",
+    "<body><div><a>{-1}</a><a>{-2}</a></div><p>{+5}</p><p>{+90}</p><p>{+44} <a>{+2}</a></p><p>{+16}</p><div class=cookie-banner>{-25}</div></body>",
+    "<body><div id=page><div class=promo><p>{-20}</p></div><article><h1>{+4}</h1><p>{+25}</p><blockquote><p>{+18}</p></blockquote><p>{+3}</p><table><tr><td>{+2}</td><td>{+2}</td></tr></table></article><section class=comments><h3>{-2}</h3><div class=comment-text><p>{-52}</p></div><div class=comment-text><p>{-31}</p></div></section></div></body>",
+    "<body><form id=aspnet><div class=top-menu><a>{-2}</a><a>{-2}</a></div><div class=main><h1>{+5}</h1><p>{+38}</p><p>{+61}</p></div><div class=copyright>{-9}</div></form></body>",
+)
+
+
+def test_held_out_blocks():
+    tree, table = html.trained(), html.labelled(HELD_OUT)
+    got, want = np.array([tree(tuple(x[:-1])) for x in table]), table[:, -1] > 0
+    precision, recall = (got & want).sum() / got.sum(), (got & want).sum() / want.sum()
+    assert precision >= 0.95 and recall >= 0.95, (precision, recall)
+    assert all(tree(tuple(x[:-1])) == x[-1] for x in html.labelled())
+    used, todo = set(), [tree]
+    while todo:
+        node = todo.pop()
+        if node.feature >= 0:
+            used.add(node.feature)
+            todo += [node.low, node.high]
+    assert used & {0, 1} and used & {2, 3, 4, 5} and used & {6, 7, 8}  # words and links, neighbours and elements all weigh in
+
+
 def test_main_text_of_all_pages(spark, sf):
     pages = spark.read.parquet(f"{sf}/pages.parquet")
     got = {r["page_id"]: r for r in queries.op10_main_text(spark, sf).collect()}
