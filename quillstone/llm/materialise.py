@@ -1,7 +1,8 @@
 """Training-order materialisation: every sequence gets a global slot by a keyed permutation, and shards hold a fixed stride.
 
-Documents become token ids with an end id, cut into sequences of ``length`` ids (the last one padded). The encoded table is written once to the
-shared folder; a sequence's index is its place there (rows of earlier files, then its own), so no list of sequences is ever gathered.
+Documents become token ids with an end id, cut into sequences of ``length`` ids (the last one padded). A sequence's index is its rank by doc_id, the text's hash
+and its start: documents are dealt by ranges in that order, the encoded table is written once to the shared folder, and an index is a place
+there (rows of earlier ranges, then its own). So it hangs on the data alone, not on how they lie in files, and no list of sequences is ever gathered.
 A Feistel network over the next even power of two, walked until it falls below the number of sequences, maps indices one-to-one to slots.
 Slots are dealt by range: slot ``s`` is record ``s % per_shard`` of shard ``s // per_shard``. All records take ``2 * length`` bytes (unsigned
 16-bit ids), so a reader seeks to any slot, and resumes from one, without an index.
@@ -12,11 +13,12 @@ doc_id and text are read.
 
 from __future__ import annotations
 
-import os
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -48,7 +50,7 @@ def feistel(index: np.ndarray, n: int, key: int = KEY) -> np.ndarray:
 
 
 def sequences(docs: DataFrame, path: str | None = None, length: int = LENGTH) -> DataFrame:
-    """Per sequence: doc_id, start, n_ids (without padding) and record (length unsigned 16-bit ids)."""
+    """Per sequence: doc_id, start, n_ids (without padding) and record (length unsigned 16-bit ids); in order, over the partitions and within each."""
     path = path or default_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -65,6 +67,9 @@ def sequences(docs: DataFrame, path: str | None = None, length: int = LENGTH) ->
                 yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(row, pa.int64())), pa.array(start, pa.int64()), pa.array(n, pa.int64()), pa.array(record, pa.binary())], ["doc_id", "start", "n_ids", "record"])
 
     rows = own_columns(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    order = [F.isnull("doc_id"), "doc_id", F.xxhash64("text"), "_n"]  # rows alike may go anywhere, so that a lot of them fill several ranges
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.withColumn("_n", F.monotonically_increasing_id()).repartitionByRange(n, *order).sortWithinPartitions(*order).select("doc_id", "text")
     return rows.mapInArrow(run, "doc_id long, start long, n_ids long, record binary")
 
 
@@ -72,7 +77,8 @@ def placed(docs: DataFrame, path: str | None = None, length: int = LENGTH, per_s
     """Per sequence: doc_id, start, n_ids, record, and slot, shard, position. Not yet in slot order."""
     scratch = Scratch(docs.sparkSession, "materialise")
     table = scratch.cut(sequences(docs, path, length))
-    table = table.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    range_ = F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).cast("int")
+    table = table.select("*", range_.alias("_file"), F.col("_metadata.row_index").alias("_row"))
     files = table.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))  # a row per file of the encoded table
     lower = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     files = scratch.cut(files.select(F.col("_file"), "_n", F.coalesce(F.sum("_n").over(lower), F.lit(0)).alias("_before")))
@@ -88,41 +94,58 @@ def placed(docs: DataFrame, path: str | None = None, length: int = LENGTH, per_s
 
 
 def in_training_order(records: DataFrame) -> DataFrame:
-    """Records dealt by ranges of shards, each shard whole in one task, in slot order."""
+    """Records dealt by ranges of shards, each shard whole in one task, in slot order. Slots are evenly filled, so the ranges need no sampling."""
     n = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return records.repartitionByRange(n, "shard").sortWithinPartitions("slot")
+    shards = (records.agg(F.max("shard")).first()[0] or 0) + 1
+    return records.repartitionById(n, F.expr(f"int(shard * {n} div {shards})")).sortWithinPartitions("slot")
 
 
-def write_shards(records: DataFrame, folder: str, per_shard: int = PER_SHARD) -> None:
-    """Files shard-NNNNNN.bin of fixed-stride records in a folder that all executors mount.
+def write_shards(records: DataFrame, folder: str) -> None:
+    """Files shard-NNNNNN.bin of fixed-stride records in a folder that executors reach: a path they all mount, or an address that pyarrow opens.
 
-    A shard is written under another name and then renamed, so a task that runs again replaces it whole.
+    A shard is written under another name and then renamed, so a task that runs again replaces it whole; what failed attempts leave is removed at the end.
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        f, current, name = None, None, ""
+        fs, root = _file_system(folder)
+        fs.create_dir(root)
+        out, current, n = None, None, 0
+        part = f"{root}/.writing-{uuid.uuid4().hex}"
 
         def close() -> None:
-            if f:
-                f.close()
-                os.replace(f.name, name)
+            if out:
+                out.close()
+                fs.move(part, f"{root}/shard-{current:06d}.bin")
 
         for b in batches:
             for shard, record in zip(b.column("shard").to_pylist(), b.column("record").to_pylist(), strict=True):
                 if shard != current:
                     close()
-                    current, name = shard, f"{folder}/shard-{shard:06d}.bin"
-                    f = open(f"{name}.{os.getpid()}.{id(b)}", "wb")  # noqa: SIM115
-                f.write(record)
+                    current, out = shard, fs.open_output_stream(part)
+                out.write(record)
+                n += 1
         close()
-        yield pa.RecordBatch.from_arrays([pa.array([0], pa.int64())], ["done"])
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
 
-    in_training_order(records).select("shard", "record", "slot").mapInArrow(write, "done long").count()
+    in_training_order(records).select("shard", "record", "slot").mapInArrow(write, "n long").agg(F.sum("n")).first()
+    fs, root = _file_system(folder)
+    for f in fs.get_file_info(pa.fs.FileSelector(root, allow_not_found=True)):
+        if f.base_name.startswith(".writing-"):
+            fs.delete_file(f.path)
+
+
+def _file_system(folder: str) -> tuple[pa.fs.FileSystem, str]:
+    return pa.fs.FileSystem.from_uri(folder) if ":" in folder else (pa.fs.LocalFileSystem(), folder)
 
 
 def read_slots(folder: str, first: int, n: int, length: int = LENGTH, per_shard: int = PER_SHARD) -> Iterator[np.ndarray]:
     """n records from slot first on, read in sequence."""
-    for s in range(first, first + n):
-        with open(f"{folder}/shard-{s // per_shard:06d}.bin", "rb") as f:
-            f.seek(s % per_shard * 2 * length)
-            yield np.frombuffer(f.read(2 * length), "<u2")
+    fs, root = _file_system(folder)
+    at, end = first, first + n
+    while at < end:
+        shard, rows = at // per_shard, min(end - at, per_shard - at % per_shard)
+        with fs.open_input_file(f"{root}/shard-{shard:06d}.bin") as f:
+            f.seek(at % per_shard * 2 * length)
+            for _ in range(rows):
+                yield np.frombuffer(f.read(2 * length), "<u2")
+        at += rows

@@ -206,7 +206,14 @@ def test_shards_hold_every_sequence(spark, odd_docs, no_docs, tmp_path):
     for r, x in zip(texts, library_ids([r["text"] for r in texts]), strict=True):
         want.setdefault(r["doc_id"], []).extend((i, x[i : i + 32]) for i in range(0, len(x), 32))
     assert {k: sorted(v) for k, v in parts.items()} == {k: sorted(v) for k, v in want.items()}
-    materialise.write_shards(records, str(tmp_path), per_shard=50)
+    materialise.write_shards(records, f"file://{tmp_path}")
+    assert sorted(p.name for p in tmp_path.iterdir() if not p.name.endswith(".crc")) == [f"shard-{i:06d}.bin" for i in range(-(-len(rows) // 50))]
     back = list(materialise.read_slots(str(tmp_path), 37, len(rows) - 37, length=32, per_shard=50))
     assert [x.tobytes() for x in back] == [bytes(r["record"]) for r in rows[37:]]
     assert materialise.placed(no_docs).collect() == []
+
+
+def test_slots_do_not_depend_on_how_the_input_lies(spark, sf, odd_docs):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").unionByName(odd_docs.select("doc_id", "text"))
+    one, other = (sorted((r["slot"], r["doc_id"] or -1, r["start"], bytes(r["record"])) for r in materialise.placed(d).collect()) for d in (docs.coalesce(1), docs.repartition(7)))
+    assert one == other
