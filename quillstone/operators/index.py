@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import clean_article, first_of, haystack, nz
+from ..functions.text import clean_article, first_of, haystack, iso_date, nz
 
 
 def index_rows(records: DataFrame) -> DataFrame:
     """Records as index rows, with the family to partition by and the haystack that searches read."""
     d, x = (lambda k: F.col("dates")[k]), (lambda k: nz(F.col("extra")[k]))
-    iso = [first_of(d(f"{k}_iso"), d(k)) for k in ("final_publishing_date", "publication_of_final_answer", "submission_date")]
+    iso = [iso_date(d(k)) for k in ("final_publishing_date", "publication_final_answer", "submission_date")]
     plain = ("authority", "qa_id", "joint_id", "legal_act", "topic", "status", "source_url", "question", "background", "answer")
     rows = records.select(
         "family", *plain[:4], clean_article(F.col("article")).alias("article"), *plain[4:6], first_of(*iso).alias("date"), x("delisted").alias("delisted"), x("archived").alias("archived"),
@@ -36,10 +36,21 @@ def oldest_verified(state: DataFrame) -> DataFrame:
     return alive.agg(nz(F.substring(F.min(F.nullif(F.col("verified_at"), F.lit(""))), 1, 10)).alias("oldest_verified"))
 
 
+def manifest_meta(rows: DataFrame, state: DataFrame, last_full_sweep: str) -> DataFrame:
+    """One row: total (records of all families), last_full_sweep, oldest_verified."""
+    total = rows.agg(F.count(F.lit(1)).alias("total"))
+    return total.join(oldest_verified(state)).select("total", F.lit(last_full_sweep).alias("last_full_sweep"), "oldest_verified")  # one row and one row
+
+
 def write_index(rows: DataFrame, path: str) -> None:
     """Index rows as JSON per family; what an earlier build left goes."""
     rows.drop("hay").write.mode("overwrite").partitionBy("family").json(path)
 
 
+def write_search_table(rows: DataFrame, path: str) -> None:
+    """Index rows with their haystack as Parquet per family, for searches that read no text twice and only the families asked for."""
+    rows.write.mode("overwrite").partitionBy("family").parquet(path)
+
+
 def write_manifest(rows: DataFrame, path: str) -> None:
     manifest(rows).coalesce(1).write.mode("overwrite").json(path)

@@ -15,18 +15,21 @@ def put_if_absent(old: Column, new: Column) -> Column:
 
 
 def merged(discovered: DataFrame, pages: DataFrame) -> DataFrame:
-    """Register rows and page records by key. The register is believed on joint id, status and act, the page on article and topic.
+    """Register rows and page records by key. The register is believed on joint id, status, act and who answered, the page on article and topic.
 
     Where the page names another act than the register, the page's own words are kept aside.
     """
-    r = discovered.select("key", *[F.col(c).alias(f"r_{c}") for c in ("joint_id", "status", "legal_act_raw", "article", "topic", "date_submission", "date_publication")])
+    r = discovered.select("key", *[F.col(c).alias(f"r_{c}") for c in ("joint_id", "status", "legal_act_raw", "article", "topic", "answered_by", "date_submission", "date_publication") if c in discovered.columns])
     rows = pages.join(r, "key")
     page_act, act = nz(F.col("legal_act_raw")), nz(F.col("r_legal_act_raw"))
     differs = (page_act != "") & (act != "") & (act_ref(page_act) != act_ref(act))
     lone = F.create_map(F.lit("portal_legal_act"), page_act)
     extra = F.coalesce("extra", F.create_map().cast("map<string,string>"))
     extra = F.when(differs, F.map_concat(F.map_filter(extra, lambda k, _: k != "portal_legal_act"), lone)).otherwise(extra)
-    given = F.create_map(F.lit("submission"), F.col("r_date_submission"), F.lit("publication"), F.col("r_date_publication"))
+    if "answered_by" in discovered.columns:
+        by = nz(F.col("r_answered_by"))
+        extra = F.when(by != "", F.map_concat(F.map_filter(extra, lambda k, _: k != "answered_by"), F.create_map(F.lit("answered_by"), by))).otherwise(extra)
+    given = F.create_map(F.lit("submission_to_esas"), F.col("r_date_submission"), F.lit("publication_final_answer"), F.col("r_date_publication"))
     dates = put_if_absent(F.coalesce("dates", F.create_map().cast("map<string,string>")), given)
     new = {
         "joint_id": first_of(F.col("r_joint_id"), F.col("joint_id")),

@@ -46,40 +46,47 @@ class Run:
     totals: DataFrame
     ok: bool
     last_full_sweep: str
+    run: DataFrame | None = None  # the run log's row; none for a limited run
 
 
 def key_of(authority: F.Column, url: F.Column) -> F.Column:
     return F.concat(authority, F.lit(":"), url_slug(url))
 
 
-def discover(landed: Landed, config: Config, mode: select.RunMode, authorities: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
-    """(candidates: source_seq, authority, key, urls, in_window and what the register says; rows without an address)."""
+def discover(landed: Landed, config: Config, mode: select.RunMode, authorities: tuple[str, ...]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(candidates: source_seq, authority, key, urls, in_window and what the register says; rows without an address; authority of every entry of an index)."""
     joint, lost = None, None
     for seq, act in enumerate(config.joint_acts.values()):
         rows = register.filter_register(landed.register, act.register_act, list(act.statuses), list(authorities))
         good, bad = register.split_unreachable(register.repair_links(rows))
         good = good.withColumns({"source_seq": F.lit(seq), "default_ref": F.lit(act.act_ref)})
         joint, lost = (good, bad) if joint is None else (joint.unionByName(good), lost.unionByName(bad))
-    said = ("joint_id", "status", "legal_act_raw", "article", "topic", "date_submission", "date_publication")
+    said = ("joint_id", "status", "legal_act_raw", "article", "topic", "answered_by", "date_submission", "date_publication")
+    entries = landed.listing.where(F.lit("eba" in authorities)).select("url").distinct().select(F.lit("eba").alias("authority"))
     window = landed.window.select(url_slug(F.col("url")).alias("slug")).distinct().withColumn("in_window", F.lit(True))
     listed = landed.listing.where(F.lit("eba" in authorities)).select("url", url_slug(F.col("url")).alias("slug")).dropDuplicates(["slug"]).join(window, "slug", "left")
     listed = listed.select(F.lit(len(config.joint_acts)).alias("source_seq"), F.lit("eba").alias("authority"), F.concat(F.lit("eba:"), "slug").alias("key"), F.array("url").alias("urls"), F.coalesce("in_window", F.lit(False)).alias("in_window"), F.lit(config.default_act_ref).alias("default_ref"), *[F.lit("").alias(c) for c in said])
     if joint is None:
-        return listed, landed.register.where("false")
+        return listed, landed.register.where("false"), entries
+    entries = entries.unionByName(joint.select("authority"))
     urls = F.concat(F.array("link"), "link_alts")
     joint = joint.select("source_seq", "authority", key_of(F.col("authority"), F.col("link")).alias("key"), urls.alias("urls"), select.in_window(F.col("date_publication"), mode.window_start).alias("in_window"), "default_ref", *[nz(F.col(c)).alias(c) for c in said])
-    return joint.dropDuplicates(["key"]).unionByName(listed.join(joint.select("key"), "key", "left_anti")), lost
+    return joint.dropDuplicates(["key"]).unionByName(listed.join(joint.select("key"), "key", "left_anti")), lost, entries
 
 
 def mirror_run(landed: Landed, records: DataFrame, state: DataFrame, last_full_sweep: str, config: Config, now: str, work: str, authorities: tuple[str, ...] = AUTHORITIES, limit_per_source: int = 0, full: bool = False, sweep: bool = False, allow_mass_delisting: bool = False) -> Run:
     """records: the stored ones (with key). The result's tables replace the stored ones when the caller commits them. work: a shared folder for the run's steps."""
     spark = records.sparkSession
     mode = select.run_mode(last_full_sweep, now, full, sweep, config.verify_after_days, config.window_days, config.sweep_after_days, config.daily_verify_budget)
-    if landed.window_announced is not None:
-        n = landed.window.count()
-        if n > 1.5 * landed.window_announced + 3 or n > config.window_max:
-            landed = replace(landed, window=landed.window.where("false"))  # not to be believed
-    found, lost = discover(landed, config, mode, authorities)
+    n = landed.window.select(url_slug(F.col("url"))).distinct().count()
+    if n > config.window_max or (landed.window_announced is not None and n > 1.5 * landed.window_announced + 3):
+        landed = replace(landed, window=landed.window.where("false"))  # not to be believed
+    # a listing that can't be read to its end within the page budget isn't begun
+    too_long = landed.announced is not None and "eba" in authorities and -(-landed.announced // 20) > config.max_pages
+    if too_long or landed.listing_failed:
+        landed = replace(landed, listing=landed.listing.where("false"), window=landed.window.where("false"))
+    listed = landed.listing.select("url").distinct().count()
+    found, lost, entries = discover(landed, config, mode, authorities)
     at = f"{work}/{uuid.uuid4().hex}"
 
     def keep(df: DataFrame, name: str) -> DataFrame:
@@ -97,7 +104,7 @@ def mirror_run(landed: Landed, records: DataFrame, state: DataFrame, last_full_s
     rows = keep(merge.merged(chosen, got.withColumn("source_url", F.col("url"))), "merged")
     rows = rows.join(chosen.select("key", "source_seq", "default_ref"), "key")
     act = finalised(F.col("legal_act_raw"), F.lit(""), "", config.act_labels)
-    by_default = finalised(F.lit(""), F.lit(""), config.default_act_ref, config.act_labels)
+    by_default = finalised(F.lit(""), F.lit(""), F.col("default_ref"), config.act_labels)
     rows = rows.withColumn("act", F.when(nz(F.col("legal_act_raw")) == "", by_default).otherwise(act))
     rows = rows.withColumns({"legal_act": F.col("act.legal_act"), "legal_act_ref": F.col("act.legal_act_ref"), "slug": F.regexp_replace("key", "^[^:]*:", ""), "retrieved_at": F.lit(now)})
     rows = rows.withColumn("family", act_family(F.col("legal_act")))
@@ -109,11 +116,10 @@ def mirror_run(landed: Landed, records: DataFrame, state: DataFrame, last_full_s
     # events of the run, one row each, from which counters and completeness follow
     event = lambda df, name, ok=True: df.select("authority", F.lit(name).alias("event"), F.lit(ok).alias("ok"))
     failed = chosen.join(rows.select("key"), "key", "left_anti")
-    events = [event(found, "enumerated"), event(found, "seen"), event(wanted, "checked"), event(new, "written"), event(failed, "errors", False), event(lost, "errors", False)]
-    broken = {("eba", landed.listing_failed or landed.archive_failed)} | {(a, landed.register_failed) for a in authorities}
-    if landed.announced is not None and "eba" in authorities and not limit_per_source:
-        listed = found.where(listed_only).count()
-        broken.add(("eba", listed < 0.95 * landed.announced or -(-landed.announced // 20) > config.max_pages))
+    # what was fetched and has the status asked for is seen and checked
+    events = [event(entries, "enumerated"), event(wanted, "seen"), event(wanted, "checked"), event(new, "written"), event(failed, "errors", False), event(lost, "errors", False)]
+    short = landed.announced is not None and "eba" in authorities and not limit_per_source and listed < 0.95 * landed.announced
+    broken = {("eba", landed.listing_failed or too_long or short)} | {(a, landed.register_failed) for a in authorities}
     wrong = [(a,) for a, bad in sorted(broken) if bad]
     if wrong:
         events.append(event(spark.createDataFrame(wrong, "authority string"), "errors", False))
@@ -125,6 +131,10 @@ def mirror_run(landed: Landed, records: DataFrame, state: DataFrame, last_full_s
     done = idle.join(done.withColumnsRenamed({"complete": "c", "errors": "e"}), "authority", "left").select("authority", (F.coalesce("c", F.lit(True)) & F.lit(not limit_per_source)).alias("complete"), F.coalesce("e", F.lit(0)).alias("errors"))
     archive = landed.archive.select(F.lit("eba").alias("authority"), url_slug(F.col("url")).alias("slug")).distinct()
     marks = keep(tombstone.tombstones(state, found.select("key"), archive, keep(done, "done"), allow_mass_delisting), "marks")
+    if landed.archive_failed and not marks.where("authority = 'eba'").isEmpty():
+        # what is missing can't be told apart, so nothing is concluded
+        log = log.unionByName(event(spark.createDataFrame([("eba",)], "authority string"), "errors", False))
+        marks = marks.where("authority <> 'eba'")
     braked = marks.where("blocked").select("authority").distinct()
     log = log.unionByName(event(braked, "errors", False)).unionByName(marks.where("NOT blocked").select("authority", F.col("field").alias("event"), F.lit(True).alias("ok")))
     totals = keep(runs.totals(log), "totals")
@@ -133,4 +143,6 @@ def mirror_run(landed: Landed, records: DataFrame, state: DataFrame, last_full_s
     stored = tombstone.apply_marks(merge.upserted(records, new.select(*columns)), marks, now[:10])
     next_ = tombstone.buried(merge.next_state(state, wanted, now), marks)
     everyone = set(authorities) >= set(AUTHORITIES)
-    return Run(stored, next_, marks, totals, ok, runs.sweep_watermark(last_full_sweep, now[:10], mode.sweep, ok, bool(limit_per_source), everyone))
+    next_ = keep(next_, "state")
+    row = None if limit_per_source else runs.run_row(totals, next_, now, mode.sweep, authorities, full)
+    return Run(stored, next_, marks, totals, ok, runs.sweep_watermark(last_full_sweep, now[:10], mode.sweep, ok, bool(limit_per_source), everyone), row)

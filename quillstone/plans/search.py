@@ -77,6 +77,11 @@ def matches(groups: list[list[Term]], hay: Column) -> Column:
     def one(t: Term) -> Column:
         if t.kind == "phrase" or (t.kind == "pattern" and not _valid(t.value)):
             return F.contains(hay, F.lit(t.value.lower()))
+        if t.kind == "word":
+            # the word itself first, by plain search, and what stands before it only where it is
+            quoted = re.escape(t.value)
+            there = F.contains(hay, F.lit(t.value))
+            return there & F.rlike(hay, F.lit(f"{quoted}(?<![a-z0-9_]{quoted})")) if re.match(r"[a-z0-9_]", t.value) else there
         return F.rlike(hay, F.lit("(?iu)" + pattern_of(t)))
 
     if not groups:

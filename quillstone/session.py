@@ -1,5 +1,9 @@
 """Sessions with the settings the engine expects."""
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 
@@ -13,4 +17,20 @@ def session(master: str | None = None, shuffle_partitions: int | None = None, **
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in conf.items():
         b = b.config(k, v)
-    return b.getOrCreate()
+    spark = b.getOrCreate()
+    ship(spark)
+    return spark
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the workers, which import it by name, once per application."""
+    if getattr(spark.sparkContext, "_quillstone_sent", False):
+        return
+    root = Path(__file__).resolve().parent
+    with tempfile.TemporaryDirectory() as folder:
+        path = f"{folder}/quillstone.zip"
+        with zipfile.ZipFile(path, "w") as z:
+            for f in sorted(root.rglob("*.py")):
+                z.write(f, f.relative_to(root.parent))
+        spark.sparkContext.addPyFile(path)  # copied to where the driver serves it from
+    spark.sparkContext._quillstone_sent = True

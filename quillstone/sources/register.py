@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.text import candidate_links, ceil_div, first_integer, nz
+from ..functions.text import candidate_links, ceil_div, epoch_ms_date, first_integer, nz, strip
 
 
 def loose_column(columns: list[str], *needles: str) -> str:
@@ -36,7 +36,8 @@ def decode_cells(rows: DataFrame, desc: DataFrame, dictionary: DataFrame) -> Dat
     Rows of one column form one window: results of one query (30,000 rows at most) are decoded at a time, ``result`` (if rows have it) tells them apart.
     """
     by = ["result"] if "result" in rows.columns else []
-    cells = rows.join(F.broadcast(desc)) if not by else rows.crossJoin(F.broadcast(desc))  # a row per column of the result
+    columns = [F.struct(F.lit(r["col"]).cast("int").alias("col"), F.lit(r["name"]).alias("name"), F.lit(r["dict"]).cast("string").alias("dict")) for r in desc.orderBy("col").collect()]  # a row per column of the result
+    cells = rows.select("*", F.inline(F.array(*columns)))
     bit = lambda mask: F.expr(f"shiftright({mask}, col) & 1")
     cells = cells.withColumns({"repeat": bit("r") == 1, "is_null": bit("n") == 1})
     at = F.expr("bit_count(~(r | n) & (shiftleft(1L, col) - 1)) + 1")
@@ -50,6 +51,36 @@ def decode_cells(rows: DataFrame, desc: DataFrame, dictionary: DataFrame) -> Dat
     return cells.select(*by, "i", "col", "name", F.when(F.col("word").isNotNull(), F.col("word")).otherwise(F.col("value")).alias("value"))
 
 
+# What the names of the register's columns hold, whatever their case.
+REGISTER_COLUMNS = {
+    "joint_id": ("joint", "id"),
+    "authority": ("receiving esa",),
+    "native_id": ("id at the esa",),
+    "link": ("link to the answer",),
+    "status": ("status",),
+    "legal_act_raw": ("legal act",),
+    "article": ("article",),
+    "topic": ("topic",),
+    "answered_by": ("answered by",),
+    "date_submission": ("submission",),
+    "date_publication": ("publication",),
+}
+
+
+def register_rows(decoded: DataFrame, needles: dict[str, tuple[str, ...]] = REGISTER_COLUMNS) -> DataFrame:
+    """Decoded columns of a result, found by parts of their names, as register rows: strings, dates from milliseconds or as they are, '' for what is missing."""
+
+    def field(name: str, parts: tuple[str, ...]) -> Column:
+        found = "`" + loose_column(decoded.columns, *parts) + "`"
+        text = F.col(found).cast("string")
+        if name.startswith("date_"):
+            return nz(F.when(F.rlike(text, F.lit(r"^-?\d{9,}$")), epoch_ms_date(text.cast("long"))).otherwise(text))
+        return F.lower(strip(nz(text))) if name == "authority" else strip(nz(text))
+
+    rows = decoded.select(*[field(k, v).alias(k) for k, v in needles.items()])
+    return rows.withColumn("link_alts", F.array().cast("array<string>"))
+
+
 def decode_rows(rows: DataFrame, desc: DataFrame, dictionary: DataFrame, names: list[str]) -> DataFrame:
     """A row per i with a column per name."""
     return decode_cells(rows, desc, dictionary).groupBy("i").pivot("name", names).agg(F.first("value"))
@@ -77,10 +108,19 @@ def split_unreachable(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def listing_links(pages: DataFrame, href: str) -> DataFrame:
-    """pages: source, page_no, html (and retry_html, a second read of a barren page). (source, page_no, link), distinct on a page."""
-    html = F.col("html") if "retry_html" not in pages.columns else F.concat(nz(F.col("html")), F.lit("\n"), nz(F.col("retry_html")))
-    found = F.array_distinct(F.regexp_extract_all(nz(html), F.lit(href), F.lit(1)))
-    return pages.select("source", "page_no", F.explode_outer(found).alias("link"))
+    """pages: source, page_no, html (and retry_html, a second read). (source, page_no, link), distinct on a page; null for a page without.
+
+    A second read counts, in place of the first, only for a page whose first read has no link that earlier pages' first reads don't have.
+    """
+    links_in = lambda c: F.array_distinct(F.regexp_extract_all(nz(F.col(c)), F.lit(href), F.lit(1)))
+    if "retry_html" not in pages.columns:
+        return pages.select("source", "page_no", F.explode_outer(links_in("html")).alias("link"))
+    rows = pages.select("source", "page_no", links_in("html").alias("links"), F.when(F.col("retry_html").isNotNull(), links_in("retry_html")).alias("again"))
+    fresh = rows.select("source", "page_no", F.explode("links").alias("link")).groupBy("source", "link").agg(F.min("page_no").alias("page_no"))
+    fresh = fresh.select("source", "page_no").distinct().withColumn("fresh", F.lit(True))
+    rows = rows.join(fresh, ["source", "page_no"], "left")
+    read = F.when(F.col("fresh").isNull() & F.col("again").isNotNull(), F.col("again")).otherwise(F.col("links"))
+    return rows.select("source", "page_no", F.explode_outer(read).alias("link"))
 
 
 def walk(links: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -62,12 +62,30 @@ def test_markdown_round_trip(spark, tmp_path):
     text = (tmp_path / "dora" / "esma-7.md").read_text()
     assert 'date_final_publishing_date_iso: "2024-05-20"' in text and "## Background" not in text
     idx = index.index_rows(corpus.read_records(spark, str(tmp_path)))
-    assert {r["qa_id"]: (r["date"], r["article"], r["mirrored"]) for r in idx.collect()}["7"] == ("20/05/2024", "5", "2024-01-02")
+    assert {r["qa_id"]: (r["date"], r["article"], r["mirrored"]) for r in idx.collect()}["7"] == ("2024-05-20", "5", "2024-01-02")
+    meta = index.manifest_meta(idx, spark.createDataFrame([("a:1", "h", "2024-01-03T00:00:00Z"), ("a:2", "delisted:h", "2023-01-01T00:00:00Z")], schemas.STATE), "2024-01-01").first()
+    assert tuple(meta) == (2, "2024-01-01", "2024-01-03")
     index.write_index(idx, str(tmp_path / "index"))
     assert spark.read.json(str(tmp_path / "index")).count() == 2
     assert {tuple(r) for r in index.manifest(idx).collect()} == {("dora", 1, "DORA", "esma"), ("crr", 1, "DORA", "esma")}
 
 
+@pytest.mark.parametrize(
+    ("dates", "want"),
+    [
+        ({"final_publishing_date": "sometime", "publication_final_answer": "2021-02-03", "submission_date": "01/01/2020"}, "2021-02-03"),
+        ({"publication_final_answer": "5 March 2021", "submission_to_esas": "2019-01-01"}, "2021-03-05"),
+        ({"submission_date": "01/02/2020"}, "2020-02-01"),
+        ({"date_of_publication": "01/02/2020"}, ""),
+    ],
+)
+def test_index_dates_are_iso_days(spark, tmp_path, dates, want):
+    rows = a_record(spark).withColumn("dates", F.create_map(*[F.lit(x) for kv in dates.items() for x in kv]))
+    corpus.export_markdown(rows, str(tmp_path))
+    for r in (rows.withColumn("file", F.lit("f")), corpus.read_records(spark, str(tmp_path))):
+        assert [x["date"] for x in index.index_rows(r).collect()] == [want]
+
+
 def test_content_hash_leaves_the_time_out(spark):
     h = lambda **m: a_record(spark, **m).select(corpus.content_hash().alias("h")).first()["h"]
     assert h() == h(retrieved_at="2030-01-01T00:00:00Z") != h(answer="other")
@@ -107,6 +125,19 @@ def test_walk(spark, pages, want):
     assert sorted(r["link"] for r in register.complete_walk(pages_of(spark, *pages)).collect()) == list(want)
 
 
+def test_a_second_read_counts_for_barren_pages_only(spark):
+    pages = spark.createDataFrame([("s", 0, "<a x=1>", "<a x=9>"), ("s", 1, "<a x=1>", "<a x=2>"), ("s", 2, "", None), ("s", 3, "<a x=3>", "<a x=8>")], "source string, page_no int, html string, retry_html string")
+    got = register.listing_links(pages, r"<a x=(\d)>").collect()
+    assert sorted((r["page_no"], r["link"] or "") for r in got) == [(0, "1"), (1, "2"), (2, ""), (3, "3")]
+
+
+def test_register_rows_from_decoded_columns(spark):
+    names = ["Q.Joint ID", "Q.Receiving ESA", "Q.ID at the ESA", "Q.Link to the answer", "Q.Status", "Q.Legal act", "Q.Article", "Q.Topic", "Q.Answered by", "Q.Date of submission", "Q.Date of publication"]
+    decoded = spark.createDataFrame([(" DORA1 ", "ESMA", "77", None, "Final", "DORA", "5", "t", "EC", "1704067200000", "2024-02-03")], ", ".join(f"`{n}` string" for n in names))
+    got = register.register_rows(decoded).first()
+    assert tuple(got) == ("DORA1", "esma", "77", "", "Final", "DORA", "5", "t", "EC", "2024-01-01", "2024-02-03", [])
+
+
 def test_a_truncated_walk_is_an_error(spark):
     with pytest.raises(register.ListingTruncated):
         register.complete_walk(pages_of(spark, ["a"], ["b"]))
@@ -185,11 +216,11 @@ def test_marks_are_exclusive(spark):
 
 
 def test_merge(spark):
-    pages = spark.createDataFrame([("k", "", "Draft", "Directive 2013/36/EU", "5", "", {"submission": "x"}, {})], "key string, joint_id string, status string, legal_act_raw string, article string, topic string, dates map<string,string>, extra map<string,string>")
+    pages = spark.createDataFrame([("k", "", "Draft", "Directive 2013/36/EU", "5", "", {"submission_to_esas": "x"}, {})], "key string, joint_id string, status string, legal_act_raw string, article string, topic string, dates map<string,string>, extra map<string,string>")
     reg = spark.createDataFrame([("k", "DORA1", "Final", "(EU) 2022/2554", "9", "T", "2024-01-01", "2024-02-02")], "key string, joint_id string, status string, legal_act_raw string, article string, topic string, date_submission string, date_publication string")
     r = merge.merged(reg, pages).first()
     assert (r["joint_id"], r["status"], r["legal_act_raw"], r["article"], r["topic"]) == ("DORA1", "Final", "(EU) 2022/2554", "5", "T")
-    assert r["dates"] == {"submission": "x", "publication": "2024-02-02"} and r["extra"] == {"portal_legal_act": "Directive 2013/36/EU"}
+    assert r["dates"] == {"submission_to_esas": "x", "publication_final_answer": "2024-02-02"} and r["extra"] == {"portal_legal_act": "Directive 2013/36/EU"}
     assert merge.with_status(pages, "final").count() == 0 and merge.with_status(pages, "").count() == 1
 
 
@@ -259,3 +290,18 @@ def test_stream_applies_each_change_once(spark, tmp_path):
     assert records == {"a:1": "2", "a:2": "1", "a:3": "3"}  # an unchanged record isn't written again
     state = {r["key"]: (r["hash"], r["verified_at"]) for r in cdc.latest(spark, out, "state", schemas.STATE).collect()}
     assert state == {"a:1": ("h2", "t2"), "a:2": ("x", "t1"), "a:3": ("n", "t2")}
+
+
+def test_searches_read_only_the_families_asked_for(spark, tmp_path):
+    rows = a_record(spark, rows=[{"slug": str(i), "qa_id": str(i), "family": f"f{i % 4}", "question": f"thing {i}"} for i in range(12)]).withColumn("file", F.lit("x"))
+    index.write_search_table(index.index_rows(rows), str(tmp_path / "t"))
+    got = S.search(spark.read.parquet(str(tmp_path / "t")), "thing", families=["f1", "f2"])
+    assert {r["qa_id"] for r in got.collect()} == {str(i) for i in range(12) if i % 4 in (1, 2)}
+    plan = got._jdf.queryExecution().explainString(got._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert "PartitionFilters: [family" in plan
+
+
+@pytest.mark.parametrize(("word", "hay", "want"), [("thing", "athing thing", True), ("thing", "athing", False), ("thing", "\u00e9thing", True), ("9a", "x-9a", True), ("c++", "c++ c", True), ("\u00e9t", "x\u00e9t", True), ("thing", "things", True)])
+def test_words_match_at_their_beginning(spark, word, hay, want):
+    df = spark.createDataFrame([(hay,)], "hay string")
+    assert df.select(S.matches(S.parse_query(word), F.col("hay")).alias("m")).first()["m"] == want
