@@ -1,5 +1,7 @@
 """Sessions with the settings the engine expects."""
 
+import atexit
+import shutil
 import tempfile
 import zipfile
 from pathlib import Path
@@ -26,11 +28,11 @@ def ship(spark: SparkSession) -> None:
     """Send this package to the workers, which import it by name, once per application."""
     if getattr(spark.sparkContext, "_quillstone_sent", False):
         return
-    root = Path(__file__).resolve().parent
-    with tempfile.TemporaryDirectory() as folder:
-        path = f"{folder}/quillstone.zip"
-        with zipfile.ZipFile(path, "w") as z:
-            for f in sorted(root.rglob("*.py")):
-                z.write(f, f.relative_to(root.parent))
-        spark.sparkContext.addPyFile(path)  # copied to where the driver serves it from
+    root, folder = Path(__file__).resolve().parent, tempfile.mkdtemp(prefix="quillstone-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)  # the driver serves it as long as it runs
+    path = f"{folder}/quillstone.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    spark.sparkContext.addPyFile(path)
     spark.sparkContext._quillstone_sent = True
