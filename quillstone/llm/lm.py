@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, own_columns
-from .words import U, Words, mix, slices
+from .words import U, Words, is_huge, mix, parts, slices
 
 HEAD = 1 << 17
 CONTEXT, SIZE, LEAST_CLASSES = 3, 16, 64
@@ -46,6 +46,14 @@ _UNIT = 2.0**-36
 
 def tokens(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Numbers of all tokens of a slice, what shared class they go by (31 bits of how they begin), and where each text's begin; each text ends with END."""
+    if not is_huge(data, at):
+        return _tokens(data, at)
+    found = [_tokens(data[a:b], np.array([0, b - a]))[:2] for a, b in parts(data)]
+    out, form = (np.concatenate([*(x[k][:-1] for x in found), found[-1][k][-1:]]) for k in (0, 1))  # one end
+    return out, form, np.array([0, len(out)])
+
+
+def _tokens(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     w = Words(data, at)
     rows = len(w.count)
     first = w.first + np.arange(rows + 1)
@@ -286,7 +294,7 @@ def _deal(training: DataFrame, head: Head, classes: int, parts: int, seed: int,
 
 
 def _round(dealt: DataFrame, begun: Broadcast, groups: int, classes: int, seed: list[int]) -> DataFrame:
-    """The parts' models after a round: i, x (in whole units) and n (how many parts)."""
+    """The parts' models after a round, added up: i, x (in whole units; roots of the sums of squares after the weights) and n (how many parts)."""
     kind = np.uint16 if classes <= 1 << 16 else np.uint32
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -307,7 +315,7 @@ def _round(dealt: DataFrame, begun: Broadcast, groups: int, classes: int, seed:
             nonlocal sums, models
             if learner is not None:
                 work(0)
-                x = np.rint(np.concatenate([learner.model.flat(), learner.squares.flat()]).astype(np.float64) / _UNIT).astype(np.int64)
+                x = np.rint(np.concatenate([learner.model.flat(), np.sqrt(learner.squares.flat())]).astype(np.float64) / _UNIT).astype(np.int64)
                 sums, models = x if sums is None else sums + x, models + 1
 
         for b in batches:
@@ -327,7 +335,7 @@ def _round(dealt: DataFrame, begun: Broadcast, groups: int, classes: int, seed:
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(sums))), pa.array(sums), pa.array(np.full(len(sums), models))], ["i", "x", "n"])
 
     rows = dealt.select("part", "h", "ids").repartition("part").sortWithinPartitions("part", "h")
-    return rows.mapInArrow(run, "i long, x long, n long").groupBy("i").agg(F.sum("x").alias("x"), F.sum("n").alias("n"))
+    return rows.mapInArrow(run, "i long, x long, n long").groupBy("i").agg(F.sum(F.col("x").cast("decimal(20,0)")).alias("x"), F.sum("n").alias("n"))
 
 
 def fit(training: DataFrame, scratch: Scratch, seed: int = 0) -> Fitted:
@@ -362,8 +370,8 @@ def fit(training: DataFrame, scratch: Scratch, seed: int = 0) -> Fitted:
             begun = spark.sparkContext.broadcast((model.flat(), squares.flat(), n_class))
             got = _round(dealt.where(F.col("turn") == step % len(ROUNDS)), begun, groups, classes, [seed, step]).toArrow().sort_by("i")  # a row per parameter
             if len(got):  # a turn may have no text
-                mean = (got.column("x").to_numpy() / got.column("n").to_numpy() * _UNIT).astype(np.float32)
-                model, squares = Model.of(mean[:size], groups, classes), Model.of(mean[size:], groups, classes)
+                mean = (got.column("x").cast(pa.float64()).to_numpy() / got.column("n").to_numpy() * _UNIT).astype(np.float32)
+                model, squares = Model.of(mean[:size], groups, classes), Model.of(mean[size:] ** 2, groups, classes)
             begun.unpersist()
         scratch.drop(dealt)
     return Fitted(model, head, n_class, v_class, total, distinct, counts)
