@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import Scratch, free_name, maybe_broadcast, own_columns
-from .words import U, Words, mix, shingles, slices
+from .words import U, hashed, mix, shingles, slices
 
 BUCKETS, MANTISSA = 256, 10
 #: Two sets at the threshold share no band at most this often, and no more bands than spare_bands() at most that often.
@@ -119,7 +119,7 @@ def sketches(docs: DataFrame) -> DataFrame:
         for b in batches:
             ids = b.column("doc_id")
             for lo, hi, data, at in slices(b.column("text")):
-                sets = list(shingles(Words(data, at), WORDS))
+                sets = list(shingles(hashed(data, at), WORDS))
                 reg = registers(sets)
                 with np.errstate(over="ignore"):
                     set_id = [np.array([len(s), *((mix(s ^ U(k)).sum(dtype=U)) for k in (1, 2))], U).tobytes() if len(s) else None for s in sets]
@@ -156,7 +156,7 @@ def _sets(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo, hi, data, at in slices(b.column("text")):
-                sets = shingles(Words(data, at), WORDS)
+                sets = shingles(hashed(data, at), WORDS)
                 yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(lo, hi - lo), _binary([s.tobytes() for s in sets])], ["doc_id", "shingles"])
 
     return docs.mapInArrow(run, "doc_id long, shingles binary")
@@ -290,7 +290,7 @@ def _occurrences(docs: DataFrame) -> DataFrame:
         for b in batches:
             ids = b.column("doc_id").to_numpy()
             for lo, hi, data, at in slices(b.column("text")):
-                sets = list(shingles(Words(data, at), WORDS))
+                sets = list(shingles(hashed(data, at), WORDS))
                 n = np.array([len(s) for s in sets], np.int64)
                 key = np.concatenate(sets).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids[lo:hi], n)), pa.array(np.repeat(n, n)), pa.array(key)], ["doc_id", "n", "key"])

@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-from .words import _LOWER, _SPACE, U, _powers, mix, slices
+from .words import _LOWER, _SPACE, U, _powers, is_huge, mix, parts, slices
 
 #: A cache of pieces that each worker keeps: slots, and ids after which it starts anew.
 SLOTS, KEPT_IDS = 19, 1 << 21
@@ -123,7 +123,7 @@ class Coder:
 
     def _forget(self) -> None:
         self._hash = np.zeros(1 << SLOTS, U)
-        self._place = np.zeros(1 << SLOTS, np.int64)  # begin << 24 | n
+        self._place = np.zeros(1 << SLOTS, np.int64)  # begin << 32 | n
         self._ids, self._used = np.zeros(1 << 20, np.int32), 0
 
     def _store(self, ids: np.ndarray) -> int:
@@ -209,11 +209,11 @@ class Coder:
             new_key, first, back = np.unique(key[miss], return_index=True, return_inverse=True)
             f = miss[first]
             begin, n = self._learn(low, raw, piece[f], stop[f], odd[word[f]])
-            found = begin << 24 | n
+            found = begin << 32 | n
             place[miss] = found[back]
             slot = (new_key >> U(64 - SLOTS)).astype(np.int64)
             self._hash[slot], self._place[slot] = new_key, found
-        begin, n = place >> 24, place & (1 << 24) - 1
+        begin, n = place >> 32, place & (1 << 32) - 1
         ends = np.cumsum(n)
         where = np.repeat(begin - (ends - n), n) + np.arange(ends[-1])
         pieces = np.searchsorted(piece, at)
@@ -230,5 +230,9 @@ def encoded(texts: pa.Array, path: str, end: int | None = 1) -> Iterator[tuple[i
     """(first row, ids of each text of a slice), each followed by the id that ends a document; null texts have no other."""
     tail = np.array([] if end is None else [end], np.uint32)
     for lo, hi, data, begins in slices(texts):
-        ids, at = coder(path).encode(data, begins)
+        if is_huge(data, begins):
+            ids = np.concatenate([coder(path).encode(data[a:b], np.array([0, b - a]))[0] for a, b in parts(data)])
+            at = np.array([0, len(ids)])
+        else:
+            ids, at = coder(path).encode(data, begins)
         yield lo, [np.concatenate([ids[at[i] : at[i + 1]], tail]) for i in range(hi - lo)]

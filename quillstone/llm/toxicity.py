@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import lean, own_columns
-from .words import U, Words, slices
+from .words import U, Words, is_huge, parts, slices
 
 #: Weights are looked up by this many bits of a feature's number.
 BITS = 18
@@ -152,12 +152,45 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, seed: in
     return model
 
 
-def _scored(data: np.ndarray, at: np.ndarray, m: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, Words]:
-    """Scores of a slice's texts, those of their sentences, the first word of each sentence, and the words."""
-    f, s, w = features(data, at)
-    p = 1 / (1 + np.exp(-np.clip(sentence_logits(f, s, m), -30, 30)))
-    first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]])) if len(s) else np.zeros(0, np.int64)
-    return -np.expm1(np.bincount(w.row[first], np.log1p(-np.minimum(p, 1 - 1e-12)), len(at) - 1)), p, first, w
+@dataclass
+class Scored:
+    """A slice's texts: scores, and per sentence its score, its text's row, and the bytes of its begin and end."""
+
+    score: np.ndarray
+    sentence: np.ndarray
+    owner: np.ndarray
+    start: np.ndarray
+    end: np.ndarray
+
+
+def _scored(data: np.ndarray, at: np.ndarray, m: Model) -> Scored:
+    """Scores of a slice's texts. A huge text is read in parts, whose sentences go on where the part before ends inside one."""
+    if is_huge(data, at):
+        logit, start, end = [np.zeros(0)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for lo, hi in parts(data):
+            f, s, w = features(data[lo:hi], np.array([0, hi - lo]))
+            if not len(s):
+                continue
+            x = sentence_logits(f, s, m) - m.bias
+            first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
+            begin, stop = w.start[first] + lo, w.end[np.append(first[1:], len(s)) - 1] + lo
+            if len(end[-1]) and not _STOP[data[end[-1][-1] - 1 : begin[0]]].any():
+                logit[-1][-1] += x[0]
+                end[-1][-1] = stop[0]
+                x, begin, stop = x[1:], begin[1:], stop[1:]
+            if len(x):
+                logit.append(x)
+                start.append(begin)
+                end.append(stop)
+        logit, start, end = np.concatenate(logit) + m.bias, np.concatenate(start), np.concatenate(end)
+        owner = np.zeros(len(logit), np.int64)
+    else:
+        f, s, w = features(data, at)
+        logit = sentence_logits(f, s, m)
+        first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]])) if len(s) else np.zeros(0, np.int64)
+        start, end, owner = w.start[first], w.end[np.append(first[1:], len(s))[: len(first)] - 1], w.row[first]
+    p = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
+    return Scored(-np.expm1(np.bincount(owner, np.log1p(-np.minimum(p, 1 - 1e-12)), len(at) - 1)), p, owner, start, end)
 
 
 def scores(docs: DataFrame, model: Model) -> DataFrame:
@@ -170,15 +203,15 @@ def scores(docs: DataFrame, model: Model) -> DataFrame:
         for b in batches:
             for lo, hi, data, at in slices(b.column("text")):
                 n = hi - lo
-                score, p, first, w = _scored(data, at, m)
-                last, owner = np.append(first[1:], len(w.row)) - 1, w.row[first]
+                got = _scored(data, at, m)
+                p, owner, first = got.sentence, got.owner, np.arange(len(got.owner))
                 order = np.lexsort((first, -p, owner))
                 worst = order[np.concatenate([[True], owner[order][1:] != owner[order][:-1]])] if len(order) else order
                 start, end, top = np.full(n, -1), np.full(n, -1), np.zeros(n)
                 who = owner[worst]
-                start[who], end[who], top[who] = w.start[first[worst]] - at[who], w.end[last[worst]] - at[who], p[worst]
+                start[who], end[who], top[who] = got.start[worst] - at[who], got.end[worst] - at[who], p[worst]
                 none = pa.array(start < 0)
-                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(lo, n), pa.array(score), *(pa.compute.if_else(none, pa.scalar(None, x.type), x) for x in map(pa.array, (start, end, top)))], names)
+                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(lo, n), pa.array(got.score), *(pa.compute.if_else(none, pa.scalar(None, x.type), x) for x in map(pa.array, (start, end, top)))], names)
 
     import pyarrow.compute  # noqa: F401, PLC0415  for pa.compute
 
@@ -196,6 +229,6 @@ def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
         m = Model(shared.value[0].astype(np.float64), shared.value[1])
         for b in batches:
             for lo, hi, data, begins in slices(b.column(at)):
-                yield b.slice(lo, hi - lo).filter(pa.array(_scored(data, begins, m)[0] < threshold))
+                yield b.slice(lo, hi - lo).filter(pa.array(_scored(data, begins, m).score < threshold))
 
     return docs.mapInArrow(run, docs.schema)

@@ -7,13 +7,14 @@ read off one running sum over the slice and then mixed, so no Python code runs p
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 
 U = np.uint64
-#: Bytes of text worked on at a time; a longer text makes a slice of its own.
-SLICE = 1 << 19
+#: Bytes of text worked on at a time; a longer text makes a slice of its own, and one of more than CUT bytes is worked on in parts.
+SLICE, CUT = 1 << 19, 1 << 22
 _BASE = 0x9E3779B97F4A7C15
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -85,7 +86,46 @@ class Words:
             return mix((self._sums[end] - self._sums[self.start]) * self._inverse[self.start] + (end - self.start).astype(U) * U(0xD6E8FEB86659FD93))
 
 
-def shingles(w: Words, k: int = 5) -> Iterator[np.ndarray]:
+def parts(data: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Bounds of a huge text's parts, each of about CUT bytes and, but for the last, ended by white space; so no word is cut."""
+    lo, n = 0, len(data)
+    while lo < n:
+        hi = min(lo + CUT, n)
+        if hi < n:
+            blank = np.flatnonzero(_SPACE[data[lo:hi]])
+            if len(blank):
+                hi = lo + int(blank[-1]) + 1
+            else:  # a word of more than CUT bytes stays whole
+                while hi < n and not len(blank := np.flatnonzero(_SPACE[data[hi : hi + CUT]])):
+                    hi = min(hi + CUT, n)
+                hi = hi + int(blank[0]) + 1 if hi < n else n
+        yield lo, hi
+        lo = hi
+
+
+def is_huge(data: np.ndarray, at: np.ndarray) -> bool:
+    """Whether a slice is one text that is to be worked on in parts."""
+    return len(at) == 2 and len(data) > CUT
+
+
+@dataclass
+class Hashed:
+    """What of Words shingles need."""
+
+    hash: np.ndarray
+    count: np.ndarray
+    first: np.ndarray
+
+
+def hashed(data: np.ndarray, at: np.ndarray) -> Words | Hashed:
+    """The words' numbers of a slice, in little memory even for a huge text."""
+    if not is_huge(data, at):
+        return Words(data, at)
+    found = np.concatenate([Words(data[a:b], np.array([0, b - a])).hash for a, b in parts(data)])
+    return Hashed(found, np.array([len(found)]), np.array([0, len(found)]))
+
+
+def shingles(w: Words | Hashed, k: int = 5) -> Iterator[np.ndarray]:
     """For each row the sorted distinct numbers of its k-word shingles; fewer words make one shingle, none makes none."""
     with np.errstate(over="ignore"):
         m, factor = len(w.hash), [U(pow(0xC2B2AE3D27D4EB4F, i + 1, 1 << 64)) for i in range(k)]

@@ -211,3 +211,58 @@ def test_near_repeated_ids_with_differing_texts(spark):
     rows = [(1, " ".join(a)), (5, " ".join(a)), (5, " ".join(b)), (7, " ".join(near)), (8, "x y z")]
     got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((x["doc_id"], x["component_id"]) for x in got) == [(1, 1), (5, 1), (5, 1), (7, 1), (8, 8)]
+
+
+def test_registers_by_a_plain_loop():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 2**63, k, dtype=np.uint64) * np.uint64(2)) for k in (0, 1, 5, 300, 4000)]
+    for s, got in zip(sets, neardup.registers(sets), strict=True):
+        want = [0] * neardup.BUCKETS
+        least = {}
+        for h in map(int, s):
+            bucket, rest = h >> 56, (h & (1 << 56) - 1) >> 4
+            least[bucket] = min(rest, least.get(bucket, rest))
+        for bucket, rest in least.items():
+            bits = f"{rest:052b}"
+            zeros = len(bits) - len(bits.lstrip("0"))
+            want[bucket] = 1 + (zeros << 10 | int(bits[zeros + 1 : zeros + 11].ljust(10, "0") or "0", 2))
+        assert got.tolist() == want
+
+
+def pairs_at(similarity, n, count, seed):
+    """Registers of pairs of sets that just reach a similarity, all differences on both sides."""
+    import numpy as np
+
+    rng = np.random.default_rng(seed)
+    union = round(n / (0.5 + similarity / 2))
+    both = int(np.ceil(similarity * union))
+    one = (union - both) // 2
+    left, right = [], []
+    for _ in range(count):
+        h = rng.integers(0, 2**63, union, dtype=np.uint64) * np.uint64(2)
+        left.append(np.sort(h[: both + one]))
+        right.append(np.sort(np.concatenate([h[:both], h[both + one :]])))
+    return neardup.registers(left), neardup.registers(right), np.array([len(x) for x in left]), np.array([len(x) for x in right])
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_a_partner_shares_more_bands_than_are_spared(percent):
+    import numpy as np
+
+    rows, spare = neardup.rows_per_band(percent), neardup.spare_bands(percent)
+    assert spare >= 0
+    shared = []
+    for n in (neardup.SPARE_SHINGLES, 200, 1000):
+        a, b, na, nb = pairs_at(percent / 100, n, 1500, n)
+        ka, kb = neardup.bands(a, rows), neardup.bands(b, rows)
+        shared.append(((ka == kb) & (ka > 0)).sum(axis=1))
+        j, error = neardup.estimate(a, b, na, nb)
+        assert abs(j.mean() - percent / 100) < 0.01 and (j + neardup.SLACK * error >= percent / 100).all()
+    assert min(map(np.min, shared)) > spare
+    # of sets far apart the estimate, corrected for collisions, is near 0
+    a, b, na, nb = pairs_at(0.02, 3000, 300, 7)
+    assert abs(neardup.estimate(a, b, na, nb)[0].mean() - 0.02) < 0.005
+    # few in a thousand keys of unlike sets agree
+    assert (neardup.bands(a, rows) == neardup.bands(b, rows)).mean() < 1e-4

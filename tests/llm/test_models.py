@@ -3,6 +3,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from quillstone.llm import ann, html, lm, queries, toxicity
@@ -32,6 +33,17 @@ def test_toxicity_finds_the_sentence(spark, odd_docs, no_docs):
     assert {r["doc_id"]: r["score"] for r in odd}[5] == 0
     kept = toxicity.without_toxic(odd_docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
     assert kept.columns == odd_docs.columns and kept.count() == odd_docs.count()
+    # the noisy-or, sentence by sentence, in a plain loop
+    for i, t, _ in rows[:40]:
+        calm = 1.0
+        for sentence in re.findall(r"[^.]*\.", t):
+            total = model.bias
+            for w in sentence.split():
+                w = w.rstrip(".").encode()
+                f, _, _ = toxicity.features(np.frombuffer(w, np.uint8), np.array([0, len(w)]))
+                total += sum(model.weights[k] for k in f[0] if k >= 0)
+            calm *= 1 - 1 / (1 + np.exp(-total))
+        assert got[i]["score"] == pytest.approx(1 - calm, abs=1e-5)
     assert toxicity.scores(no_docs, model).collect() == []
     assert toxicity.without_toxic(no_docs, spark.createDataFrame([], "doc_id long, toxic int")).collect() == []
 
@@ -46,6 +58,32 @@ def test_toxicity_on_held_out_labels(spark):
     assert np.mean(found) > 0.85 and np.mean(wrong) < 0.01  # about one in ten of these toxic labels stands on a text without any of the words
 
 
+def test_huge_texts_are_worked_on_in_parts(monkeypatch):
+    from quillstone.llm import neardup, tokens, words
+
+    rng = np.random.default_rng(5)
+    texts = ["".join(rng.choice(list("abcdé .!?\n\t"), 900)), "x" * 700 + " a b " + "y" * 300, " " * 500, "a. " * 300, "one two", "z" * 400]
+    model = toxicity.Model(np.random.default_rng(1).normal(0, 1, 1 << toxicity.BITS), -2.0)
+
+    def all_of(text):
+        data = np.frombuffer(text.encode(), np.uint8)
+        at = np.array([0, len(data)])
+        scored = toxicity._scored(data, at, model)
+        sets = list(words.shingles(words.hashed(data, at)))
+        ids = [x for _, part in tokens.encoded(pa.array([text]), tokens.default_path()) for x in part]
+        return [*lm.tokens(data, at), *sets, *ids, neardup.registers(sets), scored.start, scored.end], [scored.score, scored.sentence]
+
+    whole = [all_of(t) for t in texts]
+    monkeypatch.setattr(words, "CUT", 64)
+    for t, (exact, near) in zip(texts, whole, strict=True):
+        data = np.frombuffer(t.encode(), np.uint8)
+        cut = list(words.parts(data))
+        assert [a for a, _ in cut] == [0, *(b for _, b in cut[:-1])] and cut[-1][1] == len(data)
+        got, close = all_of(t)
+        assert all(np.array_equal(a, b) for a, b in zip(exact, got, strict=True))
+        assert all(np.allclose(a, b, rtol=1e-12) for a, b in zip(near, close, strict=True))
+
+
 def tokens_of(text):
     raw = bytes(b + 32 if 65 <= b <= 90 else b for b in (text or "").encode())
     return [*re.findall(rb"[^\x20\x09-\x0D]+", raw), None]
