@@ -1,6 +1,6 @@
 """Sharding along a Hilbert curve over several metadata columns, with DataFrame functions only.
 
-Each column is cut into 2**bits ranges at its own quantiles (strings by the bytes after what all of them begin with; null in the first range). The
+Each column is cut into 2**bits ranges at its own quantiles (strings by their bytes, as many as it takes; null in the first range). The
 ranges of a row are a cell; cells are few by construction (2**(bits * columns)), so the curve's index is computed per cell, not per row.
 Rows in the order (curve index, seeded hash, doc_id) are cut into runs of counts at most one apart. A run covers few ranges of every
 column, so a filter on any of them skips most files; ``file_ranges`` gives each shard's least and greatest values.
@@ -24,6 +24,8 @@ from .common import Scratch, own_columns, ranked
 DIMENSIONS = ("source", "lang", "n_chars")
 BITS = 4
 SHARDS = 8
+#: Times six bytes by which strings are told apart at most.
+LEVELS = 16
 
 
 def _turn(n: int, q: int, i: int) -> Callable[[Column], Column]:
@@ -61,23 +63,36 @@ def hilbert_index(axes: list[Column], bits: int) -> Column:
     return F.transform(F.array(gray), finish)[0]
 
 
-def _numbers(df: DataFrame, dims: tuple[str, ...]) -> DataFrame:
-    """Each dimension as a number in its order: strings by seven bytes after their common start."""
-    strings = [c for c in dims if isinstance(df.schema[c].dataType, T.StringType)]
-    start = {}
-    if strings:
-        ends = df.agg(*[f(F.encode(c, "utf-8")).alias(f"{k}_{c}") for c in strings for k, f in (("lo", F.min), ("hi", F.max))]).first()
-        for c in strings:
-            lo, hi = bytes(ends[f"lo_{c}"] or b""), bytes(ends[f"hi_{c}"] or b"")
-            start[c] = next((i for i, (a, b) in enumerate(zip(lo, hi, strict=False)) if a != b), min(len(lo), len(hi)))
-
-    def number(c: str) -> Column:
-        if c not in strings:
-            return F.col(c).cast("double")
-        part = F.hex(F.substring(F.encode(c, "utf-8"), start[c] + 1, 7))
-        return F.when(F.col(c).isNotNull(), F.conv(F.rpad(part, 14, "0"), 16, 10).cast("double"))
-
-    return df.withColumns({f"_x{i}": number(c) for i, c in enumerate(dims)})
+def _six(c: str, at: int) -> Column:
+    """Six bytes of a string from a place on, as a number that a double holds; zeros past its end."""
+    return F.conv(F.rpad(F.hex(F.substring(F.encode(c, "utf-8"), at + 1, 6)), 12, "0"), 16, 10).cast("long")
+
+
+def _cuts(rows: DataFrame, c: str, n: int) -> list[Column]:
+    """n conditions or fewer, each of which splits rows in two by the order of column c, together at its quantiles.
+
+    Strings are cut by six bytes after what all of them begin with; where several cuts fall on the same bytes, by the next six within those, and so on.
+    """
+    parts = lambda m: [i / (m + 1) for i in range(1, m + 1)]
+    if not isinstance(rows.schema[c].dataType, T.StringType):
+        cuts = rows.agg(F.percentile_approx(F.col(c).cast("double"), parts(n), 10_000)).first()[0]
+        return [F.col(c).cast("double") >= x for x in sorted(set(cuts or []))]
+    ends = rows.agg(F.min(F.encode(c, "utf-8")), F.max(F.encode(c, "utf-8"))).first()
+    low, high = (bytes(x or b"") for x in ends)
+    start = next((i for i, (x, y) in enumerate(zip(low, high, strict=False)) if x != y), min(len(low), len(high)))
+    found, todo, level = [], {(): n}, 0
+    while todo and start + 6 * level < max(len(low), len(high), 6 * LEVELS) and level < LEVELS:
+        within = lambda prefix: reduce(lambda x, y: x & y, [_six(c, start + 6 * i) == v for i, v in enumerate(prefix)], F.col(c).isNotNull())
+        got = rows.agg(*[F.percentile_approx(F.when(within(p), _six(c, start + 6 * level)), parts(m), 10_000) for p, m in todo.items()]).first()
+        more = {}
+        for (prefix, _), values in zip(todo.items(), got, strict=True):
+            for v in sorted(set(values or [])):
+                found.append((*prefix, v))
+                if (values or []).count(v) > 1:
+                    more[(*prefix, v)] = values.count(v) - 1
+        todo, level = more, level + 1
+    at_least = lambda cut: F.struct(*[_six(c, start + 6 * i) for i in range(len(cut))]) >= F.struct(*[F.lit(v) for v in cut])
+    return [at_least(cut) for cut in sorted(set(found))]
 
 
 def assign(docs: DataFrame, dims: tuple[str, ...] = DIMENSIONS, shards: int = SHARDS, bits: int = BITS, seed: int = 0) -> DataFrame:
@@ -86,15 +101,9 @@ def assign(docs: DataFrame, dims: tuple[str, ...] = DIMENSIONS, shards: int = SH
     rows = own_columns(docs, "doc_id", "text", *dims)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = rows.select(F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), *dims)
-    rows = scratch.cut(_numbers(rows, dims))
-    parts = [i / (1 << bits) for i in range(1, 1 << bits)]
-    cuts = rows.agg(*[F.percentile_approx(f"_x{i}", parts, 10_000).alias(f"c{i}") for i in range(len(dims))]).first()
-
-    def cell(i: int) -> Column:
-        at = sorted(set(cuts[f"c{i}"] or []))
-        return sum((F.coalesce((F.col(f"_x{i}") >= c).cast("int"), F.lit(0)) for c in at), F.lit(0))
-
-    rows = rows.withColumns({f"_q{i}": cell(i) for i in range(len(dims))})
+    rows = scratch.cut(rows)
+    cells = {f"_q{i}": sum((F.coalesce(c.cast("int"), F.lit(0)) for c in _cuts(rows, d, (1 << bits) - 1)), F.lit(0)) for i, d in enumerate(dims)}
+    rows = rows.withColumns(cells)
     axes = [F.col(f"_q{i}") for i in range(len(dims))]
     cells = rows.groupBy(*[f"_q{i}" for i in range(len(dims))]).agg(F.count(F.lit(1)).alias("_n"))
     cells = scratch.cut(cells.withColumn("curve", hilbert_index(axes, bits)))  # at most 2**(bits * dimensions) rows

@@ -46,6 +46,21 @@ def test_shards_odd(odd_docs, no_docs):
     assert hilbert.assign(no_docs).collect() == []
 
 
+def test_strings_are_cut_where_they_differ(spark):
+    import collections
+
+    # long common beginnings, one value that has none of them, a heavy value, nulls, other scripts
+    values = [f"https://www.example.org/{k:03d}" for k in range(150) for _ in range(2)] + ["https://www.example.org/050"] * 100 + ["A", "", None, "日本", "日本語"]
+    df = spark.createDataFrame([(v,) for v in values], "s string")
+    cuts = hilbert._cuts(df, "s", 15)
+    got = [(r["s"], r["q"]) for r in df.select("s", sum((F.coalesce(c.cast("int"), F.lit(0)) for c in cuts), F.lit(0)).alias("q")).collect()]
+    assert len(cuts) <= 15
+    order = sorted(got, key=lambda x: (x[0] is not None, (x[0] or "").encode()))
+    assert [q for _, q in order] == sorted(q for _, q in order)
+    sizes = collections.Counter(q for _, q in got)
+    assert len(sizes) >= 8 and max(n for q, n in sizes.items() if not any(s == "https://www.example.org/050" for s, x in got if x == q)) <= 100
+
+
 def test_hot_cells_are_split(spark):
     docs = spark.range(500).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"), F.lit("s").alias("source"), F.lit("en").alias("lang"), F.lit(1).alias("n_chars"))
     from quillstone.llm import common
