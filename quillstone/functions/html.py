@@ -31,7 +31,7 @@ LIST_LABELS = {
     "background on the question": "background", "answer": "answer", "final answer": "answer",
 }
 BOLD_LABELS = {"question id": "qa_id", "regulation reference": "legal_act_raw", "article": "article", "topic": "topic", "status": "status"}
-#: Labels that name a person or a firm are dropped.
+# Parts of labels that name a person or a firm; their fields are dropped.
 PRIVATE = ("submitter", "name of institution", "country of incorporation")
 _TITLE = re.compile(rf"^(?:{'|'.join(SECTION_TITLES)})\b[\s:]*", re.I)
 
@@ -147,8 +147,9 @@ def to_text(e: Element | None) -> str:
     return "\n\n".join(out) if found else e.text()
 
 
-def key_of(label: str) -> str:
-    return re.sub(r"[^a-z0-9]+", "_", label.lower()).strip("_")
+def field_name(label: str) -> str:
+    """As text.label_key, for one string: its letters and digits, other runs as one _."""
+    return "_".join(re.findall(r"[a-z0-9]+", label.lower()))
 
 
 def _blank(authority: str, url: str) -> dict:
@@ -176,9 +177,9 @@ def from_list(root: Element, url: str) -> dict:
             if label in LIST_LABELS:
                 r[LIST_LABELS[label]] = value
             elif "date" in label:
-                r["dates"][key_of(label)] = value
+                r["dates"][field_name(label)] = value
             else:
-                r["extra"][key_of(label)] = value
+                r["extra"][field_name(label)] = value
     r["qa_id"] = r["qa_id"] or _tail(url)
     return r
 
@@ -195,7 +196,7 @@ def from_headings(root: Element, url: str) -> dict:
         if label in BOLD_LABELS:
             r[BOLD_LABELS[label]] = value
         elif "date" in label:
-            r["dates"][key_of(label)] = value
+            r["dates"][field_name(label)] = value
     for h in page.all(*HEADINGS):
         title = h.text()
         part = next((k for k in ("background", "answer", "question") if k in title.lower()), None)
@@ -241,7 +242,7 @@ def from_fields(root: Element, url: str) -> dict:
             if label.lower().startswith("status"):
                 r["status"] = value.strip() if colon else label.strip()
             elif "date" in div.text().lower() and colon:
-                r["dates"][key_of(label)] = value.strip()
+                r["dates"][field_name(label)] = value.strip()
     texts = [t for t in map(to_text, root.all("details")) if t]
     if texts:
         r["question"], r["answer"] = texts[0], "\n\n---\n\n".join(texts[1:])

@@ -172,6 +172,14 @@ def delisted_hash(col: Column) -> Column:
     return F.when(F.startswith(col, F.lit("delisted:")), col).otherwise(F.concat(F.lit("delisted:"), col))
 
 
+# Where the authorities show single questions.
+QUESTION_PAGES = {
+    "eba": "https://www.eba.europa.eu/single-rule-book-qa/qna/view/publicId/",
+    "eiopa": "https://www.eiopa.europa.eu/qa-regulation/questions-and-answers-database/",
+    "esma": "https://www.esma.europa.eu/publications-data/questions-answers/",
+}
+
+
 def candidate_links(authority: Column, native_id: Column, link: Column, joint_id: Column) -> Column:
     """Addresses to try for a row whose link isn't one, best first.
 
@@ -183,12 +191,10 @@ def candidate_links(authority: Column, native_id: Column, link: Column, joint_id
     number = F.when(F.rlike(nz(native_id), F.lit(r"^\d+$")), nz(native_id)).otherwise(F.regexp_extract(cell, r"\b\d{3,}\b", 0))
     none = F.array().cast("array<string>")
     one = lambda base, part: F.when(part == "", none).otherwise(F.array(F.concat(F.lit(base), part)))
-    eba, esma, eiopa = (f"https://www.{a}.europa.eu/" for a in ("eba", "esma", "eiopa"))
-    answers = eiopa + "qa-regulation/questions-and-answers-database/"
-    page = lambda *parts: F.concat(F.lit(answers), *parts, F.lit("_en"))
+    page = lambda *parts: F.concat(F.lit(QUESTION_PAGES["eiopa"]), *parts, F.lit("_en"))
     both = F.array(page(native, F.lit("-"), joint), page(joint, F.lit("-"), native))
     pair = F.when((joint != "") & F.contains(native, joint), F.array(page(native))).when((native == "") | (joint == ""), none).otherwise(both)
-    return F.when(authority == "eba", one(eba + "single-rule-book-qa/qna/view/publicId/", year_id)).when(authority == "esma", one(esma + "publications-data/questions-answers/", number)).when(authority == "eiopa", pair).otherwise(none)
+    return F.when(authority == "eba", one(QUESTION_PAGES["eba"], year_id)).when(authority == "esma", one(QUESTION_PAGES["esma"], number)).when(authority == "eiopa", pair).otherwise(none)
 
 
 # Names of acts by reference.

@@ -257,6 +257,14 @@ def index_projection(spark, d):
     return index.index_rows(_as_records(spark, d)).drop("hay")
 
 
+@query(f"""WITH {REC} SELECT family, authority, qa_id, joint_id, legal_act, '' AS article, topic, status, date, '' AS delisted, '' AS archived, '2024-02-01' AS mirrored, 'https://example.org/qa/' || qa_id AS source_url,
+ authority || '-' || lower(qa_id) AS file, CASE WHEN q = '' THEN '*(not captured)*' ELSE q END AS question, '' AS background, '*(not captured)*' AS answer FROM (SELECT *, regexp_replace(coalesce(question, ''), '^{WS}+|{WS}+$', '', 'g') AS q FROM rec)""")
+def index_of_rendered(spark, d):
+    """Records written as Markdown documents, read back by their heads and sections, and put into the index."""
+    files = _as_records(spark, d).select("file", "family", corpus.markdown().alias("text"))
+    return index.index_rows(corpus.records_of(files)).drop("hay")
+
+
 # --- change capture and selection -----------------------------------------------------------------------------------------------------
 
 HASHED = "new AS (SELECT lang || ':' || CAST(doc_id AS VARCHAR) AS key, lang, doc_id, substr(sha256(text), 1, 16) AS content_hash FROM documents)"

@@ -47,7 +47,12 @@ def prefixed(head: Column, prefix: str) -> Column:
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """Records of a corpus folder, with all that their heads and sections hold."""
-    rows = split_head(read_files(spark, path)).withColumn("m", head_map(F.col("head")))
+    return records_of(read_files(spark, path))
+
+
+def records_of(files: DataFrame) -> DataFrame:
+    """files: file, family, text (Markdown documents). The twins of dates that markdown() adds are left out; index_rows makes them anew."""
+    rows = split_head(files).withColumn("m", head_map(F.col("head")))
     scalars = ("authority", "qa_id", "joint_id", "legal_act", "legal_act_ref", "legal_act_raw", "article", "topic", "status", "source_url", "retrieved_at")
     dates = F.map_filter(prefixed(F.col("m"), "date_"), lambda k, _: ~F.endswith(k, F.lit("_iso")))
     slug = F.regexp_replace(F.regexp_replace("file", r"\.md$", ""), "^[^-]*-", "")

@@ -20,18 +20,18 @@ def test_to_text(html, want):
     assert H.to_text(H.parse(html)) == want
 
 
-LIST = """<dl class="metadata"><dt>Question ID</dt><dd>2024_1</dd><dt>Legal act</dt><dd>Directive 2013/36/EU</dd><dt>Name of institution / submitter</dt><dd>Secret</dd><dt>Date of submission</dt><dd>20/05/2024</dd>
-<dt>Paragraph</dt><dd>3</dd><dt>Lonely</dt><dt>Question</dt><dd><ul><li><p>one</p></li></ul><p>two</p></dd><dt>Final answer</dt><dd><p>Yes.</p></dd></dl>"""
+LIST = """<dl class="metadata"><dt>Topic</dt><dd>Liquidity</dd><dt>Lonely</dt><dt>Subject matter</dt><dd>Buffers</dd><dt>Legal act</dt><dd>Regulation (EU) No 575/2013</dd><dt>Date of submission</dt><dd>7/9/2018</dd>
+<dt>Question</dt><dd><ul><li><p>one</p></li></ul><p>two</p></dd><dt>Country of incorporation of the firm</dt><dd>Nowhere</dd><dt>Answer</dt><dd><p>Yes.</p></dd><dt>Question ID</dt><dd>2018_7</dd></dl>"""
 HEADED = """<article><p>Question ID: <b>DORA 137 - 3195</b></p><p>Regulation reference: <b>(EU) 2022/2554</b></p><p>Date of publication: <b>06 Dec 2024</b></p><div><h2>Question</h2><p>What?</p></div><h2>Background of the question</h2><p>Why.</p><h2>EIOPA answer</h2><p>Because.</p></article><p>x</p>"""
 FIELDED = """<div class="field--name-field-qa-subject-matter"><div class="field__label">S</div><div class="field__item">Topic</div></div><div class="field--name-field-qa-level1"><div class="field__item">Regulation (EU) 2022/2554</div></div>
 <div class="additionalinfo"><div>Status: Answer published</div><div>Submission date: 01/02/2024</div></div><details><summary>Q</summary><p>Ask?</p></details><details><p>One.</p></details><details><p>Two.</p></details>"""
 
 
 def test_dialects(spark):
-    pages = spark.createDataFrame([("eba", "http://e/2024_1", LIST), ("eiopa", "http://i/x_en", HEADED), ("esma", "http://m/2356", FIELDED), ("none", "http://n", "<p>"), ("eba", "http://e/9", "<p>nothing</p>")], "authority string, url string, html string")
+    pages = spark.createDataFrame([("eba", "http://e/2018_7", LIST), ("eiopa", "http://i/x_en", HEADED), ("esma", "http://m/2356", FIELDED), ("none", "http://n", "<p>"), ("eba", "http://e/9", "<p>nothing</p>")], "authority string, url string, html string")
     got = {r["source_url"]: r for r in H.parse_pages(pages).collect()}
-    a = got["http://e/2024_1"]
-    assert (a["qa_id"], a["question"], a["answer"], a["dates"], a["extra"]) == ("2024_1", "- one\n\ntwo", "Yes.", {"date_of_submission": "20/05/2024"}, {"paragraph": "3"})
+    a = got["http://e/2018_7"]
+    assert (a["qa_id"], a["question"], a["answer"], a["dates"], a["extra"]) == ("2018_7", "- one\n\ntwo", "Yes.", {"date_of_submission": "7/9/2018"}, {"subject_matter": "Buffers"})
     b = got["http://i/x_en"]
     assert (b["joint_id"], b["question"], b["background"], b["answer"], b["dates"]) == ("DORA137", "What?", "Why.", "Because.", {"date_of_publication": "06 Dec 2024"})
     c = got["http://m/2356"]
