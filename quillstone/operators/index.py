@@ -30,6 +30,17 @@ def manifest(rows: DataFrame) -> DataFrame:
     return rows.groupBy("family").agg(F.count(F.lit(1)).alias("count"), some("legal_act").alias("acts"), some("authority").alias("authorities"))
 
 
+def family_totals(rows: DataFrame) -> DataFrame:
+    """Records by family, and of all families."""
+    return rows.rollup("family").agg(F.count(F.lit(1)).alias("count"), F.grouping("family").alias("_all")).select(F.when(F.col("_all") == 1, "all").otherwise(F.col("family")).alias("family"), "count")
+
+
+def repeated_ids(rows: DataFrame, column: str, key: str) -> DataFrame:
+    """Values of a column that several records have: how many, and their keys in order."""
+    keys = F.transform(F.array_sort(F.collect_list(key)), lambda x: x.cast("string"))
+    return rows.groupBy(column).agg(F.count(F.lit(1)).alias("n"), F.array_join(keys, " ").alias("keys")).where("n > 1")
+
+
 def oldest_verified(state: DataFrame) -> DataFrame:
     """The day the longest unverified active record was verified; '' if there is none. Tombstones, whose time stands still, don't count."""
     alive = state.where(~F.startswith(nz(F.col("hash")), F.lit("delisted:")))

@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from ..functions import html as pages_html
 from ..functions import text as T
 from ..operators import index, merge, runs, select, tombstone
+from ..schemas import COUNTERS
 from ..sources import corpus, register
+from ..streaming import cdc
 from . import search as S
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -230,11 +232,6 @@ def html_escape(spark, d):
     return _t(spark, d, "documents").select("doc_id", T.html_escaped(F.col("text")).alias("escaped"), T.first_integer(F.col("text")).alias("first_integer"))
 
 
-@query("SELECT doc_id, substr(sha256(lang || chr(10) || source || chr(10) || text), 1, 16) AS hash FROM documents")
-def content_hash(spark, d):
-    return _t(spark, d, "documents").select("doc_id", F.substring(F.sha2(F.concat_ws("\n", "lang", "source", "text"), 256), 1, 16).alias("hash"))
-
-
 def _as_records(spark: SparkSession, d: str) -> DataFrame:
     """Documents with all columns of a record."""
     rows = records(spark, d)
@@ -245,12 +242,29 @@ def _as_records(spark: SparkSession, d: str) -> DataFrame:
     return rows.withColumns(more)
 
 
-@query()
+def _document(with_time: bool) -> str:
+    """A record's Markdown document as SQL."""
+    line = lambda k, v: f"'{k}: \"' || {v} || '\"'"
+    url = "'https://example.org/qa/' || qa_id"
+    dates = f"""CASE WHEN date = '' THEN [] ELSE [{line("date_submission_date", "date")}, {line("date_submission_date_iso", "date")}] END"""
+    head = ["'---'", "'authority: ' || authority", line("qa_id", "qa_id"), line("joint_id", "joint_id"), line("legal_act", "legal_act"), line("legal_act_ref", "''"), line("legal_act_raw", "legal_act"), line("article", "''"), line("topic", "topic"), line("status", "status")]
+    tail = [line("source_url", url), line("license", "'© ' || upper(authority) || ' — reuse subject to the authority''s legal notice'"), *([line("retrieved_at", f"'{NOW}'")] if with_time else [])]
+    note = f"'{corpus.NOTE} Unofficial copy made by a program, without any warranty; check it against the original before relying on it: <' || {url} || '>.'"
+    body = ["'---'", "''", "'# ' || upper(authority) || ' Q&A ' || qa_id", "''", "'## Question'", "''", "CASE WHEN coalesce(question, '') = '' THEN '*(not captured)*' ELSE question END", "''", "'## Answer'", "''", "'*(not captured)*'", "''", "'---'", "''", note, "''"]
+    return f"array_to_string(list_concat(list_concat([{', '.join(head)}], {dates}), [{', '.join(tail + body)}]), chr(10))"
+
+
+@query(f"WITH {REC} SELECT qa_id, {_document(True)} AS document, substr(sha256({_document(False)}), 1, 16) AS hash FROM rec")
 def record_markdown(spark, d):
     rows = _as_records(spark, d)
     return rows.select("qa_id", corpus.markdown().alias("document"), corpus.content_hash().alias("hash"))
 
 
+@query(f"WITH {REC} SELECT qa_id, substr(sha256({_document(False)}), 1, 16) AS hash FROM rec")
+def content_hash(spark, d):
+    return _as_records(spark, d).select("qa_id", corpus.content_hash().alias("hash"))
+
+
 @query(f"""WITH {REC} SELECT family, authority, qa_id, joint_id, legal_act, '' AS article, topic, status, date, '' AS delisted, '' AS archived, '2024-02-01' AS mirrored, 'https://example.org/qa/' || qa_id AS source_url,
  authority || '-' || lower(qa_id) AS file, question, '' AS background, '' AS answer FROM rec""")
 def index_projection(spark, d):
@@ -405,7 +419,7 @@ def family_manifest(spark, d):
 
 @query("SELECT coalesce(source, 'all') AS family, count(*) AS count FROM documents GROUP BY ROLLUP (source)")
 def manifest_total(spark, d):
-    return records(spark, d).rollup("family").agg(F.count(F.lit(1)).alias("count")).select(F.coalesce("family", F.lit("all")).alias("family"), "count")
+    return index.family_totals(records(spark, d).select("family"))
 
 
 @query(f"WITH {HASHED}, {STATE} SELECT coalesce(substr(min(nullif(verified_at, '')), 1, 10), '') AS oldest_verified FROM state WHERE NOT starts_with(hash, 'delisted:')")
@@ -557,8 +571,7 @@ def alternate_fetch(spark, d):
 @query("SELECT joint_id, count(*) AS n, string_agg(CAST(doc_id AS VARCHAR), ' ' ORDER BY doc_id) AS docs FROM (SELECT doc_id, upper(lang) || CAST(doc_id // 2 AS VARCHAR) AS joint_id FROM documents) GROUP BY joint_id HAVING count(*) > 1")
 def joint_id_duplicates(spark, d):
     rows = _t(spark, d, "documents").select("doc_id", F.concat(F.upper("lang"), F.expr("doc_id div 2").cast("string")).alias("joint_id"))
-    ids = F.transform(F.array_sort(F.collect_list("doc_id")), lambda x: x.cast("string"))
-    return rows.groupBy("joint_id").agg(F.count(F.lit(1)).alias("n"), F.array_join(ids, " ").alias("docs")).where("n > 1")
+    return index.repeated_ids(rows, "joint_id", "doc_id").withColumnRenamed("keys", "docs")
 
 
 # --- pages ------------------------------------------------------------------------------------------------------------------------------
@@ -583,13 +596,19 @@ def html_title_links(spark, d):
     return _t(spark, d, "pages").select("page_id", F.regexp_extract("html", "(?s)<title>(.*?)</title>", 1).alias("title"), F.size(links).cast("long").alias("n_links"), F.array_join(links, " ").alias("links"))
 
 
-@query("""SELECT event_type AS authority, strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, count(*) AS n, count(DISTINCT user_id) AS users, max(event_id) AS last_event FROM events GROUP BY 1, 2""")
+_COUNTED = ", ".join(f"count(*) FILTER (event_id % {len(COUNTERS)} = {i}) AS {c}" for i, c in enumerate(COUNTERS))
+
+
+@query(f"SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS ts, 'incremental' AS mode, false AS \"full\", event_type AS authority, {_COUNTED} FROM events GROUP BY 1, event_type")
 def runs_history(spark, d):
-    return _t(spark, d, "events").groupBy(F.col("event_type").alias("authority"), F.date_format("ts", "yyyy-MM-dd").alias("day")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("user_id").alias("users"), F.max("event_id").alias("last_event"))
+    """A run log, a line per day, as rows of its authorities' counters."""
+    rows = _t(spark, d, "events").select(F.date_format("ts", "yyyy-MM-dd").alias("day"), "event_type", F.element_at(F.array(*[F.lit(c) for c in COUNTERS]), (F.col("event_id") % len(COUNTERS) + 1).cast("int")).alias("event"))
+    of = F.struct(F.col("event_type").alias("authority"), F.struct(*COUNTERS).alias("t"))
+    totals = rows.groupBy("day", "event_type").agg(*[F.count_if(F.col("event") == c).alias(c) for c in COUNTERS]).groupBy("day").agg(F.map_from_entries(F.collect_list(of)).alias("totals"))
+    return corpus.run_rows(totals.select(F.col("day").alias("ts"), F.lit("incremental").alias("mode"), F.lit(False).alias("full"), "totals"))
 
 
 @query("SELECT user_id, event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1")
 def latest_version(spark, d):
     """The last row per key, as a batch of the change stream takes it."""
-    last = F.max_by(F.struct("event_id", "event_type"), F.struct("ts", "event_id"))
-    return _t(spark, d, "events").groupBy("user_id").agg(last.alias("r")).select("user_id", "r.*")
+    return cdc.newest(_t(spark, d, "events").select("user_id", "event_id", "event_type", "ts"), "user_id", "ts", "event_id").drop("ts")

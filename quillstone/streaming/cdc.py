@@ -27,14 +27,20 @@ def latest(spark: SparkSession, folder: str, name: str, schema: str) -> DataFram
     return _version(spark, folder, name, 2**62, schema)
 
 
+def newest(rows: DataFrame, key: str, *order: str) -> DataFrame:
+    """The last row of each key by the given columns; merged from each task's own, so no key lands in one task whole."""
+    last = F.max_by(F.struct(*[c for c in rows.columns if c != key]), F.struct(*order))
+    return rows.groupBy(key).agg(last.alias("r")).select(key, "r.*")
+
+
 def apply_batch(spark: SparkSession, rows: DataFrame, folder: str, batch: int, now: str, record_schema: str) -> None:
     """rows: key, content_hash and record columns. Of several rows for a key the last retrieved one counts."""
-    newest = rows.groupBy("key").agg(F.max_by(F.struct(*[c for c in rows.columns if c != "key"]), F.struct("retrieved_at", "content_hash")).alias("r")).select("key", "r.*")
+    last = newest(rows, "key", "retrieved_at", "content_hash")
     state = _version(spark, folder, "state", batch, STATE)
     records = _version(spark, folder, "records", batch, record_schema)
-    new = changed(newest, state, records.select("key"))
+    new = changed(last, state, records.select("key"))
     upserted(records, new.select(*records.columns)).write.mode("overwrite").parquet(f"{folder}/records/v={batch}")
-    next_state(state, newest, now).write.mode("overwrite").parquet(f"{folder}/state/v={batch}")
+    next_state(state, last, now).write.mode("overwrite").parquet(f"{folder}/state/v={batch}")
 
 
 def mirror(spark: SparkSession, landed: str, folder: str, schema: str, now: str, trigger_once: bool = True):  # noqa: ANN201
