@@ -13,10 +13,13 @@ from pyspark.sql import functions as F
 from ..functions import html as pages_html
 from ..functions import text as T
 from ..operators import index, merge, runs, select, tombstone
-from ..schemas import COUNTERS
+from ..schemas import COUNTERS, RECORD, REGISTER_ROW
+from ..session import shared_dir
 from ..sources import corpus, register
 from ..streaming import cdc
+from . import mirror
 from . import search as S
+from .config import config_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -612,3 +615,23 @@ def runs_history(spark, d):
 def latest_version(spark, d):
     """The last row per key, as a batch of the change stream takes it."""
     return cdc.newest(_t(spark, d, "events").select("user_id", "event_id", "event_type", "ts"), "user_id", "ts", "event_id").drop("ts")
+
+
+# --- a whole run ------------------------------------------------------------------------------------------------------------------------
+
+
+@query("""SELECT 'eba' AS authority, count(*) FILTER (doc_id % 20 <> 19) AS enumerated, count(*) FILTER (doc_id % 20 <> 19 AND doc_id % 3 <> 0) AS seen, count(*) FILTER (doc_id % 20 <> 19 AND doc_id % 3 <> 0) AS written,
+ count(*) FILTER (doc_id % 20 <> 19 AND doc_id % 3 <> 0) AS checked, count(*) FILTER (doc_id % 40 = 39) AS archived, count(*) FILTER (doc_id % 40 = 19) AS delisted, CAST(0 AS BIGINT) AS errors FROM documents""")
+def mirror_totals(spark, d):
+    """Counters of a run over landed pages made of documents: a third is known and fresh, one in twenty has vanished, half of those into the archive."""
+    docs = _t(spark, d, "documents").select("doc_id", F.concat(F.lit("2020_"), F.col("doc_id").cast("string")).alias("qa"), "text")
+    docs = docs.withColumn("url", F.concat(F.lit("https://example.org/publicId/"), "qa"))
+    part = lambda label, value: F.concat(F.lit(f"<dt>{label}</dt><dd>"), value, F.lit("</dd>"))
+    html = F.concat(F.lit('<dl class="metadata">'), part("Question ID", F.col("qa")), part("Status", F.lit("Final Q&amp;A")), part("Legal act", F.lit("Directive 2013/36/EU")), part("Question", F.concat(F.lit("<p>"), T.html_escaped(F.col("text")), F.lit("</p>"))), part("Answer", F.lit("<p>Yes.</p>")), F.lit("</dl>"))
+    listed, gone = docs.where("doc_id % 20 <> 19"), docs.where("doc_id % 20 = 19")
+    state = listed.where("doc_id % 3 = 0").unionByName(gone).select(F.concat(F.lit("eba:"), T.url_slug(F.col("url"))).alias("key"), F.lit("known").alias("hash"), F.lit(NOW).alias("verified_at"))
+    none = spark.createDataFrame([], REGISTER_ROW)
+    landed = mirror.Landed(none, listed.select("url"), gone.where("doc_id % 40 = 39").select("url"), docs.where("false").select("url"), listed.select(F.lit("eba").alias("authority"), "url", html.alias("html")))
+    settings = config_of({"eba": {"legal_act_ids": [32], "default_act_ref": "2013/36", "require_status": "Final"}})
+    r = mirror.mirror_run(landed, spark.createDataFrame([], "key string, " + RECORD), state, "2024-01-31", settings, NOW, f"{shared_dir(spark)}/mirror", authorities=("eba",))
+    return r.totals
