@@ -251,7 +251,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     scratch.drop(copies, good)
     roots = components(links, scratch)
     # what a band's centre has met is done; a band whose other documents lie in one component is done as well
-    past = scratch.cut(_of_several(_rooted(crowd.where("doc_id <> b"), roots)))
+    past = scratch.cut(_rooted(crowd.where("doc_id <> b"), roots))
+    past = scratch.cut(_of_several(past, scratch))
     n = F.max("n_shingles")
     open_ = past.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_open"), n.alias("n"), F.min("n_shingles").alias("least"), F.min("n_bands").alias("n_bands"))
     by_chance = (F.col("n_open") <= spare_bands(percent)) & (F.col("least") >= SPARE_SHINGLES)
@@ -277,10 +278,16 @@ def _rooted(crowd: DataFrame, roots: DataFrame) -> DataFrame:
     return out.withColumn("root", F.coalesce("root", "doc_id"))
 
 
-def _of_several(crowd: DataFrame) -> DataFrame:
+def _with(crowd: DataFrame, table: DataFrame, on: list[str], scratch: Scratch, how: str = "inner") -> DataFrame:
+    """crowd joined with a table of a row per key: sent to all tasks if it is small enough, so that a key of many rows stays where its rows are."""
+    table = scratch.cut(table)
+    return crowd.join(maybe_broadcast(table, table.count()), on, how)
+
+
+def _of_several(crowd: DataFrame, scratch: Scratch) -> DataFrame:
     """The rows of keys that hold more than one root."""
     several = crowd.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key")
-    return crowd.join(several, "key", "left_semi")
+    return _with(crowd, several, ["key"], scratch, "left_semi")
 
 
 def _occurrences(docs: DataFrame) -> DataFrame:
@@ -323,17 +330,19 @@ def _of_short(rows: DataFrame, sketch: DataFrame, roots: DataFrame, percent: int
     which documents may have a partner at all (documents, never pairs); only those meet again with their whole sets, by products of the blocks' incidence matrices.
     """
     rarest = _rarest(rows, percent, scratch)
-    several = scratch.cut(_of_several(_rooted(rarest, roots)))
-    scratch.drop(rarest)
-    crowd = scratch.cut(_without_subsets(several))
+    rooted = scratch.cut(_rooted(rarest, roots))
+    several = scratch.cut(_of_several(rooted, scratch))
+    scratch.drop(rarest, rooted)
+    crowd = scratch.cut(_without_subsets(several, scratch))
     scratch.drop(several)
     # sets at the threshold lie in one size class or in two that adjoin
     crowd = crowd.withColumn("size", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent)) + 1e-9))
     blocks = crowd.groupBy("key", "size").agg(F.ceil(F.greatest(F.sum("n") / BLOCK_SHINGLES, F.count(F.lit(1)) / BLOCK_DOCS)).alias("blocks"))
-    crowd = crowd.join(blocks, ["key", "size"]).withColumn("block", F.col("size") * _BLOCKS + F.pmod(F.xxhash64("doc_id"), F.col("blocks")))
+    blocks = scratch.cut(blocks)
+    crowd = _with(crowd, blocks, ["key", "size"], scratch).withColumn("block", F.col("size") * _BLOCKS + F.pmod(F.xxhash64("doc_id"), F.col("blocks")))
     near = blocks.select("key", "size", F.col("blocks").alias("n_near"), F.explode(F.array(F.col("size") - 1, F.col("size"), F.col("size") + 1)).alias("of"))
     near = near.select("key", F.col("of").alias("size"), F.expr(f"transform(sequence(0, n_near - 1), x -> size * {_BLOCKS} + x)").alias("others"))
-    crowd = crowd.join(near, ["key", "size"]).withColumn("other", F.explode("others"))
+    crowd = _with(crowd, near, ["key", "size"], scratch).withColumn("other", F.explode("others"))
     crowd = scratch.cut(crowd.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc_id", "n", "root"))
     sides = lambda x: (np.flatnonzero(x["block"].to_numpy() == x[k].iat[0]) for k in ("i", "j"))
 
@@ -386,15 +395,15 @@ def _of_short(rows: DataFrame, sketch: DataFrame, roots: DataFrame, percent: int
     return met.where("a <> b").distinct()
 
 
-def _without_subsets(crowd: DataFrame) -> DataFrame:
+def _without_subsets(crowd: DataFrame, scratch: Scratch) -> DataFrame:
     """crowd without keys all of whose documents hold one and the same larger key, which compares them anyway.
 
     A passage's rarest shingle is in all texts that begin their prefix with the passage; its other shingles are in some of those.
     """
     n = crowd.groupBy("key").agg(F.count(F.lit(1)).alias("f"))
-    largest = crowd.join(n, "key").groupBy("doc_id").agg(F.max(F.struct("f", "key")).alias("m")).select("doc_id", F.col("m.key").alias("largest"))
-    by_key = crowd.join(largest, "doc_id").groupBy("key").agg(F.min("largest").alias("lo"), F.max("largest").alias("hi"))
-    return crowd.join(by_key.where("lo <> hi OR lo = key").select("key"), "key", "left_semi")
+    largest = _with(crowd, n, ["key"], scratch).groupBy("doc_id").agg(F.max(F.struct("f", "key")).alias("m")).select("doc_id", F.col("m.key").alias("largest"))
+    by_key = _with(crowd, largest, ["doc_id"], scratch).groupBy("key").agg(F.min("largest").alias("lo"), F.max("largest").alias("hi"))
+    return _with(crowd, by_key.where("lo <> hi OR lo = key").select("key"), ["key"], scratch, "left_semi")
 
 
 def _verify(pairs: DataFrame, rows: DataFrame, alone: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
