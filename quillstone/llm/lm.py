@@ -1,7 +1,7 @@
 """Language-model scores: an add-one unigram base, and a log-bilinear model trained with noise-contrastive estimation.
 
 Tokens are lower-cased words and one end per text. Counts of all training tokens are gathered by 64-bit word numbers into one table
-(a row per distinct token). The neural model predicts classes of tokens, in number ``4 * sqrt(V)``, so they grow with the vocabulary: the most frequent words
+(a row per distinct token). The neural model predicts classes of tokens, in number ``2.5 * sqrt(V)``, so they grow with the vocabulary: the most frequent words
 have half of the classes to themselves, all others share the rest by how they begin. A context's vector is the sum of the vectors of the last
 ``CONTEXT`` tokens' classes, each scaled by position. Classes lie in groups of the square root of their number: the products of the context's vector with all
 groups' vectors, and then with those of the token's group, give normalised log-probabilities of the group and of the class in it; a word has
@@ -33,7 +33,9 @@ from .words import U, Words, is_huge, mix, parts, slices
 HEAD = 1 << 17
 CONTEXT, SIZE, LEAST_CLASSES = 3, 16, 64
 #: Noise groups of a batch and noise classes of each group; tokens of a batch; the step, and what each weight's sum of squares starts with.
-NOISE, BATCH, RATE, BEGUN = (16, 6), 2048, 0.1, 1.0
+NOISE, BATCH, RATE, BEGUN = (12, 4), 2048, 0.1, 1.0
+#: Bits of the tables in which the most frequent tokens are looked up.
+SLOTS = 19
 #: Beginnings of words that shared classes tell apart before they look at a third byte.
 BEGINNINGS = 1024
 #: Training tokens of the first part, and that a model sees at least, in at most PASSES passes; shares of the texts by round, in 64ths.
@@ -42,6 +44,8 @@ END = int(mix(np.array([0xE0D], U))[0])
 END_CLASS = 0
 #: Weights are averaged as whole numbers of this part of one.
 _UNIT = 2.0**-36
+#: Weights that are added up in one row.
+CHUNK = 1024
 
 
 def tokens(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -68,16 +72,22 @@ def _tokens(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 
 def shape(distinct: int) -> tuple[int, int, int]:
     """(groups, classes of a group, words with a class of their own) for a vocabulary."""
-    side = max(int(np.ceil(np.sqrt(max(LEAST_CLASSES, 4 * np.sqrt(distinct))))), 2)
+    side = max(int(np.ceil(np.sqrt(max(LEAST_CLASSES, 2.5 * np.sqrt(distinct))))), 2)
     return side, side, min(side * side // 2 - 1, HEAD - 1)
 
 
-def _sums(index: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct values of index, and the sums of their rows of values."""
-    order = np.argsort(index, kind="stable")
+def _runs(index: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows in the order of their index, the distinct values, and where each one's rows begin."""
+    order = np.argsort(index.astype(np.uint16) if len(index) and index.max() < 1 << 16 else index, kind="stable")  # few bits sort faster
     sorted_ = index[order]
     first = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
-    return sorted_[first], np.add.reduceat(values[order], first, axis=0)
+    return order, sorted_[first], first
+
+
+def _sums(index: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values of index, and the sums of their rows of values."""
+    order, which, first = _runs(index)
+    return which, np.add.reduceat(values[order], first, axis=0)
 
 
 @dataclass
@@ -121,9 +131,16 @@ def frequencies(counts: np.ndarray, groups: int) -> tuple[np.ndarray, np.ndarray
 
 def contexts(classes: np.ndarray, first: np.ndarray, lo: int, hi: int) -> np.ndarray:
     """(tokens lo to hi - 1 x CONTEXT) classes before each token, the nearest first; before a text stand ends."""
-    at = np.arange(lo, hi)
-    start = first[np.searchsorted(first, at, "right") - 1]
-    return np.stack([np.where(at - k >= start, classes[np.maximum(at - k, 0)], END_CLASS) for k in range(1, CONTEXT + 1)], axis=1)
+    a, b = np.searchsorted(first, [lo, hi - 1], "right") - 1
+    begin = first[a : b + 1]
+    place = np.arange(lo, hi) - np.repeat(begin, np.diff(np.append(np.maximum(begin, lo), hi)))
+    out = np.full((hi - lo, CONTEXT), END_CLASS, classes.dtype)
+    for k in range(1, CONTEXT + 1):
+        from_ = max(lo - k, 0)
+        if from_ + k >= hi:
+            break
+        out[from_ + k - lo :, k - 1] = np.where(place[from_ + k - lo :] >= k, classes[from_ : hi - k], END_CLASS)
+    return out
 
 
 class Learner:
@@ -145,36 +162,46 @@ class Learner:
         """One batch: classes and their contexts."""
         m, side = self.model, self.upto.shape[1]
         sigmoid = lambda x: 1 / (1 + np.exp(-np.clip(x, -30, 30)))
-        vectors = m.context[c]  # batch x CONTEXT x SIZE
-        q = (vectors * m.scale[None]).sum(axis=1)
+        vectors = [m.context[c[:, k]] for k in range(CONTEXT)]
+        q = sum(v * m.scale[k] for k, v in enumerate(vectors))
         g = t // side
+        order, groups, first = _runs(g)
+        of = list(zip(groups.tolist(), first.tolist(), [*first[1:].tolist(), len(g)], strict=True))  # group, and its rows in order
         # groups: the same noise for the whole batch
         noise = self.rng.choice(len(m.group), NOISE[0], p=self.p_group)
         good = 1 - sigmoid((q * m.group[g]).sum(axis=1) + m.group_bias[g] - self.log_group[g])
         bad = -sigmoid(q @ m.group[noise].T + m.group_bias[noise] - self.log_group[noise])
         grad_q = good[:, None] * m.group[g] + bad @ m.group[noise]
         into, bias = np.zeros_like(m.group), np.zeros_like(m.group_bias)
-        which, sums = _sums(g, np.concatenate([good[:, None] * q, good[:, None]], axis=1))
-        into[which], bias[which] = sums[:, :-1], sums[:, -1]
+        into[groups], bias[groups] = np.add.reduceat((good[:, None] * q)[order], first, axis=0), np.add.reduceat(good[order], first)
         np.add.at(into, noise, bad.T @ q)
         np.add.at(bias, noise, bad.sum(axis=0))
         # classes: each group has noise of its own
         place = (self.upto[:, None, :-1] < self.rng.random((len(m.group), NOISE[1], 1))).sum(axis=2)
         others = place + np.arange(len(m.group))[:, None] * side
-        n = others[g]
         good = 1 - sigmoid((q * m.output[t]).sum(axis=1) + m.bias[t] - self.log_class[t])
-        near = m.output[n]
-        bad = -sigmoid(np.einsum("bd,bkd->bk", q, near) + m.bias[n] - self.log_class[n])
-        grad_q += good[:, None] * m.output[t] + np.einsum("bk,bkd->bd", bad, near)
-        pulled = np.concatenate([good[:, None] * q, good[:, None]], axis=1)
-        which, pushed = _sums(g, np.concatenate([bad[:, :, None] * q[:, None, :], bad[:, :, None]], axis=2))
-        rows, sums = _sums(np.concatenate([t, others[which].ravel()]), np.concatenate([pulled, pushed.reshape(-1, SIZE + 1)]))
-        self.step("output", rows, sums[:, :-1])
-        self.step("bias", rows, sums[:, -1])
+        grad_q += good[:, None] * m.output[t]
+        sorted_q, sorted_g, near = q[order], g[order], m.output[others]
+        s, pull = np.empty((len(g), NOISE[1]), np.float32), np.empty_like(q)
+        for group, a, b in of:
+            np.matmul(sorted_q[a:b], near[group].T, out=s[a:b])
+        bad = -sigmoid(s + (m.bias[others] - self.log_class[others])[sorted_g])
+        pushed = np.empty((len(of), NOISE[1], SIZE), np.float32)
+        for i, (group, a, b) in enumerate(of):
+            np.matmul(bad[a:b], near[group], out=pull[a:b])
+            np.matmul(bad[a:b].T, sorted_q[a:b], out=pushed[i])
+        pushed_bias = np.add.reduceat(bad, first, axis=0)
+        grad_q[order] += pull
+        noisy = others[groups].ravel()
+        rows, sums = _sums(np.concatenate([t, noisy]), np.concatenate([good[:, None] * q, pushed.reshape(-1, SIZE)]))
+        self.step("output", rows, sums)
+        rows = np.concatenate([t, noisy])
+        which, sums = _sums(rows, np.concatenate([good, pushed_bias.ravel()]))
+        self.step("bias", which, sums)
         self.step("group", slice(None), into)
         self.step("group_bias", slice(None), bias)
-        rows, sums = _sums(c.ravel(), (grad_q[:, None, :] * m.scale[None]).reshape(-1, SIZE))
-        self.step("scale", slice(None), np.einsum("bd,bkd->kd", grad_q, vectors))
+        rows, sums = _sums(c.T.ravel(), np.concatenate([grad_q * m.scale[k] for k in range(CONTEXT)]))
+        self.step("scale", slice(None), np.stack([(grad_q * v).sum(axis=0) for v in vectors]))
         self.step("context", rows, sums)
 
 
@@ -182,26 +209,28 @@ def log_probabilities(model: Model, classes: np.ndarray, first: np.ndarray) -> n
     """Natural logarithms of the normalised probabilities of each token's class; first: where texts begin, and the last ends."""
     out, side = np.empty(len(classes)), len(model.output) // len(model.group)
     context_, scale, group, group_bias, output, bias = (x.astype(np.float64) for x in model.parts)
-    tables = [context_ * s for s in scale]
+    tables = [np.concatenate([context_ * s, np.full((len(context_), 1), 1.0 if k == 0 else 0.0)], axis=1) for k, s in enumerate(scale)]  # a one for the bias
+    group, output = np.concatenate([group, group_bias[:, None]], axis=1).T.copy(), np.concatenate([output, bias[:, None]], axis=1)
+    ones = np.ones(max(side, group.shape[1]))
 
     def normalised(s: np.ndarray, own: np.ndarray) -> np.ndarray:
-        top = s.max(axis=1)
-        mine = s[np.arange(len(s)), own] - top
-        s -= top[:, None]
+        if s.max() > 600 or s.min() < -600:  # else no power of e leaves a double's range
+            s -= s.max(axis=1, keepdims=True)
+        mine = s[np.arange(len(s)), own]
         np.exp(s, out=s)
-        return mine - np.log(s.sum(axis=1))
+        return mine - np.log(s @ ones[: s.shape[1]])
 
     for lo in range(0, len(classes), 1 << 15):
         t = classes[lo : lo + (1 << 15)]
         c = contexts(classes, first, lo, lo + len(t))
         q = sum(tables[k][c[:, k]] for k in range(CONTEXT))
         g = t // side
-        p = normalised(q @ group.T + group_bias, g)
-        order = np.argsort(g, kind="stable")
-        for rows in np.split(order, np.flatnonzero(np.diff(g[order])) + 1):
-            if len(rows):
-                a = int(g[rows[0]]) * side
-                p[rows] += normalised(q[rows] @ output[a : a + side].T + bias[a : a + side], t[rows] - a)
+        p = normalised(q @ group, g)
+        order, which, begin = _runs(g)
+        place, sorted_q, of_class = (t - g * side)[order], q[order], np.empty(len(t))
+        for k, a, b in zip(which.tolist(), begin.tolist(), [*begin[1:].tolist(), len(t)], strict=True):
+            of_class[a:b] = normalised(sorted_q[a:b] @ output[k * side : (k + 1) * side].T, place[a:b])
+        p[order] += of_class
         out[lo : lo + len(t)] = p
     return out
 
@@ -218,8 +247,23 @@ class Head:
         of[words] = 1 + np.arange(len(words))
         of[number == U(END)] = END_CLASS
         self.own, self.first_shared, self.shared = of[order], 1 + own, classes - 1 - own
+        # places by bits of the number: a table for all, one for those whose bits are taken in it, and so on
+        self.tables, left, shift = [], np.arange(len(number)), 64 - SLOTS
+        while len(left):
+            slot = self._slot(self.number[left], shift)
+            table = np.zeros(1 << SLOTS, np.int32)
+            table[slot] = left
+            self.tables.append((shift, table))
+            left, shift = left[table[slot] != left], shift - 9
+            if shift < 0:
+                break
+        self.rare = left  # alike in all tables: looked up by order
         self.finer = max(1, self.shared // BEGINNINGS)
 
+    @staticmethod
+    def _slot(number: np.ndarray, shift: int) -> np.ndarray:
+        return ((number >> U(shift)) & U((1 << SLOTS) - 1)).astype(np.int64)
+
     def by_form(self, form: np.ndarray) -> np.ndarray:
         """Shared classes: by a word's first two bytes, and where there are classes enough, by the third as well."""
         return self.first_shared + (form >> 15) % (self.shared // self.finer) * self.finer + (form & 0x7FFF) % self.finer
@@ -228,10 +272,18 @@ class Head:
         """Count (-1 if not in the head), class, and whether the class is its own."""
         is_end = number == U(END)
         count, own = np.full(len(number), -1, np.int64), np.full(len(number), -1, np.int64)
-        if len(self.number):
-            at = np.minimum(np.searchsorted(self.number, number), len(self.number) - 1)
-            here = self.number[at] == number
-            count[here], own[here] = self.count[at[here]], self.own[at[here]]
+        todo = np.arange(len(number))
+        for shift, table in self.tables:
+            n = number[todo]
+            at = table[self._slot(n, shift)]
+            here = self.number[at] == n
+            found, at = todo[here], at[here]
+            count[found], own[found] = self.count[at], self.own[at]
+            todo = todo[~here]
+        if len(self.rare):
+            at = self.rare[np.minimum(np.searchsorted(self.number[self.rare], number[todo]), len(self.rare) - 1)]
+            here = self.number[at] == number[todo]
+            count[todo[here]], own[todo[here]] = self.count[at[here]], self.own[at[here]]
         own[is_end] = END_CLASS
         return count, np.where(own >= 0, own, self.by_form(form)), own >= 0
 
@@ -294,8 +346,11 @@ def _deal(training: DataFrame, head: Head, classes: int, parts: int, seed: int,
 
 
 def _round(dealt: DataFrame, begun: Broadcast, groups: int, classes: int, seed: list[int]) -> DataFrame:
-    """The parts' models after a round, added up: i, x (in whole units; roots of the sums of squares after the weights) and n (how many parts)."""
-    kind = np.uint16 if classes <= 1 << 16 else np.uint32
+    """The parts' models after a round, added up: j, high and low (CHUNK numbers from j * CHUNK on, in whole units, by 32 bits each) and n (how many parts).
+
+    The numbers are the weights and then the roots of their sums of squares.
+    """
+    number = np.uint16 if classes <= 1 << 16 else np.uint32
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, last, held, n, learner, sums, models = None, None, [], 0, None, None, 0
@@ -316,6 +371,7 @@ def _round(dealt: DataFrame, begun: Broadcast, groups: int, classes: int, seed:
             if learner is not None:
                 work(0)
                 x = np.rint(np.concatenate([learner.model.flat(), np.sqrt(learner.squares.flat())]).astype(np.float64) / _UNIT).astype(np.int64)
+                x = np.stack([x >> 32, x & 0xFFFFFFFF])
                 sums, models = x if sums is None else sums + x, models + 1
 
         for b in batches:
@@ -327,15 +383,22 @@ def _round(dealt: DataFrame, begun: Broadcast, groups: int, classes: int, seed:
                     learner = Learner(Model.of(flat, groups, classes), Model.of(squares, groups, classes), counts, [*seed, p])
                 if h != last:
                     last = h
-                    held.append(np.frombuffer(ids.as_buffer(), kind))
+                    held.append(np.frombuffer(ids.as_buffer(), number))
                     n += len(held[-1])
                     work(BATCH)
         close()
         if sums is not None:
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(sums))), pa.array(sums), pa.array(np.full(len(sums), models))], ["i", "x", "n"])
+            at = range(0, sums.shape[1], CHUNK)
+            high, low = ([x[a : a + CHUNK].tobytes() for a in at] for x in sums)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(at))), pa.array(high, pa.binary()), pa.array(low, pa.binary()), pa.array(np.full(len(at), models))], ["j", "high", "low", "n"])
+
+    def added(x):  # noqa: ANN001, ANN202  a pandas frame of one chunk
+        total = lambda c: np.sum([np.frombuffer(b, np.int64) for b in x[c]], axis=0).tobytes()
+        return x.iloc[:1].assign(high=[total("high")], low=[total("low")], n=[int(x["n"].sum())])
 
     rows = dealt.select("part", "h", "ids").repartition("part").sortWithinPartitions("part", "h")
-    return rows.mapInArrow(run, "i long, x long, n long").groupBy("i").agg(F.sum(F.col("x").cast("decimal(20,0)")).alias("x"), F.sum("n").alias("n"))
+    kind = "j long, high binary, low binary, n long"
+    return rows.mapInArrow(run, kind).groupBy("j").applyInPandas(added, kind)
 
 
 def fit(training: DataFrame, scratch: Scratch, seed: int = 0) -> Fitted:
@@ -368,9 +431,10 @@ def fit(training: DataFrame, scratch: Scratch, seed: int = 0) -> Fitted:
         passes = min(PASSES, -(-PART_TOKENS // total))
         for step in range(passes * len(ROUNDS)):
             begun = spark.sparkContext.broadcast((model.flat(), squares.flat(), n_class))
-            got = _round(dealt.where(F.col("turn") == step % len(ROUNDS)), begun, groups, classes, [seed, step]).toArrow().sort_by("i")  # a row per parameter
+            got = _round(dealt.where(F.col("turn") == step % len(ROUNDS)), begun, groups, classes, [seed, step]).toArrow().sort_by("j")  # the model and its squares
             if len(got):  # a turn may have no text
-                mean = (got.column("x").cast(pa.float64()).to_numpy() / got.column("n").to_numpy() * _UNIT).astype(np.float32)
+                high, low = (np.frombuffer(b"".join(got.column(c).to_pylist()), np.int64) for c in ("high", "low"))
+                mean = ((high * 2.0**32 + low) / got.column("n")[0].as_py() * _UNIT).astype(np.float32)
                 model, squares = Model.of(mean[:size], groups, classes), Model.of(mean[size:] ** 2, groups, classes)
             begun.unpersist()
         scratch.drop(dealt)
