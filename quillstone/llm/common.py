@@ -2,94 +2,22 @@
 
 from __future__ import annotations
 
-import atexit
 import contextlib
 import ctypes
-import uuid
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from ..session import shared_dir
+from ..scratch import Scratch  # noqa: F401  the operators' scratch tables
 
 #: Rows that a broadcast may have, and bytes (16 a number, 32 anything else); beyond them a shuffled join does the same.
 BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 1 << 24
-#: Texts that Python is handed at a time while a table is written, and their bytes (one text at least).
-BATCH_ROWS, BATCH_BYTES = 2000, "8m"
 #: Groups that ranked() treats as hot at most, so that their table may be broadcast.
 HOT_GROUPS = 4096
 LAST_ID = 2**63 - 1
-_RECORDS, _BYTES = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-_made: list[tuple[SparkSession, str]] = []
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
-def _at_end() -> None:
-    for spark, path in _made:
-        try:
-            _remove(spark, path)
-        except Exception:  # noqa: BLE001  the session has ended, and its folders with it
-            return
-
-
-atexit.register(_at_end)
-
-
-class Scratch:
-    """Tables written to the shared folder: they cut lineage and outlive any executor.
-
-    While one is written, the shuffles behind it are removed as soon as it is done, and Python gets small batches.
-    """
-
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark, self.n, self.paths = spark, 0, []
-        self.at = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-        _made.append((spark, self.at))
-
-    def cut(self, df: DataFrame) -> DataFrame:
-        """df, written once and read again."""
-        self.n += 1
-        path = f"{self.at}/{self.n}"
-        rows = self.spark.conf.get(_RECORDS)
-        wanted = {_RECORDS: str(min(int(rows), BATCH_ROWS) if int(rows) > 0 else BATCH_ROWS), _BYTES: BATCH_BYTES, _CLEANUP: "true"}
-        before = {k: self.spark.conf.get(k, None) for k in wanted}
-        for k, v in wanted.items():
-            self.spark.conf.set(k, v)
-        try:
-            df.write.parquet(path)
-        finally:
-            for k, v in before.items():
-                if v is None:
-                    self.spark.conf.unset(k)
-                else:
-                    self.spark.conf.set(k, v)
-        out = self.spark.read.schema(df.schema).parquet(path)
-        out.scratch_path = path
-        self.paths.append(path)
-        return out
-
-    def drop(self, *dfs: DataFrame | None) -> None:
-        """Remove tables that nothing reads any more."""
-        for path in {getattr(df, "scratch_path", None) for df in dfs if df is not None} - {None}:
-            _remove(self.spark, path)
-            if path in self.paths:
-                self.paths.remove(path)
-
-    def drop_all_but(self, *dfs: DataFrame | None) -> None:
-        """Remove all tables that were cut here but those given, which a result still reads."""
-        kept = {getattr(df, "scratch_path", None) for df in dfs if df is not None}
-        for path in [p for p in self.paths if p not in kept]:
-            _remove(self.spark, path)
-            self.paths.remove(path)
 
 
 def lean(run):  # noqa: ANN001, ANN201

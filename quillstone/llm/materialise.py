@@ -1,11 +1,12 @@
 """Training-order materialisation: every sequence gets a global slot by a keyed permutation, and shards hold a fixed stride.
 
 Documents become token ids with an end id, cut into sequences of ``length`` ids (the last one padded). A sequence's index is its rank by doc_id, the text's hash
-and its start: documents are dealt by ranges in that order, the encoded table is written once to the shared folder, and an index is a place
-there (rows of earlier ranges, then its own). So it hangs on the data alone, not on how they lie in files, and no list of sequences is ever gathered.
+and its start: documents are dealt by ranges in that order, each task numbers its own sequences, the encoded table is written once to the shared folder, and an
+index is the sequences of earlier tasks and then the own number. So it hangs on the data alone, not on the files they lie in or are written to, and no list of sequences is
+ever gathered.
 A Feistel network over the next even power of two, walked until it falls below the number of sequences, maps indices one-to-one to slots.
 Slots are dealt by range: slot ``s`` is record ``s % per_shard`` of shard ``s // per_shard``. All records take ``2 * length`` bytes (unsigned
-16-bit ids), so a reader seeks to any slot, and resumes from one, without an index.
+16-bit ids), so a reader seeks to any slot, and resumes from one, without an index. A manifest in slot order says which piece of which document a slot holds.
 
 Nulls: a null text is empty, and has the end id alone. Rows that repeat an id get sequences each. An empty table gives an empty result. Only
 doc_id and text are read.
@@ -19,6 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -50,10 +52,11 @@ def feistel(index: np.ndarray, n: int, key: int = KEY) -> np.ndarray:
 
 
 def sequences(docs: DataFrame, path: str | None = None, length: int = LENGTH) -> DataFrame:
-    """Per sequence: doc_id, start, n_ids (without padding) and record (length unsigned 16-bit ids); in order, over the partitions and within each."""
+    """Per sequence: doc_id, start, n_ids (without padding), record (length unsigned 16-bit ids), task and place (from 0, in the task); tasks stand in order."""
     path = path or default_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, place = TaskContext.get().partitionId(), 0
         for b in batches:
             for lo, texts in encoded(b.column("text"), path, END):
                 row, start, n, record = [], [], [], []
@@ -64,26 +67,26 @@ def sequences(docs: DataFrame, path: str | None = None, length: int = LENGTH) ->
                         start.append(at)
                         n.append(len(part))
                         record.append(part.tobytes() + PAD.to_bytes(2, "little") * (length - len(part)))
-                yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(row, pa.int64())), pa.array(start, pa.int64()), pa.array(n, pa.int64()), pa.array(record, pa.binary())], ["doc_id", "start", "n_ids", "record"])
+                own = [pa.array(np.full(len(row), task, np.int32)), pa.array(np.arange(place, place + len(row)))]
+                place += len(row)
+                yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(row, pa.int64())), pa.array(start, pa.int64()), pa.array(n, pa.int64()), pa.array(record, pa.binary()), *own], ["doc_id", "start", "n_ids", "record", "task", "place"])
 
     rows = own_columns(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     order = [F.isnull("doc_id"), "doc_id", F.xxhash64("text"), "_n"]  # rows alike may go anywhere, so that a lot of them fill several ranges
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.withColumn("_n", F.monotonically_increasing_id()).repartitionByRange(n, *order).sortWithinPartitions(*order).select("doc_id", "text")
-    return rows.mapInArrow(run, "doc_id long, start long, n_ids long, record binary")
+    return rows.mapInArrow(run, "doc_id long, start long, n_ids long, record binary, task int, place long")
 
 
-def placed(docs: DataFrame, path: str | None = None, length: int = LENGTH, per_shard: int = PER_SHARD, key: int = KEY) -> DataFrame:
+def placed(docs: DataFrame, path: str | None = None, length: int = LENGTH, per_shard: int = PER_SHARD, key: int = KEY, scratch: Scratch | None = None) -> DataFrame:
     """Per sequence: doc_id, start, n_ids, record, and slot, shard, position. Not yet in slot order."""
-    scratch = Scratch(docs.sparkSession, "materialise")
+    scratch = scratch or Scratch(docs.sparkSession, "materialise")
     table = scratch.cut(sequences(docs, path, length))
-    range_ = F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).cast("int")
-    table = table.select("*", range_.alias("_file"), F.col("_metadata.row_index").alias("_row"))
-    files = table.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))  # a row per file of the encoded table
-    lower = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
-    files = scratch.cut(files.select(F.col("_file"), "_n", F.coalesce(F.sum("_n").over(lower), F.lit(0)).alias("_before")))
-    total = files.agg(F.sum("_n")).first()[0] or 0
-    table = table.join(F.broadcast(files.drop("_n")), "_file").withColumn("index", F.col("_before") + F.col("_row"))
+    tasks = table.groupBy("task").agg(F.count(F.lit(1)).alias("_n"))  # a row per task of the encoding, shuffle partitions at most
+    lower = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    tasks = scratch.cut(tasks.select("task", "_n", F.coalesce(F.sum("_n").over(lower), F.lit(0)).alias("_before")))
+    total = tasks.agg(F.sum("_n")).first()[0] or 0
+    table = table.join(F.broadcast(tasks.drop("_n")), "task").withColumn("index", F.col("_before") + F.col("place"))
 
     def slot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -100,16 +103,21 @@ def in_training_order(records: DataFrame) -> DataFrame:
     return records.repartitionById(n, F.expr(f"int(shard * {n} div {shards})")).sortWithinPartitions("slot")
 
 
-def write_shards(records: DataFrame, folder: str) -> None:
+MANIFEST = "doc_id long, start long, n_ids long, slot long, shard long, position long"
+
+
+def write_shards(records: DataFrame, folder: str) -> DataFrame:
     """Files shard-NNNNNN.bin of fixed-stride records in a folder that executors reach: a path they all mount, or an address that pyarrow opens.
 
-    A shard is written under another name and then renamed, so a task that runs again replaces it whole; what failed attempts leave is removed at the end.
+    Returns the manifest, a Parquet table below the folder: which piece of which document each slot holds, in slot order within its files. A shard is written
+    under another name and then renamed, so a task that runs again replaces it whole; what failed attempts leave is removed at the end.
     """
+    names = [c.split()[0] for c in MANIFEST.split(", ")]
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = _file_system(folder)
         fs.create_dir(root)
-        out, current, n = None, None, 0
+        out, current = None, None
         part = f"{root}/.writing-{uuid.uuid4().hex}"
 
         def close() -> None:
@@ -123,15 +131,49 @@ def write_shards(records: DataFrame, folder: str) -> None:
                     close()
                     current, out = shard, fs.open_output_stream(part)
                 out.write(record)
-                n += 1
+            yield b.select(names)
         close()
-        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
 
-    in_training_order(records).select("shard", "record", "slot").mapInArrow(write, "n long").agg(F.sum("n")).first()
+    at = folder if ":" in folder else f"file://{folder}"
+    in_training_order(records).mapInArrow(write, MANIFEST).write.mode("overwrite").parquet(f"{at}/manifest")
     fs, root = _file_system(folder)
     for f in fs.get_file_info(pa.fs.FileSelector(root, allow_not_found=True)):
         if f.base_name.startswith(".writing-"):
             fs.delete_file(f.path)
+    return records.sparkSession.read.schema(MANIFEST).parquet(f"{at}/manifest")
+
+
+def materialised(docs: DataFrame, folder: str, path: str | None = None, length: int = LENGTH, per_shard: int = PER_SHARD, key: int = KEY) -> DataFrame:
+    """docs as shards in a folder; the manifest. The encoded table goes as soon as the shards stand."""
+    scratch = Scratch(docs.sparkSession, "materialise")
+    manifest = write_shards(placed(docs, path, length, per_shard, key, scratch), folder)
+    scratch.drop_all_but()
+    return manifest
+
+
+def with_records(manifest: DataFrame, folder: str, length: int = LENGTH) -> DataFrame:
+    """The manifest's rows with their records as the shards hold them, read on from slot to slot; only a gap makes a reader seek."""
+    names = [c.split()[0] for c in MANIFEST.split(", ")]
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, root = _file_system(folder)
+        source, current, at = None, None, -1
+        for b in batches:
+            found = []
+            for shard, position in zip(b.column("shard").to_pylist(), b.column("position").to_pylist(), strict=True):
+                if shard != current:
+                    if source:
+                        source.close()
+                    source, current, at = fs.open_input_file(f"{root}/shard-{shard:06d}.bin"), shard, 0
+                if position != at:
+                    source.seek(position * 2 * length)
+                found.append(source.read(2 * length))
+                at = position + 1
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array(found, pa.binary())], [*names, "record"])
+        if source:
+            source.close()
+
+    return manifest.select(*names).mapInArrow(read, f"{MANIFEST}, record binary")
 
 
 def _file_system(folder: str) -> tuple[pa.fs.FileSystem, str]:

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..scratch import Scratch
 from . import ann, audit, exact, hilbert, html, lm, materialise, mixing, neardup, negatives, packing, quality, toxicity
 
 
@@ -19,7 +20,8 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def op1_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = materialise.in_training_order(materialise.placed(_read(spark, sf_dir, "documents")))
+    folder = Scratch(spark, "shards").at
+    records = materialise.with_records(materialise.materialised(_read(spark, sf_dir, "documents"), folder), folder)
     return records.select("doc_id", "start", "n_ids", "slot", "shard", "position", F.crc32("record").alias("record_crc32"))
 
 

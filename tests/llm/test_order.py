@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from quillstone.llm import hilbert, materialise, mixing, packing, tokens
+from quillstone.llm import hilbert, materialise, mixing, packing, queries, tokens
 from quillstone.llm.common import order_hash
 
 
@@ -221,11 +221,34 @@ def test_shards_hold_every_sequence(spark, odd_docs, no_docs, tmp_path):
     for r, x in zip(texts, library_ids([r["text"] for r in texts]), strict=True):
         want.setdefault(r["doc_id"], []).extend((i, x[i : i + 32]) for i in range(0, len(x), 32))
     assert {k: sorted(v) for k, v in parts.items()} == {k: sorted(v) for k, v in want.items()}
-    materialise.write_shards(records, f"file://{tmp_path}")
-    assert sorted(p.name for p in tmp_path.iterdir() if not p.name.endswith(".crc")) == [f"shard-{i:06d}.bin" for i in range(-(-len(rows) // 50))]
+    manifest = materialise.write_shards(records, f"file://{tmp_path}")
+    assert sorted(p.name for p in tmp_path.iterdir() if not p.name.endswith(".crc")) == ["manifest", *(f"shard-{i:06d}.bin" for i in range(-(-len(rows) // 50)))]
+    assert sorted(map(tuple, manifest.collect()), key=lambda r: r[3]) == [tuple(r[c] for c in manifest.columns) for r in rows]
+    read = {r["slot"]: bytes(r["record"]) for r in materialise.with_records(manifest, f"file://{tmp_path}", length=32).collect()}
+    assert read == {r["slot"]: bytes(r["record"]) for r in rows}
+    some = materialise.with_records(manifest.where("slot % 7 = 3 OR slot > 60").orderBy("slot"), str(tmp_path), length=32).collect()
+    assert [bytes(r["record"]) for r in some] == [read[r["slot"]] for r in some]
     back = list(materialise.read_slots(str(tmp_path), 37, len(rows) - 37, length=32, per_shard=50))
     assert [x.tobytes() for x in back] == [bytes(r["record"]) for r in rows[37:]]
     assert materialise.placed(no_docs).collect() == []
+    assert materialise.materialised(no_docs, f"file://{tmp_path}/none").count() == 0
+
+
+def test_slots_do_not_depend_on_the_files_a_task_writes(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    whole = sorted((r["slot"], r["doc_id"], r["start"]) for r in materialise.placed(docs).collect())
+    limit = "spark.sql.files.maxRecordsPerFile"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "20")
+    try:
+        dealt = materialise.placed(docs).collect()
+        query = queries.op1_training_order(spark, sf).collect()
+    finally:
+        spark.conf.set(limit, before)
+    assert [r[0] for r in whole] == list(range(len(whole)))
+    assert sorted((r["slot"], r["doc_id"], r["start"]) for r in dealt) == whole == sorted((r["slot"], r["doc_id"], r["start"]) for r in query)
+    crc = {r["slot"]: zlib.crc32(bytes(r["record"])) for r in dealt}
+    assert {r["slot"]: r["record_crc32"] for r in query} == crc
 
 
 def test_slots_do_not_depend_on_how_the_input_lies(spark, sf, odd_docs):
