@@ -1,11 +1,14 @@
 """The register and the listings as landed raw tables: compressed results, link repair, page walks, counts, addresses.
 
-Fetching over a network is not the engine's: pages and JSON are landed by other means, and these functions start from there.
+Pages and answers are landed first, and these functions start from there; what is asked of the register's service is made here, and sent by whoever calls.
 """
 
 from __future__ import annotations
 
+import json
 import re
+from collections.abc import Callable
+from dataclasses import dataclass, replace
 from urllib.parse import parse_qsl, urlencode
 
 from pyspark.sql import Column, DataFrame
@@ -28,27 +31,133 @@ def widest_entity(entities: DataFrame) -> DataFrame:
     return entities.agg(F.max_by("name", F.struct(F.size("properties"), F.col("name"))).alias("name"))
 
 
-def decode_cells(rows: DataFrame, desc: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """Cells (i, col, name, value) of a compressed result.
+def carried_cells(rows: DataFrame, dictionary: DataFrame, strict: bool = False) -> DataFrame:
+    """Cells (result, i, col, name, value) of compressed results.
 
-    rows: i, r (bit set: as in the row before), n (bit set: null), c (cells present, as strings). desc: col, name, dict. A repeat is looked
+    rows: result, i, r (bit set: as in the row before), n (bit set: null), c (cells present: v, whole), desc (a column's col, name, dict). A repeat is looked
     at before a null, and repeats carry nulls too. A present cell is numbered by the present columns before it; no loop over columns.
-    Rows of one column form one window: results of one query (30,000 rows at most) are decoded at a time, ``result`` (if rows have it) tells them apart.
+    dictionary: dict, idx, value (and result, where results have words of their own); it gives a word for a whole number of a column with a dict. strict: a number
+    without a word is an error. A result's rows of one column form one window, 30,000 at most in an answer of the register.
     """
-    by = ["result"] if "result" in rows.columns else []
-    columns = [F.struct(F.lit(r["col"]).cast("int").alias("col"), F.lit(r["name"]).alias("name"), F.lit(r["dict"]).cast("string").alias("dict")) for r in desc.orderBy("col").collect()]  # a row per column of the result
-    cells = rows.select("*", F.inline(F.array(*columns)))
+    cells = rows.select("*", F.inline("desc")).drop("desc")
     bit = lambda mask: F.expr(f"shiftright({mask}, col) & 1")
     cells = cells.withColumns({"repeat": bit("r") == 1, "is_null": bit("n") == 1})
     at = F.expr("bit_count(~(r | n) & (shiftleft(1L, col) - 1)) + 1")
     own = F.when(~F.col("repeat") & ~F.col("is_null"), F.try_element_at("c", at.cast("int")))
-    over = Window.partitionBy(*by, "col").orderBy("i")
+    over = Window.partitionBy("result", "col").orderBy("i")
     cells = cells.withColumn("own", own).withColumn("run", F.sum(F.when(F.col("repeat"), 0).otherwise(1)).over(over))
-    first = Window.partitionBy(*by, "col", "run").orderBy("i")
-    cells = cells.withColumn("value", F.first("own", ignorenulls=False).over(first))
-    words = dictionary.select(F.col("dict").alias("_d"), F.col("idx").cast("string").alias("_i"), F.col("value").alias("word"))
-    cells = cells.join(F.broadcast(words), (F.col("dict") == F.col("_d")) & (F.col("value") == F.col("_i")), "left")
-    return cells.select(*by, "i", "col", "name", F.when(F.col("word").isNotNull(), F.col("word")).otherwise(F.col("value")).alias("value"))
+    # a repeat in a result's first row repeats nothing
+    value = F.when(F.col("run") > 0, F.first("own", ignorenulls=False).over(Window.partitionBy("result", "col", "run").orderBy("i")))
+    cells = cells.select("result", "i", "col", "name", "dict", value.alias("value"))
+    cells = cells.withColumn("idx", F.when(F.col("dict").isNotNull() & F.col("value.whole"), F.col("value.v")))
+    by = ["result"] if "result" in dictionary.columns else []
+    words = dictionary.select(*[F.col(c).alias(f"_{c}") for c in by], F.col("dict").alias("_d"), F.col("idx").cast("string").alias("_i"), F.col("value").alias("word"))
+    same = (F.col("dict") == F.col("_d")) & (F.col("idx") == F.col("_i"))
+    for c in by:
+        same &= F.col(c) == F.col(f"_{c}")
+    cells = cells.join(words, same, "left")
+    text = F.coalesce("word", F.col("value.v"))
+    if strict:
+        unknown = F.col("idx").isNotNull() & F.col("_i").isNull()
+        text = F.when(unknown, F.raise_error(F.concat(F.lit("a dictionary of the register has no word "), "idx"))).otherwise(text)
+    return cells.select("result", "i", "col", "name", text.alias("value"))
+
+
+def decode_cells(rows: DataFrame, desc: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """carried_cells() of results that share their columns. rows: result (may be left out if there is one), i, r, n, c (strings). desc: col, name, dict, a row per column."""
+    by = ["result"] if "result" in rows.columns else []
+    columns = [F.struct(F.lit(r["col"]).cast("int").alias("col"), F.lit(r["name"]).alias("name"), F.lit(r["dict"]).cast("string").alias("dict")) for r in desc.orderBy("col").collect()]
+    cells = F.transform("c", lambda v: F.struct(v.alias("v"), F.lit(True).alias("whole")))
+    rows = rows.select((F.col("result") if by else F.lit(0)).alias("result"), "i", "r", "n", cells.alias("c"), F.array(*columns).alias("desc"))
+    return carried_cells(rows, dictionary).select(*by, "i", "col", "name", "value")
+
+
+def answers_of(raw: DataFrame) -> DataFrame:
+    """raw: result, body (an answer's JSON). result, error ('' if it can be read), ds (the data set), rows, desc (what the first row says about the columns)."""
+    rows = raw.select("result", F.try_parse_json("body").alias("answer"))
+    rows = rows.withColumn("ds", F.try_variant_get("answer", "$.results[0].result.data.dsr.DS[0]", "variant"))
+    rows = rows.withColumn("rows", F.try_variant_get("ds", "$.PH[0].DM0", "array<variant>"))
+    rows = rows.withColumn("desc", F.try_variant_get(F.get("rows", F.lit(0)), "$.S", "array<struct<N:string,DN:string>>"))
+    error = F.when(F.col("answer").isNull(), "no JSON").when(F.col("ds").isNull(), "no result set").when(F.col("desc").isNull(), "no descriptor").otherwise("")
+    return rows.select("result", error.alias("error"), "ds", "rows", "desc")
+
+
+def decoded_answers(raw: DataFrame, columns: list[str]) -> DataFrame:
+    """result, i and a column per name, of the answers in raw that can be read; columns: names in the order asked for."""
+    found = answers_of(raw).where("error = ''")
+    names = F.array(*[F.lit(c) for c in columns])
+    desc = F.slice(F.transform("desc", lambda s, k: F.named_struct(F.lit("col"), k, F.lit("name"), F.get(names, k), F.lit("dict"), s["DN"])), 1, len(columns))
+    kind = lambda v: F.schema_of_variant(v)
+    whole = lambda v: F.try_variant_get(v, "$", "double").cast("decimal(38,0)").cast("string")
+    text = lambda v: F.when(kind(v).isin("DOUBLE", "FLOAT"), whole(v)).otherwise(F.try_variant_get(v, "$", "string"))
+    cell = lambda v: F.struct(text(v).alias("v"), (kind(v) == "BIGINT").alias("whole"))
+    number = lambda path: F.coalesce(F.try_variant_get("x", path, "long"), F.lit(0).cast("long"))
+    rows = found.select("result", desc.alias("desc"), F.posexplode("rows").alias("i", "x"))
+    rows = rows.select("result", "i", number("$.R").alias("r"), number("$.Ø").alias("n"), F.coalesce(F.try_variant_get("x", "$.C", "array<variant>"), F.array().cast("array<variant>")).alias("raw"), "desc")
+    rows = rows.withColumn("c", F.transform("raw", cell)).drop("raw")
+    words = found.select("result", F.explode(F.try_variant_get("ds", "$.ValueDicts", "map<string,array<string>>")).alias("dict", "words"))
+    words = words.select("result", "dict", F.posexplode("words").alias("idx", "value"))
+    return carried_cells(rows, words, strict=True).groupBy("result", "i").pivot("name", columns).agg(F.first("value"))
+
+
+def read_answers(raw: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(register rows of the answers in raw, with result and i; result and error of those that can't be read, after which no run may believe the register complete)."""
+    decoded = decoded_answers(raw, columns)
+    return register_rows(decoded, keep=("result", "i")), answers_of(raw).where("error <> ''").select("result", "error")
+
+
+# --- what is asked of the register's service --------------------------------------------------------------------------------------------
+
+#: Rows that one answer holds at most.
+MOST_ROWS = 30_000
+
+
+@dataclass(frozen=True)
+class Model:
+    """What the service calls the register: its model, data set and report, and the table's name and columns."""
+
+    number: int
+    data_set: str | None
+    report: str | None
+    table: str = ""
+    columns: tuple[str, ...] = ()
+
+
+def model_of(exploration: str) -> Model:
+    """From the answer that describes the published report."""
+    said = json.loads(exploration)
+    first = said["models"][0]
+    return Model(first["id"], first.get("dbName"), ((said.get("exploration") or {}).get("report") or {}).get("objectId"))
+
+
+def schema_request(model: Model) -> str:
+    """The model's number under both names that the service has had for it."""
+    return json.dumps({"userPreferredLocale": "en-US", "modelIds": [model.number], "models": [model.number]})
+
+
+def with_table(model: Model, schema: str) -> Model:
+    """The model with its table: the entity with the most columns, the first of several; the others only help with dates."""
+    entities = json.loads(schema)["schemas"][0]["schema"]["Entities"]
+    widest = max(entities, key=lambda e: len(e.get("Properties") or ()))
+    return replace(model, table=widest["Name"], columns=tuple(p["Name"] for p in widest.get("Properties") or ()))
+
+
+def rows_request(model: Model, most: int = MOST_ROWS) -> str:
+    """Asks for all columns of the table, in order."""
+    asked = [{"Name": f"t.{c}", "Column": {"Property": c, "Expression": {"SourceRef": {"Source": "t"}}}} for c in model.columns]
+    shape = {"Version": 1, "Primary": {"Groupings": [{"Projections": [*range(len(asked))]}]}, "DataReduction": {"DataVolume": 4, "Primary": {"Window": {"Count": most}}}}
+    select = {"Version": 2, "From": [{"Name": "t", "Entity": model.table, "Type": 0}], "Select": asked}
+    command = {"SemanticQueryDataShapeCommand": {"Query": select, "Binding": shape}}
+    context = {"DatasetId": model.data_set, "Sources": [{"ReportId": model.report}]}
+    return json.dumps({"version": "1.0.0", "modelId": model.number, "cancelQueries": [], "queries": [{"QueryId": "", "Query": {"Commands": [command]}, "ApplicationContext": context}]})
+
+
+def ask_register(base: str, key: str, ask: Callable[[str, str | None, dict[str, str]], str]) -> tuple[Model, str]:
+    """(model, the answer with all rows) of the service at base, for the published report of a key. ask: an address, what to post (None: get) and headers to the answer's text."""
+    headers = {"X-PowerBI-ResourceKey": key}
+    model = model_of(ask(f"{base}/public/reports/{key}/modelsAndExploration?preferReadOnlySession=true", None, headers))
+    model = with_table(model, ask(f"{base}/public/reports/conceptualschema", schema_request(model), headers))
+    return model, ask(f"{base}/public/reports/querydata?synchronous=true", rows_request(model), headers)
 
 
 # What the names of the register's columns hold, whatever their case.
@@ -67,17 +176,18 @@ REGISTER_COLUMNS = {
 }
 
 
-def register_rows(decoded: DataFrame, needles: dict[str, tuple[str, ...]] = REGISTER_COLUMNS) -> DataFrame:
-    """Decoded columns of a result, found by parts of their names, as register rows: strings, dates from milliseconds or as they are, '' for what is missing."""
+def register_rows(decoded: DataFrame, needles: dict[str, tuple[str, ...]] = REGISTER_COLUMNS, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Decoded columns of a result, found by parts of their names, as register rows: strings, dates from milliseconds or as they are, '' for what is missing. keep: columns to keep as they are."""
+    names = [c for c in decoded.columns if c not in keep]
 
     def field(name: str, parts: tuple[str, ...]) -> Column:
-        found = "`" + loose_column(decoded.columns, *parts) + "`"
+        found = "`" + loose_column(names, *parts).replace("`", "``") + "`"
         text = F.col(found).cast("string")
         if name.startswith("date_"):
             return nz(F.when(F.rlike(text, F.lit(r"^-?\d{9,}$")), epoch_ms_date(text.cast("long"))).otherwise(text))
         return F.lower(strip(nz(text))) if name == "authority" else strip(nz(text))
 
-    rows = decoded.select(*[field(k, v).alias(k) for k, v in needles.items()])
+    rows = decoded.select(*keep, *[field(k, v).alias(k) for k, v in needles.items()])
     return rows.withColumn("link_alts", F.array().cast("array<string>"))
 
 
