@@ -160,7 +160,7 @@ def _tail(url: str) -> str:
     return url.rstrip("/").rsplit("/", 1)[-1]
 
 
-def from_list(root: Element, url: str) -> dict:
+def from_list(root: Element, url: str, formats: dict[str, str] = JOINT_FORMATS) -> dict:  # noqa: ARG001
     """Fields of a definition list: known labels, dates, and all others but private ones."""
     r = _blank("eba", url)
     table = next((e for e in root.all("dl") if "metadata" in e.classes()), None)
@@ -184,8 +184,8 @@ def from_list(root: Element, url: str) -> dict:
     return r
 
 
-def from_headings(root: Element, url: str) -> dict:
-    """Fields set in bold, and sections below headings."""
+def from_headings(root: Element, url: str, formats: dict[str, str] = JOINT_FORMATS) -> dict:
+    """Fields set in bold, and sections below headings; the joint id is that of the address, by its token's format."""
     r = _blank("eiopa", url)
     page = root.first("article") or root
     for p in page.all("p"):
@@ -217,7 +217,7 @@ def from_headings(root: Element, url: str) -> dict:
     r["qa_id"] = r["qa_id"] or _tail(url).removesuffix("_en")
     m = re.search(JOINT_CITED, r["qa_id"])
     if m:
-        r["joint_id"] = JOINT_FORMATS.get(m[1].upper(), "%s%d") % (m[1].upper(), int(m[2]))
+        r["joint_id"] = formats.get(m[1].upper(), "%s%d") % (m[1].upper(), int(m[2]))
     return r
 
 
@@ -228,7 +228,7 @@ def _field(root: Element, name: str) -> str:
     return (next((x for x in e.walk() if "field__item" in x.classes()), e)).text()
 
 
-def from_fields(root: Element, url: str) -> dict:
+def from_fields(root: Element, url: str, formats: dict[str, str] = JOINT_FORMATS) -> dict:  # noqa: ARG001
     """Fields in named boxes, and folded blocks: the first is the question, the others the answer."""
     r = _blank("esma", url)
     r["qa_id"] = _tail(url)
@@ -256,20 +256,20 @@ def from_fields(root: Element, url: str) -> dict:
 DIALECTS = {"eba": from_list, "eiopa": from_headings, "esma": from_fields}
 
 
-def parse_page(authority: str, url: str, html: str | None) -> dict:
+def parse_page(authority: str, url: str, html: str | None, formats: dict[str, str] = JOINT_FORMATS) -> dict:
     try:
-        return DIALECTS[authority](parse(html), url or "")
+        return DIALECTS[authority](parse(html), url or "", formats)
     except Exception as e:  # noqa: BLE001  one bad page is one row's error
         return _blank(authority or "", url or "") | {"error": f"{type(e).__name__}: {e}"}
 
 
-def parse_pages(pages: DataFrame) -> DataFrame:
-    """pages: authority, url, html. A record per page, with error set where it couldn't be parsed."""
+def parse_pages(pages: DataFrame, formats: dict[str, str] = JOINT_FORMATS) -> DataFrame:
+    """pages: authority, url, html. A record per page, with error set where it couldn't be parsed. formats: how a joint id is written, by its token."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [x.split()[0] for x in RECORD.split(", ")]
         for b in batches:
-            yield pd.DataFrame([parse_page(*row) for row in zip(b["authority"], b["url"], b["html"], strict=True)], columns=names)
+            yield pd.DataFrame([parse_page(*row, formats) for row in zip(b["authority"], b["url"], b["html"], strict=True)], columns=names)
 
     return pages.select("authority", "url", "html").mapInPandas(run, RECORD)
 

@@ -63,10 +63,15 @@ def queue_places(candidates: DataFrame, state: DataFrame, mode: RunMode) -> Data
     return head.withColumn("place", F.row_number().over(Window.orderBy("source_seq", nz(F.col("verified_at")), "key")))
 
 
-def limit_per_source(rows: DataFrame, limit: int, source: str, *order: str) -> DataFrame:
+def limit_per_source(rows: DataFrame, limit: int, source: str, *order: str | Column) -> DataFrame:
     return rows.withColumn("_n", F.row_number().over(Window.partitionBy(source).orderBy(*order))).where(F.col("_n") <= limit).drop("_n")
 
 
+def limited(chosen: DataFrame, limit: int) -> DataFrame:
+    """The first rows of each source in the order in which they'd be fetched: those that must be, then the longest unverified."""
+    return limit_per_source(chosen, limit, "source_seq", F.col("must").desc(), F.when(F.col("must"), "").otherwise(nz(F.col("verified_at"))), F.col("key"))
+
+
 def first_that_parses(candidates: DataFrame, pages: DataFrame) -> DataFrame:
     """candidates: key, urls (best first). The record of the first address that has a page without an error: one row per key."""
     tries = candidates.select("key", F.posexplode("urls").alias("ord", "url"))

@@ -56,8 +56,8 @@ class Scratch:
         self.at = f"{(under or shared_dir(spark)).rstrip('/')}/{name}-{uuid.uuid4().hex}"
         _paths(spark.sparkContext).add(self.at)
 
-    def _lean(self, df: DataFrame) -> DataFrame:
-        """df in a clone of its session."""
+    def lean(self, df: DataFrame) -> DataFrame:
+        """df in a clone of its session with the settings of a write."""
         clone = df.sparkSession._jsparkSession.cloneSession()
         rows = int(clone.conf().get(_RECORDS))
         clone.conf().set(_RECORDS, str(min(rows, BATCH_ROWS) if rows > 0 else BATCH_ROWS))
@@ -67,11 +67,11 @@ class Scratch:
         jvm = self.spark.sparkContext._jvm
         return DataFrame(jvm.org.apache.spark.sql.classic.Dataset.ofRows(clone, plan), SparkSession(self.spark.sparkContext, clone))
 
-    def cut(self, df: DataFrame) -> DataFrame:
+    def cut(self, df: DataFrame, codec: str = "snappy") -> DataFrame:
         """df, written once and read again."""
         self.n += 1
         path = f"{self.at}/{self.n}"
-        self._lean(df).write.parquet(path)
+        self.lean(df).write.option("compression", codec).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out.scratch_path = path
         self.paths.append(path)
