@@ -303,6 +303,32 @@ HELD_OUT = (
     "<body><div><a>{-1}</a><a>{-2}</a></div><p>{+5}</p><p>{+90}</p><p>{+44} <a>{+2}</a></p><p>{+16}</p><div class=cookie-banner>{-25}</div></body>",
     "<body><div id=page><div class=promo><p>{-20}</p></div><article><h1>{+4}</h1><p>{+25}</p><blockquote><p>{+18}</p></blockquote><p>{+3}</p><table><tr><td>{+2}</td><td>{+2}</td></tr></table></article><section class=comments><h3>{-2}</h3><div class=comment-text><p>{-52}</p></div><div class=comment-text><p>{-31}</p></div></section></div></body>",
     "<body><form id=aspnet><div class=top-menu><a>{-2}</a><a>{-2}</a></div><div class=main><h1>{+5}</h1><p>{+38}</p><p>{+61}</p></div><div class=copyright>{-9}</div></form></body>",
+    # by structure: telling names around text, short pages without an article, adverts and comments without telling names
+    # telling names around text of an article
+    "<body><nav><a>{-1}</a></nav><article><h1>{+6}</h1><div class='cookies-recipe'><p>{+18}</p><p>{+24}</p></div><p>{+12}</p></article><footer>{-8}</footer></body>",
+    "<body><main><h1>{+4}</h1><p>{+9}</p><div class=share-price><p>{+30}</p></div><p>{+20}</p></main></body>",
+    "<body><article><h1>{+4}</h1><section class=alert-history><p>{+22}</p><p>{+13}</p></section><p>{+31}</p></article></body>",
+    "<body><article><h1>{+4}</h1><p>{+16}</p><section id=social-policy><h2>{+2}</h2><p>{+28}</p><p>{+35}</p></section></article></body>",
+    "<body><article><h1>{+3}</h1><div id=menu><p>{+20}</p><p>{+17}</p></div></article><div id=menu-main><a>{-1}</a><a>{-2}</a></div></body>",
+    "<body><div class=navigation-bar><a>{-1}</a><a>{-1}</a></div><article><h1>{+7}</h1><div class='related-studies'><p>{+44}</p></div><div class=related><a>{-4}</a><a>{-6}</a></div></article></body>",
+    # short pages without an article
+    "<body><h1>{+4}</h1><ol><li>{+6}</li><li>{+4}</li><li>{+5}</li></ol></body>",
+    "<body><h1>{+5}</h1><p>{+7}</p><p>{+6}</p><p>{+4}</p></body>",
+    "<body><h1>{+4}</h1><p>{+25}</p><h3><a>{-6}</a></h3><h3><a>{-5}</a></h3></body>",
+    "<body><h1>{+3}</h1><p>{+12}</p><ul><li>{+2}</li><li>{+4}</li></ul><p>{+3}</p></body>",
+    # adverts and comments without a telling name
+    "<body><div class=q1><p>{-15}</p></div><article><h1>{+6}</h1><p>{+50}</p><p>{+7}</p></article><div class=q2><p>{-27}</p></div></body>",
+    "<body><article><h1>{+6}</h1><p>{+50}</p></article><div class=z><div class=t><b>{-2}</b><p>{-44}</p></div><div class=t><b>{-2}</b><p>{-11}</p></div></div></body>",
+    "<body><h1>{+6}</h1><p>{+61}</p><p>{+34}</p><div><div class=w1><div>{-2}</div><p>{-29}</p></div><div class=w1><div>{-3}</div><p>{-8}</p></div><div class=w1><div>{-2}</div><p>{-17}</p></div></div></body>",
+    "<body><h1>{+5}</h1><p>{+40}</p><ul class=z><li><span>{-3}</span><p>{-30}</p></li><li><span>{-2}</span><p>{-19}</p></li></ul></body>",
+    # telling names of furniture
+    "<body><div class=site-menu><a>{-1}</a><a>{-1}</a></div><h1>{+6}</h1><p>{+33}</p><div class=ad-box>{-10}</div><p>{+28}</p><div class=comment-list><p>{-36}</p><p>{-25}</p></div></body>",
+    "<body><header><h2>{-2}</h2></header><article><h1>{+5}</h1><p>{+28}</p><div class=advert><p>{-12}</p></div><p>{+36}</p><aside>{-20}</aside><form>{-4}</form></article><section id=comments><p>{-50}</p></section></body>",
+    "<body><div id=cookie-consent>{-22}</div><div id=main><h1>{+5}</h1><p>{+47}</p><p>{+6}</p></div><div id=footer>{-11}</div></body>",
+    # text in plain elements
+    "<body><table><tr><td><a>{-1}</a></td></tr></table><div>{+50}</div><div>{+8}</div><div>{+42}</div><div><a>{-2}</a> <a>{-1}</a></div></body>",
+    "<body><article><h1>{+4}</h1><div class=step><h3>{+2}</h3><p>{+13}</p></div><div class=step><h3>{+2}</h3><p>{+20}</p></div></article><div role=complementary>{-12}</div></body>",
+    "<body><article><h1>{+4}</h1><ol><li><b>{+2}</b><p>{+13}</p></li><li><b>{+2}</b><p>{+22}</p></li></ol></article></body>",
 )
 
 
@@ -310,15 +336,40 @@ def test_held_out_blocks():
     tree, table = html.trained(), html.labelled(HELD_OUT)
     got, want = np.array([tree(tuple(x[:-1])) for x in table]), table[:, -1] > 0
     precision, recall = (got & want).sum() / got.sum(), (got & want).sum() / want.sum()
-    assert precision >= 0.95 and recall >= 0.95, (precision, recall)
+    assert precision >= 0.97 and recall >= 0.97, (precision, recall)
     assert all(tree(tuple(x[:-1])) == x[-1] for x in html.labelled())
     used, todo = set(), [tree]
     while todo:
         node = todo.pop()
         if node.feature >= 0:
-            used.add(node.feature)
+            used.add(html.NAMES[node.feature])
             todo += [node.low, node.high]
-    assert used & {0, 1} and used & {2, 3, 4, 5} and used & {6, 7, 8}  # words and links, neighbours and elements all weigh in
+    assert used & {"words", "density"} and used & {"words before", "density before", "words after", "density after"} and used >= {"article", "titled", "alike", "prose name", "beside name"}
+
+
+SENTENCES = ("The committee met on Monday and agreed on the first three points of the list.", "A second meeting, to be held in spring, will deal with the rest of them and with what was left open.")
+
+
+@pytest.mark.parametrize("around", ["article", "main"])
+@pytest.mark.parametrize("name", ["class=cookies-recipe", "class=share-price", "class='alert-history'", "id=social-policy", "id=menu", "class=related-work", "id=navigation"])
+def test_a_name_alone_drops_no_text(around, name):
+    page = f"<body><nav><a>Home</a></nav><{around}><h1>A title</h1><div {name}><p>{SENTENCES[0]}</p><p>{SENTENCES[1]}</p></div><p>Some more text stands here at the end.</p></{around}><footer>All rights reserved</footer></body>"
+    assert html.main_text(page, html.trained()) == "\n".join(("A title", *SENTENCES, "Some more text stands here at the end."))
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("<h1>How to</h1><ol><li>Take some flour</li><li>Add the water to it</li><li>Bake it</li></ol>", "How to\nTake some flour\nAdd the water to it\nBake it"),
+        ("<h1>A short note</h1><p>It rained all day.</p><p>Nobody went out.</p><p>The end.</p>", "A short note\nIt rained all day.\nNobody went out.\nThe end."),
+        (f"<h1>A title</h1><p>{SENTENCES[0]} {SENTENCES[1]}</p><p><a>Another title of this site</a></p><p><a>One more of them</a></p>", f"A title\n{SENTENCES[0]} {SENTENCES[1]}"),
+        (f"<div class=q1><p>Buy our new shoes today, they are the best in town by far.</p></div><article><h1>A title</h1><p>{SENTENCES[1]}</p></article><div><p>{SENTENCES[0]}</p></div>", f"A title\n{SENTENCES[1]}"),
+        (f"<h1>A title</h1><p>{SENTENCES[0]}</p><p>{SENTENCES[1]}</p><div><div class=k><b>Ann, 3 May</b><p>I don't agree with that at all.</p></div><div class=k><b>Bob</b><p>Nor do I, for what it is worth.</p><p>Really.</p></div></div>", f"A title\n{SENTENCES[0]}\n{SENTENCES[1]}"),
+        ("<ul><li>one<li>two words<li><p>three</p><p>words here</p></ul>", "one\ntwo words\nthree\nwords here"),
+    ],
+)
+def test_short_pages_adverts_and_comments_without_names(page, want):
+    assert html.main_text(f"<body>{page}</body>", html.trained()) == want
 
 
 def test_main_text_of_all_pages(spark, sf):
