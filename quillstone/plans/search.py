@@ -7,9 +7,13 @@ list of terms, and folded into one predicate, so a search is a scan with cheap f
 from __future__ import annotations
 
 import re
+import threading
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
+from typing import TypeVar
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import act_family, html_escaped, nz
@@ -19,6 +23,7 @@ DOUBLE, SINGLE = "“”„‟«»", "‘’‚‛"
 STOP = frozenset("an and are as at be by for in is it of on or the to with".split())
 LEADING, TRAILING = "/(\"'[", ")\"'],.;:!?"
 LIMIT = 200
+Found = TypeVar("Found")
 
 
 @dataclass(frozen=True)
@@ -124,18 +129,54 @@ def needed_families(acts: list[str], present: list[str]) -> list[str]:
     return sorted(wanted & set(present)) or sorted(present)
 
 
-def search(index: DataFrame, query: str = "", acts: list[str] = (), authority: str = "", date_from: str = "", date_to: str = "", families: list[str] | None = None, limit: int = LIMIT, count: bool = True) -> DataFrame:
-    """Hits, newest first (no date last), then by id falling; the first ``limit`` of them, and how many there are (hits) of how many read (loaded).
+def newest_first() -> list[Column]:
+    """No date last; then by id falling."""
+    return [F.nullif(F.col("date"), F.lit("")).desc_nulls_last(), F.collate(F.col("qa_id"), "UNICODE").desc(), F.col("qa_id").desc()]
 
-    Families prune partitions. The top-k is merged from each task's own; both counts are one row, met without a shuffle.
+
+def search(index: DataFrame, query: str = "", acts: list[str] = (), authority: str = "", date_from: str = "", date_to: str = "", families: list[str] | None = None, limit: int = LIMIT, count: bool = True, loaded: int | None = None) -> DataFrame:
+    """Hits, newest first, the first ``limit`` of them, and how many there are (hits) of how many read (loaded).
+
+    Families prune partitions. The top-k is merged from each task's own. Both counts are one row, to which the hits are joined, so a search that finds nothing still
+    tells of how many: it returns one row of nulls and the counts. loaded: how many rows the index has, if that is known (from a manifest).
     """
     rows = index.where(F.col("family").isin(families)) if families else index
     hit = facets(acts, authority, date_from, date_to) & matches(parse_query(query), F.col("hay"))
-    best = rows.where(hit).orderBy(F.nullif(F.col("date"), F.lit("")).desc_nulls_last(), F.collate(F.col("qa_id"), "UNICODE").desc(), F.col("qa_id").desc()).limit(limit)
+    best = rows.where(hit).orderBy(*newest_first()).limit(limit)
     if not count:
         return best
-    n = rows.agg(F.count_if(hit).alias("hits"), F.count(F.lit(1)).alias("loaded"))  # one row
-    return best.crossJoin(F.broadcast(n))
+    known = loaded is not None
+    n = (rows.where(hit) if known else rows).agg((F.count(F.lit(1)) if known else F.count_if(hit)).alias("hits"), (F.lit(loaded).cast("long") if known else F.count(F.lit(1))).alias("loaded"))  # one row
+    names = best.columns
+    return n.join(best.withColumn("_hit", F.lit(True)), F.col("_hit"), "left").select(*names, "hits", "loaded")
+
+
+class Newest:
+    """Of searches that come one after another only the newest counts: a new one ends the jobs of the one before."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self._lock, self._n, self._tag = spark, threading.Lock(), 0, None
+
+    def run(self, make: Callable[[], Found]) -> Found | None:
+        """What make returns, its jobs run with a tag of their own; None if a newer search has come since. To be called from any thread."""
+        with self._lock:
+            self._n += 1
+            mine, before, self._tag = self._n, self._tag, f"search-{uuid.uuid4().hex}"
+            tag = self._tag
+        sc = self.spark.sparkContext
+        if before:
+            sc.cancelJobsWithTag(before)
+        sc.addJobTag(tag)
+        sc.setInterruptOnCancel(True)
+        try:
+            found = make()
+        except Exception:
+            if mine != self._n:
+                return None  # ended by a newer one
+            raise
+        finally:
+            sc.removeJobTag(tag)
+        return found if mine == self._n else None
 
 
 def facet_options(index: DataFrame) -> DataFrame:
