@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions import html as pages_html
+from ..functions import text as T
 from ..scratch import Scratch
 from ..sources import portal, register
+from ..sources.store import Store
 from .catalogue import _t, query
+from .config import config_of
 
 # --- the register's answers -------------------------------------------------------------------------------------------------------------
 
@@ -117,3 +123,51 @@ def page_waves(spark, d):
     parse = lambda rows: rows.select("url", F.char_length("body").alias("n"), F.when(F.col("body") == "", "nothing on the page").otherwise("").alias("error"))
     asked = portal.first_answers(pages.select(F.col("page_id").alias("key"), urls.alias("urls")), portal.recorded(responses), parse, Scratch(spark, "pages"))[1]
     return asked.select("url", "wave", (F.col("error") == "").alias("served"))
+
+
+# --- what a second run writes -------------------------------------------------------------------------------------------------------------
+
+
+@query("""WITH d AS (SELECT doc_id, source FROM documents), c AS (SELECT doc_id, CASE WHEN doc_id % 90 = 5 THEN 'moved' ELSE source END AS family, source FROM d WHERE doc_id % 45 = 5 AND source IN ('src2', 'src7')),
+ t AS (SELECT family AS part FROM c UNION SELECT source FROM c), n AS (SELECT coalesce(c.family, d.source) AS part, count(*) AS rows FROM d LEFT JOIN c USING (doc_id) GROUP BY 1)
+ SELECT part, rows, CAST(CASE WHEN part IN (SELECT part FROM t) THEN 2 ELSE 1 END AS BIGINT) AS version FROM n""")
+def delta_parts(spark, d):
+    """Which families a second commit writes: some records of two families change, and some of these move into a third."""
+    schema = "key STRING, family STRING, hash STRING"
+    store = Store(spark, Scratch(spark, "store").at, {"records": (schema, "family")})
+    rows = _t(spark, d, "documents").select("doc_id", F.col("doc_id").cast("string").alias("key"), F.col("source").alias("family"), F.sha1(F.col("text")).alias("hash"))
+    store.commit({"records": rows})
+    changed = rows.where("doc_id % 45 = 5 AND family IN ('src2', 'src7')").withColumns({"hash": F.lit("changed"), "family": F.when(F.col("doc_id") % 90 == 5, "moved").otherwise(F.col("family"))})
+    return store.manifest("records", store.commit({"records": changed}))
+
+
+@query("""SELECT CAST(p_partkey AS VARCHAR) AS key, 'https://x/' || ['eba', 'eiopa', 'esma'][1 + p_partkey % 3] || '/q-12-' || CAST(p_partkey AS VARCHAR) AS url, ['eba', 'eiopa', 'esma'][1 + p_partkey % 3] AS authority,
+ CASE p_partkey % 3 WHEN 0 THEN '2020_' || CAST(p_partkey AS VARCHAR) WHEN 1 THEN 'mica-' || CAST(p_partkey AS VARCHAR) ELSE 'q-12-' || CAST(p_partkey AS VARCHAR) END AS qa_id,
+ CASE WHEN p_partkey % 3 = 1 THEN 'MICA' || lpad(regexp_extract(CAST(p_partkey AS VARCHAR), '^\\d{1,4}'), 4, '0') ELSE '' END AS joint_id,
+ p_brand AS legal_act_raw, CAST(p_size AS VARCHAR) AS article, p_type AS topic, 'Final ' || p_brand AS status, p_name || ' ?' AS question, CASE WHEN p_partkey % 3 = 1 THEN 'because of ' || p_name ELSE '' END AS background, '- ' || p_type || chr(10) || chr(10) || 'end' AS answer,
+ '12/03/2021' AS submitted, '' AS institution, CASE WHEN p_partkey % 3 = 0 THEN CAST(p_size AS VARCHAR) ELSE '' END AS size FROM part""")
+def dialect_fields(spark, d):
+    """Fields of pages in the markup of all three dialects, with a configured joint id, private fields and a field of no known name."""
+    k, key = F.col("p_partkey") % 3, F.col("p_partkey").cast("string")
+    authority = F.when(k == 0, "eba").when(k == 1, "eiopa").otherwise("esma")
+    put = lambda shape, **values: F.concat(*[values[x[1:-1]] if x.startswith("{") else F.lit(x) for x in re.split(r"(\{\w+\})", shape) if x])
+    of = {"key": key, "act": F.col("p_brand"), "article": F.col("p_size").cast("string"), "topic": F.col("p_type"), "status": F.concat(F.lit("Final "), "p_brand"), "name": F.col("p_name"), "size": F.col("p_size").cast("string")}
+    listed = put(
+        '<html><dl class="x metadata"><dt>Question ID:</dt><dd>2020_{key}</dd><dt>Legal act</dt><dd>{act}</dd><dt>Article</dt><dd><p>{article}</p></dd><dt>Topic</dt><dd>{topic}</dd><dt>Status</dt><dd>{status}</dd>'
+        "<dt>Date of submission</dt><dd>12/03/2021</dd><dt>Name of institution / submitter</dt><dd>Some bank</dd><dt>Part size</dt><dd>{size}</dd><dt>Question</dt><dd><p>{name}  ?</p></dd>"
+        "<dt>Final answer</dt><dd><ul><li>{topic}</li></ul><p>end</p></dd></dl></html>", **of)
+    headed = put(
+        "<article><p>Question ID: <b>mica-{key}</b></p><p>Regulation Reference: <b>{act}</b></p><p>Article: <b>{article}</b></p><p>Topic: <b>{topic}</b></p><p>Status: <b>{status}</b></p><p>Date of submission: <b>12/03/2021</b></p>"
+        "<h2>Question</h2><p>{name} ?</p><h3>Background of the question</h3><div><p>because of {name}</p></div><h2>EIOPA answer</h2><ul><li>{topic}</li></ul><p>end</p><h2>Contact</h2><p>us</p></article>", **of)
+    boxed = put(
+        '<div class="field--name-field-qa-subject-matter"><span>Subject</span><div class="field__item">{topic}</div></div><div class="field--name-field-qa-level1">{act}</div><div class="field--name-field-article"><div class="field__item">{article}</div></div>'
+        '<div class="additionalinfo"><div>Status: {status}</div><div>Date of submission: 12/03/2021</div></div><details><p>{name} ?</p></details><details></details><details><ul><li>{topic}</li></ul><p>end</p></details>', **of)
+    html = F.when(k == 0, listed).when(k == 1, headed).otherwise(boxed)
+    rows = _t(spark, d, "part").select(authority.alias("authority"), F.concat(F.lit("https://x/"), authority, F.lit("/q-12-"), key).alias("url"), html.alias("html"))
+    settings = config_of({"acts": {"2023/1114": {"label": "MiCA", "joint_id_format": "%s%04d"}}})
+    got = pages_html.parse_pages(rows, settings.joint_formats)
+    some = lambda column, name: T.nz(F.col(column)[name]).alias({"date_of_submission": "submitted", "name_of_institution_submitter": "institution", "part_size": "size"}[name])
+    return got.select(
+        F.regexp_extract("source_url", r"(\d+)$", 1).alias("key"), F.col("source_url").alias("url"), "authority", "qa_id", "joint_id", "legal_act_raw", "article", "topic", "status", "question", "background", "answer",
+        some("dates", "date_of_submission"), some("extra", "name_of_institution_submitter"), some("extra", "part_size"),
+    )
