@@ -31,6 +31,8 @@ from .words import U, mix
 
 LENGTH, PER_SHARD, KEY, PAD, END = 512, 4096, 20_261, 0, 1
 ROUNDS = 6
+#: Shares of the shards that are shuffled and written one after another.
+PASSES = 4
 
 
 def feistel(index: np.ndarray, n: int, key: int = KEY) -> np.ndarray:
@@ -78,38 +80,50 @@ def sequences(docs: DataFrame, path: str | None = None, length: int = LENGTH) ->
     return rows.mapInArrow(run, "doc_id long, start long, n_ids long, record binary, task int, place long")
 
 
-def placed(docs: DataFrame, path: str | None = None, length: int = LENGTH, per_shard: int = PER_SHARD, key: int = KEY, scratch: Scratch | None = None) -> DataFrame:
-    """Per sequence: doc_id, start, n_ids, record, and slot, shard, position. Not yet in slot order."""
-    scratch = scratch or Scratch(docs.sparkSession, "materialise")
-    table = scratch.cut(sequences(docs, path, length))
+def indexed(docs: DataFrame, scratch: Scratch, path: str | None = None, length: int = LENGTH) -> tuple[DataFrame, int]:
+    """(per sequence: doc_id, start, n_ids, record, index; how many there are), of a table encoded once."""
+    table = scratch.cut(sequences(docs, path, length), "zstd")
     tasks = table.groupBy("task").agg(F.count(F.lit(1)).alias("_n"))  # a row per task of the encoding, shuffle partitions at most
     lower = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     tasks = scratch.cut(tasks.select("task", "_n", F.coalesce(F.sum("_n").over(lower), F.lit(0)).alias("_before")))
     total = tasks.agg(F.sum("_n")).first()[0] or 0
-    table = table.join(F.broadcast(tasks.drop("_n")), "task").withColumn("index", F.col("_before") + F.col("place"))
+    table = table.join(F.broadcast(tasks.drop("_n")), "task")
+    return table.select("doc_id", "start", "n_ids", "record", (F.col("_before") + F.col("place")).alias("index")), total
+
+
+def slotted(table: DataFrame, total: int, per_shard: int = PER_SHARD, key: int = KEY, first: int = 0, shards: int | None = None) -> DataFrame:
+    """indexed() rows with slot, shard and position in place of index; only those of so many shards from the first on, if given."""
+    names = ["doc_id", "start", "n_ids", "record"]
 
     def slot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             s = feistel(b.column("index").to_numpy(), total, key)
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(s), pa.array(s // per_shard), pa.array(s % per_shard)], ["doc_id", "start", "n_ids", "record", "slot", "shard", "position"])
+            rows = np.arange(len(s)) if shards is None else np.flatnonzero((s >= first * per_shard) & (s < (first + shards) * per_shard))
+            s, some = s[rows], pa.array(rows)
+            yield pa.RecordBatch.from_arrays([*(b.column(c).take(some) for c in names), pa.array(s), pa.array(s // per_shard), pa.array(s % per_shard)], [*names, "slot", "shard", "position"])
 
-    return table.select("doc_id", "start", "n_ids", "record", "index").mapInArrow(slot, "doc_id long, start long, n_ids long, record binary, slot long, shard long, position long")
+    return table.mapInArrow(slot, "doc_id long, start long, n_ids long, record binary, slot long, shard long, position long")
+
+
+def placed(docs: DataFrame, path: str | None = None, length: int = LENGTH, per_shard: int = PER_SHARD, key: int = KEY) -> DataFrame:
+    """Per sequence: doc_id, start, n_ids, record, and slot, shard, position. Not yet in slot order."""
+    table, total = indexed(docs, Scratch(docs.sparkSession, "materialise"), path, length)
+    return slotted(table, total, per_shard, key)
 
 
-def in_training_order(records: DataFrame) -> DataFrame:
-    """Records dealt by ranges of shards, each shard whole in one task, in slot order. Slots are evenly filled, so the ranges need no sampling."""
+def in_training_order(records: DataFrame, first: int, shards: int) -> DataFrame:
+    """Records of so many shards from the first on, dealt by ranges, each shard whole in one task, in slot order. Slots are evenly filled, so the ranges need no sampling."""
     n = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    shards = (records.agg(F.max("shard")).first()[0] or 0) + 1
-    return records.repartitionById(n, F.expr(f"int(shard * {n} div {shards})")).sortWithinPartitions("slot")
+    return records.repartitionById(n, F.expr(f"int((shard - {first}) * {n} div {shards})")).sortWithinPartitions("slot")
 
 
 MANIFEST = "doc_id long, start long, n_ids long, slot long, shard long, position long"
 
 
-def write_shards(records: DataFrame, folder: str) -> DataFrame:
-    """Files shard-NNNNNN.bin of fixed-stride records in a folder that executors reach: a path they all mount, or an address that pyarrow opens.
+def write_shards(table: DataFrame, total: int, folder: str, scratch: Scratch, per_shard: int = PER_SHARD, key: int = KEY) -> DataFrame:
+    """indexed() rows as files shard-NNNNNN.bin of fixed-stride records in a folder that executors reach: a path they all mount, or an address that pyarrow opens.
 
-    Returns the manifest, a Parquet table below the folder: which piece of which document each slot holds, in slot order within its files. A shard is written
+    They are written in PASSES passes of consecutive shards, so the disk holds the shuffle of one of them at a time. Returns the manifest, a Parquet table below the folder: which piece of which document each slot holds, in slot order within its files. A shard is written
     under another name and then renamed, so a task that runs again replaces it whole; what failed attempts leave is removed at the end.
     """
     names = [c.split()[0] for c in MANIFEST.split(", ")]
@@ -135,18 +149,24 @@ def write_shards(records: DataFrame, folder: str) -> DataFrame:
         close()
 
     at = folder if ":" in folder else f"file://{folder}"
-    in_training_order(records).mapInArrow(write, MANIFEST).write.mode("overwrite").parquet(f"{at}/manifest")
+    shards = max(1, -(-total // per_shard))
+    step = -(-shards // PASSES)
+    for first in range(0, shards, step):
+        some = min(step, shards - first)
+        rows = in_training_order(slotted(table, total, per_shard, key, first, some), first, some).mapInArrow(write, MANIFEST)
+        scratch.lean(rows).write.mode("overwrite").parquet(f"{at}/manifest/turn={first // step}")
     fs, root = _file_system(folder)
     for f in fs.get_file_info(pa.fs.FileSelector(root, allow_not_found=True)):
         if f.base_name.startswith(".writing-"):
             fs.delete_file(f.path)
-    return records.sparkSession.read.schema(MANIFEST).parquet(f"{at}/manifest")
+    return table.sparkSession.read.schema(f"{MANIFEST}, turn int").parquet(f"{at}/manifest").select(*names)
 
 
 def materialised(docs: DataFrame, folder: str, path: str | None = None, length: int = LENGTH, per_shard: int = PER_SHARD, key: int = KEY) -> DataFrame:
     """docs as shards in a folder; the manifest. The encoded table goes as soon as the shards stand."""
     scratch = Scratch(docs.sparkSession, "materialise")
-    manifest = write_shards(placed(docs, path, length, per_shard, key, scratch), folder)
+    table, total = indexed(docs, scratch, path, length)
+    manifest = write_shards(table, total, folder, scratch, per_shard, key)
     scratch.drop_all_but()
     return manifest
 

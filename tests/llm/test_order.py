@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from quillstone.llm import hilbert, materialise, mixing, packing, queries, tokens
-from quillstone.llm.common import order_hash
+from quillstone.llm.common import Scratch, order_hash
 
 
 def size_of(t):
@@ -221,7 +221,9 @@ def test_shards_hold_every_sequence(spark, odd_docs, no_docs, tmp_path):
     for r, x in zip(texts, library_ids([r["text"] for r in texts]), strict=True):
         want.setdefault(r["doc_id"], []).extend((i, x[i : i + 32]) for i in range(0, len(x), 32))
     assert {k: sorted(v) for k, v in parts.items()} == {k: sorted(v) for k, v in want.items()}
-    manifest = materialise.write_shards(records, f"file://{tmp_path}")
+    scratch = Scratch(spark, "t")
+    table, total = materialise.indexed(odd_docs, scratch, length=32)
+    manifest = materialise.write_shards(table, total, f"file://{tmp_path}", scratch, per_shard=50)
     assert sorted(p.name for p in tmp_path.iterdir() if not p.name.endswith(".crc")) == ["manifest", *(f"shard-{i:06d}.bin" for i in range(-(-len(rows) // 50)))]
     assert sorted(map(tuple, manifest.collect()), key=lambda r: r[3]) == [tuple(r[c] for c in manifest.columns) for r in rows]
     read = {r["slot"]: bytes(r["record"]) for r in materialise.with_records(manifest, f"file://{tmp_path}", length=32).collect()}
