@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 from ..functions import html as pages_html
 from ..functions import text as T
 from ..scratch import Scratch
-from ..sources import portal, register
+from ..sources import ordered, portal, register
 from ..sources.store import Store
 from .catalogue import _t, query
 from .config import config_of
@@ -171,3 +171,12 @@ def dialect_fields(spark, d):
         F.regexp_extract("source_url", r"(\d+)$", 1).alias("key"), F.col("source_url").alias("url"), "authority", "qa_id", "joint_id", "legal_act_raw", "article", "topic", "status", "question", "background", "answer",
         some("dates", "date_of_submission"), some("extra", "name_of_institution_submitter"), some("extra", "part_size"),
     )
+
+
+@query("SELECT source AS family, lang || '-' || CAST(doc_id AS VARCHAR) AS file, row_number() OVER (ORDER BY source, lang || '-' || CAST(doc_id AS VARCHAR)) - 1 AS position FROM documents")
+def ordered_files(spark, d):
+    """Where records stand when the files of an ordered index are read one after another, as their list says."""
+    path = Scratch(spark, "ordered").at
+    rows = _t(spark, d, "documents").select(F.col("source").alias("family"), F.concat_ws("-", "lang", F.col("doc_id").cast("string")).alias("file"))
+    ordered.write_ordered(rows, path, ["family", "file"], rows_per_file=500)
+    return ordered.positions(spark, path).select("family", "file", "position")

@@ -6,6 +6,7 @@ once, and what the run counts is observed on those writes: no step is read again
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 from itertools import count
 
@@ -30,12 +31,12 @@ TABLES = {"records": (f"key STRING, {RECORD}", "family"), "state": (f"{STATE}, b
 class Landed:
     """register: register rows. listing, archive: (url). window: (url) published lately. pages: (authority, url, html), or fetch, which answers addresses when they are needed.
 
-    announced: how many the listing says it has.
+    announced: how many the listing says it has. archive may be a function that returns it and whether it failed; it is called only if something has vanished.
     """
 
     register: DataFrame
     listing: DataFrame
-    archive: DataFrame
+    archive: DataFrame | Callable[[], tuple[DataFrame, bool]]
     window: DataFrame
     pages: DataFrame | None = None
     announced: int | None = None
@@ -136,7 +137,7 @@ def mirror_run(landed: Landed, records: DataFrame, state: DataFrame, last_full_s
     if n > config.window_max or (landed.window_announced is not None and n > 1.5 * landed.window_announced + 3):
         landed = replace(landed, window=landed.window.where("false"))  # not to be believed
     # a listing that can't be read to its end within the page budget isn't begun
-    too_long = landed.announced is not None and "eba" in authorities and -(-landed.announced // 20) > config.max_pages
+    too_long = landed.announced is not None and "eba" in authorities and not portal.fits(landed.announced, config.max_pages)
     if too_long or landed.listing_failed or "eba" not in authorities:
         landed = replace(landed, listing=landed.listing.where("false"), window=landed.window.where("false"))
     scratch, counts = Scratch(spark, "mirror", work), Counts(authorities)
@@ -194,12 +195,16 @@ def mirror_run(landed: Landed, records: DataFrame, state: DataFrame, last_full_s
         for a in authorities:
             counts.n[a]["errors"] += 1
     done = spark.createDataFrame([(a, not limit_per_source and not c["errors"], c["errors"]) for a, c in counts.n.items()], "authority string, complete boolean, errors long")
-    archive = landed.archive.select(F.lit("eba").alias("authority"), url_slug(F.col("url")).alias("slug")).distinct()
+    archive, archive_failed = landed.archive, landed.archive_failed
+    if callable(archive):
+        gone = tombstone.vanished(state, found.select("key"), done).where("authority = 'eba'")
+        archive, archive_failed = (spark.createDataFrame([], "url string"), False) if gone.isEmpty() else archive()
+    archive = archive.select(F.lit("eba").alias("authority"), url_slug(F.col("url")).alias("slug")).distinct()
     marks = tombstone.tombstones(state, found.select("key"), archive, done, allow_mass_delisting)
     field_ = lambda name: (F.col("field") == name) & ~F.col("blocked")
     marks, seen = keep(marks, archived=field_("archived"), delisted=field_("delisted"), blocked=F.col("blocked"))
     written_marks, got = marks, counts.note(seen)
-    if landed.archive_failed and any(x.get("eba") for x in got.values()):
+    if archive_failed and any(x.get("eba") for x in got.values()):
         # what is missing can't be told apart, so nothing is concluded
         counts.n["eba"]["errors"] += 1
         marks = marks.where("authority <> 'eba'")
@@ -220,7 +225,10 @@ def mirror_run(landed: Landed, records: DataFrame, state: DataFrame, last_full_s
     next_ = merge.upserted(state.select("key", "hash", "verified_at"), verified)
     everyone = set(authorities) >= set(AUTHORITIES)
     scratch.drop_all_but(new, written_marks, verified)
-    row = None if limit_per_source else runs.run_row(totals, next_, now, mode.sweep, authorities, full)
+    row = None
+    if not limit_per_source:
+        row = runs.run_row(totals, next_, now, mode.sweep, authorities, full)
+        row = spark.createDataFrame(row.collect(), row.schema)  # one row, which outlives the steps
     return Run(stored, next_, marks, totals, ok, runs.sweep_watermark(last_full_sweep, now[:10], mode.sweep, ok, bool(limit_per_source), everyone), row, changed, verified, scratch)
 
 

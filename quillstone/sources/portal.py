@@ -36,7 +36,7 @@ COUNT = re.compile(r"#view-count-(\w+)")
 #: What the data source says about an entry of a listing, and about a tab.
 LISTING = "status string, act int, published date, page_no int, link string"
 TAB_COUNTS = "act int, published date, status string, n int"
-STALE_PAGES = 2
+STALE_PAGES, PAGE_SIZE = 2, 20
 
 
 @dataclass(frozen=True)
@@ -59,6 +59,11 @@ class Facets:
         return f"{base}{COUNTS}?{self.query()}"
 
 
+def fits(announced: int, max_pages: int) -> bool:
+    """Whether a listing of so many entries can be read to its end within the page budget."""
+    return -(-announced // PAGE_SIZE) <= max_pages
+
+
 def past_caches(url: str, now: int | None = None) -> str:
     return f"{url}{'&' if '?' in url else '?'}cachebust={int(time.time()) if now is None else now}"
 

@@ -305,3 +305,12 @@ def test_searches_read_only_the_families_asked_for(spark, tmp_path):
 def test_words_match_at_their_beginning(spark, word, hay, want):
     df = spark.createDataFrame([(hay,)], "hay string")
     assert df.select(S.matches(S.parse_query(word), F.col("hay")).alias("m")).first()["m"] == want
+
+
+def test_a_limit_takes_what_must_be_first_and_then_the_longest_unverified(spark):
+    from quillstone.operators.select import limited
+
+    rows = [(0, "a", False, "2024-01-01"), (0, "z", True, "2024-01-09"), (0, "y", True, None), (0, "b", False, "2023-12-01"), (1, "c", False, "2024-01-01"), (1, "d", False, None)]
+    chosen = spark.createDataFrame(rows, "source_seq int, key string, must boolean, verified_at string")
+    assert sorted(r["key"] for r in limited(chosen, 3).collect()) == ["b", "c", "d", "y", "z"]
+    assert sorted(r["key"] for r in limited(chosen, 1).collect()) == ["d", "y"]
