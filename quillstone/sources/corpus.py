@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -99,22 +101,28 @@ def content_hash() -> Column:
 
 
 def export_markdown(records: DataFrame, folder: str) -> int:
-    """One file per record below family folders, for people; the parquet copy is the one to compute with. Files appear whole (written aside, then renamed)."""
+    """One file per record below family folders, for people; the parquet copy is the one to compute with. Files appear whole (written aside, then renamed).
+
+    folder: an address that pyarrow opens, or a path that all executors mount.
+    """
     rows = records.select("family", F.concat_ws("-", "authority", "slug").alias("name"), markdown().alias("text"))
 
     def write(batches):  # noqa: ANN001, ANN202
-        import os
-
         import pandas as pd
+        from pyarrow import fs
 
-        n = 0
+        system, root = fs.FileSystem.from_uri(folder) if ":" in folder else (fs.LocalFileSystem(), folder)
+        n, made = 0, set()
         for b in batches:
             for family, name, text in b.itertuples(index=False):
-                os.makedirs(f"{folder}/{family}", exist_ok=True)
-                path = f"{folder}/{family}/{name}.md"
-                with open(f"{path}.tmp", "w", encoding="utf-8", newline="") as f:
-                    f.write(text)
-                os.replace(f"{path}.tmp", path)
+                if family not in made:
+                    system.create_dir(f"{root}/{family}")
+                    made.add(family)
+                path = f"{root}/{family}/{name}.md"
+                aside = f"{path}.{uuid.uuid4().hex}.tmp"
+                with system.open_output_stream(aside) as f:
+                    f.write(text.encode())
+                system.move(aside, path)
                 n += 1
         yield pd.DataFrame({"n": [n]})
 

@@ -1,7 +1,7 @@
-"""Change capture as a stream: landed records flow into the state and the record table, batch by batch.
+"""Change capture as a stream: landed records flow into a store of records and their state, batch by batch.
 
-The state is keyed and small per batch, so each batch joins it and writes a new version; versions are numbered by batch, so a batch that runs
-again after a failure overwrites its own version and nothing is applied twice.
+A batch reads and writes only the buckets that its keys lie in, and shows records and state at once, as the store's next version. A batch that runs again after a
+failure finds its own hashes known, so nothing is applied twice.
 """
 
 from __future__ import annotations
@@ -9,22 +9,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.merge import changed, next_state, upserted
+from ..operators.merge import changed
 from ..schemas import STATE
+from ..sources.store import Store, bucket
 
 
-def _version(spark: SparkSession, folder: str, name: str, batch: int, schema: str) -> DataFrame:
-    """The newest version below a batch's."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    at = hadoop.Path(f"{folder}/{name}")
-    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = [int(f.getPath().getName().partition("=")[2]) for f in fs.listStatus(at) if "=" in f.getPath().getName()] if fs.exists(at) else []
-    older = [v for v in found if v < batch]
-    return spark.read.schema(schema).parquet(f"{folder}/{name}/v={max(older)}") if older else spark.createDataFrame([], schema)
+def open_store(spark: SparkSession, folder: str, record_schema: str) -> Store:
+    return Store(spark, f"{folder}/store", {"records": (f"{record_schema}, bucket STRING", "bucket"), "state": (f"{STATE}, bucket STRING", "bucket")})
 
 
 def latest(spark: SparkSession, folder: str, name: str, schema: str) -> DataFrame:
-    return _version(spark, folder, name, 2**62, schema)
+    """records or state as the last batch left them. schema: that of the records."""
+    return open_store(spark, folder, schema).read(name).drop("bucket")
 
 
 def newest(rows: DataFrame, key: str, *order: str) -> DataFrame:
@@ -33,18 +29,19 @@ def newest(rows: DataFrame, key: str, *order: str) -> DataFrame:
     return rows.groupBy(key).agg(last.alias("r")).select(key, "r.*")
 
 
-def apply_batch(spark: SparkSession, rows: DataFrame, folder: str, batch: int, now: str, record_schema: str) -> None:
+def apply_batch(store: Store, rows: DataFrame, now: str) -> None:
     """rows: key, content_hash and record columns. Of several rows for a key the last retrieved one counts."""
-    last = newest(rows, "key", "retrieved_at", "content_hash")
-    state = _version(spark, folder, "state", batch, STATE)
-    records = _version(spark, folder, "records", batch, record_schema)
-    new = changed(last, state, records.select("key"))
-    upserted(records, new.select(*records.columns)).write.mode("overwrite").parquet(f"{folder}/records/v={batch}")
-    next_state(state, last, now).write.mode("overwrite").parquet(f"{folder}/state/v={batch}")
+    last = newest(rows, "key", "retrieved_at", "content_hash").withColumn("bucket", bucket("key")).persist()
+    base = store.version()
+    parts = [r[0] for r in last.select("bucket").distinct().collect()]  # a row per bucket
+    new = changed(last, store.read("state", parts, base), store.read("records", parts, base).select("key"))
+    state = last.select("key", F.col("content_hash").alias("hash"), F.lit(now).alias("verified_at"), "bucket")
+    store.commit({"records": new, "state": state}, base=base)
+    last.unpersist()
 
 
 def mirror(spark: SparkSession, landed: str, folder: str, schema: str, now: str, trigger_once: bool = True):  # noqa: ANN201
     """Apply all landed parquet files that haven't been; with trigger_once the query ends when they are."""
     stream = spark.readStream.schema(schema).parquet(landed)
-    writer = stream.writeStream.option("checkpointLocation", f"{folder}/checkpoint").foreachBatch(lambda df, n: apply_batch(df.sparkSession, df, folder, n, now, schema))
+    writer = stream.writeStream.option("checkpointLocation", f"{folder}/checkpoint").foreachBatch(lambda df, n: apply_batch(open_store(df.sparkSession, folder, schema), df, now))
     return (writer.trigger(availableNow=True) if trigger_once else writer).start()

@@ -288,7 +288,7 @@ def test_stream_applies_each_change_once(spark, tmp_path):
     cdc.mirror(spark, landed, out, schema, "t2").awaitTermination()
     records = {r["key"]: r["retrieved_at"] for r in cdc.latest(spark, out, "records", schema).collect()}
     assert records == {"a:1": "2", "a:2": "1", "a:3": "3"}  # an unchanged record isn't written again
-    state = {r["key"]: (r["hash"], r["verified_at"]) for r in cdc.latest(spark, out, "state", schemas.STATE).collect()}
+    state = {r["key"]: (r["hash"], r["verified_at"]) for r in cdc.latest(spark, out, "state", schema).collect()}
     assert state == {"a:1": ("h2", "t2"), "a:2": ("x", "t1"), "a:3": ("n", "t2")}
 
 
