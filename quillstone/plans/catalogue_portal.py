@@ -78,14 +78,14 @@ def register_answers(spark, d):
 # --- listings and pages by waves ----------------------------------------------------------------------------------------------------------
 
 LISTED = """listed AS (SELECT 'act' || CAST(o_custkey % 6 AS VARCHAR) AS source, CAST((row_number() OVER (PARTITION BY o_custkey % 6 ORDER BY o_orderkey) - 1) // 20 AS INTEGER) AS page_no,
- '/single-rule-book-qa/qna/view/publicId/' || CAST(o_orderkey * 7919 % 53 AS VARCHAR) AS link FROM orders), listing AS (SELECT source, page_no, list_distinct(list(link)) AS links FROM listed WHERE page_no < 30 GROUP BY source, page_no)"""
+ '/single-rule-book-qa/qna/view/publicId/' || CAST(o_orderkey * 7919 % 23 AS VARCHAR) AS link FROM orders), listing AS (SELECT source, page_no, list_distinct(list(link)) AS links FROM listed WHERE page_no < 30 GROUP BY source, page_no)"""
 
 
 def listings(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """(source, address; recorded answers). Orders as listings of six acts, 20 entries a page, few different ones, so pages go stale; every third page is empty unless caches are passed."""
     orders = _t(spark, d, "orders").select(F.concat(F.lit("act"), (F.col("o_custkey") % 6).cast("string")).alias("source"), "o_orderkey")
     at = F.row_number().over(Window.partitionBy("source").orderBy("o_orderkey")) - 1
-    rows = orders.select("source", F.floor(at / 20).cast("int").alias("page_no"), (F.col("o_orderkey") * 7919 % 53).cast("string").alias("id")).where("page_no < 30")
+    rows = orders.select("source", F.floor(at / 20).cast("int").alias("page_no"), (F.col("o_orderkey") * 7919 % 23).cast("string").alias("id")).where("page_no < 30")
     link = F.concat(F.lit('<a href="/single-rule-book-qa/qna/view/publicId/'), F.col("id"), F.lit('">x</a>'))
     bodies = rows.groupBy("source", "page_no").agg(F.array_join(F.sort_array(F.collect_list(link)), "\n").alias("body"))
     address = lambda s: F.concat(F.lit("http://portal/"), s, F.lit("?page="))
