@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -148,6 +149,25 @@ def write_state(state: DataFrame, path: str) -> None:
     state.write.mode("overwrite").parquet(path)
 
 
+def state_lines(state: DataFrame, last_full_sweep: str) -> DataFrame:
+    """The state as lines of one JSON document, keys in order: section and key say where a line stands."""
+    pair = lambda v: F.regexp_replace(F.to_json(F.create_map(F.col("key"), v)), r"^\{|\}$", "")
+    parts = [(2, "records", state.where(nz(F.col("hash")) != "").select("key", pair(F.col("hash")).alias("line"))), (4, "verified_at", state.where(nz(F.col("verified_at")) != "").select("key", pair(F.col("verified_at")).alias("line")))]
+    text = lambda at, line: state.sparkSession.createDataFrame([(at, "", line)], "section int, key string, line string")
+    out = text(0, "{").unionByName(text(0, f'"last_full_sweep": {json.dumps(last_full_sweep)},').withColumn("section", F.lit(1)))
+    for at, name, rows in parts:
+        last = rows.agg(F.max("key").alias("_last"))  # one row
+        rows = rows.join(F.broadcast(last)).select(F.lit(at).alias("section"), "key", F.concat(F.lit("  "), "line", F.when(F.col("key") == F.col("_last"), "").otherwise(",")).alias("line"))
+        out = out.unionByName(text(at, f'"{name}": {{')).unionByName(rows).unionByName(text(at + 1, "}," if name == "records" else "}"))
+    return out.unionByName(text(6, "}"))
+
+
+def write_state_json(state: DataFrame, last_full_sweep: str, path: str, files: int = 1) -> None:
+    """The state as a JSON document that people can compare: sorted, a line per key. Several files, one after another, make up the document."""
+    lines = state_lines(state, last_full_sweep)
+    lines.repartitionByRange(files, "section", "key").sortWithinPartitions("section", "key").select("line").write.mode("overwrite").text(path)
+
+
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
     """The run log. Counters that a line doesn't have are null, not 0."""
     return spark.read.schema(schemas.RUN).json(path)

@@ -314,3 +314,21 @@ def test_a_limit_takes_what_must_be_first_and_then_the_longest_unverified(spark)
     chosen = spark.createDataFrame(rows, "source_seq int, key string, must boolean, verified_at string")
     assert sorted(r["key"] for r in limited(chosen, 3).collect()) == ["b", "c", "d", "y", "z"]
     assert sorted(r["key"] for r in limited(chosen, 1).collect()) == ["d", "y"]
+
+
+@pytest.mark.parametrize("files", [1, 3])
+def test_the_state_as_a_sorted_document(spark, tmp_path, files):
+    import json
+
+    rows = [("eba:b", 'h"1', "2024-01-02"), ("eba:a", "delisted:x", ""), ("esma:c", "", "2024-01-01"), ("eba:é", "z", None)]
+    corpus.write_state_json(spark.createDataFrame(rows, schemas.STATE), "2024-01-31", str(tmp_path / "s"), files)
+    text = "".join(p.read_text() for p in sorted((tmp_path / "s").glob("part-*")))
+    said = json.loads(text)
+    assert said == {"last_full_sweep": "2024-01-31", "records": {"eba:a": "delisted:x", "eba:b": 'h"1', "eba:é": "z"}, "verified_at": {"eba:b": "2024-01-02", "esma:c": "2024-01-01"}}
+    assert list(said["records"]) == sorted(said["records"]) and len(text.splitlines()) == 5 + 2 + 5
+    (tmp_path / "s.json").write_text(text)
+    state, meta = corpus.read_state(spark, str(tmp_path / "s.json"))
+    assert sorted((r["key"], r["hash"], r["verified_at"]) for r in state.collect()) == [("eba:a", "delisted:x", ""), ("eba:b", 'h"1', "2024-01-02"), ("eba:é", "z", ""), ("esma:c", "", "2024-01-01")]
+    empty = spark.createDataFrame([], schemas.STATE)
+    corpus.write_state_json(empty, "", str(tmp_path / "e"))
+    assert json.loads("".join(p.read_text() for p in sorted((tmp_path / "e").glob("part-*")))) == {"last_full_sweep": "", "records": {}, "verified_at": {}}
