@@ -13,6 +13,7 @@ from ..functions import text as T
 from ..scratch import Scratch
 from ..sources import ordered, portal, register
 from ..sources.store import Store
+from ..streaming import keyed
 from .catalogue import _t, query
 from .config import config_of
 
@@ -180,3 +181,15 @@ def ordered_files(spark, d):
     rows = _t(spark, d, "documents").select(F.col("source").alias("family"), F.concat_ws("-", "lang", F.col("doc_id").cast("string")).alias("file"))
     ordered.write_ordered(rows, path, ["family", "file"], rows_per_file=500)
     return ordered.positions(spark, path).select("family", "file", "position")
+
+
+@query("""WITH e AS (SELECT CAST(user_id AS VARCHAR) AS key, sha1(event_type || CAST(event_id AS VARCHAR)) AS hash, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS verified_at FROM events)
+ SELECT key, hash, verified_at FROM e QUALIFY row_number() OVER (PARTITION BY key ORDER BY verified_at DESC, hash DESC) = 1""")
+def stream_state(spark, d):
+    """The state that a stream keeps by key after several batches, whose rows come out of order."""
+    scratch = Scratch(spark, "stream")
+    events = _t(spark, d, "events").select(F.col("user_id").cast("string").alias("key"), F.sha1(F.concat("event_type", F.col("event_id").cast("string"))).alias("content_hash"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("retrieved_at"))
+    events.repartition(3, "content_hash").write.parquet(f"{scratch.at}/landed")
+    landed = spark.readStream.schema(keyed.LANDED).option("maxFilesPerTrigger", 1).parquet(f"{scratch.at}/landed")
+    keyed.run(landed, f"{scratch.at}/checkpoint", f"{scratch.at}/out").awaitTermination()
+    return keyed.read_state(spark, f"{scratch.at}/checkpoint")
