@@ -129,9 +129,12 @@ def walk_by_waves(listings: DataFrame, fetch: Fetch, scratch: Scratch, href: str
 
     for page in range(max_pages):
         fresh, told = answers(active.select("source", F.concat("address", F.lit(str(page))).alias("url")), page, second=False)
-        more, retold = answers(told.where("n_new = 0").select("source", again(F.col("url")).alias("url")), page, second=True)
-        links.add(fresh.unionByName(more), page)
-        n = told.unionByName(retold).groupBy("source").agg(F.max("n_new").alias("n"))
+        barren = told.where("n_new = 0").select("source", again(F.col("url")).alias("url"))
+        if not barren.isEmpty():
+            more, retold = answers(barren, page, second=True)
+            fresh, told = fresh.unionByName(more), told.unionByName(retold)
+        links.add(fresh, page)
+        n = told.groupBy("source").agg(F.max("n_new").alias("n"))
         stale = F.when(F.col("n") > 0, 0).otherwise(F.col("stale") + 1)
         active = scratch.cut(active.join(n, "source").withColumn("stale", stale).where(F.col("stale") < STALE_PAGES).drop("n"))
         scratch.drop_all_but(active)
