@@ -57,10 +57,10 @@ class Shelf:
         while len(self.kept) > 1 and self.rows(list(self.kept)) > self.most_rows:
             self.kept.popitem(last=False)[1].unpersist()  # a search still running reads it from its files
 
-    def search(self, query: str = "", acts: list[str] = (), **more: object) -> DataFrame:
-        """As search.search(), over the families that the acts need; loaded is their rows."""
-        families = self.families(acts)
-        return S.search(self.loaded(families), query, acts=acts, loaded=self.rows(families), **more)
+    def search(self, query: str = "", acts: list[str] = (), prune: bool = True, **more: object) -> DataFrame:
+        """As search.search(), over the families that the acts need; loaded is their rows. prune=False: over the whole index, whose rows are counted as they are read."""
+        families = self.families(acts if prune else ())
+        return S.search(self.loaded(families), query, acts=acts, loaded=self.rows(families) if prune else None, **more)
 
     def close(self) -> None:
         while self.kept:

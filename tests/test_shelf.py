@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from quillstone.operators import index
 from quillstone.plans import search as S
+from quillstone.plans.catalogue import QUERIES
 from quillstone.plans.shelf import Shelf, open_index
 
 SCHEMA = "family string, qa_id string, authority string, legal_act string, date string, article string, topic string, joint_id string, question string, background string, answer string"
@@ -32,6 +33,14 @@ def test_the_manifest_decides_what_is_read(store):
     shelf.close()
 
 
+def test_a_search_that_is_not_to_prune_reads_and_counts_the_whole_index(spark, sf, store):
+    shelf = Shelf(store)
+    assert {(r["hits"], r["loaded"]) for r in shelf.search("thing", ["CRD-RTS", "DORA"], prune=False).collect()} == {(7, 55)}
+    shelf.close()
+    documents = spark.read.parquet(f"{sf}/documents.parquet").count()
+    assert {r["loaded"] for r in QUERIES["search_facets_topk"](spark, sf).collect()} == {documents}
+
+
 def test_a_search_that_finds_nothing_tells_of_how_many(store):
     shelf = Shelf(store)
     row = shelf.search("nosuch", ["CRR"]).collect()
