@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,40 +27,48 @@ ANSWER_COLUMNS = {
 WORDS = {"D0": ("EBA", "ESMA", "EIOPA"), "D1": ("Final", "Rejected"), "D2": ("DORA", "MiCA", "CRR")}
 
 
+#: Rows that come sorted by what they are grouped by are collected one group after another; by hash, each row of all but the first 128 groups would be a list of its own, sorted anew.
+BY_SORT = {"spark.sql.execution.useObjectHashAggregateExec": "false"}
+
+
 def answers(spark: SparkSession, d: str) -> DataFrame:
     """result, body: line items as answers of the register's service, a hundred orders each; what repeats or is null is left out of a row, as the service does."""
-    li = _t(spark, d, "lineitem")
-    ms = lambda c: F.unix_date(c).cast("long") * 86_400_000
-    one = lambda c, words: F.element_at(F.array(*[F.lit(w) for w in words]), (c + 1).cast("int"))
-    day = F.col("l_shipdate").cast("date")
-    values: list[Column] = [
-        F.concat(F.lit("DORA"), F.col("l_orderkey").cast("string")), one(F.col("l_suppkey") % 3, WORDS["D0"]), F.col("l_partkey"), ms(day), F.when(F.col("l_quantity") >= 10, ms(F.date_add(day, 30))),
-        one(F.col("l_linenumber") % 2, WORDS["D1"]), one(F.col("l_partkey") % 3, WORDS["D2"]), F.col("l_returnflag"), F.when(F.col("l_partkey") % 2 == 1, 'a "topic" \\ é'),
-        F.concat(F.lit("http://x/"), F.col("l_orderkey").cast("string")), F.when(F.col("l_suppkey") % 5 != 0, "EC"),
-    ]
     keys = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_returnflag")
-    rows = li.select(F.expr("l_orderkey div 100").alias("result"), *keys, *[v.alias(f"v{k}") for k, v in enumerate(values)])
     order = Window.partitionBy("result").orderBy(*keys)
-    rows = rows.withColumn("seq", F.row_number().over(order))
-    same = [(F.col("seq") > 1) & F.col(f"v{k}").eqNullSafe(F.lag(f"v{k}").over(order)) for k in range(len(values))]
-    rows = rows.withColumns({f"same{k}": s for k, s in enumerate(same)})
+    day = F.unix_date(F.col("l_shipdate").cast("date")).alias("day")
+    rows = _t(spark, d, "lineitem").select(F.expr("l_orderkey div 100").alias("result"), *keys, day)
+    # windows see only what the values are made of; a row's values are the ones before if what makes them is
+    seen = (*keys, "day")
+    rows = rows.select("result", *seen, F.row_number().over(order).alias("seq"), *[F.lag(k).over(order).alias(f"_{k}") for k in seen])
+
+    def made(at: str) -> list[Column]:
+        key, part, supp, number, quantity, day, flag = (F.col(f"{at}{k}") for k in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "day", "l_returnflag"))
+        return [key, supp % 3, part, day, F.when(quantity >= 10, day), number % 2, part % 3, flag, F.when(part % 2 == 1, True), key, F.when(supp % 5 != 0, True)]
+
+    of, before = made(""), made("_")
+    rows = rows.withColumns({f"same{k}": (F.col("seq") > 1) & v.eqNullSafe(w) for k, (v, w) in enumerate(zip(of, before, strict=True))})
 
     def words(name: str) -> Column:
         """Every other answer has its words the other way round."""
         there = F.array(*[F.lit(w) for w in WORDS[name]])
         return F.when(F.col("result") % 2 == 0, there).otherwise(F.reverse(there))
 
-    cells = []
-    for k, dict_ in enumerate(ANSWER_COLUMNS.values()):
-        v = F.col(f"v{k}")
-        shown = (F.array_position(words(dict_), v) - 1).cast("string") if dict_ else F.regexp_replace(F.to_json(F.array(v)), r"^\[|\]$", "")
-        cells.append(F.when(~F.col(f"same{k}") & v.isNotNull(), shown))
+    one = lambda c, name: F.element_at(F.array(*[F.lit(w) for w in WORDS[name]]), (c + 1).cast("int"))
+    place = lambda c, name: (F.array_position(words(name), one(c, name)) - 1).cast("string")
+    ms = lambda c: (c.cast("long") * 86_400_000).cast("string")
+    quoted = lambda start: F.concat(F.lit(f'"{start}'), F.col("l_orderkey").cast("string"), F.lit('"'))
+    text = F.to_json(F.array("l_returnflag"))
+    shown = [
+        quoted("DORA"), place(of[1], "D0"), of[2].cast("string"), ms(of[3]), ms(of[4] + 30), place(of[5], "D1"), place(of[6], "D2"), F.substr(text, F.lit(2), F.length(text) - 2),
+        F.lit(json.dumps('a "topic" \\ é', ensure_ascii=False)), quoted("http://x/"), F.lit('"EC"'),
+    ]
+    cells = [F.when(~F.col(f"same{k}") & v.isNotNull(), shown[k]) for k, v in enumerate(of)]
     mask = lambda bits: sum((F.when(b, F.lit(1 << k)).otherwise(F.lit(0)) for k, b in enumerate(bits)), F.lit(0))
     number = lambda name, m: F.when(m > 0, F.concat(F.lit(f',"{name}":'), m.cast("string"))).otherwise("")
     desc = ",".join('{"N":"G%d"%s}' % (k, f',"DN":"{dn}"' if dn else "") for k, dn in enumerate(ANSWER_COLUMNS.values()))
     row = F.concat(
         F.lit("{"), F.when(F.col("seq") == 1, f'"S":[{desc}],').otherwise(""), F.lit('"C":['), F.concat_ws(",", *cells), F.lit("]"),
-        number("R", mask([F.col(f"same{k}") for k in range(len(values))])), number("Ø", mask([~F.col(f"same{k}") & F.col(f"v{k}").isNull() for k in range(len(values))])), F.lit("}"),
+        number("R", mask([F.col(f"same{k}") for k in range(len(of))])), number("Ø", mask([~F.col(f"same{k}") & v.isNull() for k, v in enumerate(of)])), F.lit("}"),
     )
     rows = rows.select("result", "seq", row.alias("row")).groupBy("result").agg(F.sort_array(F.collect_list(F.struct("seq", "row"))).alias("rows"))
     dictionary = F.to_json(F.struct(*[words(n).alias(n) for n in WORDS]))
@@ -72,7 +81,7 @@ def answers(spark: SparkSession, d: str) -> DataFrame:
  CASE WHEN l_suppkey % 5 <> 0 THEN 'EC' ELSE '' END AS answered_by, strftime(l_shipdate, '%Y-%m-%d') AS date_submission, CASE WHEN l_quantity >= 10 THEN strftime(CAST(l_shipdate AS DATE) + INTERVAL 30 DAY, '%Y-%m-%d') ELSE '' END AS date_publication FROM lineitem""")
 def register_answers(spark, d):
     """Register rows from the JSON of the service's answers."""
-    raw = Scratch(spark, "answers").cut(answers(spark, d))
+    raw = Scratch(spark, "answers").cut(answers(spark, d), settings=BY_SORT)
     return register.read_answers(raw, list(ANSWER_COLUMNS))[0].drop("i", "link_alts")
 
 

@@ -56,22 +56,23 @@ class Scratch:
         self.at = f"{(under or shared_dir(spark)).rstrip('/')}/{name}-{uuid.uuid4().hex}"
         _paths(spark.sparkContext).add(self.at)
 
-    def lean(self, df: DataFrame) -> DataFrame:
-        """df in a clone of its session with the settings of a write."""
+    def lean(self, df: DataFrame, settings: dict[str, str] | None = None) -> DataFrame:
+        """df in a clone of its session with the settings of a write, and any more."""
         clone = df.sparkSession._jsparkSession.cloneSession()
         rows = int(clone.conf().get(_RECORDS))
         clone.conf().set(_RECORDS, str(min(rows, BATCH_ROWS) if rows > 0 else BATCH_ROWS))
         clone.conf().set(_BYTES, BATCH_BYTES)
-        clone.conf().set(_CLEANUP, "true")
+        for key, value in {_CLEANUP: "true", **(settings or {})}.items():
+            clone.conf().set(key, value)
         plan = df._jdf.queryExecution().logical()
         jvm = self.spark.sparkContext._jvm
         return DataFrame(jvm.org.apache.spark.sql.classic.Dataset.ofRows(clone, plan), SparkSession(self.spark.sparkContext, clone))
 
-    def cut(self, df: DataFrame, codec: str = "snappy") -> DataFrame:
-        """df, written once and read again."""
+    def cut(self, df: DataFrame, codec: str = "snappy", settings: dict[str, str] | None = None) -> DataFrame:
+        """df, written once and read again. settings: more of them, for this write alone."""
         self.n += 1
         path = f"{self.at}/{self.n}"
-        self.lean(df).write.option("compression", codec).parquet(path)
+        self.lean(df, settings).write.option("compression", codec).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out.scratch_path = path
         self.paths.append(path)

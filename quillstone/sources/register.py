@@ -31,13 +31,13 @@ def widest_entity(entities: DataFrame) -> DataFrame:
     return entities.agg(F.max_by("name", F.struct(F.size("properties"), F.col("name"))).alias("name"))
 
 
-def carried_cells(rows: DataFrame, dictionary: DataFrame, strict: bool = False) -> DataFrame:
+def carried_cells(rows: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Cells (result, i, col, name, value) of compressed results.
 
     rows: result, i, r (bit set: as in the row before), n (bit set: null), c (cells present: v, whole), desc (a column's col, name, dict). A repeat is looked
     at before a null, and repeats carry nulls too. A present cell is numbered by the present columns before it; no loop over columns.
-    dictionary: dict, idx, value (and result, where results have words of their own); it gives a word for a whole number of a column with a dict. strict: a number
-    without a word is an error. A result's rows of one column form one window, 30,000 at most in an answer of the register.
+    dictionary: dict, idx, value; it gives a word for a whole number of a column with a dict. A result's rows
+    of one column form one window.
     """
     cells = rows.select("*", F.inline("desc")).drop("desc")
     bit = lambda mask: F.expr(f"shiftright({mask}, col) & 1")
@@ -50,17 +50,9 @@ def carried_cells(rows: DataFrame, dictionary: DataFrame, strict: bool = False)
     value = F.when(F.col("run") > 0, F.first("own", ignorenulls=False).over(Window.partitionBy("result", "col", "run").orderBy("i")))
     cells = cells.select("result", "i", "col", "name", "dict", value.alias("value"))
     cells = cells.withColumn("idx", F.when(F.col("dict").isNotNull() & F.col("value.whole"), F.col("value.v")))
-    by = ["result"] if "result" in dictionary.columns else []
-    words = dictionary.select(*[F.col(c).alias(f"_{c}") for c in by], F.col("dict").alias("_d"), F.col("idx").cast("string").alias("_i"), F.col("value").alias("word"))
-    same = (F.col("dict") == F.col("_d")) & (F.col("idx") == F.col("_i"))
-    for c in by:
-        same &= F.col(c) == F.col(f"_{c}")
-    cells = cells.join(words, same, "left")
-    text = F.coalesce("word", F.col("value.v"))
-    if strict:
-        unknown = F.col("idx").isNotNull() & F.col("_i").isNull()
-        text = F.when(unknown, F.raise_error(F.concat(F.lit("a dictionary of the register has no word "), "idx"))).otherwise(text)
-    return cells.select("result", "i", "col", "name", text.alias("value"))
+    words = dictionary.select(F.col("dict").alias("_d"), F.col("idx").cast("string").alias("_i"), F.col("value").alias("word"))
+    cells = cells.join(words, (F.col("dict") == F.col("_d")) & (F.col("idx") == F.col("_i")), "left")
+    return cells.select("result", "i", "col", "name", F.coalesce("word", F.col("value.v")).alias("value"))
 
 
 def decode_cells(rows: DataFrame, desc: DataFrame, dictionary: DataFrame) -> DataFrame:
@@ -82,22 +74,44 @@ def answers_of(raw: DataFrame) -> DataFrame:
     return rows.select("result", error.alias("error"), "ds", "rows", "desc")
 
 
+def _bits(k: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), k)
+
+
 def decoded_answers(raw: DataFrame, columns: list[str]) -> DataFrame:
-    """result, i and a column per name, of the answers in raw that can be read; columns: names in the order asked for."""
-    found = answers_of(raw).where("error = ''")
-    names = F.array(*[F.lit(c) for c in columns])
-    desc = F.slice(F.transform("desc", lambda s, k: F.named_struct(F.lit("col"), k, F.lit("name"), F.get(names, k), F.lit("dict"), s["DN"])), 1, len(columns))
+    """result, i and a column per name, of the answers in raw that can be read; columns: names in the order asked for. A number without a word in its dictionary is an error.
+
+    As carried_cells(), but a row stays one row: answers are shuffled as they came, each with its dictionary beside it, and all columns are carried in one window over an
+    answer's rows (MOST_ROWS at most).
+    """
+    # no filter: it would be pushed below the parsing, and each of its conditions would parse again
+    found = answers_of(raw.repartition("result")).withColumn("words", F.try_variant_get("ds", "$.ValueDicts", "map<string,array<string>>"))
+    dicts = F.slice(F.transform("desc", lambda s: s["DN"]), 1, len(columns))
     kind = lambda v: F.schema_of_variant(v)
-    whole = lambda v: F.try_variant_get(v, "$", "double").cast("decimal(38,0)").cast("string")
-    text = lambda v: F.when(kind(v).isin("DOUBLE", "FLOAT"), whole(v)).otherwise(F.try_variant_get(v, "$", "string"))
-    cell = lambda v: F.struct(text(v).alias("v"), (kind(v) == "BIGINT").alias("whole"))
+    plain = lambda v: F.try_variant_get(v, "$", "double").cast("decimal(38,0)").cast("string")
     number = lambda path: F.coalesce(F.try_variant_get("x", path, "long"), F.lit(0).cast("long"))
-    rows = found.select("result", desc.alias("desc"), F.posexplode("rows").alias("i", "x"))
-    rows = rows.select("result", "i", number("$.R").alias("r"), number("$.Ø").alias("n"), F.coalesce(F.try_variant_get("x", "$.C", "array<variant>"), F.array().cast("array<variant>")).alias("raw"), "desc")
-    rows = rows.withColumn("c", F.transform("raw", cell)).drop("raw")
-    words = found.select("result", F.explode(F.try_variant_get("ds", "$.ValueDicts", "map<string,array<string>>")).alias("dict", "words"))
-    words = words.select("result", "dict", F.posexplode("words").alias("idx", "value"))
-    return carried_cells(rows, words, strict=True).groupBy("result", "i").pivot("name", columns).agg(F.first("value"))
+    rows = found.select("result", dicts.alias("dicts"), "words", F.posexplode(F.when((F.col("error") == "") & (F.size("desc") > 0), F.col("rows"))).alias("i", "x"))
+    cells = [F.try_variant_get("x", "$.C", f"array<{t}>").alias(n) for n, t in (("c", "variant"), ("texts", "string"))]
+    rows = rows.select("result", "i", number("$.R").alias("r"), number("$.Ø").alias("n"), *cells, "dicts", "words")
+    # one step over all columns, another for their words: eleven expressions of this length would outgrow what Spark compiles at once
+    at = lambda k: F.bit_count(F.bitwise_not(F.col("r").bitwiseOR(F.col("n"))).bitwiseAND(_bits(k) - 1))
+    there = lambda k: F.when(F.col("n").bitwiseAND(_bits(k)) == 0, at(k))
+    own = lambda _, k: F.when(F.col("r").bitwiseAND(_bits(k)) == 0, F.struct(F.get("c", there(k)).alias("cell"), F.get("texts", there(k)).alias("text")))
+    rows = rows.select("result", "i", "dicts", "words", F.transform("dicts", own).alias("own"))
+
+    def said(own: Column, dict_: Column) -> Column:
+        """A number's word; else the text, without exponents (only a text with a point can be of such a number)."""
+        cell, text, words = own["cell"], own["text"], F.try_element_at("words", dict_)
+        at = text.try_cast("int")
+        word = F.when((at >= 0) & (at < F.size(words)), F.coalesce(F.get(words, at), text)).otherwise(F.raise_error(F.concat(F.lit("a dictionary of the register has no word "), text)))
+        value = F.when(dict_.isNotNull() & (kind(cell) == "BIGINT"), word).when(F.contains(text, F.lit(".")) & kind(cell).isin("DOUBLE", "FLOAT"), plain(cell)).otherwise(text)
+        return F.when(own.isNotNull(), F.struct(value.alias("v")))
+
+    rows = rows.select("result", "i", F.zip_with("own", "dicts", said).alias("own"))
+    rows = rows.select("result", "i", *[F.get("own", F.lit(k)).alias(f"own{k}") for k in range(len(columns))])
+    # a repeat in an answer's first row repeats nothing
+    over = Window.partitionBy("result").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return rows.select("result", "i", *[F.last(f"own{k}", ignorenulls=True).over(over)["v"].alias(c) for k, c in enumerate(columns)])
 
 
 def read_answers(raw: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:

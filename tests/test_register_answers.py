@@ -51,6 +51,24 @@ def test_answers_that_cannot_be_read(spark):
         register.read_answers(lost, COLUMNS)[0].collect()
 
 
+def test_answers_stay_rows_and_are_shuffled_once(spark):
+    """A row a cell, through two windows, a join and a pivot, took eleven rows and three shuffles for each row of an answer."""
+    rows = [{"C": ["A", 1, 1e15, 19_000 * DAY, 1.5, "1", 0, "1.5E3", "", None, True]}, {"C": [-7, 0], "R": 0b11111111100}, {"C": [], "R": 0b01111111111, "Ø": 0b10000000000}, {"C": ["B"], "R": 0b11111111110}]
+    raw = spark.createDataFrame([(k, answer(rows, words=WORDS | {"D0": [f"W{k}", f"V{k}"]})) for k in range(3)], "result int, body string")
+    found, _ = register.read_answers(raw, COLUMNS)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("Window [") == 1 and "Join" not in plan and "Aggregate" not in plan
+    first = lambda joint, said: (joint, said, "1000000000000000", "", "1", "DORA", "1.5E3", "")
+    want = {(k, i): (*first(joint, f"{said}{k}"), by, "2022-01-08", "1.5") for k in range(3) for i, joint, said, by in ((0, "A", "v", "true"), (1, "-7", "w", "true"), (2, "-7", "w", ""), (3, "B", "w", ""))}
+    assert {(r["result"], r["i"]): tuple(r)[2:-1] for r in found.collect()} == want
+
+
+def test_a_number_without_a_word_is_an_error_in_a_column_that_is_not_read(spark):
+    raw = spark.createDataFrame([("x", answer([{"C": ["A", 0, 7], "Ø": 0b111111111000}], desc=[*DESC, {"N": "G11", "DN": "D1"}])), ("y", answer([{"C": ["A", 7], "Ø": 0b011111111110}], desc=[*DESC, {"N": "G11", "DN": "D1"}]))], "result string, body string")
+    with pytest.raises(PySparkException, match="no word 7"):
+        register.read_answers(raw.where("result = 'y'"), [*COLUMNS, "Other"])[0].drop("result", "i").collect()
+
+
 def test_what_is_asked_of_the_service(spark):
     asked = []
 
