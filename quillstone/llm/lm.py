@@ -4,8 +4,9 @@ Tokens are lower-cased words and one end per text. Counts of all training tokens
 (a row per distinct token). The neural model predicts classes of tokens, in number ``2.5 * sqrt(V)``, so they grow with the vocabulary: the most frequent words
 have half of the classes to themselves, all others share the rest by how they begin. A context's vector is the sum of the vectors of the last
 ``CONTEXT`` tokens' classes, each scaled by position. Classes lie in groups of the square root of their number: the products of the context's vector with all
-groups' vectors, and then with those of the token's group, give normalised log-probabilities of the group and of the class in it; a word has
-within its class the probability (c + 1) / (N of the class + V of the class + 1). The log-probabilities of a text's tokens add up to its score.
+groups' vectors, and then with those of the token's group, give normalised log-probabilities of the group and of the class in it (their powers of e
+are products of powers for each position, taken once for classes that repeat); a word has within its class the probability
+(c + 1) / (N of the class + V of the class + 1). The log-probabilities of a text's tokens add up to its score.
 
 Training learns from every training text: texts become class numbers and are dealt by a hash of id and text to parts and to rounds. In a round each part goes on
 from the common model over its texts in the order of that hash, and the parts' models are averaged in whole numbers; so how the input is split
@@ -44,6 +45,9 @@ END = int(mix(np.array([0xE0D], U))[0])
 END_CLASS = 0
 #: Weights are averaged as whole numbers of this part of one.
 _UNIT = 2.0**-36
+#: Exponents up to which powers of e are taken as they are, and powers for the groups' vectors that a task holds at most; tokens scored at a time, and
+#: rows of powers multiplied at a time; rows from which classes that repeat are looked for, and distinct ones to a row below which they are used.
+LARGEST, POWERS, SCORED, BLOCK, MANY, REPEATED = 600.0, 1 << 23, 1 << 17, 1 << 11, 256, 0.75
 #: Weights that are added up in one row.
 CHUNK = 1024
 
@@ -84,10 +88,22 @@ def _runs(index: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return order, sorted_[first], first
 
 
-def _sums(index: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct values of index, and the sums of their rows of values."""
-    order, which, first = _runs(index)
-    return which, np.add.reduceat(values[order], first, axis=0)
+def _places(index: np.ndarray, upto: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values of index (all below upto), and each one's place among them."""
+    seen, place = np.zeros(upto, bool), np.empty(upto, np.int64)
+    seen[index] = True
+    which = np.flatnonzero(seen)
+    place[which] = np.arange(len(which))
+    return which, place[index]
+
+
+def _sums(values: np.ndarray, order: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of the rows of values (or of numbers) that have one index, by what _runs gives for the indices."""
+    return np.add.reduceat(values.take(order, axis=0), first, axis=0)
+
+
+def _dots(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.einsum("ij,ij->i", a, b)
 
 
 @dataclass
@@ -150,7 +166,8 @@ class Learner:
         self.model, self.squares, self.rng = model, squares, np.random.default_rng(seed)
         groups = len(model.group)
         self.p_group, self.p_class = frequencies(counts, groups)
-        self.upto = np.cumsum(self.p_class.reshape(groups, -1), axis=1)
+        self.upto_group, self.upto = np.cumsum(self.p_group), np.cumsum(self.p_class.reshape(groups, -1), axis=1)
+        self.upto_group /= self.upto_group[-1]
         self.log_group, self.log_class = np.log(NOISE[0] * self.p_group).astype(np.float32), np.log(NOISE[1] * self.p_class).astype(np.float32)
 
     def step(self, name: str, index: np.ndarray | slice, g: np.ndarray) -> None:
@@ -162,77 +179,127 @@ class Learner:
         """One batch: classes and their contexts."""
         m, side = self.model, self.upto.shape[1]
         sigmoid = lambda x: 1 / (1 + np.exp(-np.clip(x, -30, 30)))
-        vectors = [m.context[c[:, k]] for k in range(CONTEXT)]
+        vectors = [m.context.take(c[:, k], axis=0) for k in range(CONTEXT)]
         q = sum(v * m.scale[k] for k, v in enumerate(vectors))
         g = t // side
         order, groups, first = _runs(g)
         of = list(zip(groups.tolist(), first.tolist(), [*first[1:].tolist(), len(g)], strict=True))  # group, and its rows in order
         # groups: the same noise for the whole batch
-        noise = self.rng.choice(len(m.group), NOISE[0], p=self.p_group)
-        good = 1 - sigmoid((q * m.group[g]).sum(axis=1) + m.group_bias[g] - self.log_group[g])
-        bad = -sigmoid(q @ m.group[noise].T + m.group_bias[noise] - self.log_group[noise])
-        grad_q = good[:, None] * m.group[g] + bad @ m.group[noise]
+        noise = self.upto_group.searchsorted(self.rng.random(NOISE[0]), "right")
+        near = m.group.take(g, axis=0)
+        good = 1 - sigmoid(_dots(q, near) + (m.group_bias - self.log_group)[g])
+        bad = -sigmoid(q @ m.group[noise].T + (m.group_bias - self.log_group)[noise])
+        grad_q = good[:, None] * near + bad @ m.group[noise]
         into, bias = np.zeros_like(m.group), np.zeros_like(m.group_bias)
-        into[groups], bias[groups] = np.add.reduceat((good[:, None] * q)[order], first, axis=0), np.add.reduceat(good[order], first)
+        into[groups], bias[groups] = _sums(good[:, None] * q, order, first), _sums(good, order, first)
         np.add.at(into, noise, bad.T @ q)
         np.add.at(bias, noise, bad.sum(axis=0))
         # classes: each group has noise of its own
         place = (self.upto[:, None, :-1] < self.rng.random((len(m.group), NOISE[1], 1))).sum(axis=2)
         others = place + np.arange(len(m.group))[:, None] * side
-        good = 1 - sigmoid((q * m.output[t]).sum(axis=1) + m.bias[t] - self.log_class[t])
-        grad_q += good[:, None] * m.output[t]
-        sorted_q, sorted_g, near = q[order], g[order], m.output[others]
+        near = m.output.take(t, axis=0)
+        good = 1 - sigmoid(_dots(q, near) + m.bias[t] - self.log_class[t])
+        grad_q += good[:, None] * near
+        sorted_q, sorted_g, near = q.take(order, axis=0), g[order], m.output[others]
         s, pull = np.empty((len(g), NOISE[1]), np.float32), np.empty_like(q)
         for group, a, b in of:
-            np.matmul(sorted_q[a:b], near[group].T, out=s[a:b])
-        bad = -sigmoid(s + (m.bias[others] - self.log_class[others])[sorted_g])
+            np.dot(sorted_q[a:b], near[group].T, out=s[a:b])
+        bad = -sigmoid(s + (m.bias[others] - self.log_class[others]).take(sorted_g, axis=0))
         pushed = np.empty((len(of), NOISE[1], SIZE), np.float32)
         for i, (group, a, b) in enumerate(of):
-            np.matmul(bad[a:b], near[group], out=pull[a:b])
-            np.matmul(bad[a:b].T, sorted_q[a:b], out=pushed[i])
+            np.dot(bad[a:b], near[group], out=pull[a:b])
+            np.dot(bad[a:b].T, sorted_q[a:b], out=pushed[i])
         pushed_bias = np.add.reduceat(bad, first, axis=0)
         grad_q[order] += pull
-        noisy = others[groups].ravel()
-        rows, sums = _sums(np.concatenate([t, noisy]), np.concatenate([good[:, None] * q, pushed.reshape(-1, SIZE)]))
-        self.step("output", rows, sums)
-        rows = np.concatenate([t, noisy])
-        which, sums = _sums(rows, np.concatenate([good, pushed_bias.ravel()]))
-        self.step("bias", which, sums)
+        order, rows, first = _runs(np.concatenate([t, others[groups].ravel()]))
+        self.step("output", rows, _sums(np.concatenate([good[:, None] * q, pushed.reshape(-1, SIZE)]), order, first))
+        self.step("bias", rows, _sums(np.concatenate([good, pushed_bias.ravel()]), order, first))
         self.step("group", slice(None), into)
         self.step("group_bias", slice(None), bias)
-        rows, sums = _sums(c.T.ravel(), np.concatenate([grad_q * m.scale[k] for k in range(CONTEXT)]))
-        self.step("scale", slice(None), np.stack([(grad_q * v).sum(axis=0) for v in vectors]))
+        order, rows, first = _runs(c.T.ravel())
+        sums = _sums(np.concatenate([grad_q * x for x in m.scale]), order, first)
+        self.step("scale", slice(None), np.stack([np.einsum("ij,ij->j", grad_q, v) for v in vectors]))
         self.step("context", rows, sums)
 
 
+class Scorer:
+    """Normalised log-probabilities by a model.
+
+    A power of e of a sum of products is the product of one power for each position of the context, and those repeat. For the groups' vectors they are taken
+    once for each class and position; for the classes of a group, and for groups beyond POWERS, once for each that occurs in a batch, if that is less work.
+    """
+
+    def __init__(self, model: Model):
+        context_, scale, self.group, self.group_bias, self.output, self.bias = (x.astype(np.float64) for x in model.parts)
+        self.side = len(self.output) // len(self.group)
+        self.vectors = [context_ * s for s in scale]
+        few = CONTEXT * len(self.output) * len(self.group) <= POWERS
+        self.powers = self._powers(self.vectors, self.group, self.group_bias) if few else None
+
+    @staticmethod
+    def _powers(vectors: list[np.ndarray], output: np.ndarray, bias: np.ndarray) -> list[np.ndarray] | None:
+        """By position e to the products of its vectors and output's, the first with the bias; None if a product of them may leave a double's range."""
+        found = [v @ output.T for v in vectors]
+        found[0] += bias
+        if not sum(max(s.max(), -s.min()) for s in found) < LARGEST:
+            return None
+        return [np.exp(s, out=s) for s in found]
+
+    @staticmethod
+    def _of_powers(powers: list[np.ndarray], rows: list[np.ndarray], own: np.ndarray) -> np.ndarray:
+        """Log-probabilities of own, for rows of each position's powers."""
+        out, ones = np.empty(len(own)), np.ones(powers[0].shape[1])
+        for lo in range(0, len(own), BLOCK):
+            p = powers[0].take(rows[0][lo : lo + BLOCK], axis=0)
+            for x, at in zip(powers[1:], rows[1:], strict=True):
+                p *= x.take(at[lo : lo + BLOCK], axis=0)
+            out[lo : lo + BLOCK] = p[np.arange(len(p)), own[lo : lo + BLOCK]] / (p @ ones)
+        return np.log(out, out=out)
+
+    def _of_sums(self, rows: list[np.ndarray], output: np.ndarray, bias: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """The same from classes at each position, with a power of e for each row and each of output's vectors."""
+        out, ones, output = np.empty(len(own)), np.ones(len(output)), output.T
+        for lo in range(0, len(own), BLOCK):
+            s = sum(v.take(c[lo : lo + BLOCK], axis=0) for v, c in zip(self.vectors, rows, strict=True)) @ output
+            s += bias
+            if s.max() > LARGEST or s.min() < -LARGEST:
+                s -= s.max(axis=1, keepdims=True)
+            mine = s[np.arange(len(s)), own[lo : lo + BLOCK]]
+            np.exp(s, out=s)
+            out[lo : lo + BLOCK] = mine - np.log(s @ ones)
+        return out
+
+    def _of_batch(self, rows: list[np.ndarray], output: np.ndarray, bias: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """By whichever takes fewer powers."""
+        if len(own) >= MANY:
+            which, places = zip(*(_places(c, len(self.output)) for c in rows), strict=True)
+            if sum(len(x) for x in which) < REPEATED * len(own):
+                powers = self._powers([v[x] for v, x in zip(self.vectors, which, strict=True)], output, bias)
+                if powers is not None:
+                    return self._of_powers(powers, list(places), own)
+        return self._of_sums(rows, output, bias, own)
+
+    def log_probabilities(self, classes: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Natural logarithms of the normalised probabilities of each token's class; first: where texts begin, and the last ends."""
+        out = np.empty(len(classes))
+        for lo in range(0, len(classes), SCORED):
+            t = classes[lo : lo + SCORED]
+            rows = list(np.ascontiguousarray(contexts(classes, first, lo, lo + len(t)).T))
+            g = t // self.side
+            p = self._of_batch(rows, self.group, self.group_bias, g) if self.powers is None else self._of_powers(self.powers, rows, g)
+            order, which, begin = _runs(g)
+            place, rows, of_class = (t - g * self.side)[order], [c[order] for c in rows], np.empty(len(t))
+            for k, a, b in zip(which.tolist(), begin.tolist(), [*begin[1:].tolist(), len(t)], strict=True):
+                mine = slice(k * self.side, (k + 1) * self.side)
+                of_class[a:b] = self._of_batch([c[a:b] for c in rows], self.output[mine], self.bias[mine], place[a:b])
+            p[order] += of_class
+            out[lo : lo + len(t)] = p
+        return out
+
+
 def log_probabilities(model: Model, classes: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Natural logarithms of the normalised probabilities of each token's class; first: where texts begin, and the last ends."""
-    out, side = np.empty(len(classes)), len(model.output) // len(model.group)
-    context_, scale, group, group_bias, output, bias = (x.astype(np.float64) for x in model.parts)
-    tables = [np.concatenate([context_ * s, np.full((len(context_), 1), 1.0 if k == 0 else 0.0)], axis=1) for k, s in enumerate(scale)]  # a one for the bias
-    group, output = np.concatenate([group, group_bias[:, None]], axis=1).T.copy(), np.concatenate([output, bias[:, None]], axis=1)
-    ones = np.ones(max(side, group.shape[1]))
-
-    def normalised(s: np.ndarray, own: np.ndarray) -> np.ndarray:
-        if s.max() > 600 or s.min() < -600:  # else no power of e leaves a double's range
-            s -= s.max(axis=1, keepdims=True)
-        mine = s[np.arange(len(s)), own]
-        np.exp(s, out=s)
-        return mine - np.log(s @ ones[: s.shape[1]])
-
-    for lo in range(0, len(classes), 1 << 15):
-        t = classes[lo : lo + (1 << 15)]
-        c = contexts(classes, first, lo, lo + len(t))
-        q = sum(tables[k][c[:, k]] for k in range(CONTEXT))
-        g = t // side
-        p = normalised(q @ group, g)
-        order, which, begin = _runs(g)
-        place, sorted_q, of_class = (t - g * side)[order], q[order], np.empty(len(t))
-        for k, a, b in zip(which.tolist(), begin.tolist(), [*begin[1:].tolist(), len(t)], strict=True):
-            of_class[a:b] = normalised(sorted_q[a:b] @ output[k * side : (k + 1) * side].T, place[a:b])
-        p[order] += of_class
-        out[lo : lo + len(t)] = p
-    return out
+    """As Scorer's, for one call."""
+    return Scorer(model).log_probabilities(classes, first)
 
 
 class Head:
@@ -457,11 +524,11 @@ def scored(rows: DataFrame, fitted: Fitted, scratch: Scratch) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head, flat, n_class, v_class, mass = shared.value
-        model, log10_mass = Model.of(flat, groups, classes), np.log10(mass)
+        scorer, log10_mass = Scorer(Model.of(flat, groups, classes)), np.log10(mass)
         within = np.log10(n_class + v_class + 1)
         for b in batches:
             for lo, hi, n, first, count, of, is_own in _prepared(b.column("text"), head):
-                p = log_probabilities(model, of, first) / np.log(10)
+                p = scorer.log_probabilities(of, first) / np.log(10)
                 known = count >= 0
                 logs = np.log10(np.maximum(count, 0) + 1.0)
                 p += np.where(is_own, 0.0, np.where(known, logs, 0.0) - within[of])

@@ -136,6 +136,73 @@ def test_lm_classes_are_normalised_and_learned():
     assert lm.log_probabilities(model, flat, first).mean() > np.log(0.5) > np.log(0.2)
 
 
+def lm_and_text(n=30_000, size=1.0):
+    """A model of 2,809 classes with random weights, and a text of such classes, frequent and rare."""
+    rng, side = np.random.default_rng(5), 53
+    counts = 1e6 / np.arange(1, side * side + 1)
+    model = lm.Model.new(counts, side)
+    model = lm.Model.of(model.flat() + size * rng.normal(0, 0.3, len(model.flat())).astype(np.float32), side, side * side)
+    flat = rng.choice(side * side, n, p=counts / counts.sum())
+    return model, counts, flat, np.array([0, 7, n // 2, n])
+
+
+def plain_log_probabilities(m, flat, first, some):
+    side, begin = len(m.group), first[np.searchsorted(first, some, "right") - 1]
+    out = []
+    for i, b in zip(some.tolist(), begin.tolist(), strict=True):
+        before = [flat[i - k] if i - k >= b else lm.END_CLASS for k in range(1, lm.CONTEXT + 1)]
+        q = sum(m.context[c].astype(float) * m.scale[k] for k, c in enumerate(before))
+        s, u = m.group.astype(float) @ q + m.group_bias, m.output.astype(float).reshape(side, side, -1)[flat[i] // side] @ q + m.bias.reshape(side, side)[flat[i] // side]
+        out.append(sum(x[k] - x.max() - np.log(np.exp(x - x.max()).sum()) for x, k in ((s, flat[i] // side), (u, flat[i] % side))))
+    return np.array(out)
+
+
+def test_lm_scores_take_few_powers(monkeypatch):
+    model, _, flat, first = lm_and_text()
+    taken, exp = [], np.exp
+    monkeypatch.setattr(np, "exp", lambda x, *a, **k: taken.append(np.size(x)) or exp(x, *a, **k))
+    got = lm.log_probabilities(model, flat, first)
+    monkeypatch.undo()
+    assert sum(taken) < 0.6 * len(flat) * 2 * len(model.group)
+    some = np.arange(0, len(flat), 37)
+    assert got[some] == pytest.approx(plain_log_probabilities(model, flat, first, some), rel=1e-12, abs=1e-12)
+
+
+@pytest.mark.parametrize("setting", [{"POWERS": 0}, {"MANY": 1 << 40}, {"POWERS": 0, "MANY": 1 << 40}, {"SCORED": 1000, "BLOCK": 64}, {"REPEATED": 9.0}, {"size": 40.0}])
+def test_lm_scores_whatever_powers_are_taken(setting, monkeypatch):
+    model, _, flat, first = lm_and_text(size=setting.get("size", 1.0))  # large weights leave a double's range
+    for name in setting.keys() - {"size"}:
+        monkeypatch.setattr(lm, name, setting[name])
+    some = np.append(np.arange(12), np.arange(12, len(flat), 101))
+    assert lm.log_probabilities(model, flat, first)[some] == pytest.approx(plain_log_probabilities(model, flat, first, some), rel=1e-11, abs=1e-11)
+
+
+def test_lm_learns_a_batch_as_a_plain_loop_does():
+    model, counts, flat, first = lm_and_text(2048)
+    side, t, c = 53, flat, lm.contexts(flat, first, 0, 2048)
+    learner = lm.Learner(lm.Model.of(model.flat(), side, side * side), lm.Model.of(np.full(len(model.flat()), lm.BEGUN, np.float32), side, side * side), counts, [3])
+    learner.learn(t, c)
+    rng, (p_group, p_class) = np.random.default_rng([3]), lm.frequencies(counts, side)
+    noise = rng.choice(side, lm.NOISE[0], p=p_group)
+    others = (np.cumsum(p_class.reshape(side, -1), axis=1)[:, None, :-1] < rng.random((side, lm.NOISE[1], 1))).sum(axis=2) + np.arange(side)[:, None] * side
+    m = lm.Model(*(x.astype(float) for x in model.parts))
+    grad = lm.Model(*(np.zeros_like(x) for x in m.parts))
+    for x, before in zip(t.tolist(), c.tolist(), strict=True):
+        q, pull = sum(m.context[b] * m.scale[k] for k, b in enumerate(before)), np.zeros(lm.SIZE)
+        chosen = [("group", "group_bias", y, lm.NOISE[0] * p_group[y], y_good) for y, y_good in [(x // side, 1), *((int(y), 0) for y in noise)]]
+        chosen += [("output", "bias", y, lm.NOISE[1] * p_class[y], y_good) for y, y_good in [(x, 1), *((int(y), 0) for y in others[x // side])]]
+        for vectors, biases, y, p, y_good in chosen:
+            g = y_good - 1 / (1 + np.exp(-(q @ getattr(m, vectors)[y] + getattr(m, biases)[y] - np.log(p))))
+            pull += g * getattr(m, vectors)[y]
+            getattr(grad, vectors)[y] += g * q
+            getattr(grad, biases)[y] += g
+        for k, b in enumerate(before):
+            grad.context[b] += pull * m.scale[k]
+            grad.scale[k] += pull * m.context[b]
+    for x, g, got in zip(m.parts, grad.parts, learner.model.parts, strict=True):
+        assert got == pytest.approx(x + lm.RATE * g / np.sqrt(lm.BEGUN + g**2), abs=2e-5)
+
+
 def test_lm_scores_by_a_plain_loop(spark, sf):
     from quillstone.llm.common import Scratch
 
